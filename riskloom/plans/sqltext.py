@@ -122,7 +122,8 @@ sv AS (
          CAST(1 + (l_suppkey + l_linenumber) % 5 AS INTEGER) AS trust,
          CASE WHEN l_linenumber = 7 THEN 'emin_degilim' WHEN l_linestatus = 'F' THEN 'evet'
               WHEN l_linestatus = 'O' THEN 'hayir' END AS decision,
-         CASE l_partkey % 3 WHEN 0 THEN 'LOW' WHEN 1 THEN 'MEDIUM' ELSE 'HIGH' END AS prediction
+         CASE l_partkey % 3 WHEN 0 THEN 'LOW' WHEN 1 THEN 'MEDIUM' ELSE 'HIGH' END AS prediction,
+         CASE WHEN l_tax < {d(0.03)} THEN 'LOW' WHEN l_tax < {d(0.06)} THEN 'MEDIUM' ELSE 'HIGH' END AS model_band
   FROM lineitem)"""
 
 CONTACTS = """

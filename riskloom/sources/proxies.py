@@ -161,7 +161,7 @@ def survey_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terminal survey answers, ratings as text with dirty values."""
     quantity = F.col("l_quantity")
     return read(
-        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_suppkey", "l_linestatus", "l_partkey"
+        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_suppkey", "l_linestatus", "l_partkey", "l_tax"
     ).select(
         "l_orderkey",
         "l_linenumber",
@@ -180,6 +180,7 @@ def survey_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.array(F.lit("LOW"), F.lit("MEDIUM"), F.lit("HIGH")), (F.col("l_partkey") % 3 + 1).cast("int")).alias(
             "prediction"
         ),
+        F.when(F.col("l_tax") < 0.03, "LOW").when(F.col("l_tax") < 0.06, "MEDIUM").otherwise("HIGH").alias("model_band"),
     )
 
 

@@ -45,20 +45,25 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_csv_skip_bad(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_csv_skip_bad(spark: SparkSession, path: str, columns: list[str], header: bool = True) -> DataFrame:
     """CSV as text columns, without the lines that have too many fields; short lines are padded with NULL.
 
-    The reader gets one more column than the file has: a line that fills it is too long.
+    The reader gets one column more than the file has: a line that fills it, be it
+    with an empty text, is too long.
     """
     extra = "_surplus"
     schema = StructType()
     for c in [*columns, extra]:
         schema = schema.add(c, "string")
     df = (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-        .option("mode", "PERMISSIVE").csv(path)
+        spark.read.schema(schema)
+        .option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("nullValue", "\u0000")
+        .csv(path)
     )
-    return df.where(F.col(extra).isNull()).drop(extra)
+    kept = df.where(F.col(extra).isNull()).drop(extra)
+    return kept.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
 
 
 def strip_headers(df: DataFrame) -> DataFrame:

@@ -29,8 +29,8 @@ def distinct_estimate(df: DataFrame, columns: list[str]) -> dict[str, int]:
     return row.asDict()
 
 
-def value_positions(df: DataFrame, column: str, parts: int | None = None) -> DataFrame:
-    """Distinct values with their count and the number of smaller values: (value, n, before).
+def value_positions(df: DataFrame, column: str, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with their count and the number of smaller values, (value, n, before), and a one-row total.
 
     A value held by a third of the rows is one row here, so no part is hot.
     """
@@ -49,11 +49,12 @@ def value_positions(df: DataFrame, column: str, parts: int | None = None) -> Dat
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
     within = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    positions = (
         stored.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
         .join(F.broadcast(offsets), "part")
         .select("value", "n", (F.col("offset") + F.col("inside")).alias("before"))
     )
+    return positions, stored.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
 
 
 def quantiles_from_positions(positions: DataFrame, total: int, probs: dict[str, float]) -> DataFrame:
@@ -62,13 +63,13 @@ def quantiles_from_positions(positions: DataFrame, total: int, probs: dict[str,
     for p in probs.values():
         at = (total - 1) * p
         picks += [math.floor(at), math.ceil(at)]
-    wanted = sorted(set(picks))
+    wanted = sorted(set(picks)) if total > 0 else [0]
     covers = [(F.col("before") <= w) & (F.col("before") + F.col("n") > w) for w in wanted]
     needed = positions.where(reduce(lambda a, b: a | b, covers))
     found = needed.agg(*[F.max(F.when(c, F.col("value"))).alias(f"at_{w}") for w, c in zip(wanted, covers)])
     out = []
     for name, p in probs.items():
-        at = (total - 1) * p
+        at = max(total - 1, 0) * p
         lo, hi = math.floor(at), math.ceil(at)
         low, high = F.col(f"at_{lo}"), F.col(f"at_{hi}")
         value = low if lo == hi else F.when(low == high, low).otherwise(dbl(hi - at) * low + dbl(at - lo) * high)
@@ -98,22 +99,27 @@ def exact_quantiles(
     for column in columns:
         if distinct[column] <= limit:
             continue
-        positions = materialise(value_positions(df, column), "quantile")
-        total = positions.agg(F.sum("n")).first()[0]
+        positions, total = value_positions(df, column)
         names = {k: p for k, (c, p) in wanted.items() if c == column}
-        row = quantiles_from_positions(positions, total, names)
-        scalar = row.select(F.struct(*names)).scalar()
-        out.update({k: scalar.getField(k) for k in names})
+        out.update(position_quantiles(positions, total, names))
     return out
 
 
-def with_percent_rank(df: DataFrame, column: str, out: str) -> DataFrame:
+def position_quantiles(positions: DataFrame, total: DataFrame, probs: dict[str, float]) -> dict[str, Column]:
+    """Quantiles of a column whose value positions are known, as scalar columns."""
+    row = quantiles_from_positions(positions, total.first().total, probs)
+    scalar = row.select(F.struct(*probs)).scalar()
+    return {k: scalar.getField(k) for k in probs}
+
+
+def with_percent_rank(
+    df: DataFrame, column: str, out: str, known: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """Average rank of ties over the number of values; rows without a value get none."""
-    positions = materialise(value_positions(df, column), "ranks")
-    total = positions.agg(F.sum("n")).scalar()
+    positions, total = known or value_positions(df, column)
     ranks = positions.select(
         F.col("value").alias("_value"),
-        ((F.col("before") + (F.col("n") + 1) / dbl(2.0)) / total.cast("double")).alias(out),
+        ((F.col("before") + (F.col("n") + 1) / dbl(2.0)) / total.scalar().cast("double")).alias(out),
     )
     # Rows of a hot value all meet the same one-row rank: the adaptive skew join splits their side.
     return df.join(ranks, F.col(column).cast("double") == F.col("_value"), "left").drop("_value")

@@ -13,7 +13,7 @@ from riskloom.functions.numeric import (
     clamp01, dbl, inf_to_null, null_to_zero, percent_to_unit, present, round_even, round_up,
 )
 from riskloom.operators.explain import explanation_summary, feature_explanations
-from riskloom.operators.quantiles import exact_quantiles, with_percent_rank
+from riskloom.operators.quantiles import exact_quantiles, position_quantiles, value_positions, with_percent_rank
 from riskloom.operators.rules import rule_hits, rule_score
 from riskloom.sources.store import materialise
 
@@ -286,9 +286,15 @@ def scored_rows(df: DataFrame, run_ts: Column, model: str, feature: str, dataset
     )
 
 
-def calibration_bin(df: DataFrame, column: str, bins: int, out: str) -> DataFrame:
+def calibration_bin(
+    df: DataFrame, column: str, bins: int, out: str, known: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """0-based quantile bin, right closed, lowest value included; equal edges collapse."""
-    q = exact_quantiles(df, {f"e{i}": (column, i / bins) for i in range(bins + 1)})
+    probs = {f"e{i}": i / bins for i in range(bins + 1)}
+    if known:
+        q = position_quantiles(*known, probs)
+    else:
+        q = exact_quantiles(df, {name: (column, p) for name, p in probs.items()})
     edges = [q[f"e{i}"] for i in range(bins + 1)]
     value = F.col(column)
     count = F.lit(0)
@@ -298,24 +304,39 @@ def calibration_bin(df: DataFrame, column: str, bins: int, out: str) -> DataFram
     return df.withColumn(out, F.when(value.isNotNull(), count))
 
 
-def group_bias(df: DataFrame, score: str, groups: dict[str, list[Column]]) -> DataFrame:
-    """Score minus the mean of its group, for several groupings.
+def median_split_bias(df: DataFrame, score: str, columns: list[str]) -> dict[str, Column]:
+    """Score minus the mean score of its side of each column's median; a row without the value is on the high side.
 
-    Group means are aggregated (two steps, so a hot group is reduced before the
-    shuffle) and joined back instead of windowing whole groups into one task each.
+    Each column has two groups, so all means are one row of conditional averages
+    and no row of the table moves.
     """
-    out = df
-    for name, keys in groups.items():
-        aliases = [f"_{name}_{i}" for i in range(len(keys))]
-        keyed = out.withColumns(dict(zip(aliases, keys)))
-        means = (
-            keyed.groupBy(*aliases).agg(F.avg(score).alias("_mean")).withColumnsRenamed({a: f"{a}_of_mean" for a in aliases})
-        )
-        match = [F.col(a).eqNullSafe(F.col(f"{a}_of_mean")) for a in aliases]
-        out = keyed.join(means, match, "left").select(
-            *out.columns, (F.col(score) - F.col("_mean")).alias(name)
+    medians = exact_quantiles(df, {c: (c, 0.5) for c in columns})
+    low = {c: F.coalesce(F.col(c) < medians[c], F.lit(False)) for c in columns}
+    means = df.agg(
+        F.struct(
+            *[F.avg(F.when(low[c], F.col(score))).alias(f"{c}_low") for c in columns],
+            *[F.avg(F.when(~low[c], F.col(score))).alias(f"{c}_high") for c in columns],
         )
-    return out
+    ).scalar()
+    return {
+        f"{c}_bias": F.col(score) - F.when(low[c], means.getField(f"{c}_low")).otherwise(means.getField(f"{c}_high"))
+        for c in columns
+    }
+
+
+def intersectional_bias(df: DataFrame, score: str, columns: list[str], out: str = "intersectional_bias") -> DataFrame:
+    """Score minus the mean of the rows that agree in all columns to one digit.
+
+    The columns are 0..100 scores, so one digit leaves at most 1,001 values and NULL
+    each, about a million pairs for two columns: the means have a fixed bound and are
+    broadcast, and the rows stay where they are however hot a pair is.
+    """
+    keys = {f"_k{i}": round_even(F.col(c), 1) for i, c in enumerate(columns)}
+    keyed = df.withColumns(keys)
+    means = keyed.groupBy(*keys).agg(F.avg(score).alias("_mean")).withColumnsRenamed({k: f"{k}_m" for k in keys})
+    match = [F.col(k).eqNullSafe(F.col(f"{k}_m")) for k in keys]
+    means = F.broadcast(means) if len(columns) <= 2 else means
+    return keyed.join(means, match, "left").select(*df.columns, (F.col(score) - F.col("_mean")).alias(out))
 
 
 def prediction_table(
@@ -323,23 +344,20 @@ def prediction_table(
 ) -> DataFrame:
     """The complete prediction output: score, band, bias columns, confidence, bins, rank, lineage.
 
-    ``features`` is a stored frame of customer_id and the three features. The raw
-    and the scaled score are each written once; every later number is an aggregate
-    or a join on the stored frame.
+    ``features`` has customer_id and the three features. The raw and the scaled score
+    are each written once, and the positions of the scaled values serve both the
+    quantile bins and the percentile ranks.
     """
     raw = materialise(features.withColumn("raw_score", model(features)), "raw")
     scaled = materialise(robust_scale(raw, "raw_score", "predicted_risk_score"), "scored")
     score = F.col("predicted_risk_score")
     means = scaled.agg(F.struct(F.avg(score).alias("score"), F.avg("raw_score").alias("raw"))).scalar()
-    medians = exact_quantiles(scaled, {c: (c, 0.5) for c in K.FEATURES})
-    groups = {
-        f"{c}_bias": [F.when(F.col(c) < medians[c], "low").otherwise("high")] for c in K.FEATURES
-    }
-    groups["intersectional_bias"] = [round_even(F.col(INCOME), 1), round_even(F.col(PAYMENT), 1)]
-    out = group_bias(scaled, "predicted_risk_score", groups)
-    binned = calibration_bin(scaled.select("customer_id", "predicted_risk_score"), "predicted_risk_score", 5, "calibration_bin")
-    ranked = with_percent_rank(binned, "predicted_risk_score", "risk_percentile").drop("predicted_risk_score")
-    out = out.join(ranked, "customer_id")
+    biases = median_split_bias(scaled, "predicted_risk_score", K.FEATURES)
+    positions, total = value_positions(scaled, "predicted_risk_score")
+    known = (materialise(positions, "positions"), total)
+    out = intersectional_bias(scaled, "predicted_risk_score", [INCOME, PAYMENT])
+    out = calibration_bin(out, "predicted_risk_score", 5, "calibration_bin", known)
+    out = with_percent_rank(out, "predicted_risk_score", "risk_percentile", known)
     if attributions is not None:
         out = out.join(attributions, "customer_id", "left")
     return out.select(
@@ -351,7 +369,8 @@ def prediction_table(
         band_cut(score).alias("predicted_band"),
         (score - means.getField("score")).alias("bias_delta"),
         clamp01(dbl(1.0) - F.abs(score - means.getField("score"))).alias("model_confidence"),
-        *list(groups),
+        *[bias.alias(name) for name, bias in biases.items()],
+        "intersectional_bias",
         "calibration_bin",
         "risk_percentile",
         F.lit(K.PREDICTION_MODEL_HASH).alias("model_hash"),

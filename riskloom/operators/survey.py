@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
@@ -116,10 +116,9 @@ def terminal_summary(df: DataFrame) -> DataFrame:
 
 
 def understood_share(df: DataFrame) -> DataFrame:
-    """Percent of each answer among the given answers, two digits."""
-    answered = df.where(F.col("understood").isNotNull())
-    total = answered.agg(F.count(F.lit(1))).scalar()
-    counts = answered.groupBy("understood").agg(F.count(F.lit(1)).alias("n"))
+    """Percent of each answer among the given answers, two digits; the window sees one row per answer only."""
+    counts = df.where(F.col("understood").isNotNull()).groupBy("understood").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
     return counts.select("understood", round_up(F.col("n") / total.cast("double") * dbl(100.0), 2).alias("percent"))
 
 

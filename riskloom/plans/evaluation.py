@@ -9,12 +9,13 @@ from riskloom.functions.numeric import dbl, round_up
 from riskloom.operators import evaluation as E
 from riskloom.operators import learning as ML
 from riskloom.operators import portfolio as A
-from riskloom.operators.scoring import linear_model, robust_scale
+from riskloom.operators.scoring import linear_model, robust_scale, true_risk_score
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import SCALED_CTE
 from riskloom.plans.sqltext import WIDE, bucket, d, r
 from riskloom.sources import proxies as P
 from riskloom.sources.store import materialise
+from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
 
@@ -26,13 +27,13 @@ te AS (SELECT * FROM ev WHERE is_test)
 
 
 def evaluation_frame(spark, sf):
-    """Stored frame: truth (0..1), robustly scaled prediction, both labels, split."""
+    """Truth (0..1), robustly scaled prediction, split, all stored; labels on top."""
     wide = P.wide_customers(spark, sf, "customer_id", *K.FEATURES, "risk_score")
     raw = materialise(wide.withColumn("raw_score", linear_model(wide)))
     scaled = robust_scale(raw, "raw_score", "predicted").select(
         "customer_id", (F.col("risk_score") / dbl(100.0)).alias("truth"), "predicted"
     )
-    return materialise(E.with_split(E.with_labels(materialise(scaled), "truth", "predicted")))
+    return E.with_labels(materialise(E.with_split(scaled)), "truth", "predicted")
 
 
 def holdout(spark, sf):
@@ -52,8 +53,6 @@ def labels(spark, sf):
 
 @query("holdout_split", f"SELECT c_custkey AS customer_id, {bucket('c_custkey', 5)} = 0 AS is_test FROM customer")
 def holdout_split(spark, sf):
-    from riskloom.sources.tables import read
-
     return E.with_split(read(spark, sf, "customer", "c_custkey").withColumnRenamed("c_custkey", "customer_id"))
 
 
@@ -181,8 +180,6 @@ def model_predict(spark, sf):
 
 @query("forest_regression")
 def forest_regression(spark, sf):
-    from riskloom.operators.scoring import true_risk_score
-
     rows = E.with_split(materialise(true_risk_score(_features(spark, sf))))
     out = ML.forest_regression(rows.where(~F.col("is_test")), rows, "true_risk_score")
     return out.select("customer_id", "true_risk_score", "regression_score", "is_test")
@@ -190,7 +187,7 @@ def forest_regression(spark, sf):
 
 @query("platt_calibration")
 def platt_calibration(spark, sf):
-    out = ML.platt_calibration(evaluation_frame(spark, sf), "predicted", "true_label")
+    out = ML.platt_calibration(materialise(evaluation_frame(spark, sf)), "predicted", "true_label")
     return out.select("customer_id", "predicted", "calibrated_score")
 
 

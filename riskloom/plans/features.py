@@ -81,7 +81,7 @@ def bounds_clip(spark, sf):
   THEN {clip('risk_score', 0, 100)} / {d(100)} ELSE {clip('risk_score', 0, 100)} END AS risk_score FROM ec""",
 )
 def risk_score_normalise_global(spark, sf):
-    return feat.normalise_score_global(P.wide_customers(spark, sf, "customer_id", "risk_score"), "risk_score")
+    return feat.normalise_score_global(materialise(P.wide_customers(spark, sf, "customer_id", "risk_score")), "risk_score")
 
 
 @query("require_columns", WIDE + f"SELECT customer_id, {', '.join(K.RAW_ATTRIBUTES)} FROM ec")
@@ -94,7 +94,7 @@ def require_columns(spark, sf):
     WIDE + f"SELECT customer_id, {', '.join(K.FEATURES)}, risk_score, risk_score AS predicted_risk_score FROM ec",
 )
 def validate_features(spark, sf):
-    return feat.validate_features(P.wide_customers(spark, sf, "customer_id", *K.FEATURES, "risk_score"))
+    return feat.validate_features(materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES, "risk_score")))
 
 
 @query(
@@ -192,7 +192,7 @@ def synth_risk_score(spark, sf):
     base = P.customer_attributes(spark, sf).select(
         "customer_id", feat.synth_risk_score().alias("risk_score"), feat.synth_resilience_points().alias("x")
     )
-    return feat.min_max_percent(base, "x", "resilience_points").drop("x")
+    return feat.min_max_percent(materialise(base), "x", "resilience_points").drop("x")
 
 
 def _poisson_sql(x: str) -> str:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from riskloom import constants as K
 from riskloom.functions.numeric import round_up
 from riskloom.operators import portfolio as A
+from riskloom.operators.scoring import behaviour_score
 from riskloom.plans.bands import BEHAVIOUR, CATEGORY, SEGMENT
 from riskloom.plans.registry import query
 from riskloom.plans.sqltext import WIDE, d, r
 from riskloom.sources import proxies as P
-from riskloom.sources.store import write_replace, scratch_path
+from riskloom.sources.store import materialise, scratch_path, write_replace
 from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
@@ -112,10 +113,8 @@ def zone_shares(spark, sf):
 SELECT CAST(least(29, floor((x - lo) / (hi - lo) * {d(30)})) AS INTEGER) AS bin, count(*) AS n FROM s, b GROUP BY 1""",
 )
 def score_histogram(spark, sf):
-    from riskloom.operators.scoring import behaviour_score
-
     scores = P.wide_customers(spark, sf, *K.FEATURES).select(behaviour_score().alias("score"))
-    return A.histogram(scores, "score", 30)
+    return A.histogram(materialise(scores), "score", 30)
 
 
 @query(

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
-from riskloom.functions.numeric import round_even, round_up
+from riskloom.functions.numeric import round_up
 from riskloom.operators import history as H
 from riskloom.operators import portfolio as A
-from riskloom.operators.quantiles import exact_quantiles, ntile_of, with_global_position, with_percent_rank
-from riskloom.operators.scoring import calibration_bin, group_bias, latest_prediction
+from riskloom.operators.quantiles import ntile_of, with_global_position, with_percent_rank
+from riskloom.operators.scoring import calibration_bin, intersectional_bias, latest_prediction, median_split_bias
 from riskloom.plans.bands import band_sql
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import SCALED_CTE, _bias_group, _scaled, bin_sql
@@ -111,14 +111,12 @@ def calibration_bin_query(spark, sf):
 )
 def group_bias_query(spark, sf):
     scored = materialise(_scaled(spark, sf))
-    medians = exact_quantiles(scored, {c: (c, 0.5) for c in K.FEATURES})
-    groups = {f"{c}_bias": [F.when(F.col(c) < medians[c], "low").otherwise("high")] for c in K.FEATURES}
-    out = group_bias(scored, "predicted_risk_score", groups)
+    biases = median_split_bias(scored, "predicted_risk_score", K.FEATURES)
     mean = scored.agg(F.avg("predicted_risk_score")).scalar()
-    return out.select(
+    return scored.select(
         "customer_id",
         round_up(F.col("predicted_risk_score") - mean, 9).alias("bias_delta"),
-        *[round_up(F.col(g), 9).alias(g) for g in groups],
+        *[round_up(bias, 9).alias(name) for name, bias in biases.items()],
     )
 
 
@@ -126,11 +124,9 @@ def group_bias_query(spark, sf):
     "intersectional_bias",
     WIDE + SCALED_CTE + f"""SELECT customer_id, {r(f'predicted - avg(predicted) OVER (PARTITION BY round_even({INC} * {d(10)}, 0), round_even({PAY} * {d(10)}, 0))', 9)} AS intersectional_bias FROM sc""",
 )
-def intersectional_bias(spark, sf):
+def intersectional_bias_query(spark, sf):
     scored = materialise(_scaled(spark, sf))
-    out = group_bias(
-        scored, "predicted_risk_score", {"intersectional_bias": [round_even(F.col(INC), 1), round_even(F.col(PAY), 1)]}
-    )
+    out = intersectional_bias(scored, "predicted_risk_score", [INC, PAY])
     return out.select("customer_id", round_up(F.col("intersectional_bias"), 9).alias("intersectional_bias"))
 
 

@@ -128,7 +128,7 @@ def fixed_scale(spark, sf):
     ) + " FROM ec",
 )
 def standard_scale(spark, sf):
-    out = scoring.standard_scale(P.wide_customers(spark, sf, "customer_id", *K.FEATURES), K.FEATURES)
+    out = scoring.standard_scale(materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES)), K.FEATURES)
     return out.select("customer_id", *[round_up(F.col(f"{c}_scaled"), 6).alias(f"{c}_scaled") for c in K.FEATURES])
 
 
@@ -204,7 +204,10 @@ resp AS (SELECT *, {band_sql('final_score')} AS band, {band_sql('final_score', 2
 
 
 def scoring_input(spark, sf):
-    return P.wide_customers(spark, sf).withColumn("original_score", round_up(F.col("risk_score") / dbl(100.0), 4))
+    """Stored frame of all customers with the score they came with."""
+    return materialise(
+        P.wide_customers(spark, sf).withColumn("original_score", round_up(F.col("risk_score") / dbl(100.0), 4))
+    )
 
 
 @query(
@@ -382,7 +385,7 @@ def rounded_predictions(table):
 
 @query("prediction_table", PREDICTION_SQL)
 def prediction_table(spark, sf):
-    features = materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES))
+    features = P.wide_customers(spark, sf, "customer_id", *K.FEATURES)
     return rounded_predictions(scoring.prediction_table(features))
 
 

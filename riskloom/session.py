@@ -15,5 +15,8 @@ def local_session(cores: int | str = "*", app: str = "riskloom", shuffle_partiti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Call sites of column expressions are for notebooks; recording them slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -48,22 +48,26 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def read_csv_skip_bad(spark: SparkSession, path: str, columns: list[str], header: bool = True) -> DataFrame:
     """CSV as text columns, without the lines that have too many fields; short lines are padded with NULL.
 
-    The reader gets one column more than the file has: a line that fills it, be it
-    with an empty text, is too long.
+    The reader keeps the text of lines whose field count is wrong. Such a line is
+    parsed again with a mark behind it: if the mark is not among the first fields,
+    the line was too long, be it by an empty field.
     """
-    extra = "_surplus"
+    raw, mark = "_raw", "\u0001"
     schema = StructType()
-    for c in [*columns, extra]:
+    for c in [*columns, raw]:
         schema = schema.add(c, "string")
     df = (
         spark.read.schema(schema)
         .option("header", header)
         .option("mode", "PERMISSIVE")
-        .option("nullValue", "\u0000")
+        .option("columnNameOfCorruptRecord", raw)
+        .option("columnPruning", False)
         .csv(path)
     )
-    kept = df.where(F.col(extra).isNull()).drop(extra)
-    return kept.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
+    names = [f"f{i}" for i in range(len(columns) + 1)]
+    fields = F.from_csv(F.concat(F.col(raw), F.lit(f",{mark}")), ", ".join(f"{n} string" for n in names))
+    ends = F.exists(F.array(*[fields.getField(n) for n in names]), lambda f: f.eqNullSafe(F.lit(mark)))
+    return df.where(F.col(raw).isNull() | ends).select(*columns)
 
 
 def strip_headers(df: DataFrame) -> DataFrame:

@@ -25,6 +25,8 @@ HEADLINE = [
     "combined_metrics",
 ]
 
+WARM = 2
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -36,11 +38,11 @@ def main() -> None:
     seconds: dict[str, float] = {}
     for name in names:
         taken = []
-        for _ in range(runs + 1):  # the first run warms up and is not counted
+        for _ in range(runs + WARM):  # the first runs warm up and are not counted
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(taken[1:]), 3)
+        seconds[name] = round(statistics.median(taken[WARM:]), 3)
     spark.stop()
     print(
         json.dumps(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions.numeric import dbl, normal, null_to_zero, round_up, safe_float, unit_if_above_one
+from riskloom.operators.scalars import constants
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
 _PAIRS = "array<struct<feature:string,impact:double>>"
@@ -244,10 +245,8 @@ def local_surrogate(
     are solved from sums per row. The copies of a row are made in the task that
     holds the row, so partial sums leave one row per customer for the shuffle.
     """
-    stats = features.agg(
-        F.struct(*[F.coalesce(F.nullif(F.stddev_pop(c), dbl(0.0)), dbl(1.0)).alias(c) for c in K.FEATURES])
-    ).scalar()
-    means = features.agg(F.struct(*[F.avg(c).alias(c) for c in K.FEATURES])).scalar()
+    deviations = [F.coalesce(F.nullif(F.stddev_pop(c), dbl(0.0)), dbl(1.0)).alias(f"{c}_s") for c in K.FEATURES]
+    stats = constants(features.agg(*deviations, *[F.avg(c).alias(f"{c}_m") for c in K.FEATURES]))
     copies = features.select(
         "customer_id",
         *[null_to_zero(F.col(c)).alias(f"at_{c}") for c in K.FEATURES],
@@ -262,7 +261,7 @@ def local_surrogate(
         "n0",
         "n1",
         "n2",
-        *[(F.col(f"at_{c}") + F.col(f"n{i}") * stats.getField(c)).alias(c) for i, c in enumerate(K.FEATURES)],
+        *[(F.col(f"at_{c}") + F.col(f"n{i}") * stats[f"{c}_s"]).alias(c) for i, c in enumerate(K.FEATURES)],
         *[f"at_{c}" for c in K.FEATURES],
     )
     width = 0.75 * 3.0**0.5
@@ -302,7 +301,7 @@ def local_surrogate(
     for i, c in enumerate(K.FEATURES):
         swapped = [rhs if k == i else v for k, v in enumerate(cols)]
         coefficient = F.try_divide(det(*swapped), whole)
-        position = (col(f"at_{c}") - means.getField(c)) / stats.getField(c)
+        position = (col(f"at_{c}") - stats[f"{c}_m"]) / stats[f"{c}_s"]
         out += [coefficient.alias(f"{c}_weight"), (coefficient * position).alias(f"{c}_impact")]
     return m.select("customer_id", *out)
 

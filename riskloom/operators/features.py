@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom import constants as K
 from riskloom.functions.numeric import clip, dbl, inf_to_null, normal, null_to_zero, round_up, uniform, zero_to_null
 from riskloom.operators.quantiles import exact_quantiles
+from riskloom.operators.scalars import constants
 
 
 def payment_discipline(delay: Column | None = None, missed: Column | None = None) -> Column:
@@ -56,8 +57,8 @@ def synth_resilience_points() -> Column:
 
 def min_max_percent(df: DataFrame, column: str, out: str) -> DataFrame:
     """Column rescaled to 0..100 over the whole table, two digits."""
-    bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    bounds = constants(df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")))
+    lo, hi = bounds["lo"], bounds["hi"]
     return df.withColumn(out, round_up((F.col(column) - lo) / (hi - lo + dbl(1e-9)) * dbl(100.0), 2))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions.bands import risk_category, risk_zone, spending_segment
+from riskloom.operators.scalars import constants
 from riskloom.operators.scoring import behaviour_score
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
@@ -87,8 +88,8 @@ def zone_shares(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and largest value, the last one closed."""
     values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    bounds = constants(values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")))
+    lo, hi = bounds["lo"], bounds["hi"]
     place = F.floor(F.try_divide(F.col("v") - lo, hi - lo) * float(bins)).cast("int")
     return (
         values.groupBy(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).alias("bin"))

@@ -3,7 +3,7 @@
 Two ways, chosen by a measured number of distinct values:
 
 * few distinct values: Spark's exact ``percentile``, whose buffers are
-  value -> count maps, as a scalar subquery inside the plan;
+  value -> count maps;
 * many: the column is reduced to (value, count) before any shuffle, range
   partitioned by value and written once. Counts per written part give each part
   its offset, a running sum inside each part gives every value its position.
@@ -17,7 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.numeric import dbl
+from riskloom.functions.numeric import dbl, present
+from riskloom.operators.scalars import constants
 from riskloom.sources.store import materialise
 
 # Largest number of distinct values for the one-map way (about 50 MB of map).
@@ -29,17 +30,20 @@ def distinct_estimate(df: DataFrame, columns: list[str]) -> dict[str, int]:
     return row.asDict()
 
 
-def value_positions(df: DataFrame, column: str, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+def value_positions(
+    df: DataFrame, column: str, parts: int | None = None, weight: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Distinct values with their count and the number of smaller values, (value, n, before), and a one-row total.
 
     A value held by a third of the rows is one row here, so no part is hot.
+    ``weight`` names a column of row counts where ``df`` is already grouped.
     """
     spark = df.sparkSession
     parts = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     counted = (
         df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
         .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
         .repartitionByRange(parts, "value")
         .withColumn("part", F.spark_partition_id())
     )
@@ -78,38 +82,38 @@ def quantiles_from_positions(positions: DataFrame, total: int, probs: dict[str,
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: dict[str, tuple[str, float]], map_limit: int | None = None
+    df: DataFrame, wanted: dict[str, tuple[str, float]], map_limit: int | None = None, weight: str | None = None
 ) -> dict[str, Column]:
-    """Exact quantiles: name -> (column, probability) gives name -> scalar column for use in any plan on any frame."""
+    """Exact quantiles: name -> (column, probability) gives name -> constant column for use in any plan.
+
+    ``weight`` names a column of row counts where ``df`` is already grouped.
+    """
     limit = MAP_LIMIT if map_limit is None else map_limit
     columns = sorted({c for c, _ in wanted.values()})
     distinct = distinct_estimate(df, columns)
     out: dict[str, Column] = {}
-    few = {k: v for k, v in wanted.items() if distinct[v[0]] <= limit}
+    asked = {c: {k: p for k, (of, p) in wanted.items() if of == c} for c in columns}
+    few = [c for c in columns if distinct[c] <= limit]
     if few:
-        row = df.agg(
-            F.struct(
-                *[
-                    F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(p)).alias(k)
-                    for k, (c, p) in few.items()
-                ]
-            )
-        ).scalar()
-        out.update({k: row.getField(k) for k in few})
+        # One value -> count map per column serves all its probabilities.
+        frequency = F.col(weight) if weight else F.lit(1)
+        maps = [
+            F.percentile(present(F.col(c)), F.array(*[F.lit(p) for p in asked[c].values()]), frequency).alias(c) for c in few
+        ]
+        found = df.agg(*maps).first()
+        for c in few:
+            values = found[c] or [None] * len(asked[c])
+            out.update({k: F.lit(v).cast("double") for k, v in zip(asked[c], values)})
     for column in columns:
-        if distinct[column] <= limit:
-            continue
-        positions, total = value_positions(df, column)
-        names = {k: p for k, (c, p) in wanted.items() if c == column}
-        out.update(position_quantiles(positions, total, names))
+        if distinct[column] > limit:
+            positions, total = value_positions(df, column, weight=weight)
+            out.update(position_quantiles(positions, total, asked[column]))
     return out
 
 
 def position_quantiles(positions: DataFrame, total: DataFrame, probs: dict[str, float]) -> dict[str, Column]:
-    """Quantiles of a column whose value positions are known, as scalar columns."""
-    row = quantiles_from_positions(positions, total.first().total, probs)
-    scalar = row.select(F.struct(*probs)).scalar()
-    return {k: scalar.getField(k) for k in probs}
+    """Quantiles of a column whose value positions are known, as constants."""
+    return constants(quantiles_from_positions(positions, total.first().total, probs))
 
 
 def with_percent_rank(

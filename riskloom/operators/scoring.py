@@ -15,6 +15,7 @@ from riskloom.functions.numeric import (
 from riskloom.operators.explain import explanation_summary, feature_explanations
 from riskloom.operators.quantiles import exact_quantiles, position_quantiles, value_positions, with_percent_rank
 from riskloom.operators.rules import rule_hits, rule_score
+from riskloom.operators.scalars import constants
 from riskloom.sources.store import materialise
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
@@ -49,14 +50,16 @@ def linear_model(df: DataFrame) -> Column:
 
 
 def true_risk_score(df: DataFrame) -> DataFrame:
-    """Adds ``true_risk_score`` and ``true_risk_label`` (above the 70th percentile); zeros count as missing."""
+    """Adds ``true_risk_score`` and ``true_risk_label`` (above the 70th percentile); zeros count as missing.
+
+    ``df`` is read more than once; pass a stored frame when it is costly to make.
+    """
     present = df.withColumns({c: F.nullif(F.col(c), dbl(0.0)) for c in K.FEATURES})
     medians = exact_quantiles(present, {c: (c, 0.5) for c in K.FEATURES})
     unit = {c: F.coalesce(F.col(c), medians[c]) / dbl(100.0) for c in K.FEATURES}
     scored = present.withColumns({c: F.coalesce(F.col(c), medians[c]) for c in K.FEATURES}).withColumn(
         "true_risk_score", target_score(F.col(PAYMENT) / 100.0, F.col(INCOME) / 100.0, F.col(RESILIENCE) / 100.0)
     )
-    scored = materialise(scored, "target")
     edge = exact_quantiles(scored, {"edge": ("true_risk_score", 0.7)})["edge"]
     return scored.withColumn("true_risk_label", F.when(F.col("true_risk_score") > edge, 1).otherwise(0))
 
@@ -73,16 +76,10 @@ def fixed_scale(raw: Column) -> Column:
 
 def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     """Zero mean, unit population deviation; a constant column is only centred."""
-    stats = df.agg(
-        F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in columns])
-    ).scalar()
-    return df.withColumns(
-        {
-            f"{c}_scaled": (F.col(c) - stats.getField(c).getField("m"))
-            / F.coalesce(F.nullif(stats.getField(c).getField("s"), dbl(0.0)), dbl(1.0))
-            for c in columns
-        }
-    )
+    aggregates = [F.avg(c).alias(f"{c}_m") for c in columns]
+    aggregates += [F.coalesce(F.nullif(F.stddev_pop(c), dbl(0.0)), dbl(1.0)).alias(f"{c}_s") for c in columns]
+    stats = constants(df.agg(*aggregates))
+    return df.withColumns({f"{c}_scaled": (F.col(c) - stats[f"{c}_m"]) / stats[f"{c}_s"] for c in columns})
 
 
 def blend(ml: Column, rule: Column) -> Column:
@@ -312,16 +309,13 @@ def median_split_bias(df: DataFrame, score: str, columns: list[str]) -> dict[str
     """
     medians = exact_quantiles(df, {c: (c, 0.5) for c in columns})
     low = {c: F.coalesce(F.col(c) < medians[c], F.lit(False)) for c in columns}
-    means = df.agg(
-        F.struct(
+    means = constants(
+        df.agg(
             *[F.avg(F.when(low[c], F.col(score))).alias(f"{c}_low") for c in columns],
             *[F.avg(F.when(~low[c], F.col(score))).alias(f"{c}_high") for c in columns],
         )
-    ).scalar()
-    return {
-        f"{c}_bias": F.col(score) - F.when(low[c], means.getField(f"{c}_low")).otherwise(means.getField(f"{c}_high"))
-        for c in columns
-    }
+    )
+    return {f"{c}_bias": F.col(score) - F.when(low[c], means[f"{c}_low"]).otherwise(means[f"{c}_high"]) for c in columns}
 
 
 def intersectional_bias(df: DataFrame, score: str, columns: list[str], out: str = "intersectional_bias") -> DataFrame:
@@ -344,14 +338,14 @@ def prediction_table(
 ) -> DataFrame:
     """The complete prediction output: score, band, bias columns, confidence, bins, rank, lineage.
 
-    ``features`` has customer_id and the three features. The raw and the scaled score
-    are each written once, and the positions of the scaled values serve both the
-    quantile bins and the percentile ranks.
+    ``features`` has customer_id and the three features. The raw score is written once
+    with them; the scaled score is a projection of it. The positions of the scaled
+    values serve both the quantile bins and the percentile ranks.
     """
     raw = materialise(features.withColumn("raw_score", model(features)), "raw")
-    scaled = materialise(robust_scale(raw, "raw_score", "predicted_risk_score"), "scored")
+    scaled = robust_scale(raw, "raw_score", "predicted_risk_score")
     score = F.col("predicted_risk_score")
-    means = scaled.agg(F.struct(F.avg(score).alias("score"), F.avg("raw_score").alias("raw"))).scalar()
+    means = constants(scaled.agg(F.avg(score).alias("score"), F.avg("raw_score").alias("raw")))
     biases = median_split_bias(scaled, "predicted_risk_score", K.FEATURES)
     positions, total = value_positions(scaled, "predicted_risk_score")
     known = (materialise(positions, "positions"), total)
@@ -367,14 +361,14 @@ def prediction_table(
         RESILIENCE,
         score.alias("predicted_risk_score"),
         band_cut(score).alias("predicted_band"),
-        (score - means.getField("score")).alias("bias_delta"),
-        clamp01(dbl(1.0) - F.abs(score - means.getField("score"))).alias("model_confidence"),
+        (score - means["score"]).alias("bias_delta"),
+        clamp01(dbl(1.0) - F.abs(score - means["score"])).alias("model_confidence"),
         *[bias.alias(name) for name, bias in biases.items()],
         "intersectional_bias",
         "calibration_bin",
         "risk_percentile",
         F.lit(K.PREDICTION_MODEL_HASH).alias("model_hash"),
         F.lit(K.PREDICTION_MODEL_VERSION).alias("model_version"),
-        means.getField("raw").alias("base_value"),
+        means["raw"].alias("base_value"),
         *(["lime_explanation"] if attributions is not None else []),
     )

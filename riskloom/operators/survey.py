@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions.numeric import dbl, round_up
-from riskloom.operators.features import median_impute
+from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.setops import drop_all_null, union_frames
+from riskloom.sources.store import materialise
 
 MEASURES = list(K.SURVEY_WEIGHTS)
 
@@ -85,12 +86,20 @@ def _weighted(columns: dict[str, Column]) -> Column:
 def combined_metrics(form: DataFrame, terminal: DataFrame) -> DataFrame:
     """Both surveys together: medians for missing points, five means, weighted final score.
 
-    The combined frame is read twice (medians, means): pass stored frames when they are costly.
+    The answers are read once: equal answer rows are counted first, and medians and
+    means are taken from the counts.
     """
     both = drop_all_null(union_frames(form, terminal))
-    both = both.select(*[F.col(c).cast("double").alias(c) if c in both.columns else F.lit(None).cast("double").alias(c) for c in MEASURES])
-    filled = median_impute(both, MEASURES)
-    means = filled.agg(*[F.avg(c).alias(c) for c in MEASURES])
+    points = both.select(
+        *[(F.col(c) if c in both.columns else F.lit(None)).cast("double").alias(c) for c in MEASURES]
+    )
+    counted = materialise(points.groupBy(*MEASURES).agg(F.count(F.lit(1)).alias("n")), "answers")
+    medians = exact_quantiles(counted, {c: (c, 0.5) for c in MEASURES}, weight="n")
+    n = F.col("n")
+    value = {c: F.coalesce(F.col(c), medians[c]) for c in MEASURES}
+    means = counted.agg(
+        *[F.try_divide(F.sum(v * n), F.sum(F.when(v.isNotNull(), n)).cast("double")).alias(c) for c, v in value.items()]
+    )
     return means.withColumn("final_score", _weighted({c: F.col(c) for c in MEASURES}))
 
 

@@ -27,13 +27,13 @@ te AS (SELECT * FROM ev WHERE is_test)
 
 
 def evaluation_frame(spark, sf):
-    """Truth (0..1), robustly scaled prediction, split, all stored; labels on top."""
+    """Truth (0..1), robustly scaled prediction, split and labels: projections of one stored frame."""
     wide = P.wide_customers(spark, sf, "customer_id", *K.FEATURES, "risk_score")
     raw = materialise(wide.withColumn("raw_score", linear_model(wide)))
     scaled = robust_scale(raw, "raw_score", "predicted").select(
         "customer_id", (F.col("risk_score") / dbl(100.0)).alias("truth"), "predicted"
     )
-    return E.with_labels(materialise(E.with_split(scaled)), "truth", "predicted")
+    return E.with_labels(E.with_split(scaled), "truth", "predicted")
 
 
 def holdout(spark, sf):
@@ -180,7 +180,7 @@ def model_predict(spark, sf):
 
 @query("forest_regression")
 def forest_regression(spark, sf):
-    rows = E.with_split(materialise(true_risk_score(_features(spark, sf))))
+    rows = E.with_split(true_risk_score(_features(spark, sf)))
     out = ML.forest_regression(rows.where(~F.col("is_test")), rows, "true_risk_score")
     return out.select("customer_id", "true_risk_score", "regression_score", "is_test")
 

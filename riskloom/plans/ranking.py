@@ -82,7 +82,7 @@ def scan_raw_events(spark, sf):
     WIDE + SCALED_CTE + f"""SELECT customer_id, {r(f'(rank() OVER (ORDER BY predicted) + (count(*) OVER (PARTITION BY predicted) - 1) / {d(2)}) / (SELECT count(predicted) FROM sc)', 9)} AS risk_percentile FROM sc""",
 )
 def risk_percentile(spark, sf):
-    scored = materialise(_scaled(spark, sf).select("customer_id", "predicted_risk_score"))
+    scored = _scaled(spark, sf).select("customer_id", "predicted_risk_score")
     out = with_percent_rank(scored, "predicted_risk_score", "risk_percentile")
     return out.select("customer_id", round_up(F.col("risk_percentile"), 9).alias("risk_percentile"))
 
@@ -99,7 +99,7 @@ def income_percentile(spark, sf):
 
 @query("calibration_bin", WIDE + SCALED_CTE + f"SELECT customer_id, {bin_sql('predicted', 'sc')} AS calibration_bin FROM sc")
 def calibration_bin_query(spark, sf):
-    scored = materialise(_scaled(spark, sf).select("customer_id", "predicted_risk_score"))
+    scored = _scaled(spark, sf).select("customer_id", "predicted_risk_score")
     return calibration_bin(scored, "predicted_risk_score", 5, "calibration_bin").select("customer_id", "calibration_bin")
 
 
@@ -110,7 +110,7 @@ def calibration_bin_query(spark, sf):
     ) + " FROM sc",
 )
 def group_bias_query(spark, sf):
-    scored = materialise(_scaled(spark, sf))
+    scored = _scaled(spark, sf)
     biases = median_split_bias(scored, "predicted_risk_score", K.FEATURES)
     mean = scored.agg(F.avg("predicted_risk_score")).scalar()
     return scored.select(
@@ -125,7 +125,7 @@ def group_bias_query(spark, sf):
     WIDE + SCALED_CTE + f"""SELECT customer_id, {r(f'predicted - avg(predicted) OVER (PARTITION BY round_even({INC} * {d(10)}, 0), round_even({PAY} * {d(10)}, 0))', 9)} AS intersectional_bias FROM sc""",
 )
 def intersectional_bias_query(spark, sf):
-    scored = materialise(_scaled(spark, sf))
+    scored = _scaled(spark, sf)
     out = intersectional_bias(scored, "predicted_risk_score", [INC, PAY])
     return out.select("customer_id", round_up(F.col("intersectional_bias"), 9).alias("intersectional_bias"))
 

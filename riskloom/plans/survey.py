@@ -10,7 +10,6 @@ from riskloom.operators import survey as Q
 from riskloom.plans.registry import query
 from riskloom.plans.sqltext import SURVEY, d, r, with_
 from riskloom.sources import proxies as P
-from riskloom.sources.store import materialise
 
 _RATING = f"TRY_CAST(trim(rating) AS DOUBLE) * {d(2)}"
 _UNDER = f"CASE understood WHEN 'evet' THEN {d(10)} WHEN 'kismen' THEN {d(7)} WHEN 'hayir' THEN {d(3)}"
@@ -92,8 +91,7 @@ al AS (SELECT {', '.join(_NUM)} FROM fo UNION ALL SELECT {', '.join(_NUM)} FROM
 SELECT {', '.join(f'{r(e, 6)} AS {c}' for c, e in _FILL.items())}, {r(_FINAL.format(**_FILL), 6)} AS final_score FROM al""",
 )
 def combined_metrics(spark, sf):
-    form = materialise(Q.form_scores(P.form_answers(spark, sf)))
-    return _six(Q.combined_metrics(form, materialise(terminal(spark, sf))))
+    return _six(Q.combined_metrics(Q.form_scores(P.form_answers(spark, sf)), terminal(spark, sf)))
 
 
 @query(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
-from riskloom.functions.numeric import clip, dbl, inf_to_null, normal, null_to_zero, round_up, uniform, zero_to_null
+from riskloom.functions.numeric import clip, dbl, inf_to_null, normal, round_up, uniform, zero_to_null
 from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.scalars import constants
 
@@ -201,8 +203,6 @@ def generate_customers(keys: DataFrame, key: str = "customer_id", seed: int = 42
 
 def poisson(u: Column, rate: float, terms: int = 12) -> Column:
     """Poisson draw from a uniform one: how many cumulative probabilities lie at or below it."""
-    import math
-
     edges, total = [], 0.0
     for k in range(terms):
         total += math.exp(-rate) * rate**k / math.factorial(k)
@@ -211,7 +211,3 @@ def poisson(u: Column, rate: float, terms: int = 12) -> Column:
     for e in edges:
         count = count + F.when(u >= dbl(e), 1).otherwise(0)
     return count
-
-
-def null_features_to_zero(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: null_to_zero(inf_to_null(F.col(c))) for c in columns})

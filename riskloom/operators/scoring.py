@@ -20,6 +20,9 @@ from riskloom.sources.store import materialise
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
 
+# Most rows of a frame of two keys and a number that is broadcast (about 50 MB).
+BROADCAST_ROWS = 1_200_000
+
 
 def behaviour_score(unit: bool = False) -> Column:
     """Weighted feature score, 0..100 or (``unit``) 0..1; higher is better."""
@@ -321,15 +324,16 @@ def median_split_bias(df: DataFrame, score: str, columns: list[str]) -> dict[str
 def intersectional_bias(df: DataFrame, score: str, columns: list[str], out: str = "intersectional_bias") -> DataFrame:
     """Score minus the mean of the rows that agree in all columns to one digit.
 
-    The columns are 0..100 scores, so one digit leaves at most 1,001 values and NULL
-    each, about a million pairs for two columns: the means have a fixed bound and are
-    broadcast, and the rows stay where they are however hot a pair is.
+    Two 0..100 scores leave about a million pairs of digits. The means are written and
+    counted: within the limit they are broadcast and the rows stay where they are,
+    however hot a pair is; beyond it the join is left to Spark.
     """
     keys = {f"_k{i}": round_even(F.col(c), 1) for i, c in enumerate(columns)}
     keyed = df.withColumns(keys)
     means = keyed.groupBy(*keys).agg(F.avg(score).alias("_mean")).withColumnsRenamed({k: f"{k}_m" for k in keys})
+    means = materialise(means, "group-means")
     match = [F.col(k).eqNullSafe(F.col(f"{k}_m")) for k in keys]
-    means = F.broadcast(means) if len(columns) <= 2 else means
+    means = F.broadcast(means) if means.count() <= BROADCAST_ROWS else means
     return keyed.join(means, match, "left").select(*df.columns, (F.col(score) - F.col("_mean")).alias(out))
 
 

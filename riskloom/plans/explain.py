@@ -27,7 +27,6 @@ def contribution_sql(c: str) -> str:
 
 CONTRIB_CTE = f", cb AS (SELECT *, {contribution_sql(PAY)} AS cp, {contribution_sql(INC)} AS ci, {contribution_sql(RES)} AS cr FROM ec)"
 FIRST_SQL = f"CASE WHEN cp >= ci AND cp >= cr THEN '{PAY}' WHEN ci >= cr THEN '{INC}' ELSE '{RES}' END"
-LAST_SQL = f"CASE WHEN cr <= ci AND cr <= cp THEN '{RES}' WHEN ci <= cp THEN '{INC}' ELSE '{PAY}' END"
 TEXT_SQL = f"CASE {FIRST_SQL} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.FACTOR_TEXT.items()) + " END"
 # Names from strongest to weakest, ties in feature order.
 RANKED_SQL = f"""(SELECT string_agg(n, '|' ORDER BY v DESC, o) FROM (VALUES ('{PAY}', cp, 0), ('{INC}', ci, 1), ('{RES}', cr, 2)) AS t(n, v, o))"""
@@ -207,7 +206,7 @@ def explain_factors(spark, sf):
     "explain_customer_json",
     with_(snapshot_cte("cur", P.NEW_WINDOW)) + """SELECT c_custkey AS customer_id,
   CASE WHEN cur.customer_id IS NULL THEN '{"error":"customer_not_found"}'
-  ELSE '{"customer_id":' || cur.customer_id || ',"risk_points":' || CAST(CAST(round(risk_score * 10000) AS BIGINT) AS VARCHAR) || ',"risk_band":"' || risk_band || '"}' END AS explanation
+  ELSE '{"customer_id":' || cur.customer_id || ',"risk_points":' || coalesce(CAST(CAST(round(risk_score * 10000) AS BIGINT) AS VARCHAR), 'null') || ',"risk_band":' || coalesce('"' || risk_band || '"', 'null') || '}' END AS explanation
 FROM customer LEFT JOIN cur ON cur.customer_id = c_custkey""",
 )
 def explain_customer_json(spark, sf):

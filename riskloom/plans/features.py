@@ -8,7 +8,7 @@ from riskloom import constants as K
 from riskloom.functions import numeric as N
 from riskloom.operators import features as feat
 from riskloom.plans.registry import query
-from riskloom.plans.sqltext import RESILIENCE, WIDE, SURVEY, clip, d, r, u, with_, z
+from riskloom.plans.sqltext import SURVEY, WIDE, clip, d, r, u, with_, z
 from riskloom.sources import proxies as P
 from riskloom.sources.store import materialise
 from riskloom.sources.tables import read

@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
-from riskloom.functions.numeric import dbl, round_up
 from riskloom.operators import joins as J
-from riskloom.operators import privacy
 from riskloom.operators.rules import rule_score
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import RUN_TS, RULE_SUM
-from riskloom.plans.sqltext import WIDE, registry_cte, snapshot_cte, wide_cte, with_
+from riskloom.plans.sqltext import registry_cte, snapshot_cte, wide_cte, with_
 from riskloom.sources import proxies as P
-from riskloom.sources.store import materialise
 from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES

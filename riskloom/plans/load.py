@@ -10,13 +10,12 @@ from riskloom.functions.numeric import dbl, round_up
 from riskloom.operators import load as L
 from riskloom.operators import setops as U
 from riskloom.operators.privacy import drop_empty_columns
-from riskloom.plans.joins import CUR, customers
+from riskloom.plans.joins import CUR
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import RUN_TS
-from riskloom.plans.sqltext import HISTORY, SURVEY, WIDE, d, r, snapshot_cte, wide_cte, with_
+from riskloom.plans.sqltext import HISTORY, SURVEY, WIDE, d, r, snapshot_cte, with_
 from riskloom.sources import proxies as P
 from riskloom.sources import store as S
-from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
 _FEATS = f"{PAY}, {INC}, {RES}"
@@ -253,6 +252,11 @@ def drop_empty_columns_query(spark, sf):
     return drop_empty_columns(rows)
 
 
+@query("scan_raw_events", "SELECT event_id, user_id AS customer_id, event_type, value AS event_value, ts AS event_time FROM events")
+def scan_raw_events(spark, sf):
+    return P.raw_events(spark, sf)
+
+
 @query("distinct_ids", "SELECT DISTINCT o_custkey AS customer_id FROM orders")
 def distinct_ids(spark, sf):
     return L.distinct_ids(P.prediction_history(spark, sf))

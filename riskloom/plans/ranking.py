@@ -69,11 +69,11 @@ def prediction_history_50(spark, sf):
 
 
 @query(
-    "scan_raw_events",
+    "latest_events",
     """SELECT event_id, user_id AS customer_id, event_type, value AS event_value, ts AS event_time, CAST(rn AS INTEGER) AS place
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 20""",
 )
-def scan_raw_events(spark, sf):
+def latest_events(spark, sf):
     return H.newest_per_customer(P.raw_events(spark, sf), "event_time", "event_id", 20)
 
 

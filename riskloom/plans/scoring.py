@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions.bands import band_api
-from riskloom.functions.numeric import clamp01, clip, dbl, round_up
+from riskloom.functions.numeric import clamp01, dbl, round_up
 from riskloom.operators import rules, scoring
 from riskloom.operators.explain import attribution_json, local_surrogate
-from riskloom.operators.quantiles import exact_quantiles
 from riskloom.plans.bands import BEHAVIOUR, band_sql, cut_sql
 from riskloom.plans.registry import query
-from riskloom.plans.sqltext import HISTORY, WIDE, clip as clip_sql, d, r, snapshot_cte, wide_cte, with_, z
+from riskloom.plans.sqltext import HISTORY, WIDE, clip as clip_sql, d, r, snapshot_cte, with_
 from riskloom.sources import proxies as P
 from riskloom.sources.store import append_results, materialise, scratch_path
 from riskloom.sources.tables import read

@@ -307,14 +307,14 @@ def local_surrogate(
 
 
 def attribution_json(surrogate: DataFrame) -> DataFrame:
-    """Surrogate impacts as one JSON text per customer, strongest first."""
+    """Surrogate impacts as one JSON text per customer, strongest first, four digits."""
     rows = F.array_sort(
         F.array(
             *[
                 F.struct(
                     (-F.abs(F.col(f"{c}_impact"))).alias("key"),
                     F.lit(c).alias("feature"),
-                    round_up(F.col(f"{c}_impact"), 4).alias("impact"),
+                    round_up(F.col(f"{c}_impact"), 4).cast("decimal(10,4)").alias("impact"),
                 )
                 for c in K.FEATURES
             ]

@@ -11,7 +11,9 @@ from riskloom.operators import explain as X
 from riskloom.operators import rules, scoring
 from riskloom.plans.bands import level_sql, unit_sql
 from riskloom.plans.registry import query
-from riskloom.plans.scoring import RESPONSE_CTE, RULE_NAMES, RULE_SUM, scoring_input, summary_sql, target_sql
+from riskloom.plans.scoring import (
+    PREDICTION_CTE, RESPONSE_CTE, RULE_NAMES, RULE_SUM, rounded_predictions, scoring_input, summary_sql, target_sql,
+)
 from riskloom.plans.sqltext import WIDE, d, r, snapshot_cte, with_, z
 from riskloom.sources import proxies as P
 from riskloom.sources.store import materialise
@@ -222,7 +224,8 @@ def explain_customer_json(spark, sf):
 LOCAL_SAMPLES = 16
 
 
-def _surrogate_sql() -> str:
+def _surrogate_ctes(samples: int) -> tuple[str, list[str]]:
+    """CTE text from the copies to the solved sums, and per feature the weight."""
     feats = list(K.FEATURES)
     key = "(customer_id || '/' || c)"
     n = ["n0", "n1", "n2"]
@@ -244,20 +247,28 @@ def _surrogate_sql() -> str:
     cols = [["a00", "a01", "a02"], ["a01", "a11", "a12"], ["a02", "a12", "a22"]]
     b = ["b0", "b1", "b2"]
     weights = [det(*[b if k == i else v for k, v in enumerate(cols)]) + f" / {det(*cols)}" for i in range(3)]
-    out = ", ".join(
-        f"{r(weights[i], 6)} AS {c}_weight, {r(f'({weights[i]}) * (at{i} - m{i}) / sd{i}', 6)} AS {c}_impact"
-        for i, c in enumerate(feats)
-    )
     width = 0.75 * 3.0**0.5
-    return WIDE + f""",
+    return f""",
 st AS (SELECT {', '.join(f'stddev_pop({c}) AS sd{i}, avg({c}) AS m{i}' for i, c in enumerate(feats))} FROM ec),
-cp AS (SELECT customer_id, {', '.join(feats)}, unnest(range(1, {LOCAL_SAMPLES + 1})) AS c FROM ec),
+cp AS (SELECT customer_id, {', '.join(feats)}, unnest(range(1, {samples + 1})) AS c FROM ec),
 nz AS (SELECT customer_id, {', '.join(feats)}, {', '.join(f'{z(key, i)} AS n{i}' for i in range(3))} FROM cp),
 yy AS (SELECT nz.customer_id, {', '.join(f'coalesce({c}, 0) AS at{i}' for i, c in enumerate(feats))}, n0, n1, n2, m0, m1, m2, sd0, sd1, sd2,
   {target_sql(*moved)} AS y, sqrt(exp(-(n0 * n0 + n1 * n1 + n2 * n2) / {d(width * width)})) AS w FROM nz CROSS JOIN st),
 su AS (SELECT customer_id, at0, at1, at2, m0, m1, m2, sd0, sd1, sd2, {', '.join(sums)} FROM yy GROUP BY ALL),
 eq AS (SELECT customer_id, at0, at1, at2, m0, m1, m2, sd0, sd1, sd2, {', '.join(cov + rhs)} FROM su)
-SELECT customer_id, {out} FROM eq"""
+""", weights
+
+
+def _impact_sql(weight: str, i: int) -> str:
+    return f"({weight}) * (at{i} - m{i}) / sd{i}"
+
+
+def _surrogate_sql() -> str:
+    ctes, weights = _surrogate_ctes(LOCAL_SAMPLES)
+    out = ", ".join(
+        f"{r(w, 6)} AS {c}_weight, {r(_impact_sql(w, i), 6)} AS {c}_impact" for i, (c, w) in enumerate(zip(K.FEATURES, weights))
+    )
+    return WIDE + ctes + f"SELECT customer_id, {out} FROM eq"
 
 
 @query("local_surrogate", _surrogate_sql())
@@ -267,6 +278,23 @@ def local_surrogate(spark, sf):
     return out.select("customer_id", *[round_up(F.col(c), 6).alias(c) for c in out.columns if c != "customer_id"])
 
 
+def _explained_sql() -> str:
+    ctes, weights = _surrogate_ctes(LOCAL_SAMPLES)
+    impacts = ", ".join(f"{_impact_sql(w, i)} AS x{i}" for i, w in enumerate(weights))
+    number = f"CAST(CAST({r('v', 4)} AS DECIMAL(10,4)) AS VARCHAR)"
+    values = ", ".join(f"('{c}', x{i})" for i, c in enumerate(K.FEATURES))
+    return PREDICTION_CTE + ctes + f""", im AS (SELECT customer_id, {impacts} FROM eq)
+SELECT pt.*, (SELECT '[' || string_agg('{{"feature":"' || n || '","impact":' || {number} || '}}', ',' ORDER BY abs(v) DESC, n) || ']'
+  FROM (VALUES {values}) AS t(n, v)) AS lime_explanation FROM pt JOIN im ON im.customer_id = pt.customer_id"""
+
+
+@query("prediction_table_explained", _explained_sql())
+def prediction_table_explained(spark, sf):
+    features = materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES))
+    surrogate = X.attribution_json(X.local_surrogate(features, scoring.linear_model, samples=LOCAL_SAMPLES))
+    return rounded_predictions(scoring.prediction_table(features, attributions=surrogate))
+
+
 def _narrative_sql() -> str:
     rr, c, t = unit_sql(RES), "model_confidence", [x.replace("'", "''") for x in K.NARRATIVE]
     return (

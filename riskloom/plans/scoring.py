@@ -8,7 +8,6 @@ from riskloom import constants as K
 from riskloom.functions.bands import band_api
 from riskloom.functions.numeric import clamp01, dbl, round_up
 from riskloom.operators import rules, scoring
-from riskloom.operators.explain import attribution_json, local_surrogate
 from riskloom.plans.bands import BEHAVIOUR, band_sql, cut_sql
 from riskloom.plans.registry import query
 from riskloom.plans.sqltext import HISTORY, WIDE, clip as clip_sql, d, r, snapshot_cte, with_
@@ -358,20 +357,20 @@ def bin_sql(x: str, table: str, n: int = 5) -> str:
     ) + ")"
 
 
-PREDICTION_SQL = WIDE + SCALED_CTE + f""",
+PREDICTION_CTE = WIDE + SCALED_CTE + f""",
 lim AS (SELECT customer_id, {PAY}, {INC}, {RES}, predicted, raw_score,
   rank() OVER (ORDER BY predicted) + (count(*) OVER (PARTITION BY predicted) - 1) / {d(2)} AS rk,
   avg(predicted) OVER (PARTITION BY {_bias_group(PAY)}) AS mp, avg(predicted) OVER (PARTITION BY {_bias_group(INC)}) AS mi,
   avg(predicted) OVER (PARTITION BY {_bias_group(RES)}) AS mr,
   avg(predicted) OVER (PARTITION BY round_even({INC} * {d(10)}, 0), round_even({PAY} * {d(10)}, 0)) AS mx,
-  {bin_sql('predicted', 'sc')} AS calibration_bin FROM sc)
-SELECT customer_id, {INC}, {PAY}, {RES}, {r('predicted', 9)} AS predicted_risk_score, {cut_sql('predicted')} AS predicted_band,
+  {bin_sql('predicted', 'sc')} AS calibration_bin FROM sc),
+pt AS (SELECT customer_id, {INC}, {PAY}, {RES}, {r('predicted', 9)} AS predicted_risk_score, {cut_sql('predicted')} AS predicted_band,
   {r('predicted - (SELECT avg(predicted) FROM sc)', 9)} AS bias_delta,
   {r(f'{d(1)} - abs(predicted - (SELECT avg(predicted) FROM sc))', 9)} AS model_confidence,
   {r('predicted - mp', 9)} AS {PAY}_bias, {r('predicted - mi', 9)} AS {INC}_bias, {r('predicted - mr', 9)} AS {RES}_bias,
   {r('predicted - mx', 9)} AS intersectional_bias, calibration_bin, {r('rk / (SELECT count(predicted) FROM sc)', 9)} AS risk_percentile,
   '{K.PREDICTION_MODEL_HASH}' AS model_hash, '{K.PREDICTION_MODEL_VERSION}' AS model_version,
-  {r('(SELECT avg(raw_score) FROM raw)', 9)} AS base_value FROM lim"""
+  {r('(SELECT avg(raw_score) FROM raw)', 9)} AS base_value FROM lim)"""
 
 
 def rounded_predictions(table):
@@ -382,19 +381,12 @@ def rounded_predictions(table):
     return table.withColumns({c: round_up(F.col(c), 9) for c in digits})
 
 
-@query("prediction_table", PREDICTION_SQL)
+@query("prediction_table", PREDICTION_CTE + " SELECT * FROM pt")
 def prediction_table(spark, sf):
     features = P.wide_customers(spark, sf, "customer_id", *K.FEATURES)
     return rounded_predictions(scoring.prediction_table(features))
 
 
-@query("prediction_table_explained")
-def prediction_table_explained(spark, sf):
-    features = materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES))
-    surrogate = attribution_json(local_surrogate(features, scoring.linear_model))
-    return scoring.prediction_table(features, attributions=surrogate)
-
-
 @query(
     "save_scored",
     WIDE + RESPONSE_CTE + f"""SELECT customer_id, ml_score AS risk_score, original_band, {band_sql('ml_score')} AS predicted_band, 'v2.0' AS model_version,

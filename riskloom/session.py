@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "riskloom", shuffle_partitions: int = 8) -> SparkSession:
-    return (
+def local_session(
+    cores: int | str = "*", app: str = "riskloom", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -18,5 +20,7 @@ def local_session(cores: int | str = "*", app: str = "riskloom", shuffle_partiti
         # Call sites of column expressions are for notebooks; recording them slows plan building.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    return builder.getOrCreate()

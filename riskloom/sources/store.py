@@ -2,31 +2,54 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Paths handed out inside the innermost open ``scratch_scope``; None outside of any.
+_written: ContextVar[list[str] | None] = ContextVar("riskloom_scratch", default=None)
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where
-    driver and executors are one process, may fall back to a folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. A local session without that
+    setting uses a folder in its warehouse; on a cluster the missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_riskloom_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if (held := _written.get()) is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving whatever the library wrote below the shared folder inside the block.
+
+    Results built inside must be written or collected before the block ends.
+    """
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        for path in _written.get() or []:
+            target, fs = _hadoop(spark, path)
+            fs.delete(target, True)
+        _written.reset(token)
 
 
 def materialise(df: DataFrame, name: str = "frame") -> DataFrame:
@@ -112,6 +135,11 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType) -> Dat
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the file system of the path."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    target, fs = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and the file system it belongs to."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -37,3 +37,19 @@ def test_append_creates_then_extends(spark):
     S.write_replace(spark.range(1), path)
     assert spark.read.parquet(path).count() == 1
     assert S.path_exists(spark, path) and not S.path_exists(spark, path + "-absent")
+
+
+def test_a_scope_removes_what_was_written_inside(spark):
+    with S.scratch_scope(spark):
+        S.materialise(spark.range(5)).count()
+        inside = S.scratch_path(spark, "left")
+        S.write_replace(spark.range(1), inside)
+    outside = S.scratch_path(spark, "kept")
+    S.write_replace(spark.range(1), outside)
+    assert not S.path_exists(spark, inside) and S.path_exists(spark, outside)
+
+
+def test_a_local_session_without_a_setting_writes_into_its_warehouse():
+    local = session(None, None, "local[4]")
+    local.conf.get = lambda key, default=None: "file:/w/house/" if key == "spark.sql.warehouse.dir" else default
+    assert S.shared_root(local) == "file:/w/house/_riskloom_scratch"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import simhash
+from riskloom.llm import decontaminate, simhash
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +30,33 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_NORMAL_WORDS = (
+    rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_NORMAL_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_NORMAL_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+p AS (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS pos FROM i WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[pos:pos + least(len(w), 10) - 1], ' ') AS s FROM p),
+lens AS (SELECT DISTINCT n FROM win),
+dp AS (SELECT r, n, w, unnest(range(1, greatest(len(w) - n + 2, 1))) AS pos FROM d, lens),
+occ AS (SELECT DISTINCT r, dp.n, pos, item FROM dp JOIN win ON dp.n = win.n AND array_to_string(w[pos:pos + dp.n - 1], ' ') = s),
+hit AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(pos, pos + n)) AS x FROM occ) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM occ) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
+
+@query("op6_benchmark_decontamination", DECONTAMINATION_SQL)
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.find_items(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id", "found.n_words", decontaminate.hit_words().alias("n_hit"), F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "found.items"), 256).alias("items_sha256"), (F.size("found.items") > 0).alias("contaminated"),
+    )

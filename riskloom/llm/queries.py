@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, simhash
+from riskloom.llm import decontaminate, pii, simhash
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "doc_id", "found.n_words", decontaminate.hit_words().alias("n_hit"), F.size("found.items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "found.items"), 256).alias("items_sha256"), (F.size("found.items") > 0).alias("contaminated"),
     )
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.col("pii.base")
+    counts = [F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii.spans")).alias("spans"))

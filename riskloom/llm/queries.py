@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, pii, simhash
+from riskloom.llm import decontaminate, pii, quality, simhash
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,15 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.col("pii.base")
     counts = [F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii.spans")).alias("spans"))
+
+
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    judged, _ = quality.apply_rules(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    n, repeated = F.col("measured.w.n_words"), F.col("measured.w.n_repeat_words")
+    failed = (n < 50) | (100 * repeated > 50 * n)
+    return judged.select(
+        "doc_id", n.alias("n_words"), "measured.word_chars", "measured.n_symbols", "measured.n_dup_lines", repeated.alias("n_repeat_words"),
+        failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"), "rule",
+    )

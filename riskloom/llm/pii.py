@@ -148,6 +148,11 @@ def in_order(spans: Column) -> Column:
     return F.transform(F.array_sort(ranked), lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end")))
 
 
+def is_kind(kind: str):
+    """A test of spans, for ``filter``."""
+    return lambda span: span.kind == kind
+
+
 def digest(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)))
 

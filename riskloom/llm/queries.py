@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, pii, quality, simhash
+from riskloom.llm import decontaminate, pii, quality, simhash, toxicity
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,7 +66,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(read(spark, sf_dir, "documents", "doc_id", "text"))
     base = F.col("pii.base")
-    counts = [F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.size(F.filter(base, pii.is_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii.spans")).alias("spans"))
 
 
@@ -80,3 +80,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", n.alias("n_words"), "measured.word_chars", "measured.n_symbols", "measured.n_dup_lines", repeated.alias("n_repeat_words"),
         failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"), "rule",
     )
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    scored = docs.select("doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), toxicity.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

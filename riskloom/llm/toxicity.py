@@ -1,12 +1,13 @@
-"""Toxicity by two Kneser-Ney bigram models, of toxic and of ordinary texts, over shared backoff counts.
+"""Toxicity by two Kneser-Ney models, of toxic and of ordinary texts, over shared backoff counts.
 
-With discount 1, P(w | v) = (n(vw) - 1)+ / n(v) + N(v.) / n(v) * P(w), where N(v.) counts the words seen after v;
-P(w) = (N(.w) - D)+ / N(..) + D * types / N(..) * S(w), where N(.w) counts the words seen before w, so that
-copies of a text count once; and S(w), shared by both models, pools their N(.w). A word seen in neither
-model therefore says nothing about the class.
+Each model has three levels. With discount 1, P(w | v) = (n(vw) - 1)+ / n(v) + N(v.) / n(v) * P(w), where N(v.)
+counts the words seen after v. P(w) = (N(.w) - D)+ / N(..) + D * types / N(..) * Q(w), where N(.w) counts the words
+seen before w, so that copies of a text count once. Q(w), for rare words, spells the beginning of w: each character
+given those before it is interpolated, by the same rule over sums of N(.w), with the share that both classes together
+give it. What neither class has seen therefore says nothing about the class.
 
-The counts cover all labelled texts and live in tables of a fixed size: each word or word pair has one cell in each
-of two rows, and the smaller of its two cells is taken. Their broadcast is bounded by ``CELLS``, whatever the data.
+The counts cover all labelled texts and live in tables of a fixed size: each word, pair or beginning has one cell in
+each of two rows, and the smaller of its two cells is taken. Their broadcast is bounded by ``CELLS``, whatever the data.
 """
 
 from __future__ import annotations
@@ -27,9 +28,24 @@ TOKEN = re.compile(r"[^\W\d_]+")
 #: Cells per row of a count table; a power of two.
 CELLS = 1 << 19
 ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Tables by number: words before w, running words after v, distinct words after v, pairs seen twice or more.
-BEFORE, AFTER, KINDS_AFTER, PAIRS = range(4)
+#: Tables by number: words before w, running words after v, distinct words after v, pairs seen twice or more,
+#: sums of the first table over the words with a beginning, distinct next characters of a beginning.
+BEFORE, AFTER, KINDS_AFTER, PAIRS, BEGINNINGS, NEXT = range(6)
 WINDOW = 8
+#: Characters of a beginning, the mark for the end of a word included.
+SPELLED = 8
+END = "$"
+LETTERS = 64
+DISCOUNT = 0.75
+EVIDENCE = 7
+
+
+def tokens(text: str | None) -> list[str]:
+    return TOKEN.findall((text or "").lower())
+
+
+def word_hash(word: str) -> int:
+    return xxhash.xxh32_intdigest(word.encode("utf-8", "replace"))
 
 
 class Hasher:
@@ -44,10 +60,10 @@ class Hasher:
         if len(known) > self.most:
             known.clear()
         out = []
-        for word in TOKEN.findall((text or "").lower()):
+        for word in tokens(text):
             h = known.get(word)
             if h is None:
-                h = known[word] = xxhash.xxh32_intdigest(word.encode("utf-8", "replace"))
+                h = known[word] = word_hash(word)
             out.append(h)
         return np.array(out, np.uint64)
 
@@ -78,6 +94,20 @@ def _count_pairs(labelled: DataFrame) -> DataFrame:
     return labelled.select("text", "label").mapInPandas(count, "toxic byte, pair long, n long").groupBy("toxic", "pair").agg(F.sum("n").alias("n"))
 
 
+def _vocabulary(labelled: DataFrame) -> DataFrame:
+    """(spelling, word): the distinct words of the texts and their hashes."""
+
+    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known: set[str] = set()
+            for text in batch["text"]:
+                known.update(tokens(text))
+            found = sorted(known)
+            yield pd.DataFrame({"spelling": found, "word": np.array([word_hash(w) for w in found], np.int64)}).astype({"spelling": object})
+
+    return labelled.select("text").mapInPandas(spell, "spelling string, word long").distinct()
+
+
 def _cell_sums(rows: DataFrame, table: int, key: str, value: str) -> DataFrame:
     """(at, value): sums per cell; ``at`` numbers table, row, class and cell in one."""
 
@@ -105,17 +135,23 @@ class Model:
 
 
 def count_model(labelled: DataFrame) -> Model:
-    """Both models from rows (text, label); every row counts. The driver receives cell sums only, at most 16 * ``CELLS``."""
+    """Both models from rows (text, label); every row counts. The driver receives cell sums only, at most 24 * ``CELLS``."""
     pairs = materialise(_count_pairs(labelled), "toxicity_pairs")
     low, high = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("pair", 32)
     before = materialise(pairs.groupBy("toxic", low.alias("word")).agg(F.count("*").alias("kinds")), "toxicity_words")
     after = pairs.groupBy("toxic", high.alias("word")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
     after = materialise(after, "toxicity_contexts")
+    spelled = before.join(_vocabulary(labelled), "word").select("toxic", "kinds", F.concat("spelling", F.lit(END)).alias("s"))
+    starts = F.transform(F.sequence(F.lit(0), F.least(F.length("s"), F.lit(SPELLED))), lambda k: F.substring("s", F.lit(1), k))
+    beginnings = spelled.select("toxic", "kinds", F.explode(starts).alias("start")).groupBy("toxic", "start").agg(F.sum("kinds").alias("kinds"))
+    beginnings = materialise(beginnings, "toxicity_beginnings")
+    parents = beginnings.where("start <> ''").groupBy("toxic", F.expr("left(start, length(start) - 1)").alias("start")).agg(F.count("*").alias("kinds"))
+    hashed = [f.select("toxic", "kinds", F.xxhash64("start").alias("start")) for f in (beginnings, parents)]
     sums = [
         _cell_sums(before, BEFORE, "word", "kinds"), _cell_sums(after, AFTER, "word", "n"), _cell_sums(after, KINDS_AFTER, "word", "kinds"),
-        _cell_sums(pairs.where("n > 1"), PAIRS, "pair", "n"),
+        _cell_sums(pairs.where("n > 1"), PAIRS, "pair", "n"), _cell_sums(hashed[0], BEGINNINGS, "start", "kinds"), _cell_sums(hashed[1], NEXT, "start", "kinds"),
     ]
-    tables = np.zeros(16 * CELLS, np.float32)
+    tables = np.zeros(24 * CELLS, np.float32)
     for frame in sums:
         found = frame.toArrow()
         tables[found["at"].to_numpy()] = found["value"].to_numpy()
@@ -125,7 +161,7 @@ def count_model(labelled: DataFrame) -> Model:
     ).collect()}
     by_class = [stats.get(c) for c in (0, 1)]
     return Model(
-        tables.reshape(4, 2, 2, CELLS),
+        tables.reshape(6, 2, 2, CELLS),
         tuple(s.once / (s.once + 2 * s.twice) if s and s.once else 0.5 for s in by_class),
         tuple(float(s.total) if s else 0.0 for s in by_class), tuple(float(s.types) if s else 0.0 for s in by_class),
     )
@@ -137,21 +173,43 @@ def _look(model: Model, table: int, hashes: np.ndarray) -> np.ndarray:
     return np.minimum(model.tables[table, 0][:, one], model.tables[table, 1][:, two])
 
 
-def log_ratios(model: Model, words: np.ndarray) -> np.ndarray:
+def word_chances(model: Model, words: list[str]) -> np.ndarray:
+    """P(w) [class, word] of both models."""
+    hashes = np.array([word_hash(w) for w in words], np.uint64)
+    before = _look(model, BEFORE, hashes)
+    size = np.array([min(len(w) + 1, SPELLED) for w in words])
+    last = np.cumsum(size + 1) - 1  # where the longest beginning of each word stands in the flat list
+    flat = np.array([xxhash.xxh64_intdigest((w + END)[:k].encode("utf-8", "replace"), 42) for w in words for k in range(min(len(w) + 1, SPELLED) + 1)], np.uint64)
+    seen, following = _look(model, BEGINNINGS, flat), _look(model, NEXT, flat)
+    inner = np.ones(len(flat), bool)
+    inner[last] = False
+    at = np.flatnonzero(inner)  # every beginning but the longest; the next in the list is one character longer
+    pooled = (seen[:, at + 1].sum(0) + 0.5) / (seen[:, at].sum(0) + 0.5 * LETTERS)
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    rest = np.minimum(1, (before.sum(0) + 0.5) / (seen[:, last].sum(0) + 0.5))
+    out = np.empty((2, len(words)))
+    for c in (0, 1):
+        n = np.maximum(seen[c, at], 1)
+        q = np.where(
+            seen[c, at] > 0, np.maximum(np.minimum(seen[c, at + 1], n) - DISCOUNT, 0) / n + DISCOUNT * np.clip(following[c, at], 1, n) / n * pooled, pooled
+        )
+        spelled = np.exp(np.add.reduceat(np.log(q), first)) * rest
+        if model.total[c]:
+            d, n = model.discount[c], model.total[c]
+            spelled = np.maximum(before[c] - d, 0) / n + d * model.types[c] / n * spelled
+        out[c] = spelled
+    return out
+
+
+def log_ratios(model: Model, hashes: np.ndarray, chances: np.ndarray) -> np.ndarray:
     """log P(w | v, toxic) - log P(w | v, ordinary) of every word of a text; the first word has no context."""
-    if not len(words):
+    if not len(hashes):
         return np.zeros(0)
-    before = _look(model, BEFORE, words)
-    pooled = (before.sum(0) + 0.5) / (sum(model.total) + 0.5 * (sum(model.types) + 1))
-    after, kinds = _look(model, AFTER, words[:-1]), _look(model, KINDS_AFTER, words[:-1])
-    pairs = _look(model, PAIRS, pair_hash(words[:-1], words[1:]))
+    after, kinds = _look(model, AFTER, hashes[:-1]), _look(model, KINDS_AFTER, hashes[:-1])
+    pairs = _look(model, PAIRS, pair_hash(hashes[:-1], hashes[1:]))
     logs = []
     for c in (0, 1):
-        p = pooled
-        if model.total[c]:
-            d, n = model.discount[c], model.total[c]
-            p = np.maximum(before[c] - d, 0) / n + d * model.types[c] / n * pooled
-        n = np.maximum(after[c], 1)
+        p, n = chances[c], np.maximum(after[c], 1)
         seen = after[c] > 0
         back = np.where(seen, np.clip(kinds[c] / n, 1e-3, 1), 1)
         q = p.copy()
@@ -160,26 +218,54 @@ def log_ratios(model: Model, words: np.ndarray) -> np.ndarray:
     return logs[1] - logs[0]
 
 
-def evidence(model: Model, words: np.ndarray) -> list[float]:
-    """Length-normalised log-likelihood ratios of the whole text, of its best window, and of its 1 and 3 best words."""
-    r = log_ratios(model, words)
+def evidence(r: np.ndarray) -> list[float]:
+    """Log-likelihood ratios per word: of the whole text, of its best window, of its best, second and third best word, of its 8 best; and the log of the length."""
     if not len(r):
-        return [0.0] * 5
+        return [0.0] * EVIDENCE
     width = min(WINDOW, len(r))
     sums = np.concatenate([[0.0], np.cumsum(r)])
-    top = np.sort(np.partition(r, -3)[-3:]) if len(r) > 3 else np.sort(r)
-    return [float(r.mean()), float((sums[width:] - sums[:-width]).max() / width), float(top[-1]), float(top.sum() / 3), float(np.log(len(r)))]
+    top = np.sort(np.partition(r, -8)[-8:]) if len(r) > 8 else np.concatenate([np.zeros(8 - len(r)), np.sort(r)])
+    best = float((sums[width:] - sums[:-width]).max() / width)
+    return [float(r.mean()), best, float(top[-1]), float(top[-2]), float(top[-3]), float(top.mean()), float(np.log(len(r)))]
+
+
+class Reader:
+    """Evidence of texts; remembers the hash and the chances of words it has met, a bounded number."""
+
+    def __init__(self, model: Model, most: int = 300_000):
+        self.model, self.most = model, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.hashes, self.chances = np.zeros(0, np.uint64), np.zeros((2, 0))
+
+    def __call__(self, texts) -> list[list[float]]:
+        if len(self.known) > self.most:
+            self.clear()
+        known, numbers, new = self.known, [], []
+        for text in texts:
+            words = tokens(text)
+            for w in words:
+                if w not in known:
+                    known[w] = len(known)
+                    new.append(w)
+            numbers.append(np.array([known[w] for w in words], np.int64))
+        if new:
+            self.hashes = np.concatenate([self.hashes, np.array([word_hash(w) for w in new], np.uint64)])
+            self.chances = np.concatenate([self.chances, word_chances(self.model, new)], axis=1)
+        return [evidence(log_ratios(self.model, self.hashes[at], self.chances[:, at])) for at in numbers]
 
 
 def calibrate(model: Model, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> Model:
     """Fit a logistic curve over the evidence by Newton steps; without rows of both classes the score is the smoothed share of toxic rows."""
-    x = x.reshape(-1, 5)
-    model.shift = x.mean(0) if len(x) else np.zeros(5)
-    model.scale = np.maximum(x.std(0), 1e-9) if len(x) else np.ones(5)
-    w = np.zeros(6)
+    x = x.reshape(-1, EVIDENCE)
+    model.shift = x.mean(0) if len(x) else np.zeros(EVIDENCE)
+    model.scale = np.maximum(x.std(0), 1e-9) if len(x) else np.ones(EVIDENCE)
+    w = np.zeros(EVIDENCE + 1)
     if 0 < y.sum() < len(y):
         z = np.column_stack([np.ones(len(x)), (x - model.shift) / model.scale])
-        penalty = np.diag([1e-6] + [ridge] * 5)
+        penalty = np.diag([1e-6] + [ridge] * EVIDENCE)
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
             w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + penalty, z.T @ (y - p) - penalty @ w)
@@ -192,17 +278,19 @@ def calibrate(model: Model, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, st
 def _score_udf(model):
     """(evidence, score) of each text, from a broadcast model."""
 
+    @F.pandas_udf("evidence array<double>, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, words = model.value, Hasher()
+        m = model.value
+        read = Reader(m)
         for texts in batches:
-            found = np.array([evidence(m, words(t)) for t in texts], np.float64).reshape(-1, 5)
+            found = np.array([e for at in range(0, len(texts), 500) for e in read(texts.iloc[at : at + 500])], np.float64).reshape(-1, EVIDENCE)
             p = np.full(len(found), np.nan)
             if m.weights is not None:
                 z = m.weights[0] + ((found - m.shift) / m.scale) @ m.weights[1:]
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pd.DataFrame({"evidence": list(found), "score": p})
 
-    return F.pandas_udf(score, "evidence array<double>, score double", F.PandasUDFType.SCALAR_ITER)
+    return score
 
 
 def labelled_texts(df: DataFrame, labels: DataFrame, broadcast_rows: int = 4_000_000) -> DataFrame:
@@ -219,7 +307,7 @@ def labelled_texts(df: DataFrame, labels: DataFrame, broadcast_rows: int = 4_000
 def fit(labelled: DataFrame, calibration_rows: int = 50_000) -> Model:
     """Models from the rows (text, label) with part 0, calibrated on those with part 1.
 
-    All rows of part 0 are counted. The logistic curve over five numbers is fitted to at most
+    All rows of part 0 are counted. The logistic curve over seven numbers is fitted to at most
     ``calibration_rows`` rows of part 1, those with the smallest text hash; this bound is the only sample.
     """
     model = count_model(labelled.where("part = 0"))

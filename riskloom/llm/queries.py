@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, pii, quality, simhash, toxicity
+from riskloom.llm import decontaminate, pii, quality, sharding, simhash, slots, toxicity
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
     scored = docs.select("doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), toxicity.score(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+SHARDS = 16
+
+
+@query("op2_sharding")
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    placed = sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS)
+    digests = placed.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"), "shard",
+        sharding.shard_of(F.col("doc_id"), [1.0] * (SHARDS + 1)).alias("grown_shard"),
+    )
+    return slots.with_slot(digests, "shard")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, pii, quality, sharding, simhash, slots, toxicity
+from riskloom.llm import decontaminate, packing, pii, quality, sharding, simhash, slots, toxicity
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,9 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         sharding.shard_of(F.col("doc_id"), [1.0] * (SHARDS + 1)).alias("grown_shard"),
     )
     return slots.with_slot(digests, "shard")
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed, _ = packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return packed

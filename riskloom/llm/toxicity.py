@@ -13,13 +13,15 @@ each of two rows, and the smaller of its two cells is taken. Their broadcast is
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.sources.store import materialise
@@ -125,13 +127,24 @@ def _cell_sums(rows: DataFrame, table: int, key: str, value: str) -> DataFrame:
 class Model:
     """Count tables indexed [table, row, class, cell], discounts and sizes by class, and the calibration."""
 
-    tables: np.ndarray
+    tables: np.ndarray | None
     discount: tuple[float, float]
     total: tuple[float, float]
     types: tuple[float, float]
     shift: np.ndarray | None = None
     scale: np.ndarray | None = None
     weights: np.ndarray | None = None
+    #: The tables as one compressed broadcast; calibrating a model sends nothing more.
+    shared: Broadcast | None = field(default=None, repr=False)
+
+    def share(self, spark: SparkSession) -> Model:
+        """The model without its tables in memory, for tasks."""
+        if self.shared is None:
+            self.shared = spark.sparkContext.broadcast(zlib.compress(self.tables.tobytes(), 1))
+        return replace(self, tables=None)
+
+    def unpacked(self) -> Model:
+        return replace(self, tables=np.frombuffer(zlib.decompress(self.shared.value), np.float32).reshape(6, 2, 2, CELLS))
 
 
 def count_model(labelled: DataFrame) -> Model:
@@ -275,12 +288,12 @@ def calibrate(model: Model, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, st
     return model
 
 
-def _score_udf(model):
-    """(evidence, score) of each text, from a broadcast model."""
+def _score_udf(model: Model):
+    """(evidence, score) of each text, from a shared model."""
 
     @F.pandas_udf("evidence array<double>, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = model.value
+        m = model.unpacked()
         read = Reader(m)
         for texts in batches:
             found = np.array([e for at in range(0, len(texts), 500) for e in read(texts.iloc[at : at + 500])], np.float64).reshape(-1, EVIDENCE)
@@ -311,9 +324,8 @@ def fit(labelled: DataFrame, calibration_rows: int = 50_000) -> Model:
     ``calibration_rows`` rows of part 1, those with the smallest text hash; this bound is the only sample.
     """
     model = count_model(labelled.where("part = 0"))
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
     held = labelled.where("part = 1").orderBy(F.xxhash64("text"), "label").limit(calibration_rows)
-    found = held.select("label", _score_udf(shared)(F.col("text")).alias("s")).select("label", "s.evidence").toArrow()
+    found = held.select("label", _score_udf(model.share(labelled.sparkSession))(F.col("text")).alias("s")).select("label", "s.evidence").toArrow()
     x = np.array(found["evidence"].to_pylist(), np.float64)
     return calibrate(model, x, np.array(found["label"].to_pylist(), np.float64))
 
@@ -334,5 +346,4 @@ def score(df: DataFrame, model: Model, text: str = "text") -> Column:
 
     Repeated rows score alike, other columns are not read, and a frame without rows stays empty.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    return _score_udf(shared)(F.col(text)).getField("score")
+    return _score_udf(model.share(df.sparkSession))(F.col(text)).getField("score")

@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,6 @@ from riskloom.sources.store import materialise
 TOKEN = re.compile(r"[^\W\d_]+")
 #: Cells per row of a count table; a power of two.
 CELLS = 1 << 19
-ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Tables by number: words before w, running words after v, distinct words after v, pairs seen twice or more,
 #: sums of the first table over the words with a beginning, distinct next characters of a beginning.
 BEFORE, AFTER, KINDS_AFTER, PAIRS, BEGINNINGS, NEXT = range(6)
@@ -50,6 +50,15 @@ def word_hash(word: str) -> int:
     return xxhash.xxh32_intdigest(word.encode("utf-8", "replace"))
 
 
+def beginning_hashes(word: str) -> list[int]:
+    """XXH64 of the beginnings of a word, from none of its characters on."""
+    marked = word + END
+    raw, longest = marked.encode("utf-8", "replace"), min(len(marked), SPELLED)
+    if len(raw) == len(marked):
+        return [xxhash.xxh64_intdigest(raw[:k], 42) for k in range(longest + 1)]
+    return [xxhash.xxh64_intdigest(marked[:k].encode("utf-8", "replace"), 42) for k in range(longest + 1)]
+
+
 class Hasher:
     """32-bit hashes of the words of a text; remembers words it has met, a bounded number."""
 
@@ -70,11 +79,24 @@ class Hasher:
         return np.array(out, np.uint64)
 
 
+def mix(values: np.ndarray) -> np.ndarray:
+    """What Spark's ``xxhash64`` makes of long values."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turn(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+    h = (np.uint64(42) + p5 + np.uint64(8)) ^ (turn(values * p2, 31) * p1)
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
 def cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of 64-bit hashes in the two rows."""
-    mixed = hashes * ODD
-    bits = np.uint64(CELLS.bit_length() - 1)
-    return (mixed >> np.uint64(64 - int(bits))).astype(np.int64), ((mixed ^ (hashes << np.uint64(17))) * ODD >> (np.uint64(64) - bits)).astype(np.int64)
+    """The cells of well-mixed 64-bit hashes in the two rows."""
+    mask = np.uint64(CELLS - 1)
+    return (hashes & mask).astype(np.int64), (hashes >> np.uint64(32) & mask).astype(np.int64)
 
 
 def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -110,17 +132,14 @@ def _vocabulary(labelled: DataFrame) -> DataFrame:
     return labelled.select("text").mapInPandas(spell, "spelling string, word long").distinct()
 
 
-def _cell_sums(rows: DataFrame, table: int, key: str, value: str) -> DataFrame:
-    """(at, value): sums per cell; ``at`` numbers table, row, class and cell in one."""
-
-    @F.pandas_udf("array<long>")
-    def places(keys: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack(cells(keys.to_numpy(np.int64).view(np.uint64)), axis=1)))
-
-    first, second = F.get("p", F.lit(0)), F.get("p", F.lit(1))
-    base = (table * 4 + F.col("toxic").cast("long")) * CELLS
-    each = rows.select("toxic", F.col(value).alias("value"), places(F.col(key)).alias("p"))
-    return each.select(F.explode(F.array(base + first, base + 2 * CELLS + second)).alias("at"), "value").groupBy("at").agg(F.sum("value").alias("value"))
+def _cell_sums(rows: DataFrame, hashed: Column, **values: int) -> DataFrame:
+    """(at, value): sums of columns per cell, for a table number of each; ``at`` numbers table, row, class and cell in one."""
+    first = hashed.bitwiseAND(F.lit(CELLS - 1))
+    second = F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(CELLS - 1)) + 2 * CELLS
+    each = rows.select(F.explode(F.array(first, second)).alias("cell"), (F.col("toxic").cast("long") * CELLS).alias("base"), *values)
+    sums = each.groupBy((F.col("cell") + F.col("base")).alias("cell")).agg(*[F.sum(c).alias(c) for c in values])
+    parts = F.array(*[F.struct((F.col("cell") + 4 * CELLS * t).alias("at"), F.col(c).alias("value")) for c, t in values.items()])
+    return sums.select(F.inline(parts))
 
 
 @dataclass
@@ -153,16 +172,15 @@ def count_model(labelled: DataFrame) -> Model:
     low, high = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("pair", 32)
     before = materialise(pairs.groupBy("toxic", low.alias("word")).agg(F.count("*").alias("kinds")), "toxicity_words")
     after = pairs.groupBy("toxic", high.alias("word")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
-    after = materialise(after, "toxicity_contexts")
     spelled = before.join(_vocabulary(labelled), "word").select("toxic", "kinds", F.concat("spelling", F.lit(END)).alias("s"))
     starts = F.transform(F.sequence(F.lit(0), F.least(F.length("s"), F.lit(SPELLED))), lambda k: F.substring("s", F.lit(1), k))
     beginnings = spelled.select("toxic", "kinds", F.explode(starts).alias("start")).groupBy("toxic", "start").agg(F.sum("kinds").alias("kinds"))
     beginnings = materialise(beginnings, "toxicity_beginnings")
     parents = beginnings.where("start <> ''").groupBy("toxic", F.expr("left(start, length(start) - 1)").alias("start")).agg(F.count("*").alias("kinds"))
-    hashed = [f.select("toxic", "kinds", F.xxhash64("start").alias("start")) for f in (beginnings, parents)]
     sums = [
-        _cell_sums(before, BEFORE, "word", "kinds"), _cell_sums(after, AFTER, "word", "n"), _cell_sums(after, KINDS_AFTER, "word", "kinds"),
-        _cell_sums(pairs.where("n > 1"), PAIRS, "pair", "n"), _cell_sums(hashed[0], BEGINNINGS, "start", "kinds"), _cell_sums(hashed[1], NEXT, "start", "kinds"),
+        _cell_sums(before, F.xxhash64("word"), kinds=BEFORE), _cell_sums(after, F.xxhash64("word"), n=AFTER, kinds=KINDS_AFTER),
+        _cell_sums(pairs.where("n > 1"), F.xxhash64("pair"), n=PAIRS),
+        _cell_sums(beginnings, F.xxhash64("start"), kinds=BEGINNINGS), _cell_sums(parents, F.xxhash64("start"), kinds=NEXT),
     ]
     tables = np.zeros(24 * CELLS, np.float32)
     for frame in sums:
@@ -188,11 +206,10 @@ def _look(model: Model, table: int, hashes: np.ndarray) -> np.ndarray:
 
 def word_chances(model: Model, words: list[str]) -> np.ndarray:
     """P(w) [class, word] of both models."""
-    hashes = np.array([word_hash(w) for w in words], np.uint64)
-    before = _look(model, BEFORE, hashes)
+    before = _look(model, BEFORE, mix(np.array([word_hash(w) for w in words], np.uint64)))
     size = np.array([min(len(w) + 1, SPELLED) for w in words])
     last = np.cumsum(size + 1) - 1  # where the longest beginning of each word stands in the flat list
-    flat = np.array([xxhash.xxh64_intdigest((w + END)[:k].encode("utf-8", "replace"), 42) for w in words for k in range(min(len(w) + 1, SPELLED) + 1)], np.uint64)
+    flat = np.array(list(chain.from_iterable(map(beginning_hashes, words))), np.uint64)
     seen, following = _look(model, BEGINNINGS, flat), _look(model, NEXT, flat)
     inner = np.ones(len(flat), bool)
     inner[last] = False
@@ -214,21 +231,28 @@ def word_chances(model: Model, words: list[str]) -> np.ndarray:
     return out
 
 
-def log_ratios(model: Model, hashes: np.ndarray, chances: np.ndarray) -> np.ndarray:
-    """log P(w | v, toxic) - log P(w | v, ordinary) of every word of a text; the first word has no context."""
+def context_weights(model: Model, hashes: np.ndarray) -> np.ndarray:
+    """n(v) and N(v.) / n(v) of words as contexts, [2 * class, 2 * class + 1, word]; 1 and 1 for words never seen before another."""
+    mixed = mix(hashes)
+    n, kinds = _look(model, AFTER, mixed), _look(model, KINDS_AFTER, mixed)
+    safe = np.maximum(n, 1)
+    back = np.where(n > 0, np.clip(kinds / safe, 1e-3, 1), 1)
+    return np.stack([safe[0], back[0], safe[1], back[1]])
+
+
+def log_ratios(model: Model, hashes: np.ndarray, chances: np.ndarray, contexts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """log P(w | v, toxic) - log P(w | v, ordinary) of every word of texts laid end to end; words at ``first`` begin a text and have no context."""
     if not len(hashes):
         return np.zeros(0)
-    after, kinds = _look(model, AFTER, hashes[:-1]), _look(model, KINDS_AFTER, hashes[:-1])
-    pairs = _look(model, PAIRS, pair_hash(hashes[:-1], hashes[1:]))
-    logs = []
+    pairs = np.maximum(_look(model, PAIRS, mix(pair_hash(hashes[:-1], hashes[1:]))) - 1, 0)
+    out = []
     for c in (0, 1):
-        p, n = chances[c], np.maximum(after[c], 1)
-        seen = after[c] > 0
-        back = np.where(seen, np.clip(kinds[c] / n, 1e-3, 1), 1)
-        q = p.copy()
-        q[1:] = np.where(seen, np.maximum(np.minimum(pairs[c], n) - 1, 0) / n, 0) + back * p[1:]
-        logs.append(np.log(q))
-    return logs[1] - logs[0]
+        n, back = contexts[2 * c, :-1], contexts[2 * c + 1, :-1]
+        q = chances[c].copy()
+        q[1:] = np.minimum(pairs[c], n) / n + back * q[1:]
+        q[first] = chances[c][first]
+        out.append(q)
+    return np.log(out[1] / out[0])
 
 
 def evidence(r: np.ndarray) -> list[float]:
@@ -243,7 +267,7 @@ def evidence(r: np.ndarray) -> list[float]:
 
 
 class Reader:
-    """Evidence of texts; remembers the hash and the chances of words it has met, a bounded number."""
+    """Evidence of texts; remembers the numbers of words it has met, a bounded number of them."""
 
     def __init__(self, model: Model, most: int = 300_000):
         self.model, self.most = model, most
@@ -251,23 +275,30 @@ class Reader:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.hashes, self.chances = np.zeros(0, np.uint64), np.zeros((2, 0))
+        self.hashes, self.chances, self.contexts = np.zeros(0, np.uint64), np.zeros((2, 0)), np.zeros((4, 0))
 
-    def __call__(self, texts) -> list[list[float]]:
+    def ratios(self, texts) -> list[np.ndarray]:
         if len(self.known) > self.most:
             self.clear()
-        known, numbers, new = self.known, [], []
+        known, flat, sizes = self.known, [], []
         for text in texts:
             words = tokens(text)
-            for w in words:
-                if w not in known:
-                    known[w] = len(known)
-                    new.append(w)
-            numbers.append(np.array([known[w] for w in words], np.int64))
-        if new:
-            self.hashes = np.concatenate([self.hashes, np.array([word_hash(w) for w in new], np.uint64)])
+            sizes.append(len(words))
+            flat += words
+        if new := list(dict.fromkeys(w for w in flat if w not in known)):
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            hashes = np.array([word_hash(w) for w in new], np.uint64)
+            self.hashes = np.concatenate([self.hashes, hashes])
             self.chances = np.concatenate([self.chances, word_chances(self.model, new)], axis=1)
-        return [evidence(log_ratios(self.model, self.hashes[at], self.chances[:, at])) for at in numbers]
+            self.contexts = np.concatenate([self.contexts, context_weights(self.model, hashes)], axis=1)
+        at = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        ends = np.cumsum(sizes)
+        first = (ends - sizes)[np.array(sizes) > 0]
+        r = log_ratios(self.model, self.hashes[at], self.chances[:, at], self.contexts[:, at], first)
+        return np.split(r, ends[:-1]) if sizes else []
+
+    def __call__(self, texts) -> list[list[float]]:
+        return [evidence(r) for r in self.ratios(texts)]
 
 
 def calibrate(model: Model, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> Model:

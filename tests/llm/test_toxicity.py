@@ -53,12 +53,10 @@ def plain_ratio(texts, sentence):
 
 def test_ratios_against_plain_counts(spark):
     model = T.count_model(spark.createDataFrame(TEXTS, "text string, label int"))
-    read = T.Reader(model)
     sentence = "you awful good unseen man"
-    read([sentence])
-    at = np.array([read.known[w] for w in T.tokens(sentence)])
-    got = T.log_ratios(model, read.hashes[at], read.chances[:, at])
+    others, got, last = T.Reader(model).ratios(["day", sentence, "you"])
     assert got == pytest.approx(plain_ratio(TEXTS, sentence), rel=1e-4)
+    assert list(others) + list(last) == pytest.approx(plain_ratio(TEXTS, "day") + plain_ratio(TEXTS, "you"), rel=1e-4)
 
 
 def corpus(n=700):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, packing, pii, quality, sharding, simhash, slots, toxicity
+from riskloom.llm import chat, decontaminate, packing, pii, quality, sharding, simhash, slots, toxicity, wrapper
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,9 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
     formatted = chat.format_conversations(turns.unionByName(probe))
     return formatted.select("conv_id", chat.digests(F.col("formatted"), F.col("loss")).alias("d")).select("conv_id", "d.*")
+
+
+@query("op9_html_extraction")
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = wrapper.main_text(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))

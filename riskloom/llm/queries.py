@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, packing, pii, quality, sharding, simhash, slots, toxicity, wrapper
+from riskloom.llm import chat, decontaminate, packing, pii, quality, sharding, simhash, slots, substrings, toxicity, wrapper
 from riskloom.sources.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,9 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = wrapper.main_text(read(spark, sf_dir, "pages", "page_id", "url", "html"))
     return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "substrings.n_words", "substrings.n_removed", "substrings.kept_sha256")

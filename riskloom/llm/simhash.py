@@ -228,3 +228,134 @@ def near_duplicates(
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = named.join(lowest, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return marked.join(classes, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
+
+
+# Similar texts, beyond the few bits that the exact join can afford
+
+SKETCH = 128
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """The ``SKETCH`` smallest different 32-bit hashes, sorted: the whole set of a text with no more."""
+    low = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+    return low[:SKETCH].tobytes()
+
+
+def sketched_similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sketched sets: exact for whole sets, else the shared part of the smallest hashes of their union."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    union = np.union1d(x, y)
+    if len(x) >= SKETCH or len(y) >= SKETCH:
+        # Beyond the last hash of a full sketch its set is not known.
+        known = min(s[-1] for s in (x, y) if len(s) >= SKETCH)
+        union = union[union <= known][:SKETCH]
+    if not len(union):
+        return 1.0
+    return float((np.isin(union, x, assume_unique=True) & np.isin(union, y, assume_unique=True)).sum()) / len(union)
+
+
+def _marks(texts: pd.Series, k: int) -> pd.DataFrame:
+    rows = []
+    for t in texts:
+        words = (t or "").encode("utf-8", "replace").lower().split()
+        rows.append((xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63), simhash(shingle_hashes(t, 3)), sketch(shingle_hashes(t, k))))
+    return pd.DataFrame(rows, columns=["node", "fp", "sketch"])
+
+
+def permutations(count: int) -> np.ndarray:
+    """Orders of the 64 bits, the same on every run."""
+    return np.argsort(np.random.default_rng(20).random((count, BITS)), axis=1)
+
+
+def permute(values: np.ndarray, order: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return np.packbits(bits[:, order], axis=1).reshape(-1).view(">u8").astype(np.uint64)
+
+
+def trie_neighbours(fingerprints: DataFrame, tries: int, near: int, budget: int, prefix: int = 12) -> DataFrame:
+    """Pairs (u, v) of fingerprints within the budget that are among each other's ``near`` next leaves in a trie over permuted bits.
+
+    Each trie holds all fingerprints with their bits in another order. The next leaves share the deepest nodes, that is the
+    longest beginnings, so the work is linear, and a dense group gives each member a few links instead of all its pairs.
+    """
+    orders = permutations(tries)
+    partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = batch["fp"].to_numpy(np.int64).view(np.uint64)
+            for trie, order in enumerate(orders):
+                turned = permute(values, order)
+                node = trie << prefix | (turned >> np.uint64(BITS - prefix)).astype(np.int64)
+                yield pd.DataFrame({"node": node, "leaf": (turned ^ np.uint64(1 << 63)).view(np.int64)})  # in unsigned order
+
+    def meet_next(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            node, leaf = batch["node"].to_numpy(np.int64), batch["leaf"].to_numpy(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+            for step in range(1, near + 1):
+                i = np.flatnonzero((node[step:] == node[:-step]) & (np.bitwise_count(leaf[step:] ^ leaf[:-step]) <= budget))
+                for trie in np.unique(node[i] >> prefix):
+                    own = i[node[i] >> prefix == trie]
+                    back = np.argsort(orders[trie])
+                    yield pd.DataFrame({"u": permute(leaf[own], back).view(np.int64), "v": permute(leaf[own + step], back).view(np.int64)})
+            held = batch.iloc[-near:]
+
+    rows = fingerprints.select("fp").mapInPandas(place, "node long, leaf long").repartition(partitions, "node").sortWithinPartitions("node", "leaf")
+    pairs = rows.mapInPandas(meet_next, "u long, v long").where("u <> v")
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def similar_classes(
+    df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, tries: int = 40, near: int = 3, budget: int = 13
+) -> DataFrame:
+    """(key, node, class) of every row: rows of one class are linked by texts whose ``k``-word shingle sets have that Jaccard similarity.
+
+    Candidates are fingerprints that the exact join links at 2 bits, and those that ``trie_neighbours`` finds within ``budget`` bits
+    (3-word shingles; at a similarity of 0.8 most pairs differ in 4 to 12 bits). Each candidate is then judged by its texts' sketches,
+    exactly up to ``SKETCH`` shingles and with a standard error of 0.035 beyond. Texts with equal words (A-Z in lower case) are one node.
+    Null texts and texts without words are one node; null keys stay; repeated rows come out as often as they came in.
+    """
+    marks = F.pandas_udf(lambda t: _marks(t, k), "node long, fp long, sketch binary")
+    rows = materialise(df.select(F.col(key).alias("key"), marks(F.col(text)).alias("m")).select("key", "m.*"), "similar_marks")
+    nodes = materialise(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "similar_nodes")
+    prints = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    pairs = hamming_links(prints, 2).unionByName(trie_neighbours(prints, tries, near, budget))
+    named = pairs.join(prints.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(prints.select(F.col("fp").alias("v"), F.col("first").alias("b")), "v")
+    same = nodes.join(prints, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    asked = named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(same).distinct()
+    seen = asked.join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
+    judge = F.pandas_udf(lambda x, y: pd.Series([sketched_similarity(p, q) for p, q in zip(x, y)], dtype="float64"), "double")
+    links = materialise(seen.where(judge("sa", "sb") >= similarity).select(F.col("a").alias("u"), F.col("b").alias("v")), "similar_links")
+    roots = components(links).withColumnRenamed("root", "class")
+    return rows.select("key", "node").join(roots, "node", "left").select(F.col("key").alias(key), "node", F.coalesce("class", "node").alias("class"))
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """One row of each class of ``similar_classes``: that with the smallest key, null keys last; columns as they came.
+
+    Rows that share key and words are repeats, of which any one stays.
+    """
+    classes = similar_classes(df, key, text, **how).select(F.col(key).alias("key"), "node", "class")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "node")
+    best = classes.groupBy("class").agg(F.min(order).alias("best"))
+    repeats = classes.groupBy("key", "node").agg(F.count("*").alias("copies"))
+    chosen = materialise(
+        best.select("best.key", "best.node").alias("c").join(repeats.alias("r"), F.col("c.key").eqNullSafe(F.col("r.key")) & (F.col("c.node") == F.col("r.node")))
+        .select(F.col("c.key").alias("chosen key"), F.col("c.node").alias("chosen node"), "copies"), "similar_chosen",
+    )
+    node = F.pandas_udf(lambda t: _nodes(t), "long")
+    found = df.withColumn("row node", node(F.col(text))).join(
+        chosen, F.col(key).eqNullSafe(F.col("chosen key")) & (F.col("row node") == F.col("chosen node"))
+    )
+    kept = found.where("copies = 1").select(*df.columns)
+    if chosen.where("copies > 1").isEmpty():
+        return kept
+    again = found.where("copies > 1").dropDuplicates(["chosen key", "chosen node"]).select(*df.columns)
+    return kept.unionByName(again)
+
+
+def _nodes(texts: pd.Series) -> pd.Series:
+    """The hash of each text's words, A-Z in lower case."""
+    return pd.Series([xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "replace").lower().split())) - (1 << 63) for t in texts], dtype="int64")

@@ -41,23 +41,19 @@ def escape_column(text: Column) -> Column:
 def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Doubling tables of rows (node, parent, score), and (node, depth, total, root) sums of scores from the root down.
 
-    A missing parent is null. Every round is one self-join on the nodes; it ends when no node has an ancestor that
-    far up. Nodes on a cycle, which has no root, would never end: a reach beyond the number of nodes is an error.
+    A missing parent is null. Every round is one self-join of the nodes that have an ancestor that far up; it ends when there is none. Nodes on a cycle, which has no root, would never end: a reach beyond the number of nodes is an error.
     """
     step = materialise(nodes.select("node", F.col("parent").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth")), "chat_step")
-    tables, size = [step.where("up is not null").select("node", "up")], step.count()
-    while not tables[-1].isEmpty():
-        if 2 ** (len(tables) - 1) > size:
+    size, tables, done = step.count(), [], step.where("up is null")
+    while not (step := step.where("up is not null")).isEmpty():
+        if 2 ** len(tables) > size:
             raise ValueError("the replies form a cycle")
-        far = step.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
-        step = materialise(
-            step.join(far, "up", "left").select(
-                "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            ), "chat_step",
-        )
-        tables.append(step.where("up is not null").select("node", "up"))
-    return tables, step.select("node", "depth", "total")
+        tables.append(step.select("node", "up"))
+        far = done.unionByName(step).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
+        joined = step.join(far, "up").select("node", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("depth") + F.col("depth2")).alias("depth"))
+        step = materialise(joined, "chat_step")
+        done = done.unionByName(step.where("up is null"))
+    return tables, done.select("node", "depth", "total")
 
 
 def best_paths(nodes: DataFrame, paths: int = 1) -> DataFrame:

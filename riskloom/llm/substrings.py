@@ -1,7 +1,7 @@
 """Exact substring duplicates: word sequences of a fixed length that stand anywhere else too.
 
 A window is ``width`` consecutive words. Its anchor is the smallest hash of the ``GRAM``-word sequences inside it, so equal
-windows have equal anchors. A text is cut into pieces, runs of windows with one anchor, and pieces are dealt by their
+windows have equal anchors. A text is cut into pieces, runs of up to ``RUN`` windows with one anchor, and pieces are dealt by their
 anchor: whatever repeats, repeats inside a shard. Each shard builds a compressed index over its different pieces
 and streams its pieces backward through it; ranges that occur again and hold a window are reported.
 
@@ -17,7 +17,8 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import fresh
@@ -25,6 +26,7 @@ from riskloom.llm.fmindex import FMIndex, repeated_ranges
 from riskloom.sources.store import materialise
 
 GRAM = 8
+RUN = 28
 #: Long texts are read in parts of so many windows; a place in one fits the low bits of ``PLACE``.
 PART = 1 << 20
 PLACE = (1 << 24) - 1
@@ -79,25 +81,32 @@ def _least(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (size - step)], values[size - step :]) if size > step else values
 
 
-def anchored_pieces(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, content hash, first window, windows) of the pieces of a text, from the hashes of its words.
+def anchored_pieces(h: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(anchor, content hash, first window, windows, several) of the pieces of a text, from the hashes of its words.
 
-    The anchor of a window is the leftmost of its sequences with the smallest hash; a piece is a run of windows whose anchor is at
-    one place. So two equal windows of one text are always in two pieces.
+    The anchor of a window is its smallest hash of a sequence; a piece is a run of at most ``RUN`` windows with one anchor. The fifth
+    array marks pieces where the anchor stands at several places, as only those can hold a window twice.
     """
     parts = [_pieces_of(h[at : at + PART + width - 1], at, width) for at in range(0, max(0, len(h) - width + 1), PART)]
-    empty = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    empty = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
     return tuple(np.concatenate(x) for x in zip(*parts)) if parts else empty
 
 
-def _pieces_of(h: np.ndarray, offset: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _pieces_of(h: np.ndarray, offset: int, width: int) -> tuple[np.ndarray, ...]:
     gram = min(GRAM, width)
     hashes = _rolled(h, gram)
-    # The low bits hold the place, so that the minimum is the leftmost one and tells where it is.
+    # The low bits hold the place, so that the minimum tells where it is.
     keyed = (hashes & ~np.uint64(PLACE)) | np.arange(len(hashes), dtype=np.uint64)
     place = (_least(keyed, width - gram + 1) & np.uint64(PLACE)).astype(np.int64)
-    first = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
+    anchors = hashes[place]
+    first = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
     length = np.diff(np.append(first, len(place)))
+    several = place[first] != place[first + length - 1]
+    if length.max() > RUN:
+        parts = -(-length // RUN)
+        inside = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        length = np.minimum(RUN, np.repeat(length, parts) - inside * RUN)
+        first, several = np.repeat(first, parts) + inside * RUN, np.repeat(several, parts)
     # The content of a piece from prefix sums of word hashes times powers of an odd number, brought to a common power.
     size = length + width - 1
     powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(h), BASE, np.uint64)]))
@@ -105,14 +114,14 @@ def _pieces_of(h: np.ndarray, offset: int, width: int) -> tuple[np.ndarray, np.n
     backs = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(h), inverse, np.uint64)]))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(h) * powers[:-1], dtype=np.uint64)])
     content = _mix((sums[first + size] - sums[first]) * backs[first] + size.astype(np.uint64))
-    return hashes[place[first]], content, first + offset, length
+    return anchors[first], content, first + offset, length, several
 
 
 PIECE = "anchor long, content long, start int, windows int"
 
 
 def _pieces(texts: DataFrame, width: int) -> DataFrame:
-    """Rows (id, anchor, content, start, windows) of all texts with at least one window."""
+    """Rows (id, size, anchor, content, start, windows, several) of all texts with at least one window."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHash()
@@ -124,13 +133,13 @@ def _pieces(texts: DataFrame, width: int) -> DataFrame:
                     if len(known) > 500_000:
                         known.clear()
                     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                    a, c, s, n = anchored_pieces(h, width)
-                    rows.append((np.full(len(a), key), np.full(len(a), size), a.view(np.int64), c.view(np.int64), s, n))
+                    a, c, s, n, several = anchored_pieces(h, width)
+                    rows.append((np.full(len(a), key), np.full(len(a), size), a.view(np.int64), c.view(np.int64), s, n, several))
             if rows:
                 columns = [np.concatenate(x) for x in zip(*rows)]
-                yield pd.DataFrame(dict(zip(("id", "size", "anchor", "content", "start", "windows"), columns)))
+                yield pd.DataFrame(dict(zip(("id", "size", "anchor", "content", "start", "windows", "several"), columns)))
 
-    return texts.mapInPandas(cut, f"id long, size int, {PIECE}")
+    return texts.mapInPandas(cut, f"id long, size int, {PIECE}, several boolean")
 
 
 def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -140,10 +149,10 @@ def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         given: set[tuple[int, int]] = set()  # copies give a piece once per task
         for batch in batches:
             anchors, contents, pieces = [], [], []
-            for text, wants in zip(batch["text"], batch["wants"]):
+            for data, wants in zip(batch["packed"], batch["wants"]):
                 wants = [w for w in wants if (w["anchor"], w["content"]) not in given]
                 given.update((w["anchor"], w["content"]) for w in wants)
-                words = split(text) if wants else []
+                words = expand(data) if wants else []
                 for w in wants:
                     anchors.append(w["anchor"])
                     contents.append(w["content"])
@@ -151,7 +160,8 @@ def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pd.DataFrame({"anchor": np.array(anchors, np.int64), "content": np.array(contents, np.int64), "words": pieces})
 
     lists = wanted.groupBy("id", "size").agg(F.collect_set(F.struct("anchor", "content", "start", "windows")).alias("wants"))
-    joined = texts.join(lists, ["id", "size"]).select("text", "wants")
+    packed = texts.select("id", "size", compressed(F.col("text")).alias("packed"))
+    joined = packed.join(lists, ["id", "size"]).select("packed", "wants")
     return joined.mapInPandas(cut, "anchor long, content long, words binary")
 
 
@@ -167,8 +177,8 @@ def search_shard(pieces: list[bytes], alone: np.ndarray, width: int) -> list[lis
         text[at : at + len(w)] = [numbers.setdefault(x, len(numbers) + 1) for x in w]
     out: list[list[tuple[int, int]]] = [[] if a else [(0, int(n))] for a, n in zip(alone, sizes)]
     asked = np.flatnonzero(alone)
-    if len(asked) and len(pieces) > 1:
-        index = FMIndex(text, 2 * width)
+    if len(asked):
+        index = FMIndex(text, RUN + width + 1)
         for part in repeated_ranges(index, text, starts[asked], ends[asked], width):
             for i, a, b in part.tolist():
                 at = int(asked[i])
@@ -234,8 +244,10 @@ def repeated_ranges_of(texts: DataFrame, width: int = 35, hot: int = 5000) -> Da
     """
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = materialise(_pieces(texts, width), "substring_pieces")
-    twice = pieces.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    met = materialise(pieces.join(twice, "anchor"), "substring_met")
+    places = F.sum(F.when(F.col("several"), 2).otherwise(1)).alias("n")
+    # Written, so that the join has two plain shuffles, of which Spark can split a crowded anchor.
+    twice = materialise(pieces.groupBy("anchor").agg(places).where("n > 1").select("anchor"), "substring_twice")
+    met = materialise(pieces.drop("several").join(twice, "anchor"), "substring_met")
     first = F.min(F.struct("id", "size", "start", "windows")).alias("first")
     distinct = materialise(met.groupBy("anchor", "content").agg(F.count("*").alias("copies"), first), "substring_distinct")
     words = _contents(texts, distinct.select("anchor", "content", "first.*"), width)
@@ -258,6 +270,21 @@ def repeated_ranges_of(texts: DataFrame, width: int = 35, hot: int = 5000) -> Da
     return each.groupBy("id", "size").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
+def _compressed(texts: pd.Series) -> pd.Series:
+    packer = zstandard.ZstdCompressor(level=1)
+    return pd.Series([None if t is None else packer.compress(t.encode("utf-8", "replace")) for t in texts], dtype=object)
+
+
+def compressed(text: Column) -> Column:
+    """The text as compressed bytes: shuffled texts take half the room."""
+    return F.pandas_udf(_compressed, "binary")(text)
+
+
+def expand(data: bytes | None) -> list[bytes]:
+    """The words of a compressed text."""
+    return zstandard.ZstdDecompressor().decompress(data).split() if data is not None else []
+
+
 def covered(ranges, n: int) -> np.ndarray:
     """Which of n words lie in ranges, given as starts and ends in turn."""
     marks = np.zeros(n + 1, np.int64)
@@ -268,10 +295,10 @@ def covered(ranges, n: int) -> np.ndarray:
     return np.cumsum(marks)[:n] > 0
 
 
-def _cut(texts: pd.Series, ranges: pd.Series, with_text: bool) -> pd.DataFrame:
+def _cut(packed: pd.Series, ranges: pd.Series, with_text: bool) -> pd.DataFrame:
     rows = []
-    for text, found in zip(texts, ranges):
-        words = split(text)
+    for data, found in zip(packed, ranges):
+        words = expand(data)
         gone = covered(found, len(words))
         kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if gone.any() else b" ".join(words)
         edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
@@ -290,10 +317,10 @@ def remove_repeats(df: DataFrame, text: str = "text", width: int = 35, name: str
     """
     if name.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {name} exists")
-    identity, length = fresh(df, "id", "size")
-    hashed = df.withColumn(identity, F.xxhash64(text)).withColumn(length, F.octet_length(text))
+    identity, length, packed = fresh(df, "id", "size", "packed")
+    hashed = df.withColumn(identity, F.xxhash64(text)).withColumn(length, F.octet_length(text)).withColumn(packed, compressed(F.col(text)))
     texts = df.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("id"), F.octet_length(text).alias("size"), F.col(text).alias("text"))
     found = repeated_ranges_of(texts, width, hot).select(F.col("id").alias(identity), F.col("size").alias(length), F.col("ranges").alias("found ranges"))
     kind = "n_words long, n_removed long, kept_sha256 string, removed array<int>, kept string"
-    cut = F.pandas_udf(lambda t, r: _cut(t, r, with_text), kind)
-    return hashed.join(found, [identity, length], "left").select(*df.columns, cut(F.col(text), F.col("found ranges")).alias(name))
+    cut = F.pandas_udf(lambda data, ranges: _cut(data, ranges, with_text), kind)
+    return hashed.join(found, [identity, length], "left").select(*df.columns, cut(F.col(packed), F.col("found ranges")).alias(name))

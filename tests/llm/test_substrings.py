@@ -49,10 +49,11 @@ def test_against_plain_counts(docs, seed, width, vocabulary, hot):
     check(docs, corpus(seed, vocabulary=vocabulary), width, hot=hot)
 
 
-@pytest.mark.parametrize("words", [3, 500])
+@pytest.mark.parametrize("words", [1, 3, 20, 500])
 def test_repeats_inside_one_text(docs, words):
     texts = [" ".join(str(i % words) for i in range(36 + words))]
     assert check(docs, texts, 35)[0].n_removed > 0
+    check(docs, ["a " * 35, "b " * 36], 35)
 
 
 def test_long_texts_are_read_in_parts(docs, monkeypatch):
@@ -76,6 +77,6 @@ def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(0)
     h = rng.integers(0, 2**63, 400).astype(np.uint64)
     twice = np.concatenate([h[:100], h[30:90], h[100:]])
-    a, c, first, n = S.anchored_pieces(twice, 35)
+    a, c, first, n, several = S.anchored_pieces(twice, 35)
     at = {int(s) + i: int(x) for x, s, k in zip(a, first, n) for i in range(k)}
-    assert len(at) == len(twice) - 34 and all(at[30 + i] == at[100 + i] for i in range(26)) and n.max() <= 28
+    assert len(at) == len(twice) - 34 and all(at[30 + i] == at[100 + i] for i in range(26)) and n.max() <= 28 and not several.any()

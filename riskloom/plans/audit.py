@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskloom import constants as K
 from riskloom.operators import audit as C
 from riskloom.operators.changes import change_log
-from riskloom.plans.joins import CUR
+from riskloom.plans.joins import ALL, CUR
 from riskloom.plans.load import OLD, _new, _old
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import RUN_TS, UNIT_BEHAVIOUR
@@ -26,10 +26,10 @@ def _run_ts():
 
 @query(
     "audit_insert",
-    with_(CUR) + "SELECT customer_id, risk_score, risk_band, 'v1' AS model_version, 'ml_pipeline' AS created_by, 'dataset_v1' AS dataset_version FROM cur",
+    with_(ALL) + "SELECT customer_id, risk_score, risk_band, 'v1' AS model_version, 'ml_pipeline' AS created_by, 'dataset_v1' AS dataset_version FROM cur",
 )
 def audit_insert(spark, sf):
-    return C.audit_insert(_new(spark, sf))
+    return C.audit_insert(P.feature_snapshot(spark, sf))
 
 
 @query(
@@ -59,20 +59,20 @@ _HEX = f"md5('{RUN_ID}:' || customer_id)"
 
 @query(
     "audit_recomputed",
-    with_(CUR) + f"""SELECT customer_id, {UNIT_BEHAVIOUR} AS risk_score, CASE WHEN {UNIT_BEHAVIOUR} >= {d(0.7)} THEN 'High' WHEN {UNIT_BEHAVIOUR} >= {d(0.4)} THEN 'Medium' ELSE 'Low' END AS risk_band,
+    with_(ALL) + f"""SELECT customer_id, {UNIT_BEHAVIOUR} AS risk_score, CASE WHEN {UNIT_BEHAVIOUR} >= {d(0.7)} THEN 'High' WHEN {UNIT_BEHAVIOUR} >= {d(0.4)} THEN 'Medium' ELSE 'Low' END AS risk_band,
   'v1' AS model_version, TIMESTAMP '{RUN_TS}' AS prediction_time, 'ml_pipeline' AS created_by, 'dataset_v1' AS dataset_version,
   substr({_HEX}, 1, 8) || '-' || substr({_HEX}, 9, 4) || '-' || substr({_HEX}, 13, 4) || '-' || substr({_HEX}, 17, 4) || '-' || substr({_HEX}, 21, 12) AS pipeline_run_id FROM cur""",
 )
 def audit_recomputed(spark, sf):
-    return C.audit_recomputed(_new(spark, sf), RUN_ID, _run_ts())
+    return C.audit_recomputed(P.feature_snapshot(spark, sf), RUN_ID, _run_ts())
 
 
 @query(
     "audit_with_registry",
-    with_(CUR, registry_cte()) + "SELECT customer_id, risk_score, risk_band, (SELECT min(model_version) FROM mr WHERE is_active) AS model_version FROM cur",
+    with_(ALL, registry_cte()) + "SELECT customer_id, risk_score, risk_band, (SELECT min(model_version) FROM mr WHERE is_active) AS model_version FROM cur",
 )
 def audit_with_registry(spark, sf):
-    return C.audit_with_registry(_new(spark, sf), P.model_registry(spark, sf))
+    return C.audit_with_registry(P.feature_snapshot(spark, sf), P.model_registry(spark, sf))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
@@ -15,6 +17,7 @@ from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
 CUR = snapshot_cte("cur", P.NEW_WINDOW)
+ALL = snapshot_cte("cur")
 _FEATURE_LIST = f"{PAY}, {INC}, {RES}"
 
 
@@ -25,10 +28,10 @@ def customers(spark, sf):
 
 
 def feature_store(spark, sf):
-    return P.feature_snapshot(spark, sf, P.NEW_WINDOW).withColumn("created_at", F.lit(RUN_TS).cast("timestamp_ntz"))
+    return P.feature_snapshot(spark, sf).withColumn("created_at", F.lit(RUN_TS).cast("timestamp_ntz"))
 
 
-_VIEW = with_(CUR) + f"""SELECT c_custkey AS customer_id, TIMESTAMP '{RUN_TS}' AS created_at, {_FEATURE_LIST}, risk_score, risk_band,
+_VIEW = with_(ALL) + f"""SELECT c_custkey AS customer_id, TIMESTAMP '{RUN_TS}' AS created_at, {_FEATURE_LIST}, risk_score, risk_band,
   TIMESTAMP '{RUN_TS}' AS feature_created_at FROM customer JOIN cur ON cur.customer_id = c_custkey"""
 
 
@@ -39,18 +42,18 @@ def customer_feature_view(spark, sf):
 
 @query("dataset_view", _VIEW)
 def dataset_view(spark, sf):
-    return J.dataset_view(customer_feature_view(spark, sf), "engineered_customers_dataset")
+    return J.dataset_view(customer_feature_view(spark, sf), f"engineered_customers_dataset_{uuid.uuid4().hex}")
 
 
-@query("active_model_lookup", with_(CUR, registry_cte()) + "SELECT customer_id, (SELECT min(model_version) FROM mr WHERE is_active) AS model_version FROM cur")
+@query("active_model_lookup", with_(ALL, registry_cte()) + "SELECT customer_id, (SELECT min(model_version) FROM mr WHERE is_active) AS model_version FROM cur")
 def active_model_lookup(spark, sf):
-    ids = P.feature_snapshot(spark, sf, P.NEW_WINDOW).select("customer_id")
+    ids = P.feature_snapshot(spark, sf).select("customer_id")
     return J.with_active_model(ids, P.model_registry(spark, sf))
 
 
-@query("active_model_fallback", with_(CUR) + f"SELECT customer_id, '{K.UNKNOWN_MODEL}' AS model_version FROM cur")
+@query("active_model_fallback", with_(ALL) + f"SELECT customer_id, '{K.UNKNOWN_MODEL}' AS model_version FROM cur")
 def active_model_fallback(spark, sf):
-    ids = P.feature_snapshot(spark, sf, P.NEW_WINDOW).select("customer_id")
+    ids = P.feature_snapshot(spark, sf).select("customer_id")
     return J.with_active_model(ids, P.model_registry(spark, sf, active=None))
 
 
@@ -74,11 +77,11 @@ def fk_orphans(spark, sf):
 
 @query(
     "explain_factors_join",
-    with_(CUR, wide_cte()) + f"""SELECT cur.customer_id, cur.risk_score, cur.risk_band, spending_ratio, bill_payment_delay_avg, savings_rate,
+    with_(ALL, wide_cte()) + f"""SELECT cur.customer_id, cur.risk_score, cur.risk_band, spending_ratio, bill_payment_delay_avg, savings_rate,
   employment_duration_months FROM cur JOIN ec ON ec.customer_id = cur.customer_id""",
 )
 def explain_factors_join(spark, sf):
-    scored = P.feature_snapshot(spark, sf, P.NEW_WINDOW).select("customer_id", "risk_score", "risk_band")
+    scored = P.feature_snapshot(spark, sf).select("customer_id", "risk_score", "risk_band")
     attributes = P.customer_attributes(
         spark, sf, ["spending_ratio", "bill_payment_delay_avg", "savings_rate", "employment_duration_months"]
     )
@@ -87,10 +90,10 @@ def explain_factors_join(spark, sf):
 
 @query(
     "score_vs_rules_join",
-    with_(CUR, f"{wide_cte()}, rl AS (SELECT customer_id, {RULE_SUM} AS rule_score FROM ec)") + f"""SELECT cur.customer_id, {PAY}, {INC}, {RES}, rule_score
+    with_(ALL, f"{wide_cte()}, rl AS (SELECT customer_id, {RULE_SUM} AS rule_score FROM ec)") + f"""SELECT cur.customer_id, {PAY}, {INC}, {RES}, rule_score
 FROM cur JOIN rl ON rl.customer_id = cur.customer_id""",
 )
 def score_vs_rules_join(spark, sf):
-    features = P.feature_snapshot(spark, sf, P.NEW_WINDOW).select("customer_id", *K.FEATURES)
+    features = P.feature_snapshot(spark, sf).select("customer_id", *K.FEATURES)
     joined = J.features_with_attributes(features, P.customer_attributes(spark, sf))
     return joined.select("customer_id", *K.FEATURES, rule_score().alias("rule_score"))

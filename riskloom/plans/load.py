@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -10,7 +12,7 @@ from riskloom.functions.numeric import dbl, round_up
 from riskloom.operators import load as L
 from riskloom.operators import setops as U
 from riskloom.operators.privacy import drop_empty_columns
-from riskloom.plans.joins import CUR
+from riskloom.plans.joins import ALL, CUR
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import RUN_TS
 from riskloom.plans.sqltext import HISTORY, SURVEY, WIDE, d, r, snapshot_cte, with_
@@ -74,20 +76,22 @@ def copy_staging(spark, sf):
     rows = P.wide_customers(spark, sf, "customer_id", *K.FEATURES, "risk_score", "risk_band")
     path = S.scratch_path(spark, "features-csv")
     S.write_csv(rows, path)
-    S.read_csv(spark, path, rows.schema).createOrReplaceTempView("staging_engineered_features")
-    return spark.table("staging_engineered_features")
+    view = f"staging_engineered_features_{uuid.uuid4().hex}"
+    S.read_csv(spark, path, rows.schema).createOrReplaceTempView(view)
+    return spark.table(view)
 
 
-@query("load_features_projection", with_(CUR) + f"SELECT customer_id, {_FEATS} FROM cur")
+@query("load_features_projection", with_(ALL) + f"SELECT customer_id, {_FEATS} FROM cur")
 def load_features_projection(spark, sf):
-    _new(spark, sf).createOrReplaceTempView("engineered_features")
-    return L.load_features(spark, "engineered_features")
+    view = f"engineered_features_{uuid.uuid4().hex}"
+    P.feature_snapshot(spark, sf).createOrReplaceTempView(view)
+    return L.load_features(spark, view)
 
 
-@query("write_replace", with_(CUR) + f"SELECT customer_id, {_FEATS}, risk_score, risk_band FROM cur")
+@query("write_replace", with_(ALL) + f"SELECT customer_id, {_FEATS}, risk_score, risk_band FROM cur")
 def write_replace(spark, sf):
     path = S.scratch_path(spark, "replaced")
-    new = _new(spark, sf)
+    new = P.feature_snapshot(spark, sf)
     S.write_replace(_old(spark, sf), path)
     S.write_replace(new, path)
     return spark.read.schema(new.schema).parquet(path)
@@ -101,11 +105,12 @@ def write_csv(spark, sf):
     return S.read_csv(spark, path, rows.schema)
 
 
-@query("append_results", with_(OLD, CUR) + "SELECT customer_id, risk_score FROM old UNION ALL SELECT customer_id, risk_score FROM cur")
+@query("append_results", with_(ALL) + "SELECT customer_id, risk_score FROM cur")
 def append_results(spark, sf):
     path = S.scratch_path(spark, "appended")
-    for rows in (_old(spark, sf), _new(spark, sf)):
-        S.append_results(rows.select("customer_id", "risk_score"), path)
+    rows = S.materialise(P.feature_snapshot(spark, sf).select("customer_id", "risk_score"))
+    for part in ("customer_id % 2 = 0", "customer_id % 2 <> 0"):  # two runs that add to one table
+        S.append_results(rows.where(part), path)
     return spark.read.schema("customer_id bigint, risk_score double").parquet(path)
 
 
@@ -208,10 +213,10 @@ def create_model_metadata(spark, sf):
     return L.model_metadata(spark, path, K.FEATURES, "StandardScaler", RUN_TS, "v2_safe", "v1.0")
 
 
-@query("feature_store_rebuild", with_(CUR) + f"SELECT customer_id, {_FEATS}, risk_score, risk_band, TIMESTAMP '{RUN_TS}' AS created_at FROM cur")
+@query("feature_store_rebuild", with_(ALL) + f"SELECT customer_id, {_FEATS}, risk_score, risk_band, TIMESTAMP '{RUN_TS}' AS created_at FROM cur")
 def feature_store_rebuild(spark, sf):
     backup = S.scratch_path(spark, "backup")
-    _new(spark, sf).withColumn("updated_at", _run_ts()).write.parquet(backup)
+    P.feature_snapshot(spark, sf).withColumn("updated_at", _run_ts()).write.parquet(backup)
     return L.rebuild_features(spark, backup)
 
 

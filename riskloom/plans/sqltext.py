@@ -97,7 +97,7 @@ def wide_cte(name: str = "ec", since: str | None = None, until: str | None = Non
                  WHEN risk_score > 66 AND risk_score <= 100 THEN 'High' END AS risk_band FROM {name}_s)"""
 
 
-def snapshot_cte(name: str, window: tuple[str, str]) -> str:
+def snapshot_cte(name: str, window: tuple[str | None, str | None] = (None, None)) -> str:
     return f"""{wide_cte(name + "_w", *window)},
 {name} AS (
   SELECT customer_id, payment_discipline_score, income_stability_index, financial_resilience_score,

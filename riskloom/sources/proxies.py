@@ -231,12 +231,15 @@ def model_registry(spark: SparkSession, sf_dir: str, active: str | None = "v2.0"
     )
 
 
-# Two overlapping observation windows: customers enter, leave and change between them.
-OLD_WINDOW = ("1995-01-01", "1997-07-01")
-NEW_WINDOW = ("1996-01-01", "1998-07-01")
+Window = tuple[str | None, str | None]
 
+# Two observation windows, open at one end: together they cover everything, and customers leave and change between them.
+OLD_WINDOW: Window = (None, "2000-12-01")
+NEW_WINDOW: Window = ("2000-06-01", None)
+WHOLE: Window = (None, None)
 
-def feature_snapshot(spark: SparkSession, sf_dir: str, window: tuple[str, str]) -> DataFrame:
+
+def feature_snapshot(spark: SparkSession, sf_dir: str, window: Window = WHOLE) -> DataFrame:
     """Feature table of one observation window, risk score on 0..1 with four digits."""
     return wide_customers(
         spark, sf_dir, "customer_id", *K.FEATURES, "risk_score", "risk_band", since=window[0], until=window[1]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
-from riskloom.functions.numeric import dbl, normal, null_to_zero, round_up, safe_float, unit_if_above_one
+from riskloom.functions.numeric import dbl, normal, null_to_zero, round_up, safe_float, uniform, unit_if_above_one
+from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.scalars import constants
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
@@ -230,80 +233,144 @@ def factor_order(levels: dict[str, Column]) -> Column:
     return F.transform(F.array_sort(F.array(*rows)), lambda x: x.getField("name"))
 
 
+def surrogate_draws(spark: SparkSession, samples: int, seed: int) -> tuple[Column, Row]:
+    """The disturbances that all rows share: an array literal of (n0, n1, n2, w), and their weighted sums.
+
+    w is the closeness of a copy. The draws do not depend on the data, so they are made once, ``samples`` of them.
+    """
+    key = F.col("id").cast("string")
+    draws = spark.range(1, samples + 1).select("id", *[normal(key, i, seed).alias(f"n{i}") for i in range(3)])
+    width = 0.75 * 3.0**0.5
+    distance2 = F.col("n0") * F.col("n0") + F.col("n1") * F.col("n1") + F.col("n2") * F.col("n2")
+    rows = draws.withColumn("w", F.sqrt(F.exp(-distance2 / dbl(width * width)))).orderBy("id").drop("id").collect()
+    text = json.dumps([r.asDict() for r in rows])
+    # A JSON text is folded into one array constant, which generated code reads by reference.
+    literal = F.from_json(F.lit(text), "array<struct<n0:double,n1:double,n2:double,w:double>>")
+    sums = {"sw": math.fsum(r.w for r in rows)}
+    for i in range(3):
+        sums[f"s{i}"] = math.fsum(r.w * r[i] for r in rows)
+        sums |= {f"s{i}{j}": math.fsum(r.w * r[i] * r[j] for r in rows) for j in range(i, 3)}
+    return literal, Row(**sums)
+
+
+def _determinant(a: list, b: list, c: list):
+    return a[0] * (b[1] * c[2] - b[2] * c[1]) - b[0] * (a[1] * c[2] - a[2] * c[1]) + c[0] * (a[1] * b[2] - a[2] * b[1])
+
+
+def _solve(columns: list[list], rhs: list) -> list[Column]:
+    """The three unknowns of a linear system given by its columns; null where it has no single solution."""
+    whole = _determinant(*columns)
+    return [F.try_divide(_determinant(*[rhs if k == i else v for k, v in enumerate(columns)]), whole) for i in range(3)]
+
+
 def local_surrogate(
     features: DataFrame,
     score: Callable[[DataFrame], Column],
-    samples: int = 64,
+    samples: int = 5000,
     ridge: float = 1.0,
     seed: int = 42,
 ) -> DataFrame:
     """Local linear attribution of a score around every row.
 
     Every row gets ``samples`` disturbed copies (normal noise in units of the
-    population deviation, fixed by row and copy number), the copies are scored and
-    weighted by closeness, and the weighted normal equations of the three features
-    are solved from sums per row. The copies of a row are made in the task that
-    holds the row, so partial sums leave one row per customer for the shuffle.
+    population deviation), the copies are scored and weighted by closeness, and the
+    weighted normal equations of the three features are solved per row. All rows share
+    one seeded set of draws, so their weights and the normal matrix are constants; per row
+    only four weighted sums of the score remain. The copies of a row are made in the
+    task that holds the row, so partial sums leave one row per customer for the shuffle.
     """
     deviations = [F.coalesce(F.nullif(F.stddev_pop(c), dbl(0.0)), dbl(1.0)).alias(f"{c}_s") for c in K.FEATURES]
     stats = constants(features.agg(*deviations, *[F.avg(c).alias(f"{c}_m") for c in K.FEATURES]))
+    draws, sums = surrogate_draws(features.sparkSession, samples, seed)
+    at = [f"at_{c}" for c in K.FEATURES]
     copies = features.select(
-        "customer_id",
-        *[null_to_zero(F.col(c)).alias(f"at_{c}") for c in K.FEATURES],
-        F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("copy"),
+        "customer_id", *[null_to_zero(F.col(c)).alias(a) for c, a in zip(K.FEATURES, at)], F.inline(draws)
     )
-    key = F.concat(F.col("customer_id").cast("string"), F.lit("/"), F.col("copy").cast("string"))
-    noise = copies.select(
-        "customer_id", *[f"at_{c}" for c in K.FEATURES], *[normal(key, i, seed).alias(f"n{i}") for i in range(3)]
+    moved = copies.select(
+        "customer_id", *at, "n0", "n1", "n2", "w",
+        *[(F.col(a) + F.col(f"n{i}") * stats[f"{c}_s"]).alias(c) for i, (c, a) in enumerate(zip(K.FEATURES, at))],
     )
-    moved = noise.select(
-        "customer_id",
-        "n0",
-        "n1",
-        "n2",
-        *[(F.col(f"at_{c}") + F.col(f"n{i}") * stats[f"{c}_s"]).alias(c) for i, c in enumerate(K.FEATURES)],
-        *[f"at_{c}" for c in K.FEATURES],
-    )
-    width = 0.75 * 3.0**0.5
-    n = [F.col(f"n{i}") for i in range(3)]
-    distance2 = n[0] * n[0] + n[1] * n[1] + n[2] * n[2]
-    scored = moved.select(
-        "customer_id",
-        *[f"at_{c}" for c in K.FEATURES],
-        "n0",
-        "n1",
-        "n2",
-        score(moved).alias("y"),
-        F.sqrt(F.exp(-distance2 / dbl(width * width))).alias("w"),
-    )
-    w, y = F.col("w"), F.col("y")
-    sums = [F.sum(w).alias("sw"), F.sum(w * y).alias("sy")]
-    sums += [F.sum(w * n[i]).alias(f"s{i}") for i in range(3)]
-    sums += [F.sum(w * n[i] * n[j]).alias(f"s{i}{j}") for i in range(3) for j in range(i, 3)]
-    sums += [F.sum(w * n[i] * y).alias(f"t{i}") for i in range(3)]
-    s = scored.groupBy("customer_id", *[f"at_{c}" for c in K.FEATURES]).agg(*sums)
-    # Weighted covariances, ridge on the diagonal.
-    col = F.col
-    centred = {f"a{i}{j}": col(f"s{i}{j}") - col(f"s{i}") * col(f"s{j}") / col("sw") for i in range(3) for j in range(i, 3)}
-    for i in range(3):
-        centred[f"a{i}{i}"] = centred[f"a{i}{i}"] + dbl(ridge)
-        centred[f"b{i}"] = col(f"t{i}") - col(f"s{i}") * col("sy") / col("sw")
-    m = s.select("customer_id", *[f"at_{c}" for c in K.FEATURES], *[v.alias(k) for k, v in centred.items()])
+    scored = moved.select("customer_id", *at, "n0", "n1", "n2", (F.col("w") * score(moved)).alias("wy"))
+    terms = [F.sum(F.col(f"n{i}") * F.col("wy")).alias(f"t{i}") for i in range(3)]
+    s = scored.groupBy("customer_id", *at).agg(F.sum("wy").alias("sy"), *terms)
 
-    def det(c0: list[str], c1: list[str], c2: list[str]) -> Column:
-        a, b, c = ([col(x) for x in v] for v in (c0, c1, c2))
-        return a[0] * (b[1] * c[2] - b[2] * c[1]) - b[0] * (a[1] * c[2] - a[2] * c[1]) + c[0] * (a[1] * b[2] - a[2] * b[1])
+    def moment(i: int, j: int) -> Column:
+        """Weighted covariance of two disturbances, ridge on the diagonal."""
+        i, j = min(i, j), max(i, j)
+        return dbl(sums[f"s{i}{j}"] - sums[f"s{i}"] * sums[f"s{j}"] / sums["sw"] + (ridge if i == j else 0.0))
 
-    cols = [["a00", "a01", "a02"], ["a01", "a11", "a12"], ["a02", "a12", "a22"]]
-    rhs = ["b0", "b1", "b2"]
-    whole = det(*cols)
+    rhs = [F.col(f"t{i}") - dbl(sums[f"s{i}"] / sums["sw"]) * F.col("sy") for i in range(3)]
     out = []
-    for i, c in enumerate(K.FEATURES):
-        swapped = [rhs if k == i else v for k, v in enumerate(cols)]
-        coefficient = F.try_divide(det(*swapped), whole)
-        position = (col(f"at_{c}") - stats[f"{c}_m"]) / stats[f"{c}_s"]
-        out += [coefficient.alias(f"{c}_weight"), (coefficient * position).alias(f"{c}_impact")]
-    return m.select("customer_id", *out)
+    for c, a, weight in zip(K.FEATURES, at, _solve([[moment(i, j) for j in range(3)] for i in range(3)], rhs)):
+        position = (F.col(a) - stats[f"{c}_m"]) / stats[f"{c}_s"]
+        out += [weight.alias(f"{c}_weight"), (weight * position).alias(f"{c}_impact")]
+    return s.select("customer_id", *out)
+
+
+def binned_surrogate(
+    features: DataFrame, score: Callable[[DataFrame], Column], samples: int = 5000, ridge: float = 1.0, seed: int = 42
+) -> DataFrame:
+    """Attribution on quartile bins: (customer_id, condition, weight) for each feature of every row.
+
+    A draw takes a quarter of every feature and a place inside it, and is scored. Around a row, each feature says whether
+    the draw is in the row's quarter; draws are weighted by how many features are. So the weights depend on the row's three
+    quarters only: they are solved once for each of the 64 combinations and looked up. A condition reads ``a < f <= b``,
+    open at the first and last quarter. Missing values count as 0.
+    """
+    filled = features.select("customer_id", *[null_to_zero(F.col(c)).alias(c) for c in K.FEATURES])
+    marks = {f"{c}_{k}": (c, k / 4) for c in K.FEATURES for k in range(5)}
+    quantiles = exact_quantiles(filled, marks)
+    edges = {c: [F.coalesce(quantiles[f"{c}_{k}"], dbl(0.0)) for k in range(5)] for c in K.FEATURES}
+    key = F.col("id").cast("string")
+    picked = features.sparkSession.range(1, samples + 1).select(
+        "id", *[F.floor(dbl(4.0) * uniform(key, 20 + i, seed)).cast("int").alias(f"b{i}") for i in range(3)]
+    )
+
+    def inside(i: int, c: str) -> Column:
+        low = F.get(F.array(*edges[c][:4]), F.col(f"b{i}"))
+        high = F.get(F.array(*edges[c][1:]), F.col(f"b{i}"))
+        return low + (high - low) * uniform(key, 30 + i, seed)
+
+    moved = picked.select("b0", "b1", "b2", *[inside(i, c).alias(c) for i, c in enumerate(K.FEATURES)])
+    scored = moved.select("b0", "b1", "b2", score(moved).alias("y"))
+    # Draws of one combination differ in their score only.
+    cells = scored.groupBy("b0", "b1", "b2").agg(F.count("*").cast("double").alias("n"), F.sum("y").alias("y"))
+    rows = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.struct((k % 4).alias("r0"), F.floor(k / 4 % 4).alias("r1"), F.floor(k / 16).alias("r2")))
+    around = cells.select("*", F.inline(rows))
+    hit = [(F.col(f"b{i}") == F.col(f"r{i}")).cast("double") for i in range(3)]
+    width = 0.75 * 3.0**0.5
+    w = F.sqrt(F.exp((hit[0] + hit[1] + hit[2] - dbl(3.0)) / dbl(width * width)))
+    weighted = around.select("r0", "r1", "r2", *[h.alias(f"h{i}") for i, h in enumerate(hit)], (w * F.col("n")).alias("w"), (w * F.col("y")).alias("wy"))
+    h = [F.col(f"h{i}") for i in range(3)]
+    sums = [F.sum("w").alias("sw"), F.sum("wy").alias("sy")] + [F.sum(h[i] * F.col("wy")).alias(f"t{i}") for i in range(3)]
+    sums += [F.sum(h[i] * F.col("w")).alias(f"s{i}") for i in range(3)]
+    sums += [F.sum(h[i] * h[j] * F.col("w")).alias(f"s{i}{j}") for i in range(3) for j in range(i, 3)]
+    s = weighted.groupBy("r0", "r1", "r2").agg(*sums)
+
+    def moment(i: int, j: int) -> Column:
+        i, j = min(i, j), max(i, j)
+        return F.col(f"s{i}{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("sw") + dbl(ridge if i == j else 0.0)
+
+    rhs = [F.col(f"t{i}") - F.col(f"s{i}") * F.col("sy") / F.col("sw") for i in range(3)]
+    solved = _solve([[moment(i, j) for j in range(3)] for i in range(3)], rhs)
+    table = s.select("r0", "r1", "r2", *[x.alias(f"w{i}") for i, x in enumerate(solved)])
+
+    def quarter(c: str) -> Column:
+        return sum(((F.col(c) > x).cast("int") for x in edges[c][1:4]), F.lit(0))
+
+    def condition(i: int, c: str) -> Column:
+        texts = F.array(*[round_up(x, 2).cast("decimal(12,2)").cast("string") for x in edges[c][1:4]])
+        q = F.col(f"r{i}").cast("int")
+        return (
+            F.when(q == 0, F.concat(F.lit(f"{c} <= "), F.get(texts, F.lit(0))))
+            .when(q == 3, F.concat(F.lit(f"{c} > "), F.get(texts, F.lit(2))))
+            .otherwise(F.concat(F.get(texts, q - 1), F.lit(f" < {c} <= "), F.get(texts, q)))
+        )
+
+    placed = filled.select("customer_id", *[quarter(c).cast("bigint").alias(f"r{i}") for i, c in enumerate(K.FEATURES)])
+    joined = placed.join(F.broadcast(table), ["r0", "r1", "r2"])  # 64 rows at most
+    pairs = F.array(*[F.struct(condition(i, c).alias("condition"), F.col(f"w{i}").alias("weight")) for i, c in enumerate(K.FEATURES)])
+    return joined.select("customer_id", F.inline(pairs))
 
 
 def attribution_json(surrogate: DataFrame) -> DataFrame:

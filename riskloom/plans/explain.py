@@ -14,7 +14,7 @@ from riskloom.plans.registry import query
 from riskloom.plans.scoring import (
     PREDICTION_CTE, RESPONSE_CTE, RULE_NAMES, RULE_SUM, rounded_predictions, scoring_input, summary_sql, target_sql,
 )
-from riskloom.plans.sqltext import WIDE, d, r, snapshot_cte, with_, z
+from riskloom.plans.sqltext import WIDE, d, r, snapshot_cte, u, with_, z
 from riskloom.sources import proxies as P
 from riskloom.sources.store import materialise
 from riskloom.sources.tables import read
@@ -221,42 +221,44 @@ def explain_customer_json(spark, sf):
     return out.withColumn("explanation", F.replace(F.col("explanation"), F.lit('"risk_score"'), F.lit('"risk_points"')))
 
 
-LOCAL_SAMPLES = 16
+SAMPLES = 5000
+
+
+def _det(a, b, c):
+    return (
+        f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]})"
+        f" + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))"
+    )
+
+
+def _solved_sql() -> list[str]:
+    """The three weights, from columns a00 .. a22 and b0 .. b2."""
+    cols, b = [["a00", "a01", "a02"], ["a01", "a11", "a12"], ["a02", "a12", "a22"]], ["b0", "b1", "b2"]
+    return [_det(*[b if k == i else v for k, v in enumerate(cols)]) + f" / {_det(*cols)}" for i in range(3)]
+
+
+_COVARIANCES = ", ".join(f"s{i}{j} - s{i} * s{j} / sw{f' + {d(1)}' if i == j else ''} AS a{i}{j}" for i in range(3) for j in range(i, 3))
+_RIGHT_SIDES = ", ".join(f"t{i} - s{i} * sy / sw AS b{i}" for i in range(3))
 
 
 def _surrogate_ctes(samples: int) -> tuple[str, list[str]]:
-    """CTE text from the copies to the solved sums, and per feature the weight."""
+    """CTE text from the shared draws to the solved sums, and per feature the weight."""
     feats = list(K.FEATURES)
-    key = "(customer_id || '/' || c)"
-    n = ["n0", "n1", "n2"]
     moved = [f"(coalesce({c}, 0) + n{i} * sd{i}) / {d(100)}" for i, c in enumerate(feats)]
-    sums = ["sum(w) AS sw", "sum(w * y) AS sy"]
-    sums += [f"sum(w * n{i}) AS s{i}, sum(w * n{i} * y) AS t{i}" for i in range(3)]
-    sums += [f"sum(w * n{i} * n{j}) AS s{i}{j}" for i in range(3) for j in range(i, 3)]
-    cov = [
-        f"s{i}{j} - s{i} * s{j} / sw{f' + {d(1)}' if i == j else ''} AS a{i}{j}" for i in range(3) for j in range(i, 3)
-    ]
-    rhs = [f"t{i} - s{i} * sy / sw AS b{i}" for i in range(3)]
-
-    def det(a, b, c):
-        return (
-            f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]})"
-            f" + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))"
-        )
-
-    cols = [["a00", "a01", "a02"], ["a01", "a11", "a12"], ["a02", "a12", "a22"]]
-    b = ["b0", "b1", "b2"]
-    weights = [det(*[b if k == i else v for k, v in enumerate(cols)]) + f" / {det(*cols)}" for i in range(3)]
+    moments = ["sum(w) AS sw"] + [f"sum(w * n{i}) AS s{i}" for i in range(3)]
+    moments += [f"sum(w * n{i} * n{j}) AS s{i}{j}" for i in range(3) for j in range(i, 3)]
+    sums = ["sum(w * y) AS sy"] + [f"sum(w * n{i} * y) AS t{i}" for i in range(3)]
     width = 0.75 * 3.0**0.5
     return f""",
 st AS (SELECT {', '.join(f'stddev_pop({c}) AS sd{i}, avg({c}) AS m{i}' for i, c in enumerate(feats))} FROM ec),
-cp AS (SELECT customer_id, {', '.join(feats)}, unnest(range(1, {samples + 1})) AS c FROM ec),
-nz AS (SELECT customer_id, {', '.join(feats)}, {', '.join(f'{z(key, i)} AS n{i}' for i in range(3))} FROM cp),
-yy AS (SELECT nz.customer_id, {', '.join(f'coalesce({c}, 0) AS at{i}' for i, c in enumerate(feats))}, n0, n1, n2, m0, m1, m2, sd0, sd1, sd2,
-  {target_sql(*moved)} AS y, sqrt(exp(-(n0 * n0 + n1 * n1 + n2 * n2) / {d(width * width)})) AS w FROM nz CROSS JOIN st),
-su AS (SELECT customer_id, at0, at1, at2, m0, m1, m2, sd0, sd1, sd2, {', '.join(sums)} FROM yy GROUP BY ALL),
-eq AS (SELECT customer_id, at0, at1, at2, m0, m1, m2, sd0, sd1, sd2, {', '.join(cov + rhs)} FROM su)
-""", weights
+nz AS (SELECT {', '.join(f'{z("c", i)} AS n{i}' for i in range(3))} FROM (SELECT unnest(range(1, {samples + 1})) AS c)),
+dr AS MATERIALIZED (SELECT n0, n1, n2, sqrt(exp(-(n0 * n0 + n1 * n1 + n2 * n2) / {d(width * width)})) AS w FROM nz),
+mo AS (SELECT {', '.join(moments)} FROM dr),
+yy AS (SELECT customer_id, {', '.join(f'coalesce({c}, 0) AS at{i}' for i, c in enumerate(feats))}, n0, n1, n2, w,
+  {target_sql(*moved)} AS y FROM ec, dr, st),
+su AS (SELECT customer_id, at0, at1, at2, {', '.join(sums)} FROM yy GROUP BY ALL),
+eq AS (SELECT customer_id, at0, at1, at2, m0, m1, m2, sd0, sd1, sd2, {_COVARIANCES}, {_RIGHT_SIDES} FROM su, mo, st)
+""", _solved_sql()
 
 
 def _impact_sql(weight: str, i: int) -> str:
@@ -264,7 +266,7 @@ def _impact_sql(weight: str, i: int) -> str:
 
 
 def _surrogate_sql() -> str:
-    ctes, weights = _surrogate_ctes(LOCAL_SAMPLES)
+    ctes, weights = _surrogate_ctes(SAMPLES)
     out = ", ".join(
         f"{r(w, 6)} AS {c}_weight, {r(_impact_sql(w, i), 6)} AS {c}_impact" for i, (c, w) in enumerate(zip(K.FEATURES, weights))
     )
@@ -274,12 +276,61 @@ def _surrogate_sql() -> str:
 @query("local_surrogate", _surrogate_sql())
 def local_surrogate(spark, sf):
     features = materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES))
-    out = X.local_surrogate(features, scoring.linear_model, samples=LOCAL_SAMPLES)
+    out = X.local_surrogate(features, scoring.linear_model, samples=SAMPLES)
     return out.select("customer_id", *[round_up(F.col(c), 6).alias(c) for c in out.columns if c != "customer_id"])
 
 
+def _binned_sql() -> str:
+    feats = list(K.FEATURES)
+    at = [f"coalesce({c}, 0)" for c in feats]
+    edges = ", ".join(f"quantile_cont({x}, {k / 4}) AS e{i}{k}" for i, x in enumerate(at) for k in range(5))
+    case = lambda q, values: f"CASE {q} " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END"
+    inside = [
+        f"{case(f'b{i}', [f'e{i}{k}' for k in range(4)])} + ({case(f'b{i}', [f'e{i}{k + 1}' for k in range(4)])} - {case(f'b{i}', [f'e{i}{k}' for k in range(4)])}) * {u('c', 30 + i)}"
+        for i in range(3)
+    ]
+    y = target_sql(*[f"(v{i}) / {d(100)}" for i in range(3)])
+    width = 0.75 * 3.0**0.5
+    sums = ["sum(w) AS sw", "sum(w * y) AS sy"] + [f"sum(w * h{i}) AS s{i}, sum(w * h{i} * y) AS t{i}" for i in range(3)]
+    sums += [f"sum(w * h{i} * h{j}) AS s{i}{j}" for i in range(3) for j in range(i, 3)]
+    quarter = [f"CAST({x} > e{i}1 AS INT) + CAST({x} > e{i}2 AS INT) + CAST({x} > e{i}3 AS INT)" for i, x in enumerate(at)]
+    text = lambda i, k: f"CAST(CAST({r(f'e{i}{k}', 2)} AS DECIMAL(12,2)) AS VARCHAR)"
+    named = [
+        case(f"r{i}", [f"'{c} <= ' || {text(i, 1)}", f"{text(i, 1)} || ' < {c} <= ' || {text(i, 2)}", f"{text(i, 2)} || ' < {c} <= ' || {text(i, 3)}", f"'{c} > ' || {text(i, 3)}"])
+        for i, c in enumerate(feats)
+    ]
+    rows = " UNION ALL ".join(
+        f"SELECT customer_id, {named[i]} AS condition, {r(w, 6)} AS weight, CASE WHEN r{i} IN (0, 3) THEN '{c}' ELSE 'unknown_feature' END AS by_split, '{c}' AS by_content FROM so, qe"
+        for i, (c, w) in enumerate(zip(feats, _solved_sql()))
+    )
+    return WIDE + f""",
+qe AS MATERIALIZED (SELECT {edges} FROM ec),
+dr AS (SELECT c, {', '.join(f'CAST(floor({d(4)} * {u("c", 20 + i)}) AS INT) AS b{i}' for i in range(3))} FROM (SELECT unnest(range(1, {SAMPLES + 1})) AS c)),
+mv AS (SELECT b0, b1, b2, {', '.join(f'{x} AS v{i}' for i, x in enumerate(inside))} FROM dr, qe),
+sc AS MATERIALIZED (SELECT b0, b1, b2, {y} AS y FROM mv),
+cb AS (SELECT a.x AS r0, b.x AS r1, c.x AS r2 FROM (SELECT unnest(range(4)) AS x) a, (SELECT unnest(range(4)) AS x) b, (SELECT unnest(range(4)) AS x) c),
+hw AS (SELECT r0, r1, r2, y, {', '.join(f'CAST(b{i} = r{i} AS DOUBLE) AS h{i}' for i in range(3))} FROM sc, cb),
+ww AS (SELECT *, sqrt(exp((h0 + h1 + h2 - {d(3)}) / {d(width * width)})) AS w FROM hw),
+su AS (SELECT r0, r1, r2, {', '.join(sums)} FROM ww GROUP BY ALL),
+eq AS (SELECT r0, r1, r2, {_COVARIANCES}, {_RIGHT_SIDES} FROM su),
+ro AS (SELECT customer_id, {', '.join(f'{q} AS r{i}' for i, q in enumerate(quarter))} FROM ec, qe),
+so AS (SELECT * FROM ro JOIN eq USING (r0, r1, r2))
+{rows}"""
+
+
+@query("attribution_conditions", _binned_sql())
+def attribution_conditions(spark, sf):
+    """Quartile-bin attributions with their condition texts, and the features cleaned out of these."""
+    features = materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES))
+    found = X.binned_surrogate(features, scoring.linear_model, samples=SAMPLES)
+    return found.select(
+        "customer_id", "condition", round_up(F.col("weight"), 6).alias("weight"),
+        X.condition_feature(F.col("condition")).alias("by_split"), X.condition_feature_contains(F.col("condition")).alias("by_content"),
+    )
+
+
 def _explained_sql() -> str:
-    ctes, weights = _surrogate_ctes(LOCAL_SAMPLES)
+    ctes, weights = _surrogate_ctes(SAMPLES)
     impacts = ", ".join(f"{_impact_sql(w, i)} AS x{i}" for i, w in enumerate(weights))
     number = f"CAST(CAST({r('v', 4)} AS DECIMAL(10,4)) AS VARCHAR)"
     values = ", ".join(f"('{c}', x{i})" for i, c in enumerate(K.FEATURES))
@@ -291,7 +342,7 @@ SELECT pt.*, (SELECT '[' || string_agg('{{"feature":"' || n || '","impact":' ||
 @query("prediction_table_explained", _explained_sql())
 def prediction_table_explained(spark, sf):
     features = materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES))
-    surrogate = X.attribution_json(X.local_surrogate(features, scoring.linear_model, samples=LOCAL_SAMPLES))
+    surrogate = X.attribution_json(X.local_surrogate(features, scoring.linear_model, samples=SAMPLES))
     return rounded_predictions(scoring.prediction_table(features, attributions=surrogate))
 
 

@@ -1,44 +1,37 @@
 """Toxicity by two Kneser-Ney models, of toxic and of ordinary texts, over shared backoff counts.
 
-Each model has three levels. With discount 1, P(w | v) = (n(vw) - 1)+ / n(v) + N(v.) / n(v) * P(w), where N(v.)
-counts the words seen after v. P(w) = (N(.w) - D)+ / N(..) + D * types / N(..) * Q(w), where N(.w) counts the words
-seen before w, so that copies of a text count once. Q(w), for rare words, spells the beginning of w: each character
-given those before it is interpolated, by the same rule over sums of N(.w), with the share that both classes together
-give it. What neither class has seen therefore says nothing about the class.
-
-The counts cover all labelled texts and live in tables of a fixed size: each word, pair or beginning has one cell in
-each of two rows, and the smaller of its two cells is taken. Their broadcast is bounded by ``CELLS``, whatever the data.
+A model counts contexts, not occurrences: N(.w) is the number of different words that stand before w in its texts, so a text
+that is copied counts once. An expression p is a beginning of words, or a whole word with its end mark; N(p) is the sum of N(.w)
+over the words it begins. P(p) = (N(p) - D)+ / N + D * types / N * S(p), where S(p), shared by both models, pools their counts: what
+is rare in both says nothing about the class.
+
+The log-ratio of a word is that of its longest kept expression. An expression is kept if its share among
+the continuations of the one a character shorter differs between the models by ``DEVIATIONS`` standard deviations; all others
+say no more than their beginning does. All labelled texts are counted, exactly; only the kept expressions are broadcast, at most ``KEPT`` of them.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
-from itertools import chain
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.sources.store import materialise
 
 TOKEN = re.compile(r"[^\W\d_]+")
-#: Cells per row of a count table; a power of two.
-CELLS = 1 << 19
-#: Tables by number: words before w, running words after v, distinct words after v, pairs seen twice or more,
-#: sums of the first table over the words with a beginning, distinct next characters of a beginning.
-BEFORE, AFTER, KINDS_AFTER, PAIRS, BEGINNINGS, NEXT = range(6)
 WINDOW = 8
-#: Characters of a beginning, the mark for the end of a word included.
-SPELLED = 8
+#: Characters of an expression at most, the end mark included.
+SPELLED = 12
 END = "$"
-LETTERS = 64
-DISCOUNT = 0.75
+DEVIATIONS = 3.0
+LEAST = 3
+KEPT = 200_000
 EVIDENCE = 7
 
 
@@ -50,209 +43,107 @@ def word_hash(word: str) -> int:
     return xxhash.xxh32_intdigest(word.encode("utf-8", "replace"))
 
 
-def beginning_hashes(word: str) -> list[int]:
-    """XXH64 of the beginnings of a word, from none of its characters on."""
-    marked = word + END
-    raw, longest = marked.encode("utf-8", "replace"), min(len(marked), SPELLED)
-    if len(raw) == len(marked):
-        return [xxhash.xxh64_intdigest(raw[:k], 42) for k in range(longest + 1)]
-    return [xxhash.xxh64_intdigest(marked[:k].encode("utf-8", "replace"), 42) for k in range(longest + 1)]
+def _contexts(labelled: DataFrame) -> DataFrame:
+    """(toxic, word, kinds): how many different words stand before each word, by the hash of the word, in the texts of each class."""
 
-
-class Hasher:
-    """32-bit hashes of the words of a text; remembers words it has met, a bounded number."""
-
-    def __init__(self, most: int = 400_000):
-        self.known: dict[str, int] = {}
-        self.most = most
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        out = []
-        for word in tokens(text):
-            h = known.get(word)
-            if h is None:
-                h = known[word] = word_hash(word)
-            out.append(h)
-        return np.array(out, np.uint64)
-
-
-def mix(values: np.ndarray) -> np.ndarray:
-    """What Spark's ``xxhash64`` makes of long values."""
-    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-    def turn(x: np.ndarray, by: int) -> np.ndarray:
-        return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
-
-    h = (np.uint64(42) + p5 + np.uint64(8)) ^ (turn(values * p2, 31) * p1)
-    h = turn(h, 27) * p1 + p4
-    h = (h ^ (h >> np.uint64(33))) * p2
-    h = (h ^ (h >> np.uint64(29))) * p3
-    return h ^ (h >> np.uint64(32))
-
-
-def cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of well-mixed 64-bit hashes in the two rows."""
-    mask = np.uint64(CELLS - 1)
-    return (hashes & mask).astype(np.int64), (hashes >> np.uint64(32) & mask).astype(np.int64)
-
-
-def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return (v << np.uint64(32)) | w
-
-
-def _count_pairs(labelled: DataFrame) -> DataFrame:
-    """(toxic, pair, n): how often each word pair stands in the texts of each class."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Hasher()
+    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
         for batch in batches:
+            if len(known) > 300_000:
+                known.clear()
             for toxic in (0, 1):
-                parts = [pair_hash(h[:-1], h[1:]) for h in map(words, batch["text"][batch["label"] == toxic]) if len(h) > 1]
+                parts = []
+                for text in batch["text"][batch["label"] == toxic]:
+                    h = []
+                    for word in tokens(text):
+                        x = known.get(word)
+                        if x is None:
+                            x = known[word] = word_hash(word)
+                        h.append(x)
+                    if len(h) > 1:
+                        h = np.array(h, np.uint64)
+                        parts.append((h[:-1] << np.uint64(32)) | h[1:])
                 if parts:
-                    pairs, n = np.unique(np.concatenate(parts), return_counts=True)
-                    yield pd.DataFrame({"toxic": np.int8(toxic), "pair": pairs.view(np.int64), "n": n.astype(np.int64)})
+                    yield pd.DataFrame({"toxic": np.int8(toxic), "pair": np.unique(np.concatenate(parts)).view(np.int64)})
 
-    return labelled.select("text", "label").mapInPandas(count, "toxic byte, pair long, n long").groupBy("toxic", "pair").agg(F.sum("n").alias("n"))
+    pairs = labelled.select("text", "label").mapInPandas(pair, "toxic byte, pair long").distinct()
+    return pairs.groupBy("toxic", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")).agg(F.count("*").alias("kinds"))
 
 
 def _vocabulary(labelled: DataFrame) -> DataFrame:
     """(spelling, word): the distinct words of the texts and their hashes."""
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        given: set[str] = set()
         for batch in batches:
-            known: set[str] = set()
-            for text in batch["text"]:
-                known.update(tokens(text))
-            found = sorted(known)
+            if len(given) > 300_000:
+                given.clear()
+            new = {w for text in batch["text"] for w in tokens(text)} - given
+            given |= new
+            found = sorted(new)
             yield pd.DataFrame({"spelling": found, "word": np.array([word_hash(w) for w in found], np.int64)}).astype({"spelling": object})
 
     return labelled.select("text").mapInPandas(spell, "spelling string, word long").distinct()
 
 
-def _cell_sums(rows: DataFrame, hashed: Column, **values: int) -> DataFrame:
-    """(at, value): sums of columns per cell, for a table number of each; ``at`` numbers table, row, class and cell in one."""
-    first = hashed.bitwiseAND(F.lit(CELLS - 1))
-    second = F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(CELLS - 1)) + 2 * CELLS
-    each = rows.select(F.explode(F.array(first, second)).alias("cell"), (F.col("toxic").cast("long") * CELLS).alias("base"), *values)
-    sums = each.groupBy((F.col("cell") + F.col("base")).alias("cell")).agg(*[F.sum(c).alias(c) for c in values])
-    parts = F.array(*[F.struct((F.col("cell") + 4 * CELLS * t).alias("at"), F.col(c).alias("value")) for c, t in values.items()])
-    return sums.select(F.inline(parts))
-
-
 @dataclass
 class Model:
-    """Count tables indexed [table, row, class, cell], discounts and sizes by class, and the calibration."""
+    """Log-ratios of the kept expressions, and the calibration."""
 
-    tables: np.ndarray | None
-    discount: tuple[float, float]
-    total: tuple[float, float]
-    types: tuple[float, float]
+    ratios: dict[str, float]
     shift: np.ndarray | None = None
     scale: np.ndarray | None = None
     weights: np.ndarray | None = None
-    #: The tables as one compressed broadcast; calibrating a model sends nothing more.
-    shared: Broadcast | None = field(default=None, repr=False)
-
-    def share(self, spark: SparkSession) -> Model:
-        """The model without its tables in memory, for tasks."""
-        if self.shared is None:
-            self.shared = spark.sparkContext.broadcast(zlib.compress(self.tables.tobytes(), 1))
-        return replace(self, tables=None)
 
-    def unpacked(self) -> Model:
-        return replace(self, tables=np.frombuffer(zlib.decompress(self.shared.value), np.float32).reshape(6, 2, 2, CELLS))
 
-
-def count_model(labelled: DataFrame) -> Model:
-    """Both models from rows (text, label); every row counts. The driver receives cell sums only, at most 24 * ``CELLS``."""
-    pairs = materialise(_count_pairs(labelled), "toxicity_pairs")
-    low, high = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("pair", 32)
-    before = materialise(pairs.groupBy("toxic", low.alias("word")).agg(F.count("*").alias("kinds")), "toxicity_words")
-    after = pairs.groupBy("toxic", high.alias("word")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+def expressions(labelled: DataFrame) -> DataFrame:
+    """(start, ratio, deviation) of all expressions of rows (text, label), ordered by nothing: the log-ratio of an expression,
+    and by how many standard deviations its share below its beginning differs between the models."""
+    before = materialise(_contexts(labelled), "toxicity_words")
+    stats = before.agg(*[
+        F.coalesce(f(F.when(F.col("toxic") == c, x)), F.lit(0)).cast("double").alias(f"{n}{c}")
+        for c in (0, 1) for n, f, x in (
+            ("total", F.sum, F.col("kinds")), ("types", F.count, F.lit(1)),
+            ("once", F.count, F.when(F.col("kinds") == 1, 1)), ("twice", F.count, F.when(F.col("kinds") == 2, 1)),
+        )
+    ]).first()
     spelled = before.join(_vocabulary(labelled), "word").select("toxic", "kinds", F.concat("spelling", F.lit(END)).alias("s"))
     starts = F.transform(F.sequence(F.lit(0), F.least(F.length("s"), F.lit(SPELLED))), lambda k: F.substring("s", F.lit(1), k))
-    beginnings = spelled.select("toxic", "kinds", F.explode(starts).alias("start")).groupBy("toxic", "start").agg(F.sum("kinds").alias("kinds"))
-    beginnings = materialise(beginnings, "toxicity_beginnings")
-    parents = beginnings.where("start <> ''").groupBy("toxic", F.expr("left(start, length(start) - 1)").alias("start")).agg(F.count("*").alias("kinds"))
-    sums = [
-        _cell_sums(before, F.xxhash64("word"), kinds=BEFORE), _cell_sums(after, F.xxhash64("word"), n=AFTER, kinds=KINDS_AFTER),
-        _cell_sums(pairs.where("n > 1"), F.xxhash64("pair"), n=PAIRS),
-        _cell_sums(beginnings, F.xxhash64("start"), kinds=BEGINNINGS), _cell_sums(parents, F.xxhash64("start"), kinds=NEXT),
-    ]
-    tables = np.zeros(24 * CELLS, np.float32)
-    for frame in sums:
-        found = frame.toArrow()
-        tables[found["at"].to_numpy()] = found["value"].to_numpy()
-    stats = {r.toxic: r for r in before.groupBy("toxic").agg(
-        F.sum("kinds").alias("total"), F.count("*").alias("types"),
-        F.count(F.when(F.col("kinds") == 1, 1)).alias("once"), F.count(F.when(F.col("kinds") == 2, 1)).alias("twice"),
-    ).collect()}
-    by_class = [stats.get(c) for c in (0, 1)]
-    return Model(
-        tables.reshape(6, 2, 2, CELLS),
-        tuple(s.once / (s.once + 2 * s.twice) if s and s.once else 0.5 for s in by_class),
-        tuple(float(s.total) if s else 0.0 for s in by_class), tuple(float(s.types) if s else 0.0 for s in by_class),
+    counts = spelled.select("toxic", "kinds", F.explode(starts).alias("start")).groupBy("start").agg(
+        *[F.sum(F.when(F.col("toxic") == c, F.col("kinds")).otherwise(0)).cast("double").alias(f"n{c}") for c in (0, 1)]
     )
+    counts = materialise(counts, "toxicity_expressions")
+    above = counts.select(F.col("start").alias("above"), F.col("n0").alias("a0"), F.col("n1").alias("a1"))
+    met = counts.where("start <> ''").join(above, F.expr("left(start, length(start) - 1) = above"))
+    pooled = (F.col("n0") + F.col("n1")) / max(1.0, stats.total0 + stats.total1)
 
+    def chance(c: int) -> Column:
+        total, once, twice = (stats[f"{x}{c}"] for x in ("total", "once", "twice"))
+        if not total:
+            return pooled
+        d = once / (once + 2 * twice) if once else 0.5
+        return F.greatest(F.col(f"n{c}") - d, F.lit(0.0)) / total + d * stats[f"types{c}"] / total * pooled
 
-def _look(model: Model, table: int, hashes: np.ndarray) -> np.ndarray:
-    """Counts [class, position] of hashes in a table."""
-    one, two = cells(hashes)
-    return np.minimum(model.tables[table, 0][:, one], model.tables[table, 1][:, two])
-
-
-def word_chances(model: Model, words: list[str]) -> np.ndarray:
-    """P(w) [class, word] of both models."""
-    before = _look(model, BEFORE, mix(np.array([word_hash(w) for w in words], np.uint64)))
-    size = np.array([min(len(w) + 1, SPELLED) for w in words])
-    last = np.cumsum(size + 1) - 1  # where the longest beginning of each word stands in the flat list
-    flat = np.array(list(chain.from_iterable(map(beginning_hashes, words))), np.uint64)
-    seen, following = _look(model, BEGINNINGS, flat), _look(model, NEXT, flat)
-    inner = np.ones(len(flat), bool)
-    inner[last] = False
-    at = np.flatnonzero(inner)  # every beginning but the longest; the next in the list is one character longer
-    pooled = (seen[:, at + 1].sum(0) + 0.5) / (seen[:, at].sum(0) + 0.5 * LETTERS)
-    first = np.concatenate([[0], np.cumsum(size)[:-1]])
-    rest = np.minimum(1, (before.sum(0) + 0.5) / (seen[:, last].sum(0) + 0.5))
-    out = np.empty((2, len(words)))
-    for c in (0, 1):
-        n = np.maximum(seen[c, at], 1)
-        q = np.where(
-            seen[c, at] > 0, np.maximum(np.minimum(seen[c, at + 1], n) - DISCOUNT, 0) / n + DISCOUNT * np.clip(following[c, at], 1, n) / n * pooled, pooled
-        )
-        spelled = np.exp(np.add.reduceat(np.log(q), first)) * rest
-        if model.total[c]:
-            d, n = model.discount[c], model.total[c]
-            spelled = np.maximum(before[c] - d, 0) / n + d * model.types[c] / n * spelled
-        out[c] = spelled
-    return out
-
-
-def context_weights(model: Model, hashes: np.ndarray) -> np.ndarray:
-    """n(v) and N(v.) / n(v) of words as contexts, [2 * class, 2 * class + 1, word]; 1 and 1 for words never seen before another."""
-    mixed = mix(hashes)
-    n, kinds = _look(model, AFTER, mixed), _look(model, KINDS_AFTER, mixed)
-    safe = np.maximum(n, 1)
-    back = np.where(n > 0, np.clip(kinds / safe, 1e-3, 1), 1)
-    return np.stack([safe[0], back[0], safe[1], back[1]])
-
-
-def log_ratios(model: Model, hashes: np.ndarray, chances: np.ndarray, contexts: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log P(w | v, toxic) - log P(w | v, ordinary) of every word of texts laid end to end; words at ``first`` begin a text and have no context."""
-    if not len(hashes):
-        return np.zeros(0)
-    pairs = np.maximum(_look(model, PAIRS, mix(pair_hash(hashes[:-1], hashes[1:]))) - 1, 0)
-    out = []
-    for c in (0, 1):
-        n, back = contexts[2 * c, :-1], contexts[2 * c + 1, :-1]
-        q = chances[c].copy()
-        q[1:] = np.minimum(pairs[c], n) / n + back * q[1:]
-        q[first] = chances[c][first]
-        out.append(q)
-    return np.log(out[1] / out[0])
+    share = (F.col("n0") + F.col("n1")) / (F.col("a0") + F.col("a1"))
+    expected = F.col("a1") * share
+    deviation = (F.col("n1") - expected) / F.sqrt(expected * (1 - F.col("a1") / (F.col("a0") + F.col("a1"))) + 0.25)
+    return met.select("start", (F.log(chance(1)) - F.log(chance(0))).alias("ratio"), deviation.alias("deviation"), "n0", "n1")
+
+
+def count_model(labelled: DataFrame) -> Model:
+    """A model of rows (text, label), without calibration. The driver receives the kept expressions only, at most ``KEPT``."""
+    known = expressions(labelled).where((F.abs("deviation") >= DEVIATIONS) & (F.col("n0") + F.col("n1") >= LEAST))
+    kept = known.orderBy(F.desc(F.abs("deviation")), "start").limit(KEPT).select("start", "ratio").toArrow()
+    return Model(dict(zip(kept["start"].to_pylist(), kept["ratio"].to_pylist())))
+
+
+def word_ratio(ratios: dict[str, float], word: str) -> float:
+    """The log-ratio of a word: that of its longest kept expression, 0 if it has none."""
+    marked = (word + END)[:SPELLED]
+    for k in range(len(marked), 0, -1):
+        if (found := ratios.get(marked[:k])) is not None:
+            return found
+    return 0.0
 
 
 def evidence(r: np.ndarray) -> list[float]:
@@ -266,39 +157,22 @@ def evidence(r: np.ndarray) -> list[float]:
     return [float(r.mean()), best, float(top[-1]), float(top[-2]), float(top[-3]), float(top.mean()), float(np.log(len(r)))]
 
 
-class Reader:
-    """Evidence of texts; remembers the numbers of words it has met, a bounded number of them."""
+class Reader(dict):
+    """Evidence of texts; remembers the ratios of words it has met, a bounded number of them."""
 
-    def __init__(self, model: Model, most: int = 300_000):
-        self.model, self.most = model, most
-        self.clear()
+    def __init__(self, ratios: dict[str, float], most: int = 300_000):
+        super().__init__()
+        self.ratios, self.most = ratios, most
 
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.hashes, self.chances, self.contexts = np.zeros(0, np.uint64), np.zeros((2, 0)), np.zeros((4, 0))
+    def __missing__(self, word: str) -> float:
+        value = self[word] = word_ratio(self.ratios, word)
+        return value
 
-    def ratios(self, texts) -> list[np.ndarray]:
-        if len(self.known) > self.most:
+    def evidence(self, text: str | None) -> list[float]:
+        if len(self) > self.most:
             self.clear()
-        known, flat, sizes = self.known, [], []
-        for text in texts:
-            words = tokens(text)
-            sizes.append(len(words))
-            flat += words
-        if new := list(dict.fromkeys(w for w in flat if w not in known)):
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            hashes = np.array([word_hash(w) for w in new], np.uint64)
-            self.hashes = np.concatenate([self.hashes, hashes])
-            self.chances = np.concatenate([self.chances, word_chances(self.model, new)], axis=1)
-            self.contexts = np.concatenate([self.contexts, context_weights(self.model, hashes)], axis=1)
-        at = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
-        ends = np.cumsum(sizes)
-        first = (ends - sizes)[np.array(sizes) > 0]
-        r = log_ratios(self.model, self.hashes[at], self.chances[:, at], self.contexts[:, at], first)
-        return np.split(r, ends[:-1]) if sizes else []
-
-    def __call__(self, texts) -> list[list[float]]:
-        return [evidence(r) for r in self.ratios(texts)]
+        words = tokens(text)
+        return evidence(np.fromiter(map(self.__getitem__, words), np.float64, len(words)))
 
 
 def calibrate(model: Model, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> Model:
@@ -319,15 +193,15 @@ def calibrate(model: Model, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, st
     return model
 
 
-def _score_udf(model: Model):
-    """(evidence, score) of each text, from a shared model."""
+def _score_udf(model):
+    """(evidence, score) of each text, from a broadcast model."""
 
     @F.pandas_udf("evidence array<double>, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = model.unpacked()
-        read = Reader(m)
+        m = model.value
+        reader = Reader(m.ratios)
         for texts in batches:
-            found = np.array([e for at in range(0, len(texts), 500) for e in read(texts.iloc[at : at + 500])], np.float64).reshape(-1, EVIDENCE)
+            found = np.array([reader.evidence(t) for t in texts], np.float64).reshape(-1, EVIDENCE)
             p = np.full(len(found), np.nan)
             if m.weights is not None:
                 z = m.weights[0] + ((found - m.shift) / m.scale) @ m.weights[1:]
@@ -349,14 +223,15 @@ def labelled_texts(df: DataFrame, labels: DataFrame, broadcast_rows: int = 4_000
 
 
 def fit(labelled: DataFrame, calibration_rows: int = 50_000) -> Model:
-    """Models from the rows (text, label) with part 0, calibrated on those with part 1.
+    """A model of the rows (text, label) with part 0, calibrated on those with part 1.
 
     All rows of part 0 are counted. The logistic curve over seven numbers is fitted to at most
     ``calibration_rows`` rows of part 1, those with the smallest text hash; this bound is the only sample.
     """
     model = count_model(labelled.where("part = 0"))
-    held = labelled.where("part = 1").orderBy(F.xxhash64("text"), "label").limit(calibration_rows)
-    found = held.select("label", _score_udf(model.share(labelled.sparkSession))(F.col("text")).alias("s")).select("label", "s.evidence").toArrow()
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    scored = labelled.where("part = 1").select("label", F.xxhash64("text").alias("at"), _score_udf(shared)(F.col("text")).getField("evidence").alias("evidence"))
+    found = scored.orderBy("at", "label").limit(calibration_rows).toArrow()
     x = np.array(found["evidence"].to_pylist(), np.float64)
     return calibrate(model, x, np.array(found["label"].to_pylist(), np.float64))
 
@@ -377,4 +252,5 @@ def score(df: DataFrame, model: Model, text: str = "text") -> Column:
 
     Repeated rows score alike, other columns are not read, and a frame without rows stays empty.
     """
-    return _score_udf(model.share(df.sparkSession))(F.col(text)).getField("score")
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return _score_udf(shared)(F.col(text)).getField("score")

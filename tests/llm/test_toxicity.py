@@ -13,50 +13,41 @@ from riskloom.llm import toxicity as T
 TEXTS = [("you awful thing, awful day", 1), ("you awful man", 1), ("a good day for you", 0), ("a good man you know", 0), ("a good man you know", 0), ("day", 0), (None, 1), ("", 0)]
 
 
-def plain_ratio(texts, sentence):
-    pairs, before, starts = (defaultdict(Counter) for _ in range(3))
+def plain_expressions(texts):
+    pairs, before, n = defaultdict(set), defaultdict(Counter), defaultdict(Counter)
     for text, c in texts:
         w = T.tokens(text)
         pairs[c].update(zip(w, w[1:]))
     for c in (0, 1):
-        for v, w in pairs[c]:
-            before[c][w] += 1
-        for w, n in before[c].items():
-            for k in range(min(len(w) + 1, T.SPELLED) + 1):
-                starts[c][(w + T.END)[:k]] += n
-    words, out = T.tokens(sentence), []
-    for i, w in enumerate(words):
-        logs = []
+        before[c].update(w for _, w in pairs[c])
+        for w, k in before[c].items():
+            for size in range(min(len(w) + 1, T.SPELLED) + 1):
+                n[c][(w + T.END)[:size]] += k
+    out = {}
+    total = [sum(before[c].values()) for c in (0, 1)]
+    for p in {*n[0], *n[1]} - {""}:
+        chances = []
         for c in (0, 1):
-            q = 1.0
-            longest = min(len(w) + 1, T.SPELLED)
-            for k in range(longest):
-                h, hx = (w + T.END)[:k], (w + T.END)[: k + 1]
-                pooled = (starts[0][hx] + starts[1][hx] + 0.5) / (starts[0][h] + starts[1][h] + 0.5 * T.LETTERS)
-                n, kinds = starts[c][h], sum(1 for s in starts[c] if len(s) == k + 1 and s[:k] == h)
-                q *= max(starts[c][hx] - T.DISCOUNT, 0) / n + T.DISCOUNT * kinds / n * pooled if n else pooled
-            full = (w + T.END)[:longest]
-            q *= min(1, (before[0][w] + before[1][w] + 0.5) / (starts[0][full] + starts[1][full] + 0.5))
-            total = sum(before[c].values())
-            once, twice = (sum(1 for n in before[c].values() if n == k) for k in (1, 2))
+            once, twice = (sum(1 for k in before[c].values() if k == x) for x in (1, 2))
             d = once / (once + 2 * twice) if once else 0.5
-            p = max(before[c][w] - d, 0) / total + d * len(before[c]) / total * q
-            if i:
-                after = sum(n for (a, _), n in pairs[c].items() if a == words[i - 1])
-                kinds = sum(1 for a, _ in pairs[c] if a == words[i - 1])
-                if after:
-                    p = max(pairs[c][words[i - 1], w] - 1, 0) / after + kinds / after * p
-            logs.append(math.log(p))
-        out.append(logs[1] - logs[0])
+            chances.append(max(n[c][p] - d, 0) / total[c] + d * len(before[c]) / total[c] * (n[0][p] + n[1][p]) / sum(total))
+        up = p[:-1]
+        expected = n[1][up] * (n[0][p] + n[1][p]) / (n[0][up] + n[1][up])
+        out[p] = (math.log(chances[1] / chances[0]), (n[1][p] - expected) / math.sqrt(expected * n[0][up] / (n[0][up] + n[1][up]) + 0.25))
     return out
 
 
-def test_ratios_against_plain_counts(spark):
-    model = T.count_model(spark.createDataFrame(TEXTS, "text string, label int"))
-    sentence = "you awful good unseen man"
-    others, got, last = T.Reader(model).ratios(["day", sentence, "you"])
-    assert got == pytest.approx(plain_ratio(TEXTS, sentence), rel=1e-4)
-    assert list(others) + list(last) == pytest.approx(plain_ratio(TEXTS, "day") + plain_ratio(TEXTS, "you"), rel=1e-4)
+def test_expressions_against_plain_counts(spark):
+    got = {r.start: (r.ratio, r.deviation) for r in T.expressions(spark.createDataFrame(TEXTS, "text string, label int").repartition(3)).collect()}
+    want = plain_expressions(TEXTS)
+    assert set(got) == set(want)
+    for p in want:
+        assert got[p] == pytest.approx(want[p], rel=1e-9, abs=1e-9)
+
+
+def test_a_word_says_what_its_longest_kept_expression_does():
+    ratios = {"a": 0.5, "awf": 2.0, "awful$": 3.0}
+    assert [T.word_ratio(ratios, w) for w in ("awful", "awfully", "axe", "b")] == [3.0, 2.0, 0.5, 0.0]
 
 
 def corpus(n=700):
@@ -82,7 +73,7 @@ def test_held_out_accuracy(spark, docs):
     # The labels of held-out rows are not read.
     other = [(i, 1 - y if i in held else y) for i, y in labels]
     again = T.train(df, spark.createDataFrame(other, "doc_id long, toxic int"))
-    assert np.array_equal(again.tables, model.tables) and np.allclose(again.weights, model.weights)
+    assert again.ratios == model.ratios and np.allclose(again.weights, model.weights)
 
 
 def test_both_ways_of_joining_labels_agree(spark, docs):

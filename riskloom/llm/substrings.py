@@ -32,7 +32,7 @@ PART = 1 << 20
 PLACE = (1 << 24) - 1
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words of one index; a shard holds several of them, cut between anchors.
-INDEX_WORDS = 400_000
+INDEX_WORDS = 200_000
 
 
 class WordHash(dict):
@@ -130,7 +130,7 @@ def _pieces(texts: DataFrame, width: int) -> DataFrame:
             for key, size, text in zip(batch["id"], batch["size"], batch["text"]):
                 words = split(text)
                 if len(words) >= width:
-                    if len(known) > 500_000:
+                    if len(known) > 150_000:
                         known.clear()
                     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
                     a, c, s, n, several = anchored_pieces(h, width)

@@ -180,7 +180,6 @@ PRIVACY_METRICS = [
     "L value",
 ]
 QUASI_IDENTIFIERS = ["age_group", "monthly_income", "spending_ratio", "account_age_months"]
-DEFAULT_SALT = "kvkk_project_2026"
 
 # Versions and stamps written with predictions.
 STAMP_API = "api_inference"
@@ -189,7 +188,5 @@ STAMP_TRIGGER = "ml_pipeline"
 TRIGGER_MODEL = "v1"
 TRIGGER_DATASET = "dataset_v1"
 UNKNOWN_MODEL = "unknown_model"
-PREDICTION_MODEL_HASH = "b02a4b90e9feb18d0ef31562d8c2fa4a46c7b5812790cc777c6110e8a87b7c65"
-PREDICTION_MODEL_VERSION = "v1_thesis_final"
 EXPLANATION_METHOD = "Hybrid (Rule Engine + LIME + Feature Attribution)"
 EXPLAIN_SUMMARY = "Risk mainly influenced by behavioral financial patterns."

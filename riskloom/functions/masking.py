@@ -9,13 +9,14 @@ from riskloom import constants as K
 from riskloom.functions.numeric import round_even
 
 
-def hash_id(value: Column, salt: str = K.DEFAULT_SALT) -> Column:
+def hash_id(value: Column, salt: str) -> Column:
+    """Pseudonym under a secret salt."""
     return F.sha2(F.concat(value.cast("string"), F.lit(salt)), 256)
 
 
 def hash_id_plain(value: Column) -> Column:
-    """Unsalted hash of the text form; the same in every process."""
-    return F.xxhash64(value.cast("string"))
+    """Unsalted hash of the text form, the first 60 bits of its MD5; the same in every process and engine."""
+    return F.conv(F.substring(F.md5(value.cast("string")), 1, 15), 16, 10).cast("bigint")
 
 
 def mask_email(email: Column) -> Column:

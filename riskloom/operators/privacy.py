@@ -19,7 +19,7 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if filled[c] > 0])
 
 
-def anonymize(df: DataFrame, salt: str = K.DEFAULT_SALT, drop_empty: bool = True) -> DataFrame:
+def anonymize(df: DataFrame, salt: str, drop_empty: bool = True) -> DataFrame:
     """Pseudonymise, mask and generalise whichever of the known columns exist, in one projection."""
     rules = {
         "customer_id": lambda c: M.hash_id(c, salt),
@@ -83,44 +83,46 @@ def suppress(df: DataFrame, violations: DataFrame, identifiers: list[str], null_
 def coarsen_if_needed(df: DataFrame, identifiers: list[str], k: int = 3, threshold: float = 0.20) -> DataFrame:
     """Coarser spending and income where violating groups exceed a share of the rows; otherwise unchanged.
 
-    The decision is a scalar inside the plan, nothing comes to the driver.
+    The decision is one row on the driver. ``df`` is read twice; pass a stored frame when it is costly to make.
     """
-    groups = k_violations(df, identifiers, k).agg(F.count(F.lit(1))).scalar()
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    needed = groups > rows * dbl(threshold)
+    sizes = df.groupBy(*[_key(c) for c in identifiers]).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.count_if(F.col("n") < k).alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    if found.groups <= found.rows * threshold:
+        return df
     changes = {}
     if "spending_ratio" in df.columns:
-        changes["spending_ratio"] = F.when(needed, M.coarser_spending(F.col("spending_ratio"))).otherwise(
-            F.col("spending_ratio")
-        )
+        changes["spending_ratio"] = M.coarser_spending(F.col("spending_ratio"))
     if "monthly_income" in df.columns:
-        changes["monthly_income"] = F.when(needed, M.coarser_income(F.col("monthly_income"))).otherwise(
-            F.col("monthly_income")
-        )
+        changes["monthly_income"] = M.coarser_income(F.col("monthly_income"))
     return df.withColumns(changes)
 
 
 def anonymize_pipeline(
     df: DataFrame,
+    salt: str,
     k: int = 3,
     l: int = 3,
     sensitive: str = "risk_score",
     threshold: float = 0.20,
-    salt: str = K.DEFAULT_SALT,
     suppress_null: bool = False,
 ) -> DataFrame:
-    """Anonymise, check k, coarsen if needed, suppress, check l, suppress.
+    """Anonymise, check k, coarsen if needed, suppress the groups that fail k or l.
 
-    The generalised rows are written once: the checks and both suppressions read
-    only the columns they need from there.
+    The generalised rows are written once. Suppression removes whole groups, so one
+    aggregate per group, its rows and its different sensitive values, answers both checks.
+    Groups with a missing identifier are not judged by l.
     """
     anonymous = drop_empty_columns(materialise(anonymize(df, salt, drop_empty=False), "anonymous"))
     identifiers = quasi_identifiers(anonymous)
     coarse = coarsen_if_needed(anonymous, identifiers, k, threshold)
-    kept = suppress(coarse, k_violations(coarse, identifiers, k), identifiers, suppress_null)
-    if sensitive not in kept.columns:
-        return kept
-    return suppress(kept, l_violations(kept, identifiers, sensitive, l), identifiers, suppress_null)
+    checks = [F.count(F.lit(1)).alias("n")]
+    fails = F.col("n") < k
+    if sensitive in coarse.columns:
+        whole = F.min(F.array_min(F.array(*[F.col(c).isNotNull().cast("int") for c in identifiers])))
+        checks += [F.count_distinct(F.col(sensitive)).alias("diversity"), whole.alias("whole")]
+        fails = fails | ((F.col("whole") == 1) & (F.col("diversity") < l))
+    groups = coarse.groupBy(*[_key(c) for c in identifiers]).agg(*checks)
+    return suppress(coarse, groups.where(fails), identifiers, suppress_null)
 
 
 def privacy_report(original: DataFrame, final: DataFrame, k: int = 3, l: int = 3, sensitive: str = "risk_score") -> DataFrame:

@@ -1,132 +1,126 @@
 """Exact quantiles and ranks that never gather a whole column in one task.
 
-Two ways, chosen by a measured number of distinct values:
-
-* few distinct values: Spark's exact ``percentile``, whose buffers are
-  value -> count maps;
-* many: the column is reduced to (value, count) before any shuffle, range
-  partitioned by value and written once. Counts per written part give each part
-  its offset, a running sum inside each part gives every value its position.
+Columns are reduced to (column, value, count) before any shuffle, range partitioned by
+column and value and written once, all columns together. Counts per written part give
+each part its offset, a running sum inside each part gives every value its position.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.numeric import dbl, present
-from riskloom.operators.scalars import constants
+from riskloom.functions.numeric import dbl
 from riskloom.sources.store import materialise
 
-# Largest number of distinct values for the one-map way (about 50 MB of map).
-MAP_LIMIT = 1_000_000
 
+@dataclass(frozen=True)
+class Positions:
+    """``rows`` (name, value, n, before): the distinct values of columns, how often each occurs and how many values are smaller;
+    ``totals``: the number of values per column."""
+
+    rows: DataFrame
+    totals: dict[str, int]
 
-def distinct_estimate(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in columns]).first()
-    return row.asDict()
+    def of(self, name: str) -> DataFrame:
+        return self.rows.where(F.col("name") == name).drop("name")
 
 
-def value_positions(
-    df: DataFrame, column: str, parts: int | None = None, weight: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with their count and the number of smaller values, (value, n, before), and a one-row total.
+def column_positions(df: DataFrame, columns: list[str], weight: str | None = None, parts: int | None = None) -> Positions:
+    """Positions of the values of several columns in one pass.
 
-    A value held by a third of the rows is one row here, so no part is hot.
-    ``weight`` names a column of row counts where ``df`` is already grouped.
+    A value held by a third of the rows is one row here, so no part is hot. Missing values
+    and NaN have no position. ``weight`` names a column of row counts where ``df`` is already grouped.
     """
-    spark = df.sparkSession
-    parts = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    values = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
     counted = (
-        df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-        .groupBy(F.col(column).cast("double").alias("value"))
-        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
-        .repartitionByRange(parts, "value")
+        df.select(F.inline(values), (F.col(weight) if weight else F.lit(1)).alias("rows"))
+        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .groupBy("name", "value")
+        .agg(F.sum("rows").alias("n"))
+        .repartitionByRange(parts, "name", "value")
         .withColumn("part", F.spark_partition_id())
     )
     stored = materialise(counted, "positions")
-    # At most ``parts`` rows: the one frame here that is ordered in a single task.
-    totals = stored.groupBy("part").agg(F.sum("n").alias("rows"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    positions = (
+    # At most ``parts`` rows more than there are columns.
+    sizes = stored.groupBy("name", "part").agg(F.sum("n").alias("rows")).collect()
+    totals, offsets = dict.fromkeys(columns, 0), []
+    for r in sorted(sizes, key=lambda r: (r.name, r.part)):
+        offsets.append((r.name, r.part, totals[r.name]))
+        totals[r.name] += r.rows
+    starts = df.sparkSession.createDataFrame(offsets, "name string, part int, offset long")
+    within = Window.partitionBy("name", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    rows = (
         stored.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
-        .join(F.broadcast(offsets), "part")
-        .select("value", "n", (F.col("offset") + F.col("inside")).alias("before"))
+        .join(F.broadcast(starts), ["name", "part"])
+        .select("name", "value", "n", (F.col("offset") + F.col("inside")).alias("before"))
     )
-    return positions, stored.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-
-
-def quantiles_from_positions(positions: DataFrame, total: int, probs: dict[str, float]) -> DataFrame:
-    """Linear-interpolation quantiles as one row; each needs the values at two positions."""
-    picks = []
-    for p in probs.values():
-        at = (total - 1) * p
-        picks += [math.floor(at), math.ceil(at)]
-    wanted = sorted(set(picks)) if total > 0 else [0]
-    covers = [(F.col("before") <= w) & (F.col("before") + F.col("n") > w) for w in wanted]
-    needed = positions.where(reduce(lambda a, b: a | b, covers))
-    found = needed.agg(*[F.max(F.when(c, F.col("value"))).alias(f"at_{w}") for w, c in zip(wanted, covers)])
-    out = []
-    for name, p in probs.items():
-        at = max(total - 1, 0) * p
-        lo, hi = math.floor(at), math.ceil(at)
-        low, high = F.col(f"at_{lo}"), F.col(f"at_{hi}")
-        value = low if lo == hi else F.when(low == high, low).otherwise(dbl(hi - at) * low + dbl(at - lo) * high)
-        out.append(value.alias(name))
-    return found.select(*out)
-
-
-def exact_quantiles(
-    df: DataFrame, wanted: dict[str, tuple[str, float]], map_limit: int | None = None, weight: str | None = None
-) -> dict[str, Column]:
+    return Positions(rows, totals)
+
+
+def value_positions(df: DataFrame, column: str, parts: int | None = None, weight: str | None = None) -> Positions:
+    return column_positions(df, [column], weight, parts)
+
+
+def places(total: int, probability: float) -> tuple[int, int, float]:
+    """The two positions that a linear-interpolation quantile lies between, and where."""
+    at = max(total - 1, 0) * probability
+    return math.floor(at), math.ceil(at), at
+
+
+def interpolated(low: float | None, high: float | None, at: float) -> float | None:
+    lo, hi = math.floor(at), math.ceil(at)
+    return low if low is None or lo == hi or low == high else (hi - at) * low + (at - lo) * high
+
+
+def values_at(positions: Positions, picks: set[tuple[str, int]]) -> dict[tuple[str, int], float | None]:
+    """The values that stand at given places (from 0) of columns: one aggregate of one row."""
+    keys = sorted(picks)
+    covers = [(F.col("name") == c) & (F.col("before") <= k) & (F.col("before") + F.col("n") > k) for c, k in keys]
+    return dict(zip(keys, positions.rows.agg(*[F.max(F.when(x, F.col("value"))).alias(f"at_{i}") for i, x in enumerate(covers)]).first()))
+
+
+def quantile_values(positions: Positions, wanted: dict[str, tuple[str, float]]) -> dict[str, float | None]:
+    """Linear-interpolation quantiles: name -> (column, probability) gives name -> number."""
+    spots = {name: (column, *places(positions.totals[column], p)) for name, (column, p) in wanted.items()}
+    found = values_at(positions, {(c, k) for c, lo, hi, _ in spots.values() for k in (lo, hi)})
+    return {name: interpolated(found[c, lo], found[c, hi], at) for name, (c, lo, hi, at) in spots.items()}
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], weight: str | None = None) -> dict[str, Column]:
     """Exact quantiles: name -> (column, probability) gives name -> constant column for use in any plan.
 
-    ``weight`` names a column of row counts where ``df`` is already grouped.
+    All columns share one pass. ``weight`` names a column of row counts where ``df`` is already grouped.
+    """
+    positions = column_positions(df, sorted({c for c, _ in wanted.values()}), weight)
+    return {name: F.lit(v).cast("double") for name, v in quantile_values(positions, wanted).items()}
+
+
+def with_percent_rank(df: DataFrame, column: str, out: str, known: Positions | None = None, ends: tuple[float, ...] = ()) -> DataFrame:
+    """Average rank of ties over the number of values; rows without a value get none.
+
+    ``ends`` are values that very many rows may share, such as the limits of a clipped score: their ranks are
+    constants of the plan, so these rows stay where they are and only the others are joined.
     """
-    limit = MAP_LIMIT if map_limit is None else map_limit
-    columns = sorted({c for c, _ in wanted.values()})
-    distinct = distinct_estimate(df, columns)
-    out: dict[str, Column] = {}
-    asked = {c: {k: p for k, (of, p) in wanted.items() if of == c} for c in columns}
-    few = [c for c in columns if distinct[c] <= limit]
-    if few:
-        # One value -> count map per column serves all its probabilities.
-        frequency = F.col(weight) if weight else F.lit(1)
-        maps = [
-            F.percentile(present(F.col(c)), F.array(*[F.lit(p) for p in asked[c].values()]), frequency).alias(c) for c in few
-        ]
-        found = df.agg(*maps).first()
-        for c in few:
-            values = found[c] or [None] * len(asked[c])
-            out.update({k: F.lit(v).cast("double") for k, v in zip(asked[c], values)})
-    for column in columns:
-        if distinct[column] > limit:
-            positions, total = value_positions(df, column, weight=weight)
-            out.update(position_quantiles(positions, total, asked[column]))
-    return out
-
-
-def position_quantiles(positions: DataFrame, total: DataFrame, probs: dict[str, float]) -> dict[str, Column]:
-    """Quantiles of a column whose value positions are known, as constants."""
-    return constants(quantiles_from_positions(positions, total.first().total, probs))
-
-
-def with_percent_rank(
-    df: DataFrame, column: str, out: str, known: tuple[DataFrame, DataFrame] | None = None
-) -> DataFrame:
-    """Average rank of ties over the number of values; rows without a value get none."""
-    positions, total = known or value_positions(df, column)
-    ranks = positions.select(
-        F.col("value").alias("_value"),
-        ((F.col("before") + (F.col("n") + 1) / dbl(2.0)) / total.scalar().cast("double")).alias(out),
+    known = known or value_positions(df, column)
+    total = dbl(float(max(1, known.totals[column])))
+    ranks = known.of(column).select(
+        F.col("value").alias("_value"), ((F.col("before") + (F.col("n") + 1) / dbl(2.0)) / total).alias(out)
     )
-    # Rows of a hot value all meet the same one-row rank: the adaptive skew join splits their side.
-    return df.join(ranks, F.col(column).cast("double") == F.col("_value"), "left").drop("_value")
+    value = F.col(column).cast("double")
+    if not ends:
+        return df.join(ranks, value == F.col("_value"), "left").drop("_value")
+    found = ranks.agg(*[F.max(F.when(F.col("_value") == e, F.col(out))).alias(f"e{i}") for i, e in enumerate(ends)]).first()
+    fixed = F.lit(None).cast("double")
+    for i, e in enumerate(ends):
+        fixed = F.when(value == e, F.lit(found[i]).cast("double")).otherwise(fixed)
+    rest = F.coalesce(value.isin(list(ends)), F.lit(True)) | F.isnan(value)
+    joined = df.where(~rest).join(ranks, value == F.col("_value"), "left").drop("_value")
+    return joined.unionByName(df.where(rest).withColumn(out, fixed))
 
 
 def with_global_position(df: DataFrame, order: list[Column], parts: int | None = None) -> tuple[DataFrame, Column]:

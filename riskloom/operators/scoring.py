@@ -13,15 +13,15 @@ from riskloom.functions.numeric import (
     clamp01, dbl, inf_to_null, null_to_zero, percent_to_unit, present, round_even, round_up,
 )
 from riskloom.operators.explain import explanation_summary, feature_explanations
-from riskloom.operators.quantiles import exact_quantiles, position_quantiles, value_positions, with_percent_rank
+from riskloom.operators.quantiles import (
+    Positions, column_positions, exact_quantiles, interpolated, places, values_at, with_percent_rank,
+)
 from riskloom.operators.rules import rule_hits, rule_score
 from riskloom.operators.scalars import constants
 from riskloom.sources.store import materialise
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
 
-# Most rows of a frame of two keys and a number that is broadcast (about 50 MB).
-BROADCAST_ROWS = 1_200_000
 
 
 def behaviour_score(unit: bool = False) -> Column:
@@ -286,22 +286,26 @@ def scored_rows(df: DataFrame, run_ts: Column, model: str, feature: str, dataset
     )
 
 
-def calibration_bin(
-    df: DataFrame, column: str, bins: int, out: str, known: tuple[DataFrame, DataFrame] | None = None
-) -> DataFrame:
-    """0-based quantile bin, right closed, lowest value included; equal edges collapse."""
-    probs = {f"e{i}": i / bins for i in range(bins + 1)}
-    if known:
-        q = position_quantiles(*known, probs)
-    else:
-        q = exact_quantiles(df, {name: (column, p) for name, p in probs.items()})
-    edges = [q[f"e{i}"] for i in range(bins + 1)]
-    value = F.col(column)
+def quantile_bin(value: Column, edges: list[Column]) -> Column:
+    """0-based bin of a value between edges, right closed, lowest value included; equal edges collapse."""
     count = F.lit(0)
     # An inner edge counts when the value is above it and it differs from the edge before.
     for before, edge in zip(edges, edges[1:-1]):
         count = count + F.when((value > edge) & (edge > before), 1).otherwise(0)
-    return df.withColumn(out, F.when(value.isNotNull(), count))
+    return F.when(value.isNotNull(), count)
+
+
+def calibration_bin(df: DataFrame, column: str, bins: int, out: str) -> DataFrame:
+    """Quantile bin of a column, see ``quantile_bin``."""
+    q = exact_quantiles(df, {f"e{i}": (column, i / bins) for i in range(bins + 1)})
+    return df.withColumn(out, quantile_bin(F.col(column), [q[f"e{i}"] for i in range(bins + 1)]))
+
+
+def median_sides(df: DataFrame, medians: dict[str, Column], score: str) -> tuple[dict[str, Column], list[Column]]:
+    """Per column whether a row is below its median, and the mean scores of both sides as aggregates."""
+    low = {c: F.coalesce(F.col(c) < m, F.lit(False)) for c, m in medians.items()}
+    means = [F.avg(F.when(low[c], F.col(score))).alias(f"{c}_low") for c in medians]
+    return low, means + [F.avg(F.when(~low[c], F.col(score))).alias(f"{c}_high") for c in medians]
 
 
 def median_split_bias(df: DataFrame, score: str, columns: list[str]) -> dict[str, Column]:
@@ -310,52 +314,75 @@ def median_split_bias(df: DataFrame, score: str, columns: list[str]) -> dict[str
     Each column has two groups, so all means are one row of conditional averages
     and no row of the table moves.
     """
-    medians = exact_quantiles(df, {c: (c, 0.5) for c in columns})
-    low = {c: F.coalesce(F.col(c) < medians[c], F.lit(False)) for c in columns}
-    means = constants(
-        df.agg(
-            *[F.avg(F.when(low[c], F.col(score))).alias(f"{c}_low") for c in columns],
-            *[F.avg(F.when(~low[c], F.col(score))).alias(f"{c}_high") for c in columns],
-        )
-    )
+    low, aggregates = median_sides(df, exact_quantiles(df, {c: (c, 0.5) for c in columns}), score)
+    means = constants(df.agg(*aggregates))
     return {f"{c}_bias": F.col(score) - F.when(low[c], means[f"{c}_low"]).otherwise(means[f"{c}_high"]) for c in columns}
 
 
 def intersectional_bias(df: DataFrame, score: str, columns: list[str], out: str = "intersectional_bias") -> DataFrame:
     """Score minus the mean of the rows that agree in all columns to one digit.
 
-    Two 0..100 scores leave about a million pairs of digits. The means are written and
-    counted: within the limit they are broadcast and the rows stay where they are,
-    however hot a pair is; beyond it the join is left to Spark.
+    Two 0..100 scores to one digit, missing included, make at most 1,002 ** 2 groups whatever the data. Each group is one
+    row per task before the shuffle; the join is left to Spark, which broadcasts a small table of means and
+    splits a hot group otherwise.
     """
     keys = {f"_k{i}": round_even(F.col(c), 1) for i, c in enumerate(columns)}
     keyed = df.withColumns(keys)
     means = keyed.groupBy(*keys).agg(F.avg(score).alias("_mean")).withColumnsRenamed({k: f"{k}_m" for k in keys})
-    means = materialise(means, "group-means")
+    means = materialise(means, "group-means")  # written, so that its size is known and the join has two plain sides
     match = [F.col(k).eqNullSafe(F.col(f"{k}_m")) for k in keys]
-    means = F.broadcast(means) if means.count() <= BROADCAST_ROWS else means
     return keyed.join(means, match, "left").select(*df.columns, (F.col(score) - F.col("_mean")).alias(out))
 
 
 def prediction_table(
-    features: DataFrame, model: Callable[[DataFrame], Column] = linear_model, attributions: DataFrame | None = None
+    features: DataFrame,
+    model_hash: str,
+    model_version: str,
+    model: Callable[[DataFrame], Column] = linear_model,
+    attributions: DataFrame | None = None,
+    bins: int = 5,
 ) -> DataFrame:
-    """The complete prediction output: score, band, bias columns, confidence, bins, rank, lineage.
+    """The complete prediction output: score, band, bias columns, confidence, bins, rank, lineage of the given model.
 
-    ``features`` has customer_id and the three features. The raw score is written once
-    with them; the scaled score is a projection of it. The positions of the scaled
-    values serve both the quantile bins and the percentile ranks.
+    ``features`` has customer_id and the three features. The raw score is written once with them, and so are the
+    positions of its values and of the features'. The scaled score grows with the raw one, so these positions give its
+    limits, the medians, the bin edges and the ranks; all means are one more row.
     """
     raw = materialise(features.withColumn("raw_score", model(features)), "raw")
-    scaled = robust_scale(raw, "raw_score", "predicted_risk_score")
+    positions = column_positions(raw, ["raw_score", *K.FEATURES])
+    total = positions.totals["raw_score"]
+    spots = {("raw_score", p): places(total, p) for p in [0.05, 0.95, *[i / bins for i in range(bins + 1)]]}
+    spots |= {(c, 0.5): places(positions.totals[c], 0.5) for c in K.FEATURES}
+    at = values_at(positions, {(c, k) for (c, _), (lo, hi, _) in spots.items() for k in (lo, hi)})
+
+    def quantile(column: str, p: float) -> float | None:
+        lo, hi, place = spots[column, p]
+        return interpolated(at[column, lo], at[column, hi], place)
+
+    p5, p95 = quantile("raw_score", 0.05), quantile("raw_score", 0.95)
+    low, high = (F.lit(x).cast("double") for x in (p5, p95))
+    scale = lambda x: clamp01((x - low) / (high - low + dbl(1e-6)))
+
+    def scaled_number(x: float | None) -> float | None:
+        return None if x is None else min(1.0, max(0.0, (x - p5) / (p95 - p5 + 1e-6)))
+
+    edges = []
+    for i in range(bins + 1):
+        lo, hi, place = spots["raw_score", i / bins]
+        edges.append(F.lit(interpolated(scaled_number(at["raw_score", lo]), scaled_number(at["raw_score", hi]), place)).cast("double"))
+    # Values that the scale makes equal become one.
+    clipped = positions.of("raw_score").groupBy(scale(F.col("value")).alias("value")).agg(F.sum("n").alias("n"), F.min("before").alias("before"))
+    ranks = Positions(clipped.withColumn("name", F.lit("predicted_risk_score")), {"predicted_risk_score": total})
+
     score = F.col("predicted_risk_score")
-    means = constants(scaled.agg(F.avg(score).alias("score"), F.avg("raw_score").alias("raw")))
-    biases = median_split_bias(scaled, "predicted_risk_score", K.FEATURES)
-    positions, total = value_positions(scaled, "predicted_risk_score")
-    known = (materialise(positions, "positions"), total)
-    out = intersectional_bias(scaled, "predicted_risk_score", [INCOME, PAYMENT])
-    out = calibration_bin(out, "predicted_risk_score", 5, "calibration_bin", known)
-    out = with_percent_rank(out, "predicted_risk_score", "risk_percentile", known)
+    scaled = raw.withColumn("predicted_risk_score", scale(F.col("raw_score")))
+    medians = {c: F.lit(quantile(c, 0.5)).cast("double") for c in K.FEATURES}
+    below, sides = median_sides(scaled, medians, "predicted_risk_score")
+    means = constants(scaled.agg(F.avg(score).alias("score"), F.avg("raw_score").alias("raw"), *sides))
+    biases = {f"{c}_bias": score - F.when(below[c], means[f"{c}_low"]).otherwise(means[f"{c}_high"]) for c in K.FEATURES}
+    out = with_percent_rank(scaled, "predicted_risk_score", "risk_percentile", ranks, ends=(0.0, 1.0))
+    out = intersectional_bias(out, "predicted_risk_score", [INCOME, PAYMENT])
+    out = out.withColumn("calibration_bin", quantile_bin(score, edges))
     if attributions is not None:
         out = out.join(attributions, "customer_id", "left")
     return out.select(
@@ -371,8 +398,8 @@ def prediction_table(
         "intersectional_bias",
         "calibration_bin",
         "risk_percentile",
-        F.lit(K.PREDICTION_MODEL_HASH).alias("model_hash"),
-        F.lit(K.PREDICTION_MODEL_VERSION).alias("model_version"),
+        F.lit(model_hash).alias("model_hash"),
+        F.lit(model_version).alias("model_version"),
         means["raw"].alias("base_value"),
         *(["lime_explanation"] if attributions is not None else []),
     )

@@ -12,6 +12,8 @@ from riskloom.operators import rules, scoring
 from riskloom.plans.bands import level_sql, unit_sql
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import (
+    MODEL_HASH,
+    MODEL_VERSION,
     PREDICTION_CTE, RESPONSE_CTE, RULE_NAMES, RULE_SUM, rounded_predictions, scoring_input, summary_sql, target_sql,
 )
 from riskloom.plans.sqltext import WIDE, d, r, snapshot_cte, u, with_, z
@@ -343,7 +345,7 @@ SELECT pt.*, (SELECT '[' || string_agg('{{"feature":"' || n || '","impact":' ||
 def prediction_table_explained(spark, sf):
     features = materialise(P.wide_customers(spark, sf, "customer_id", *K.FEATURES))
     surrogate = X.attribution_json(X.local_surrogate(features, scoring.linear_model, samples=SAMPLES))
-    return rounded_predictions(scoring.prediction_table(features, attributions=surrogate))
+    return rounded_predictions(scoring.prediction_table(features, MODEL_HASH, MODEL_VERSION, attributions=surrogate))
 
 
 def _narrative_sql() -> str:

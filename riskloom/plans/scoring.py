@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
@@ -94,6 +96,10 @@ def true_risk_score(spark, sf):
 
 _Z = {c: f"coalesce({c}, 0) / {d(100)}" for c in K.FEATURES}
 RAW_CTE = f", raw AS (SELECT *, {target_sql(_Z[PAY], _Z[INC], _Z[RES])} AS raw_score FROM ec)"
+# The stand-in model has no stored artefact: its digest is that of its own description.
+MODEL_VERSION = "linear-target-1"
+MODEL_HASH = sha256(MODEL_VERSION.encode()).hexdigest()
+
 SCALED_CTE = RAW_CTE + f""",
 sc AS (SELECT *, least({d(1)}, greatest({d(0)}, (raw_score - (SELECT quantile_cont(raw_score, 0.05) FROM raw))
   / ((SELECT quantile_cont(raw_score, 0.95) FROM raw) - (SELECT quantile_cont(raw_score, 0.05) FROM raw) + {d(1e-6)}))) AS predicted FROM raw)
@@ -369,7 +375,7 @@ pt AS (SELECT customer_id, {INC}, {PAY}, {RES}, {r('predicted', 9)} AS predicted
   {r(f'{d(1)} - abs(predicted - (SELECT avg(predicted) FROM sc))', 9)} AS model_confidence,
   {r('predicted - mp', 9)} AS {PAY}_bias, {r('predicted - mi', 9)} AS {INC}_bias, {r('predicted - mr', 9)} AS {RES}_bias,
   {r('predicted - mx', 9)} AS intersectional_bias, calibration_bin, {r('rk / (SELECT count(predicted) FROM sc)', 9)} AS risk_percentile,
-  '{K.PREDICTION_MODEL_HASH}' AS model_hash, '{K.PREDICTION_MODEL_VERSION}' AS model_version,
+  '{MODEL_HASH}' AS model_hash, '{MODEL_VERSION}' AS model_version,
   {r('(SELECT avg(raw_score) FROM raw)', 9)} AS base_value FROM lim)"""
 
 
@@ -384,7 +390,7 @@ def rounded_predictions(table):
 @query("prediction_table", PREDICTION_CTE + " SELECT * FROM pt")
 def prediction_table(spark, sf):
     features = P.wide_customers(spark, sf, "customer_id", *K.FEATURES)
-    return rounded_predictions(scoring.prediction_table(features))
+    return rounded_predictions(scoring.prediction_table(features, MODEL_HASH, MODEL_VERSION))
 
 
 @query(

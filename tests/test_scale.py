@@ -9,6 +9,7 @@ from riskloom import constants as K
 from riskloom.operators import explain as X
 from riskloom.operators import history as H
 from riskloom.operators import quantiles as R
+from riskloom.operators import scoring
 from riskloom.operators.changes import change_log
 from riskloom.plans import QUERIES
 from riskloom.sources import proxies as P
@@ -23,20 +24,18 @@ def skewed(spark):
     return values, spark.createDataFrame(list(enumerate(values)), "customer_id int, x double").repartition(5)
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantiles_both_ways(skewed, limit):
+def test_quantiles(skewed):
     values, df = skewed
     probs = {"a": 0.0, "b": 0.05, "c": 0.37, "d": 0.5, "e": 0.95, "f": 1.0}
-    q = R.exact_quantiles(df, {n: ("x", p) for n, p in probs.items()}, map_limit=limit)
+    q = R.exact_quantiles(df, {n: ("x", p) for n, p in probs.items()})
     got = df.limit(1).select(*[v.alias(n) for n, v in q.items()]).first()
     want = np.quantile([v for v in values if v is not None], list(probs.values()))
     assert [got[n] for n in probs] == pytest.approx(list(want), abs=1e-12)
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantile_of_nothing(spark, limit):
+def test_quantile_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
-    q = R.exact_quantiles(df, {"m": ("x", 0.5)}, map_limit=limit)
+    q = R.exact_quantiles(df, {"m": ("x", 0.5)})
     assert df.select(q["m"].alias("m")).first().m is None
 
 
@@ -120,6 +119,24 @@ def test_local_surrogate_finds_a_linear_model(spark):
         assert out[f"{c}_weight"].to_numpy() == pytest.approx(np.full(30, w * data[:, i].std()), rel=1e-6)
 
 
+def test_more_draws_change_the_surrogate_little(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.uniform(0, 100, (40, 3)))], "customer_id int, " + ", ".join(f"{c} double" for c in K.FEATURES))
+    few, many = (X.local_surrogate(df, scoring.linear_model, samples=n).orderBy("customer_id").toPandas() for n in (5000, 20000))
+    for c in K.FEATURES:
+        a, b = few[f"{c}_weight"].to_numpy(), many[f"{c}_weight"].to_numpy()
+        assert abs(a.mean() / b.mean() - 1) < 0.01
+    plan = plan_of(X.local_surrogate(df, scoring.linear_model))
+    assert "md5" not in plan and plan.split("== Physical")[-1].count("Exchange hashpartitioning") <= 2
+
+
+def test_percent_rank_with_constant_ends(skewed):
+    values, df = skewed
+    plain = {r.customer_id: r.p for r in R.with_percent_rank(df, "x", "p").collect()}
+    ends = {r.customer_id: r.p for r in R.with_percent_rank(df, "x", "p", ends=(0.25, 7.0)).collect()}
+    assert plain == ends
+
+
 def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
 
@@ -140,5 +157,5 @@ def test_only_needed_columns_are_read(spark, sf):
 
 
 def test_window_filter_reaches_the_scan(spark, sf):
-    plan = plan_of(P.feature_snapshot(spark, sf, P.OLD_WINDOW))
+    plan = plan_of(P.feature_snapshot(spark, sf, P.NEW_WINDOW))
     assert "PushedFilters" in plan and "GreaterThanOrEqual(o_orderdate" in plan

@@ -6,23 +6,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
+from riskloom.sources.store import materialise
 
 
 def last_scores(updates: DataFrame) -> DataFrame:
-    """Last score per customer: a two-step aggregate."""
-    newest = F.max_by(F.struct("risk_score"), F.struct("event_time", "event_id")).alias("last")
-    return updates.groupBy("customer_id").agg(newest).select("customer_id", F.col("last.risk_score").alias("last_score"))
+    """Newest event and its score per customer: a two-step aggregate."""
+    newest = F.max(F.struct("event_time", "event_id", "risk_score")).alias("last")
+    return updates.groupBy("customer_id").agg(newest).select(
+        "customer_id", F.col("last.risk_score").alias("last_score"), "last.event_time", "last.event_id"
+    )
 
 
-def change_log(updates: DataFrame, known: DataFrame | None = None, slot: str = "hour") -> DataFrame:
+def change_log(updates: DataFrame, known: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Updates whose score differs, null-safe, from the update before; the first one of a new customer is an insert.
 
     ``updates``: customer_id, event_id, event_time, risk_score. ``known``: last_score
-    per customer from earlier data. Neighbours are compared inside (customer, time
-    slot), so the rows of a hot customer spread over as many tasks as it has slots.
-    The first row of a slot takes its predecessor from one summary row per slot.
+    per customer from earlier data. The updates are range partitioned by customer and
+    time and written once, so a hot customer, or a hot hour of one, is cut into as many
+    parts as it needs. Neighbours are compared inside a part; the first row of a
+    customer in a part takes its predecessor from one summary row per customer and part.
     """
-    rows = updates.withColumn("slot", F.date_trunc(slot, F.col("event_time")))
+    parts = parts or max(2, int(updates.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = ["customer_id", "event_time", "event_id"]
+    rows = materialise(updates.repartitionByRange(parts, *order).withColumn("slot", F.spark_partition_id()), "updates")
     inside = Window.partitionBy("customer_id", "slot").orderBy("event_time", "event_id")
     rows = rows.withColumns({"inner": F.lag(F.struct("risk_score")).over(inside)})
     ends = rows.groupBy("customer_id", "slot").agg(

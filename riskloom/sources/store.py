@@ -47,8 +47,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _written.get() or []:
-            target, fs = _hadoop(spark, path)
-            fs.delete(target, True)
+            remove_path(spark, path)
         _written.reset(token)
 
 
@@ -139,6 +138,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder the library wrote; an absent one is no error."""
+    target, fs = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
 def _hadoop(spark: SparkSession, path: str):
     """A path and the file system it belongs to."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,10 @@ Every micro-batch is an ordinary batch job: its updates are compared with each
 other and with the last known score of their customers. Log and state of a batch
 go to a folder named by the batch number, written with overwrite, so a batch that
 runs again after a failure replaces its own output and nothing is logged twice.
+
+Order is that of (event_time, event_id), inside a batch and between batches: the state
+keeps the newest event of every customer. An update that is not newer than what
+earlier batches brought is late. It is logged as LATE beside the newest score and moves no state.
 """
 
 from __future__ import annotations
@@ -14,12 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from riskloom import constants as K
 from riskloom.operators.changes import change_log, last_scores
-from riskloom.sources.store import materialise, path_exists, scratch_path
+from riskloom.sources.store import materialise, path_exists, remove_path, scratch_path
 
 # Every so many batches the state is written whole; in between only changed customers are.
 FULL_STATE_EVERY = 20
-STATE_SCHEMA = "customer_id bigint, last_score double, batch bigint"
+STATE_SCHEMA = "customer_id bigint, last_score double, event_time timestamp_ntz, event_id bigint, batch bigint"
 
 
 @dataclass(frozen=True)
@@ -34,25 +39,47 @@ class AuditStream:
     def fresh(cls, spark: SparkSession) -> AuditStream:
         return cls(*[scratch_path(spark, f"audit-{part}") for part in ("log", "state", "checkpoint")])
 
-    def known_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """Last score per customer after the batches before this one."""
-        if batch_id == 0 or not path_exists(spark, self.state_path):
+    def known_before(self, spark: SparkSession, batch_id: int, ids: DataFrame | None = None) -> DataFrame | None:
+        """Newest event per customer after the batches before this one, of the given customers or of all.
+
+        State that should be there and is not is an error, never a first run.
+        """
+        if batch_id == 0:
             return None
         full = (batch_id - 1) // FULL_STATE_EVERY * FULL_STATE_EVERY
-        parts = spark.read.schema(STATE_SCHEMA).parquet(self.state_path)
-        recent = parts.where((F.col("batch") >= full) & (F.col("batch") < batch_id))
-        newest = F.max_by(F.struct("last_score"), F.col("batch")).alias("s")
-        return recent.groupBy("customer_id").agg(newest).select("customer_id", "s.last_score")
+        for needed in range(full, batch_id):
+            if not path_exists(spark, f"{self.state_path}/batch={needed}"):
+                raise RuntimeError(f"the state of batch {needed} is missing below {self.state_path}")
+        recent = spark.read.schema(STATE_SCHEMA).parquet(self.state_path).where((F.col("batch") >= full) & (F.col("batch") < batch_id))
+        if ids is not None:
+            recent = recent.join(ids, "customer_id", "left_semi")
+        newest = F.max(F.struct("event_time", "event_id", "last_score")).alias("s")
+        return recent.groupBy("customer_id").agg(newest).select("customer_id", "s.last_score", "s.event_time", "s.event_id")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        updates = materialise(batch, "batch")
-        known = self.known_before(spark, batch_id)
-        change_log(updates, known).write.mode("overwrite").parquet(f"{self.log_path}/batch={batch_id}")
-        last = last_scores(updates)
-        if known is not None and batch_id % FULL_STATE_EVERY == 0:
-            last = last.unionByName(known.join(last, "customer_id", "left_anti"))
+        updates, known = materialise(batch, "batch"), None
+        fresh, late = updates, None
+        if batch_id > 0:
+            known = materialise(self.known_before(spark, batch_id, updates.select("customer_id").distinct()), "known")
+            seen = known.select("customer_id", "last_score", F.struct("event_time", "event_id").alias("newest"))
+            met = updates.join(seen, "customer_id", "left")
+            is_late = F.coalesce(F.struct("event_time", "event_id") <= F.col("newest"), F.lit(False))
+            fresh, late = met.where(~is_late).select(*updates.columns), met.where(is_late)
+        log = change_log(fresh, known)
+        if late is not None:
+            marks = {"previous_score": F.col("last_score"), "change": F.lit("LATE"), "model_version": F.lit(K.TRIGGER_MODEL)}
+            marks |= {"created_by": F.lit(K.STAMP_TRIGGER), "dataset_version": F.lit(K.TRIGGER_DATASET)}
+            log = log.unionByName(late.withColumns(marks).select(*log.columns))
+        log.write.mode("overwrite").parquet(f"{self.log_path}/batch={batch_id}")
+        last = last_scores(fresh)
+        whole = batch_id > 0 and batch_id % FULL_STATE_EVERY == 0
+        if whole:
+            last = last.unionByName(self.known_before(spark, batch_id).join(last, "customer_id", "left_anti"))
         last.write.mode("overwrite").parquet(f"{self.state_path}/batch={batch_id}")
+        if whole:  # a batch that runs again needs the state since the full copy before it
+            for old in range(batch_id - 2 * FULL_STATE_EVERY, batch_id - FULL_STATE_EVERY):
+                remove_path(spark, f"{self.state_path}/batch={old}")
 
     def run(self, updates: DataFrame) -> None:
         """Process all updates that have arrived, then stop; the next run goes on from there."""

@@ -86,10 +86,10 @@ def expected_changes(rows):
     return out
 
 
-@pytest.mark.parametrize("slot", ["hour", "day"])
-def test_change_log(updates, slot):
+@pytest.mark.parametrize("parts", [2, 7])
+def test_change_log(updates, parts):
     rows, df = updates
-    got = {(r.customer_id, r.event_id, r.change) for r in change_log(df, slot=slot).collect()}
+    got = {(r.customer_id, r.event_id, r.change) for r in change_log(df, parts=parts).collect()}
     assert got == expected_changes(rows)
 
 

@@ -1,5 +1,8 @@
 """The streaming change log: several arrivals, restart, and a batch that runs twice."""
 
+import datetime
+
+import pytest
 from test_scale import expected_changes, updates  # noqa: F401
 from pyspark.sql import functions as F
 from riskloom.sources.store import scratch_path
@@ -30,3 +33,45 @@ def test_a_repeated_batch_replaces_its_output(spark, updates):  # noqa: F811
     stream.process(second, 1)
     assert as_set(stream.log(spark)) == expected_changes(rows)
     assert stream.log(spark).count() == len(expected_changes(rows))
+
+
+T0 = datetime.datetime(2024, 1, 1)
+UPDATE = "customer_id bigint, event_id bigint, event_time timestamp_ntz, risk_score double"
+
+
+def at(spark, *rows):
+    return spark.createDataFrame([(c, e, T0 + datetime.timedelta(hours=h), s) for c, e, h, s in rows], UPDATE)
+
+
+def test_lost_state_is_an_error(spark, monkeypatch):
+    stream = S.AuditStream.fresh(spark)
+    with pytest.raises(RuntimeError, match="batch 0 is missing"):
+        stream.process(at(spark, (1, 1, 1, 0.5)), 7)
+
+
+def test_a_late_event_moves_no_state(spark):
+    stream = S.AuditStream.fresh(spark)
+    stream.process(at(spark, (1, 1, 10, 1.0)), 0)
+    stream.process(at(spark, (1, 2, 5, 2.0)), 1)
+    stream.process(at(spark, (1, 3, 11, 1.0), (2, 4, 0, 3.0)), 2)
+    got = {(r.event_id, r.change, r.previous_score) for r in stream.log(spark).collect()}
+    assert got == {(1, "INSERT", None), (2, "LATE", 1.0), (4, "INSERT", None)}
+
+
+def test_old_state_goes(spark, monkeypatch):
+    monkeypatch.setattr(S, "FULL_STATE_EVERY", 2)
+    stream = S.AuditStream.fresh(spark)
+    for i in range(7):
+        stream.process(at(spark, (i % 3, i, i, float(i))), i)
+    there = [S.path_exists(spark, f"{stream.state_path}/batch={i}") for i in range(7)]
+    assert there == [False] * 4 + [True] * 3
+    assert {r.customer_id: r.last_score for r in stream.known_before(spark, 7).collect()} == {0: 6.0, 1: 4.0, 2: 5.0}
+
+
+def test_a_hot_hour_is_cut(spark):
+    from riskloom.operators.changes import change_log
+
+    rows = [(1, e, e / 10000, float(e % 7 // 3)) for e in range(900)]
+    scores = [r[3] for r in rows]
+    want = {e for e in range(900) if e == 0 or scores[e] != scores[e - 1]}
+    assert {r.event_id for r in change_log(at(spark, *rows), parts=6).collect()} == want

@@ -92,15 +92,15 @@ def batches(sequences: DataFrame, budget: int, buckets: int, length: str = "n_to
 
 def pack(
     df: DataFrame, key: str = "doc_id", text: str = "text", tokens: Column | None = None, context: int = 2048, budget: int = 16384,
-    buckets: int = 8, with_tokens: bool = False,
+    buckets: int = 8, with_tokens: bool = False, with_text: bool = False,
 ) -> tuple[DataFrame, Plan]:
-    """Training sequences of all texts: key, piece, start, n_tokens, bucket, padded_to, batch, place, and the tokens if asked for.
+    """Training sequences of all texts: key, piece, start, n_tokens, bucket, padded_to, batch, place, and the tokens, or the text they make joined by blanks, if asked for.
 
     Tokens are the words of the text unless ``tokens``, a column of arrays, says otherwise. A text longer
     than ``context`` becomes several pieces, none is cut off; null and empty texts are one piece of no tokens. Null keys and repeated
     rows are packed like any other; other columns are ignored, whatever their names; no rows give no batches.
     """
     cut = pieces(df.select(F.col(key).alias("key"), (words(text_or_empty(text)) if tokens is None else tokens).alias("all")), F.col("all"), context)
-    kept = ["key", "piece", "start", "n_tokens", *(["tokens"] if with_tokens else [])]
+    kept = ["key", "piece", "start", "n_tokens", *(["tokens"] if with_tokens else []), *([F.array_join("tokens", " ").alias("text")] if with_text else [])]
     out, plan = batches(cut.select(*kept), budget, buckets)
     return out.withColumnRenamed("key", key), plan

@@ -98,16 +98,14 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 OCCURRENCES = "array<struct<kind:string,instance:string,start:int,end:int,patterns:array<string>>>"
 
 
-def _extract(texts: pd.Series) -> pd.DataFrame:
-    rows = []
-    for t in texts:
-        t = t or ""
-        base = base_spans(t)
-        rows.append((
-            [{"kind": k, "start": a, "end": b} for k in KINDS for a, b in base[k]],
-            [dict(zip(("kind", "instance", "start", "end", "patterns"), o)) for o in occurrences(t, base)],
-        ))
-    return pd.DataFrame(rows, columns=["base", "seen"])
+def _base(texts: pd.Series) -> pd.Series:
+    found = (base_spans(t or "") for t in texts)
+    return pd.Series([[{"kind": k, "start": a, "end": b} for k in KINDS for a, b in f[k]] for f in found], dtype=object)
+
+
+def _seen(texts: pd.Series) -> pd.Series:
+    found = (occurrences(t, base_spans(t)) if t else [] for t in texts)
+    return pd.Series([[dict(zip(("kind", "instance", "start", "end", "patterns"), o)) for o in f] for f in found], dtype=object)
 
 
 def learn_patterns(graph: DataFrame, rounds: int = 3, support: int = 3, confidence: float = 0.8) -> DataFrame:
@@ -170,21 +168,25 @@ def find_pii(
     """
     if name.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {name} exists")
-    row, found = fresh(df, "row", "found")
-    seen = materialise(df.withColumn(row, F.monotonically_increasing_id()).withColumn(found, F.pandas_udf(_extract, f"base {SPANS}, seen {OCCURRENCES}")(F.col(text))), "pii")
-    each = seen.select(F.col(row).alias("row"), F.explode(F.col(f"{found}.seen")).alias("o")).select("row", "o.*")
-    contexts = each.select("row", "kind", "instance", "start", "end", F.explode("patterns").alias("pattern"))
+    # A text is known by its hash and length: what is learned about it is small and is joined back to the rows.
+    each = df.where(F.col(text).isNotNull()).select(
+        F.xxhash64(text).alias("id"), F.octet_length(text).alias("size"), F.inline(F.pandas_udf(_seen, OCCURRENCES)(F.col(text)))
+    )
+    contexts = materialise(each.where("size(patterns) > 0"), "pii_seen").select("id", "size", "kind", "instance", "start", "end", F.explode("patterns").alias("pattern"))
     patterns = learn_patterns(contexts.select("pattern", "instance", "kind"), rounds, support, confidence)
     added = (
         contexts.where(F.col("kind").isNull() & (F.length("instance") >= least_length)).drop("kind").join(patterns, "pattern")
-        .groupBy("row").agg(F.collect_set(F.struct("start", "end", "kind")).alias("new"))
+        .groupBy("id", "size").agg(F.collect_set(F.struct("start", "end", "kind")).alias("new"))
     )
     # Two contexts of one token may differ in kind: the first by name stays.
     one = F.filter(F.array_sort("new"), lambda s, i: (i == 0) | (s.start != F.get(F.array_sort("new"), i - 1).start))
-    extra = F.coalesce(F.transform(one, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end"))), F.array().cast(SPANS))
-    base = F.col(f"{found}.base")
-    out = seen.join(added.withColumnRenamed("row", row), row, "left")
-    return out.select(*df.columns, F.struct(base.alias("base"), in_order(F.concat(base, extra)).alias("spans")).alias(name))
+    extra = F.transform(one, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end")))
+    added = materialise(added.select(F.col("id").alias("text id"), F.col("size").alias("text size"), extra.alias("extra spans")), "pii_added")
+    known = (F.xxhash64(text) == F.col("text id")) & (F.octet_length(text) == F.col("text size"))
+    (base,) = fresh(df, "base")
+    out = df.withColumn(base, F.pandas_udf(_base, SPANS)(F.col(text))).join(added, known, "left")
+    spans = F.concat(F.col(base), F.coalesce("extra spans", F.array().cast(SPANS)))
+    return out.select(*df.columns, F.struct(F.col(base).alias("base"), in_order(spans).alias("spans")).alias(name))
 
 
 def _redacted(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -12,19 +12,20 @@ from riskloom.sources.store import materialise
 def with_slot(df: DataFrame, *group: str, name: str = "slot") -> DataFrame:
     """Add the place of each row in its group, 0, 1, 2 and so on without gaps.
 
-    The frame is written with the number of the task that made each row, so a place is
-    the count of the group's rows in earlier tasks plus the place in the own task. No window
-    holds more of a group than one task wrote, however large the group or equal its rows are. Only
-    counts per group and task are summed up per group. Rows with a null group value form a group.
+    Every task sorts the rows it has by group and writes them with its own number and their places in it. A slot is
+    the group's rows in earlier tasks plus the place after the group's first row in the own task. So no row is
+    shuffled, however large a group or equal its rows are; only counts per group and task are, and they are
+    summed up per group and joined back. Rows with a null group value form a group.
     """
-    part, first, rows = fresh(df, "part", "first", "rows")
-    stored = materialise(df.withColumn(part, F.spark_partition_id()), "slots")
+    part, place, first, rows = fresh(df, "part", "place", "first", "rows")
+    low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    stored = materialise(df.sortWithinPartitions(*group).withColumn(part, F.spark_partition_id()).withColumn(place, low), "slots")
     keys = [*group, part]
-    counts = stored.groupBy(*keys).agg(F.count("*").alias(rows))
+    counts = stored.groupBy(*keys).agg(F.count("*").alias(rows), F.min(place).alias(first))
     earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*keys, F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias(first))
-    own = Window.partitionBy(*keys).orderBy(F.monotonically_increasing_id())
-    placed = stored.withColumn(name, F.row_number().over(own)).alias("a")
+    before = F.coalesce(F.sum(rows).over(earlier), F.lit(0))
+    # Written, so that Spark knows its size, a row per group and task, before it plans the join.
+    starts = materialise(counts.select(*keys, (before - F.col(first)).alias(first)), "slot_starts")
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    joined = placed.join(starts.alias("b"), same)
-    return joined.select(*[F.col(f"a.{c}") for c in df.columns], (F.col(f"a.{name}") - 1 + F.col(f"b.{first}")).cast("long").alias(name))
+    joined = stored.alias("a").join(starts.alias("b"), same)
+    return joined.select(*[F.col(f"a.{c}") for c in df.columns], (F.col(f"a.{place}") + F.col(f"b.{first}")).cast("long").alias(name))

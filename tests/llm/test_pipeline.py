@@ -47,7 +47,7 @@ def test_stages_take_effect_and_keep_clean_documents(spark):
     packed = corpus_pipeline.run(spark, path)
     by = {}
     for r in sorted(packed.collect(), key=lambda r: (r.doc_id, r.piece)):
-        by.setdefault(r.doc_id, []).extend(r.tokens)
+        by.setdefault(r.doc_id, []).extend(r.text.split())
     assert by == {d: (t or "").split() for d, t in texts.items()}
 
 
@@ -70,7 +70,7 @@ def test_rows_against_a_brute_force_pipeline(spark):
     want = sorted((d, t.replace("me@some.example.org", "[EMAIL]").split()) for d, t in pure)
     got = {}
     for r in sorted(corpus_pipeline.run(spark, path).collect(), key=lambda r: r.piece):
-        got.setdefault(r.doc_id, []).extend(r.tokens)
+        got.setdefault(r.doc_id, []).extend(r.text.split())
     assert sorted(got.items()) == want
 
 

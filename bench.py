@@ -23,6 +23,10 @@ HEADLINE = [
     "audit_change_log",
     "drift_psi",
     "combined_metrics",
+    "local_surrogate",
+    "prediction_table_explained",
+    "validation_report",
+    "audit_stream",
 ]
 
 WARM = 2

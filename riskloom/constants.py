@@ -141,6 +141,12 @@ RANGE_INSIGHT = {
 }
 RANGE_ACTION_RESILIENCE = "Build emergency buffer"
 RANGE_ACTION_PAYMENT = "Improve payment discipline"
+RANGE_ACTION_TEXTS = (
+    "Critical financial vulnerability detected.",
+    "Late payments increase risk exposure.",
+    "AI recommendation from rule engine.",
+)
+RANGE_NO_RULE = ("No rule defined", "Invalid numeric input", "No matching rule range")
 
 # Survey answers and their points; each survey has its own map.
 ANSWERS_UNDERSTOOD_FORM = {"Evet": 10.0, "Kısmen": 7.0, "Hayır": 3.0}

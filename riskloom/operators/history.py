@@ -28,8 +28,10 @@ def prediction_history(history: DataFrame, n: int = 50) -> DataFrame:
         "customer_id",
         "prediction_id",
         score.alias("predicted_risk_score"),
+        "original_band",
         band_api(score).getField("band").alias("predicted_band"),
         F.coalesce("model_version", F.lit("")).alias("model_version"),
+        "feature_version",
         "dataset_version",
         "prediction_time",
         "created_by",

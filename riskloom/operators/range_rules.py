@@ -15,7 +15,7 @@ _SCHEMA = (
 
 
 def apply_range_rules(values: DataFrame) -> DataFrame:
-    """(customer_id, feature, value) with label, colour, impact, priority, insight and action.
+    """(customer_id, feature, value) with label, colour, impact, priority, insight, description and an action of title, text and priority.
 
     The rules are a fixed table of nine rows, so the broadcast does not grow with
     the data; the join keeps an equality on ``feature`` and checks [lo, hi) beside it.
@@ -39,6 +39,8 @@ def apply_range_rules(values: DataFrame) -> DataFrame:
         .otherwise(F.when(feature == "income_stability", "Stabil").otherwise("Güçlü"))
     )
     weak = value < 0.6
+    urgent = (resilience & (value < 0.2)) | (payment & weak)
+    described = F.coalesce(F.nullif(F.trim("description"), F.lit("")), F.lit(K.RANGE_ACTION_TEXTS[2]))
     texts = K.RANGE_INSIGHT
     insight = (
         F.when(
@@ -73,4 +75,7 @@ def apply_range_rules(values: DataFrame) -> DataFrame:
             .when(payment & weak, K.RANGE_ACTION_PAYMENT)
             .otherwise(F.coalesce(F.col("action"), F.concat(F.col("label"), F.lit(" optimization")))),
         ).alias("action"),
+        F.when(matched, F.when(urgent, F.when(resilience, K.RANGE_ACTION_TEXTS[0]).otherwise(K.RANGE_ACTION_TEXTS[1])).otherwise(described)).alias("action_text"),
+        F.when(matched, F.when(urgent, "HIGH").otherwise(F.col("priority"))).alias("action_priority"),
+        F.when(~known, K.RANGE_NO_RULE[0]).when(value.isNull(), K.RANGE_NO_RULE[1]).when(~matched, K.RANGE_NO_RULE[2]).otherwise(F.trim("description")).alias("description"),
     )

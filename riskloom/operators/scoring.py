@@ -91,14 +91,16 @@ def blend(ml: Column, rule: Column) -> Column:
     return F.when(ml.isNull(), rule).otherwise(clamp01(dbl(0.7) * clamp01(ml) + dbl(0.3) * rule))
 
 
-def risk_response(df: DataFrame, rules_on: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+def risk_response(
+    df: DataFrame, rules_on: str = "raw", keep: tuple[str, ...] = (), model: tuple[str | None, str | None] = (None, None)
+) -> DataFrame:
     """Full scoring response for a whole table in one projection.
 
     ``df`` has customer_id, the raw attributes, the three features (0..100) and
     ``original_score`` (0..1, NULL when unknown). A customer without resilience gets
     the missing-data answer: no model, no rules, band UNKNOWN. ``rules_on`` chooses
     whether rules see the raw attributes or, as a feature-only caller would, none.
-    ``keep`` names input columns carried through.
+    ``keep`` names input columns carried through; ``model`` is the version and hash of the model that scored.
     """
     rules = rule_score() if rules_on == "raw" else _rules_without_attributes()
     step = df.withColumns(
@@ -174,7 +176,10 @@ def risk_response(df: DataFrame, rules_on: str = "raw", keep: tuple[str, ...] =
         explanation_summary(F.col("explanations")).alias("explanation"),
         F.when(missing, no_rules).otherwise(rule_hits()).alias("rule_explanations"),
         F.when(missing, dbl(0.0)).otherwise(clamp01(dbl(1.0) - F.abs(ml - rule))).alias("model_confidence"),
+        F.col("payment").alias(PAYMENT),
+        F.col("income").alias(INCOME),
         F.coalesce("resilience", dbl(0.0)).alias(RESILIENCE),
+        F.struct(*[F.lit(m).cast("string").alias(n) for m, n in zip(model, ("version", "hash"))]).alias("model_info"),
         warnings.alias("warnings"),
         *keep,
     )

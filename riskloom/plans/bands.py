@@ -175,7 +175,12 @@ SELECT customer_id, feature, v AS value, final_label AS label, coalesce(color, '
   CASE WHEN lo IS NULL THEN NULL
     WHEN feature = 'financial_resilience' AND v < {d(0.2)} THEN '{K.RANGE_ACTION_RESILIENCE}'
     WHEN feature = 'payment_discipline' AND v < {d(0.6)} THEN '{K.RANGE_ACTION_PAYMENT}'
-    ELSE coalesce(action, final_label || ' optimization') END AS action
+    ELSE coalesce(action, final_label || ' optimization') END AS action,
+  CASE WHEN lo IS NULL THEN NULL WHEN feature = 'financial_resilience' AND v < {d(0.2)} THEN '{K.RANGE_ACTION_TEXTS[0]}'
+    WHEN feature = 'payment_discipline' AND v < {d(0.6)} THEN '{K.RANGE_ACTION_TEXTS[1]}' ELSE description END AS action_text,
+  CASE WHEN lo IS NULL THEN NULL WHEN (feature = 'financial_resilience' AND v < {d(0.2)}) OR (feature = 'payment_discipline' AND v < {d(0.6)}) THEN 'HIGH'
+    ELSE priority END AS action_priority,
+  CASE WHEN unknown THEN '{K.RANGE_NO_RULE[0]}' WHEN v IS NULL THEN '{K.RANGE_NO_RULE[1]}' WHEN lo IS NULL THEN '{K.RANGE_NO_RULE[2]}' ELSE description END AS description
 FROM n""",
 )
 def range_rule_lookup(spark, sf):

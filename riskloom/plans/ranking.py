@@ -51,7 +51,7 @@ def top_resilience(spark, sf):
 
 @query(
     "latest_prediction",
-    with_(HISTORY) + """SELECT customer_id, prediction_id, prediction_time, risk_score, model_version, dataset_version, created_by
+    with_(HISTORY) + """SELECT customer_id, prediction_id, prediction_time, risk_score, model_version, dataset_version, created_by, original_band, feature_version
 FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY prediction_time DESC, prediction_id DESC) AS rn FROM ph) WHERE rn = 1""",
 )
 def latest_prediction_query(spark, sf):
@@ -61,7 +61,7 @@ def latest_prediction_query(spark, sf):
 @query(
     "prediction_history_50",
     with_(HISTORY) + f""", k AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY prediction_time DESC, prediction_id DESC) AS rn FROM ph)
-SELECT customer_id, prediction_id, risk_score AS predicted_risk_score, {band_sql('risk_score')} AS predicted_band, model_version, dataset_version,
+SELECT customer_id, prediction_id, risk_score AS predicted_risk_score, original_band, {band_sql('risk_score')} AS predicted_band, model_version, feature_version, dataset_version,
   prediction_time, created_by, count(*) OVER (PARTITION BY customer_id) AS total_records FROM (SELECT * FROM k WHERE rn <= 50)""",
 )
 def prediction_history_50(spark, sf):

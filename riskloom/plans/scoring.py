@@ -225,11 +225,13 @@ def scoring_input(spark, sf):
   concat_ws('|', {', '.join(_feature_text_sql(c, 0) for c in K.FEATURES)}) AS explanations, {summary_sql()} AS explanation,
   CASE WHEN missing THEN '' ELSE {RULE_NAMES} END AS rules, model_confidence,
   concat_ws('|', CASE WHEN missing THEN '{K.WARN_MISSING}' END, CASE WHEN missing THEN '{K.WARN_RESILIENCE_NULL}' END,
-    CASE WHEN {RES} = 0 AND final_score < {d(0.3)} THEN '{K.WARN_RESILIENCE_ZERO}' END) AS warnings FROM resp""",
+    CASE WHEN {RES} = 0 AND final_score < {d(0.3)} THEN '{K.WARN_RESILIENCE_ZERO}' END) AS warnings,
+  coalesce({PAY}, 0) AS {PAY}, coalesce({INC}, 0) AS {INC}, coalesce({RES}, 0) AS {RES}, '{MODEL_VERSION}' AS model_version, '{MODEL_HASH}' AS model_hash FROM resp""",
 )
 def risk_response(spark, sf):
-    response = scoring.risk_response(scoring_input(spark, sf))
+    response = scoring.risk_response(scoring_input(spark, sf), model=(MODEL_VERSION, MODEL_HASH))
     return response.select(
+        PAY, INC, RES, F.col("model_info.version").alias("model_version"), F.col("model_info.hash").alias("model_hash"),
         "customer_id", "ml_score", "rule_score", "final_score",
         F.when(F.col("predicted_risk_score").isNull(), F.col("base_value")).otherwise(round_up(F.col("base_value"), 9)).alias("base_value"),
         "predicted_risk_score", "original_risk_score", "risk_band", "risk_color", "risk_label",

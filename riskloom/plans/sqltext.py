@@ -110,7 +110,9 @@ ph AS (
          'v' || substr(o_orderpriority, 1, 1) || '.0' AS model_version,
          CASE WHEN o_orderstatus = 'F' THEN 'dataset_v1' ELSE 'v1.0' END AS dataset_version,
          o_orderdate AS prediction_time,
-         CASE WHEN o_orderstatus = 'P' THEN 'batch_pipeline' ELSE 'api_inference' END AS created_by
+         CASE WHEN o_orderstatus = 'P' THEN 'batch_pipeline' ELSE 'api_inference' END AS created_by,
+         CASE o_orderstatus WHEN 'F' THEN 'High' WHEN 'P' THEN 'Medium' ELSE 'Low' END AS original_band,
+         CASE WHEN substr(o_orderpriority, 1, 1) <= '2' THEN 'v1_raw' ELSE 'v2_safe' END AS feature_version
   FROM orders)"""
 
 SURVEY = f"""

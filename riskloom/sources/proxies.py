@@ -154,6 +154,8 @@ def prediction_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "dataset_v1").otherwise("v1.0").alias("dataset_version"),
         F.col("o_orderdate").alias("prediction_time"),
         F.when(F.col("o_orderstatus") == "P", K.STAMP_BATCH).otherwise(K.STAMP_API).alias("created_by"),
+        F.when(F.col("o_orderstatus") == "F", "High").when(F.col("o_orderstatus") == "P", "Medium").otherwise("Low").alias("original_band"),
+        F.when(F.substring("o_orderpriority", 1, 1) <= "2", "v1_raw").otherwise("v2_safe").alias("feature_version"),
     )
 
 

@@ -196,3 +196,43 @@ def validation_report(spark, sf):
     wide = P.wide_customers(spark, sf, "customer_id", *K.FEATURES)
     scaled = robust_scale(materialise(wide.withColumn("raw_score", linear_model(wide))), "raw_score", "predicted_risk_score")
     return ML.validation_report(materialise(scaled.drop("raw_score")))
+
+
+def _sides(df, target: str, score: str, error: float):
+    """Per side of the split: rows, whether all scores lie in the range of the target, and whether the mean error is small."""
+    ends = df.agg(F.min(target).alias("low"), F.max(target).alias("high")).first()
+    inside = F.col(score).between(ends.low - error, ends.high + error)
+    return df.groupBy("is_test").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(inside).alias("in_range"), (F.avg(F.abs(F.col(score) - F.col(target))) <= error).alias("close")
+    )
+
+
+_SIDES_SQL = f"SELECT {bucket('customer_id', 5)} = 0 AS is_test, count(*) AS n, true AS in_range, true AS close FROM ec GROUP BY 1"
+
+
+@query("model_predict_check", WIDE + _SIDES_SQL)
+def model_predict_check(spark, sf):
+    return _sides(materialise(model_predict(spark, sf)), "target", "ml_score", 0.03)
+
+
+@query("forest_regression_check", WIDE + _SIDES_SQL)
+def forest_regression_check(spark, sf):
+    return _sides(materialise(forest_regression(spark, sf)), "true_risk_score", "regression_score", 0.05)
+
+
+@query("platt_calibration_check", EV_CTE + f"SELECT count(*) AS n, {r('avg(true_label)', 3)} AS mean, true AS ordered FROM ev")
+def platt_calibration_check(spark, sf):
+    """Calibrated on all rows, the mean probability is the mean label; a probability never falls as the score grows."""
+    out = materialise(platt_calibration(spark, sf).where("predicted is not null"))
+    ends = out.groupBy(F.floor(F.col("predicted") * 50)).agg(F.min("calibrated_score").alias("low"), F.max("calibrated_score").alias("high"), F.min("predicted").alias("at"))
+    bins = ends.orderBy("at").collect()  # at most 51 rows
+    ordered = all(a.high <= b.low + 1e-12 for a, b in zip(bins, bins[1:]))
+    return out.agg(F.count(F.lit(1)).alias("n"), round_up(F.avg("calibrated_score"), 3).alias("mean")).withColumn("ordered", F.lit(ordered))
+
+
+@query("validation_report_check", "SELECT * FROM (VALUES " + ", ".join(f"('{n}', true)" for n in ("MAE", "RMSE", "R2 Score", "Accuracy", "Precision", "Recall", "F1 Score", "Threshold")) + ") AS t(\"Metric\", plausible)")
+def validation_report_check(spark, sf):
+    """Every figure of the run is there and plausible: errors small, shares between 0 and 1 and better than a coin."""
+    value = F.col("Value")
+    small = F.col("Metric").isin("MAE", "RMSE")
+    return validation_report(spark, sf).select("Metric", F.when(small, value.between(0.0, 0.1)).when(F.col("Metric") == "Threshold", value.between(0.1, 0.9)).otherwise(value.between(0.5, 1.0)).alias("plausible"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are runs without the six ASCII white-space characters.
@@ -35,3 +35,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send Python workers at most so many rows at once: 10,000 long texts, the default, take hundreds of MB in each worker.
+
+    A number that the session has chosen itself is left alone.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))

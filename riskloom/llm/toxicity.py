@@ -49,7 +49,7 @@ def _contexts(labelled: DataFrame) -> DataFrame:
     def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for batch in batches:
-            if len(known) > 300_000:
+            if len(known) > 100_000:
                 known.clear()
             for toxic in (0, 1):
                 parts = []
@@ -76,7 +76,7 @@ def _vocabulary(labelled: DataFrame) -> DataFrame:
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         given: set[str] = set()
         for batch in batches:
-            if len(given) > 300_000:
+            if len(given) > 100_000:
                 given.clear()
             new = {w for text in batch["text"] for w in tokens(text)} - given
             given |= new
@@ -160,7 +160,7 @@ def evidence(r: np.ndarray) -> list[float]:
 class Reader(dict):
     """Evidence of texts; remembers the ratios of words it has met, a bounded number of them."""
 
-    def __init__(self, ratios: dict[str, float], most: int = 300_000):
+    def __init__(self, ratios: dict[str, float], most: int = 150_000):
         super().__init__()
         self.ratios, self.most = ratios, most
 

@@ -157,7 +157,7 @@ def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     anchors.append(w["anchor"])
                     contents.append(w["content"])
                     pieces.append(b" ".join(words[w["start"] : w["start"] + w["windows"] + width - 1]))
-            yield pd.DataFrame({"anchor": np.array(anchors, np.int64), "content": np.array(contents, np.int64), "words": pieces})
+            yield pd.DataFrame({"anchor": np.array(anchors, np.int64), "content": np.array(contents, np.int64), "words": pd.Series(pieces, dtype=object)})
 
     lists = wanted.groupBy("id", "size").agg(F.collect_set(F.struct("anchor", "content", "start", "windows")).alias("wants"))
     packed = texts.select("id", "size", compressed(F.col("text")).alias("packed"))
@@ -201,7 +201,7 @@ def _searched(rows: DataFrame, width: int, partitions: int) -> DataFrame:
             found = search_shard(block["words"].tolist(), (block["copies"] == 1).to_numpy(), width)
             keep = [i for i, r in enumerate(found) if r]
             return pd.DataFrame({
-                "anchor": block["anchor"].to_numpy()[keep], "content": block["content"].to_numpy()[keep], "ranges": [[x for r in found[i] for x in r] for i in keep],
+                "anchor": block["anchor"].to_numpy()[keep], "content": block["content"].to_numpy()[keep], "ranges": pd.Series([[x for r in found[i] for x in r] for i in keep], dtype=object),
             })
 
         for batch in batches:

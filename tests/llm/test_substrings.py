@@ -80,3 +80,9 @@ def test_equal_windows_have_equal_anchors():
     a, c, first, n, several = S.anchored_pieces(twice, 35)
     at = {int(s) + i: int(x) for x, s, k in zip(a, first, n) for i in range(k)}
     assert len(at) == len(twice) - 34 and all(at[30 + i] == at[100 + i] for i in range(26)) and n.max() <= 28 and not several.any()
+
+
+def test_blocks_without_repeats(docs, monkeypatch):
+    monkeypatch.setattr(S, "INDEX_WORDS", 20)
+    same = " ".join(f"s{i}" for i in range(20))
+    check(docs, [f"{' '.join(f'x{k}_{i}' for i in range(40))} {same} {' '.join(f'y{k}_{i}' for i in range(40))}" for k in range(12)], 35)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskloom import constants as K
 from riskloom.functions.numeric import round_even
 
 

@@ -159,7 +159,8 @@ def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     pieces.append(b" ".join(words[w["start"] : w["start"] + w["windows"] + width - 1]))
             yield pd.DataFrame({"anchor": np.array(anchors, np.int64), "content": np.array(contents, np.int64), "words": pd.Series(pieces, dtype=object)})
 
-    lists = wanted.groupBy("id", "size").agg(F.collect_set(F.struct("anchor", "content", "start", "windows")).alias("wants"))
+    # Written, like the ranges below, so that a join has two plain sides and Spark can split the copies of one text.
+    lists = materialise(wanted.groupBy("id", "size").agg(F.collect_set(F.struct("anchor", "content", "start", "windows")).alias("wants")), "substring_wants")
     packed = texts.select("id", "size", compressed(F.col("text")).alias("packed"))
     joined = packed.join(lists, ["id", "size"]).select("packed", "wants")
     return joined.mapInPandas(cut, "anchor long, content long, words binary")
@@ -267,7 +268,7 @@ def repeated_ranges_of(texts: DataFrame, width: int = 35, hot: int = 5000) -> Da
     found = materialise(found, "substring_found")
     placed = met.select("id", "size", "anchor", "content", "start").distinct().join(found, ["anchor", "content"])
     each = placed.select("id", "size", F.transform("ranges", lambda x: x + F.col("start")).alias("ranges"))
-    return each.groupBy("id", "size").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return materialise(each.groupBy("id", "size").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "substring_ranges")
 
 
 def _compressed(texts: pd.Series) -> pd.Series:

@@ -254,12 +254,42 @@ def sketched_similarity(a: bytes, b: bytes) -> float:
     return float((np.isin(union, x, assume_unique=True) & np.isin(union, y, assume_unique=True)).sum()) / len(union)
 
 
+#: MinHash bands and the rows of each: a pair of similarity 0.8 shares no band with a chance of 3 in a million, whatever the number of texts.
+BANDS, ROWS = 32, 5
+_DRAWS = np.random.default_rng(32).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
+#: Rounds of judging one pivot per text before all pairs of a band that are still apart are judged.
+STARS = 2
+
+
+def shingle_set(hashes: np.ndarray) -> bytes:
+    """The whole set as sorted different 32-bit hashes."""
+    return np.unique((hashes >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+
+def set_similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two whole sets."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    shared = len(x) + len(y) - len(np.union1d(x, y))
+    return shared / (len(x) + len(y) - shared) if len(x) + len(y) else 1.0
+
+
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The smallest value of the set under each of ``BANDS`` * ``ROWS`` mixings."""
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 1 << 12):
+        np.minimum(low, (hashes[at : at + (1 << 12)] * (_DRAWS[0] | np.uint64(1)) + _DRAWS[1]).min(axis=1), out=low)
+    return low
+
+
 def _marks(texts: pd.Series, k: int) -> pd.DataFrame:
     rows = []
-    for t in texts:
-        words = (t or "").encode("utf-8", "replace").lower().split()
-        rows.append((xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63), simhash(shingle_hashes(t, 3)), sketch(shingle_hashes(t, k))))
-    return pd.DataFrame(rows, columns=["node", "fp", "sketch"])
+    for t, node in zip(texts, _nodes(texts)):
+        hashes = shingle_hashes(t, k)
+        low = minima(hashes)
+        raw = low.tobytes()
+        bands = [xxhash.xxh64_intdigest(raw[at * ROWS * 8 : (at + 1) * ROWS * 8], at) - (1 << 63) for at in range(BANDS)]
+        rows.append((node, bands, (low & np.uint64(255)).astype(np.uint8).tobytes(), shingle_set(hashes)))
+    return pd.DataFrame(rows, columns=["node", "bands", "low", "shingles"])
 
 
 def permutations(count: int) -> np.ndarray:
@@ -272,63 +302,104 @@ def permute(values: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.packbits(bits[:, order], axis=1).reshape(-1).view(">u8").astype(np.uint64)
 
 
-def trie_neighbours(fingerprints: DataFrame, tries: int, near: int, budget: int, prefix: int = 12) -> DataFrame:
-    """Pairs (u, v) of fingerprints within the budget that are among each other's ``near`` next leaves in a trie over permuted bits.
+def _pairs_apart(left: DataFrame, similarity: float, chunk: int) -> DataFrame:
+    """Pairs (u, v) of rows (bucket, node, class, low) of one bucket and two classes whose minima agree about as often as the similarity asks.
 
-    Each trie holds all fingerprints with their bits in another order. The next leaves share the deepest nodes, that is the
-    longest beginnings, so the work is linear, and a dense group gives each member a few links instead of all its pairs.
+    The bound is five standard deviations below it. Only rows outside the largest class of a bucket are held against the others.
+    Buckets over ``chunk`` rows are dealt as pairs of chunks.
     """
-    orders = permutations(tries)
-    partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            values = batch["fp"].to_numpy(np.int64).view(np.uint64)
-            for trie, order in enumerate(orders):
-                turned = permute(values, order)
-                node = trie << prefix | (turned >> np.uint64(BITS - prefix)).astype(np.int64)
-                yield pd.DataFrame({"node": node, "leaf": (turned ^ np.uint64(1 << 63)).view(np.int64)})  # in unsigned order
+    count = BANDS * ROWS
+    least = int(count * similarity - 5 * (count * similarity * (1 - similarity)) ** 0.5)
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["bucket", "i", "j"]
+
+    def across(block: pd.DataFrame) -> pd.DataFrame:
+        node, cls, part = (block[c].to_numpy(np.int64) for c in ("node", "class", "part"))
+        low = np.frombuffer(b"".join(block["low"]), np.uint8).reshape(-1, count)
+        new = np.flatnonzero((block[keys] != block[keys].shift()).any(axis=1).to_numpy())
+        us, vs = [node[:0]], [node[:0]]
+        for start, end in zip(new, [*new[1:], len(block)]):
+            c = cls[start:end]
+            kinds, n = np.unique(c, return_counts=True)
+            main = c == kinds[n.argmax()]
+            crossed = block["i"].iat[start] != block["j"].iat[start]
+            for x in np.flatnonzero(~main):
+                other = (c != c[x]) & main
+                other[x + 1 :] |= c[x + 1 :] != c[x]
+                if crossed:
+                    other &= part[start:end] != part[start + x]
+                y = start + np.flatnonzero(other)
+                y = y[(low[y] == low[start + x]).sum(axis=1) >= least]
+                us.append(np.minimum(node[start + x], node[y]))
+                vs.append(np.maximum(node[start + x], node[y]))
+        return pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
-    def meet_next(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the last bucket of a batch may go on in the next one
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            node, leaf = batch["node"].to_numpy(np.int64), batch["leaf"].to_numpy(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
-            for step in range(1, near + 1):
-                i = np.flatnonzero((node[step:] == node[:-step]) & (np.bitwise_count(leaf[step:] ^ leaf[:-step]) <= budget))
-                for trie in np.unique(node[i] >> prefix):
-                    own = i[node[i] >> prefix == trie]
-                    back = np.argsort(orders[trie])
-                    yield pd.DataFrame({"u": permute(leaf[own], back).view(np.int64), "v": permute(leaf[own + step], back).view(np.int64)})
-            held = batch.iloc[-near:]
-
-    rows = fingerprints.select("fp").mapInPandas(place, "node long, leaf long").repartition(partitions, "node").sortWithinPartitions("node", "leaf")
-    pairs = rows.mapInPandas(meet_next, "u long, v long").where("u <> v")
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-
-
-def similar_classes(
-    df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, tries: int = 40, near: int = 3, budget: int = 13
-) -> DataFrame:
+            last = (batch[keys] == batch[keys].iloc[-1]).all(axis=1).to_numpy()
+            cut = len(batch) - int(np.argmin(last[::-1])) if not last.all() else 0
+            held = batch.iloc[cut:].reset_index(drop=True)
+            if cut:
+                yield across(batch.iloc[:cut])
+        if held is not None and len(held):
+            yield across(held)
+
+    sizes = left.groupBy("bucket").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    cut = left.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("long"))
+    dealt = cut.withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - F.lit(1).cast("long"))))
+    dealt = dealt.select("bucket", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"), "part", "node", "class", "low")
+    return dealt.repartition(partitions, *keys).sortWithinPartitions(*keys).mapInPandas(run, "u long, v long").distinct()
+
+
+def similar_links(nodes: DataFrame, similarity: float, chunk: int = 2048) -> DataFrame:
+    """(node, root): the components of all pairs of that similarity, from rows (node, bands, low, shingles).
+
+    Candidates share a MinHash band. Every link is a pair judged on its whole sets, and a pair that is not judged lies in one component already.
+    In ``STARS`` rounds each text is judged with one pivot, that of most of its bands which are not of one class, so that a dense group becomes
+    one class with one pair per text. Then all pairs of a band that are still of different classes are judged.
+    """
+    judge = F.pandas_udf(lambda x, y: pd.Series([set_similarity(p, q) for p, q in zip(x, y)], dtype="float64"), "double")
+    placed = nodes.select("node", F.explode("bands").alias("bucket"))
+    members = materialise(placed.join(placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "bucket"), "similar_buckets")
+    members = members.withColumn("class", F.col("node"))
+    sets = materialise(nodes.select("node", "shingles").join(members.select("node").distinct(), "node"), "similar_sets")
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        seen = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
+        return materialise(seen.where(judge("su", "sv") >= similarity).select("u", "v"), "similar_links")
+
+    links, roots = None, None
+    for turn in range(STARS + 1):
+        if roots is not None:
+            classed = members.drop("class").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("class"))
+            mixed = classed.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last").select("bucket")
+            members = materialise(classed.join(mixed, "bucket"), "similar_members")
+            if members.isEmpty():
+                break
+        pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "class")).alias("pivot")
+        if turn < STARS:
+            stars = members.join(members.groupBy("bucket").agg(pivot), "bucket").where("class <> pivot.class").groupBy("node", F.col("pivot.node").alias("to")).agg(F.count("*").alias("n"))
+            pairs = stars.groupBy("node").agg(F.max(F.struct("n", "to")).alias("best")).select(F.col("node").alias("u"), F.col("best.to").alias("v"))
+        else:
+            pairs = _pairs_apart(materialise(members.join(nodes.select("node", "low"), "node"), "similar_apart"), similarity, chunk)
+        found = judged(pairs)
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+    return roots
+
+
+def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8) -> DataFrame:
     """(key, node, class) of every row: rows of one class are linked by texts whose ``k``-word shingle sets have that Jaccard similarity.
 
-    Candidates are fingerprints that the exact join links at 2 bits, and those that ``trie_neighbours`` finds within ``budget`` bits
-    (3-word shingles; at a similarity of 0.8 most pairs differ in 4 to 12 bits). Each candidate is then judged by its texts' sketches,
-    exactly up to ``SKETCH`` shingles and with a standard error of 0.035 beyond. Texts with equal words (A-Z in lower case) are one node.
+    See ``similar_links``. Texts with equal words (A-Z in lower case) are one node.
     Null texts and texts without words are one node; null keys stay; repeated rows come out as often as they came in.
     """
-    marks = F.pandas_udf(lambda t: _marks(t, k), "node long, fp long, sketch binary")
+    marks = F.pandas_udf(lambda t: _marks(t, k), "node long, bands array<long>, low binary, shingles binary")
     rows = materialise(df.select(F.col(key).alias("key"), marks(F.col(text)).alias("m")).select("key", "m.*"), "similar_marks")
-    nodes = materialise(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "similar_nodes")
-    prints = nodes.groupBy("fp").agg(F.min("node").alias("first"))
-    pairs = hamming_links(prints, 2).unionByName(trie_neighbours(prints, tries, near, budget))
-    named = pairs.join(prints.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(prints.select(F.col("fp").alias("v"), F.col("first").alias("b")), "v")
-    same = nodes.join(prints, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    asked = named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(same).distinct()
-    seen = asked.join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-    judge = F.pandas_udf(lambda x, y: pd.Series([sketched_similarity(p, q) for p, q in zip(x, y)], dtype="float64"), "double")
-    links = materialise(seen.where(judge("sa", "sb") >= similarity).select(F.col("a").alias("u"), F.col("b").alias("v")), "similar_links")
-    roots = components(links).withColumnRenamed("root", "class")
+    nodes = materialise(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", "low", "shingles")]), "similar_nodes")
+    roots = similar_links(nodes, similarity).withColumnRenamed("root", "class")
     return rows.select("key", "node").join(roots, "node", "left").select(F.col("key").alias(key), "node", F.coalesce("class", "node").alias("class"))
 
 

@@ -65,3 +65,27 @@ def test_edges(docs):
     assert kept.columns == df.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "z"), (2, ""), (7, "a b c")]
     assert simhash.keep_one(docs([])).collect() == []
+
+
+def one_class_each(docs, texts, pairs):
+    """Whether every pair is in one class, and whether no two pairs are."""
+    classes = {r[0]: r[2] for r in simhash.similar_classes(docs(list(enumerate(texts)))).collect()}
+    return all(classes[i] == classes[j] for i, j in pairs) and len({classes[i] for i, _ in pairs}) == len(pairs)
+
+
+def test_chain_whose_middle_is_not_the_smallest(docs):
+    """Every text is similar to its neighbours in the chain only, so that no one text can stand for the others."""
+    rng = random.Random(5)
+    words = [f"c{rng.randrange(10**6)}" for _ in range(600)]
+    chain = [" ".join(words[at : at + 120]) for at in range(0, 480, 10)]  # neighbours share 106 of 126 shingles
+    assert all(similarity(a, b) >= 0.8 for a, b in zip(chain, chain[1:])) and similarity(chain[0], chain[2]) < 0.8
+    rows = list(enumerate(chain))
+    rng.shuffle(rows)
+    assert len({r[2] for r in simhash.similar_classes(docs(rows)).collect()}) == 1
+
+
+def test_buckets_dealt_as_chunks_lose_no_pair(docs):
+    low = bytes(simhash.BANDS * simhash.ROWS)
+    rows = docs([(1, n, n // 2, low) for n in range(20)], "bucket long, node long, class long, low binary")
+    apart = {(a, b) for a in range(20) for b in range(a + 1, 20) if a // 2 != b // 2}
+    assert {(r.u, r.v) for r in simhash._pairs_apart(rows, 0.8, 6).collect()} == apart

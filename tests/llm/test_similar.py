@@ -84,6 +84,19 @@ def test_chain_whose_middle_is_not_the_smallest(docs):
     assert len({r[2] for r in simhash.similar_classes(docs(rows)).collect()}) == 1
 
 
+def test_similar_texts_behind_one_fingerprint(docs):
+    """A repeated line gives all texts one fingerprint; only the texts of a pair have similar shingle sets."""
+    rng = random.Random(6)
+    line = " ".join(f"l{rng.randrange(1000)}" for _ in range(11))
+    texts, pairs = [], []
+    for _ in range(8):
+        tail = [f"t{rng.randrange(10**6)}" for _ in range(60)]
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join([line] * 300 + tail), " ".join([line] * 300 + tail[:-3])]
+    assert len({simhash.simhash(simhash.shingle_hashes(t, 3)) for t in texts}) == 1
+    assert one_class_each(docs, texts, pairs)
+
+
 def test_buckets_dealt_as_chunks_lose_no_pair(docs):
     low = bytes(simhash.BANDS * simhash.ROWS)
     rows = docs([(1, n, n // 2, low) for n in range(20)], "bucket long, node long, class long, low binary")

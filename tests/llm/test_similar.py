@@ -97,6 +97,20 @@ def test_similar_texts_behind_one_fingerprint(docs):
     assert one_class_each(docs, texts, pairs)
 
 
+def test_long_pairs_at_the_limit_are_judged_exactly(docs):
+    """600 words, of which so many are shared that the similarity lies just above or just below the limit."""
+    rng = random.Random(7)
+    texts, near, far = [], [], []
+    for at in range(60):
+        words = [f"p{rng.randrange(10**7)}" for _ in range(800)]
+        move = 64 if at % 2 else 70
+        (near if at % 2 else far).append((len(texts), len(texts) + 1))
+        texts += [" ".join(words[:600]), " ".join(words[move : 600 + move])]
+    assert all(0.8 < similarity(texts[i], texts[j]) < 0.82 for i, j in near) and all(0.78 < similarity(texts[i], texts[j]) < 0.8 for i, j in far)
+    classes = {r[0]: r[2] for r in simhash.similar_classes(docs(list(enumerate(texts)))).collect()}
+    assert all(classes[i] == classes[j] for i, j in near) and all(classes[i] != classes[j] for i, j in far)
+
+
 def test_buckets_dealt_as_chunks_lose_no_pair(docs):
     low = bytes(simhash.BANDS * simhash.ROWS)
     rows = docs([(1, n, n // 2, low) for n in range(20)], "bucket long, node long, class long, low binary")

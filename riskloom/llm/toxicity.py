@@ -7,7 +7,7 @@ is rare in both says nothing about the class.
 
 The log-ratio of a word is that of its longest kept expression. An expression is kept if its share among
 the continuations of the one a character shorter differs between the models by ``DEVIATIONS`` standard deviations; all others
-say no more than their beginning does. All labelled texts are counted, exactly; only the kept expressions are broadcast, at most ``KEPT`` of them.
+say no more than their beginning does. All labelled texts are counted, exactly; only the kept expressions are broadcast, all of them.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ SPELLED = 12
 END = "$"
 DEVIATIONS = 3.0
 LEAST = 3
-KEPT = 200_000
 EVIDENCE = 7
 
 
@@ -131,9 +130,9 @@ def expressions(labelled: DataFrame) -> DataFrame:
 
 
 def count_model(labelled: DataFrame) -> Model:
-    """A model of rows (text, label), without calibration. The driver receives the kept expressions only, at most ``KEPT``."""
+    """A model of rows (text, label), without calibration. The driver receives all kept expressions and nothing else."""
     known = expressions(labelled).where((F.abs("deviation") >= DEVIATIONS) & (F.col("n0") + F.col("n1") >= LEAST))
-    kept = known.orderBy(F.desc(F.abs("deviation")), "start").limit(KEPT).select("start", "ratio").toArrow()
+    kept = known.select("start", "ratio").toArrow()
     return Model(dict(zip(kept["start"].to_pylist(), kept["ratio"].to_pylist())))
 
 

@@ -90,3 +90,15 @@ def test_edges(spark, docs):
         scores = [r[0] for r in df.select(T.score(df, model)).collect()]
         assert len(scores) == 3 and all(0 <= s <= 1 for s in scores)
     assert docs([]).select(T.score(docs([]), model)).collect() == []
+
+
+def test_all_telling_expressions_are_kept(docs, monkeypatch):
+    """Also the least telling one, whatever their number."""
+    monkeypatch.setattr(T, "KEPT", 3, raising=False)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+    rows = [(" ".join(f"{rng.choice(words)} {rng.choice(words[c * 30 : c * 30 + 30])}" for _ in range(60)), c) for c in (0, 1) for _ in range(60)]
+    labelled = docs(rows, "text string, label int")
+    telling = T.expressions(labelled).where((F.abs("deviation") >= T.DEVIATIONS) & (F.col("n0") + F.col("n1") >= T.LEAST))
+    expected = {r.start for r in telling.collect()}
+    assert len(expected) > 3 and set(T.count_model(labelled).ratios) == expected

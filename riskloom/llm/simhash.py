@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import fresh
 from riskloom.llm.components import components
 from riskloom.sources.store import materialise
 
@@ -223,210 +224,28 @@ def near_duplicates(
     """
     marked = materialise(with_fingerprint(df.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", k).drop("text"), "fingerprints")
     nodes = marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("key").alias("low"))
-    joined = components(hamming_links(nodes, budget, leaf))
-    named = nodes.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(nodes, budget, leaf)
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = named.join(lowest, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return marked.join(classes, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
-# Similar texts, beyond the few bits that the exact join can afford
-
-SKETCH = 128
-
-
-def sketch(hashes: np.ndarray) -> bytes:
-    """The ``SKETCH`` smallest different 32-bit hashes, sorted: the whole set of a text with no more."""
-    low = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
-    return low[:SKETCH].tobytes()
-
-
-def sketched_similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sketched sets: exact for whole sets, else the shared part of the smallest hashes of their union."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    union = np.union1d(x, y)
-    if len(x) >= SKETCH or len(y) >= SKETCH:
-        # Beyond the last hash of a full sketch its set is not known.
-        known = min(s[-1] for s in (x, y) if len(s) >= SKETCH)
-        union = union[union <= known][:SKETCH]
-    if not len(union):
-        return 1.0
-    return float((np.isin(union, x, assume_unique=True) & np.isin(union, y, assume_unique=True)).sum()) / len(union)
-
-
-#: MinHash bands and the rows of each: a pair of similarity 0.8 shares no band with a chance of 3 in a million, whatever the number of texts.
-BANDS, ROWS = 32, 5
-_DRAWS = np.random.default_rng(32).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
-#: Rounds of judging one pivot per text before all pairs of a band that are still apart are judged.
-STARS = 2
-
-
-def shingle_set(hashes: np.ndarray) -> bytes:
-    """The whole set as sorted different 32-bit hashes."""
-    return np.unique((hashes >> np.uint64(32)).astype(np.uint32)).tobytes()
-
-
-def set_similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two whole sets."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    shared = len(x) + len(y) - len(np.union1d(x, y))
-    return shared / (len(x) + len(y) - shared) if len(x) + len(y) else 1.0
-
-
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """The smallest value of the set under each of ``BANDS`` * ``ROWS`` mixings."""
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
-    for at in range(0, len(hashes), 1 << 12):
-        np.minimum(low, (hashes[at : at + (1 << 12)] * (_DRAWS[0] | np.uint64(1)) + _DRAWS[1]).min(axis=1), out=low)
-    return low
-
-
-def _marks(texts: pd.Series, k: int) -> pd.DataFrame:
-    rows = []
-    for t, node in zip(texts, _nodes(texts)):
-        hashes = shingle_hashes(t, k)
-        low = minima(hashes)
-        raw = low.tobytes()
-        bands = [xxhash.xxh64_intdigest(raw[at * ROWS * 8 : (at + 1) * ROWS * 8], at) - (1 << 63) for at in range(BANDS)]
-        rows.append((node, bands, (low & np.uint64(255)).astype(np.uint8).tobytes(), shingle_set(hashes)))
-    return pd.DataFrame(rows, columns=["node", "bands", "low", "shingles"])
-
-
-def permutations(count: int) -> np.ndarray:
-    """Orders of the 64 bits, the same on every run."""
-    return np.argsort(np.random.default_rng(20).random((count, BITS)), axis=1)
-
-
-def permute(values: np.ndarray, order: np.ndarray) -> np.ndarray:
-    bits = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    return np.packbits(bits[:, order], axis=1).reshape(-1).view(">u8").astype(np.uint64)
-
-
-def _pairs_apart(left: DataFrame, similarity: float, chunk: int) -> DataFrame:
-    """Pairs (u, v) of rows (bucket, node, class, low) of one bucket and two classes whose minima agree about as often as the similarity asks.
-
-    The bound is five standard deviations below it. Only rows outside the largest class of a bucket are held against the others.
-    Buckets over ``chunk`` rows are dealt as pairs of chunks.
-    """
-    count = BANDS * ROWS
-    least = int(count * similarity - 5 * (count * similarity * (1 - similarity)) ** 0.5)
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["bucket", "i", "j"]
-
-    def across(block: pd.DataFrame) -> pd.DataFrame:
-        node, cls, part = (block[c].to_numpy(np.int64) for c in ("node", "class", "part"))
-        low = np.frombuffer(b"".join(block["low"]), np.uint8).reshape(-1, count)
-        new = np.flatnonzero((block[keys] != block[keys].shift()).any(axis=1).to_numpy())
-        us, vs = [node[:0]], [node[:0]]
-        for start, end in zip(new, [*new[1:], len(block)]):
-            c = cls[start:end]
-            kinds, n = np.unique(c, return_counts=True)
-            main = c == kinds[n.argmax()]
-            crossed = block["i"].iat[start] != block["j"].iat[start]
-            for x in np.flatnonzero(~main):
-                other = (c != c[x]) & main
-                other[x + 1 :] |= c[x + 1 :] != c[x]
-                if crossed:
-                    other &= part[start:end] != part[start + x]
-                y = start + np.flatnonzero(other)
-                y = y[(low[y] == low[start + x]).sum(axis=1) >= least]
-                us.append(np.minimum(node[start + x], node[y]))
-                vs.append(np.maximum(node[start + x], node[y]))
-        return pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # the last bucket of a batch may go on in the next one
-        for batch in batches:
-            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = (batch[keys] == batch[keys].iloc[-1]).all(axis=1).to_numpy()
-            cut = len(batch) - int(np.argmin(last[::-1])) if not last.all() else 0
-            held = batch.iloc[cut:].reset_index(drop=True)
-            if cut:
-                yield across(batch.iloc[:cut])
-        if held is not None and len(held):
-            yield across(held)
-
-    sizes = left.groupBy("bucket").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
-    cut = left.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("long"))
-    dealt = cut.withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - F.lit(1).cast("long"))))
-    dealt = dealt.select("bucket", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"), "part", "node", "class", "low")
-    return dealt.repartition(partitions, *keys).sortWithinPartitions(*keys).mapInPandas(run, "u long, v long").distinct()
-
-
-def similar_links(nodes: DataFrame, similarity: float, chunk: int = 2048) -> DataFrame:
-    """(node, root): the components of all pairs of that similarity, from rows (node, bands, low, shingles).
-
-    Candidates share a MinHash band. Every link is a pair judged on its whole sets, and a pair that is not judged lies in one component already.
-    In ``STARS`` rounds each text is judged with one pivot, that of most of its bands which are not of one class, so that a dense group becomes
-    one class with one pair per text. Then all pairs of a band that are still of different classes are judged.
-    """
-    judge = F.pandas_udf(lambda x, y: pd.Series([set_similarity(p, q) for p, q in zip(x, y)], dtype="float64"), "double")
-    placed = nodes.select("node", F.explode("bands").alias("bucket"))
-    members = materialise(placed.join(placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "bucket"), "similar_buckets")
-    members = members.withColumn("class", F.col("node"))
-    sets = materialise(nodes.select("node", "shingles").join(members.select("node").distinct(), "node"), "similar_sets")
-
-    def judged(pairs: DataFrame) -> DataFrame:
-        seen = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
-        return materialise(seen.where(judge("su", "sv") >= similarity).select("u", "v"), "similar_links")
-
-    links, roots = None, None
-    for turn in range(STARS + 1):
-        if roots is not None:
-            classed = members.drop("class").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("class"))
-            mixed = classed.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last").select("bucket")
-            members = materialise(classed.join(mixed, "bucket"), "similar_members")
-            if members.isEmpty():
-                break
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "class")).alias("pivot")
-        if turn < STARS:
-            stars = members.join(members.groupBy("bucket").agg(pivot), "bucket").where("class <> pivot.class").groupBy("node", F.col("pivot.node").alias("to")).agg(F.count("*").alias("n"))
-            pairs = stars.groupBy("node").agg(F.max(F.struct("n", "to")).alias("best")).select(F.col("node").alias("u"), F.col("best.to").alias("v"))
-        else:
-            pairs = _pairs_apart(materialise(members.join(nodes.select("node", "low"), "node"), "similar_apart"), similarity, chunk)
-        found = judged(pairs)
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-    return roots
-
-
-def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(key, node, class) of every row: rows of one class are linked by texts whose ``k``-word shingle sets have that Jaccard similarity.
-
-    See ``similar_links``. Texts with equal words (A-Z in lower case) are one node.
-    Null texts and texts without words are one node; null keys stay; repeated rows come out as often as they came in.
-    """
-    marks = F.pandas_udf(lambda t: _marks(t, k), "node long, bands array<long>, low binary, shingles binary")
-    rows = materialise(df.select(F.col(key).alias("key"), marks(F.col(text)).alias("m")).select("key", "m.*"), "similar_marks")
-    nodes = materialise(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", "low", "shingles")]), "similar_nodes")
-    roots = similar_links(nodes, similarity).withColumnRenamed("root", "class")
-    return rows.select("key", "node").join(roots, "node", "left").select(F.col("key").alias(key), "node", F.coalesce("class", "node").alias("class"))
+def _rooted(nodes: DataFrame, budget: int, leaf: int) -> DataFrame:
+    """Rows of distinct fingerprints ``fp`` with ``root``, the smallest fingerprint that their links reach."""
+    joined = components(hamming_links(nodes, budget, leaf))
+    return nodes.join(joined, F.col("fp") == F.col("node"), "left").select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """One row of each class of ``similar_classes``: that with the smallest key, null keys last; columns as they came.
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, budget: int = 2, leaf: int = 4096) -> DataFrame:
+    """One row of each component of ``near_duplicates``: that with the smallest key, null keys last; columns as they came.
 
-    Rows that share key and words are repeats, of which any one stays.
+    The frame is written once with fingerprints and row numbers; only numbers and fingerprints take part in the choice, one
+    row per fingerprint after a partial aggregate, so a large group of copies is never gathered. Rows that share key and
+    component are ties, of which the first one written stays. Null and empty texts are one component. An empty frame stays empty.
     """
-    classes = similar_classes(df, key, text, **how).select(F.col(key).alias("key"), "node", "class")
-    order = F.struct(F.col("key").isNull().alias("none"), "key", "node")
-    best = classes.groupBy("class").agg(F.min(order).alias("best"))
-    repeats = classes.groupBy("key", "node").agg(F.count("*").alias("copies"))
-    chosen = materialise(
-        best.select("best.key", "best.node").alias("c").join(repeats.alias("r"), F.col("c.key").eqNullSafe(F.col("r.key")) & (F.col("c.node") == F.col("r.node")))
-        .select(F.col("c.key").alias("chosen key"), F.col("c.node").alias("chosen node"), "copies"), "similar_chosen",
-    )
-    node = F.pandas_udf(lambda t: _nodes(t), "long")
-    found = df.withColumn("row node", node(F.col(text))).join(
-        chosen, F.col(key).eqNullSafe(F.col("chosen key")) & (F.col("row node") == F.col("chosen node"))
-    )
-    kept = found.where("copies = 1").select(*df.columns)
-    if chosen.where("copies > 1").isEmpty():
-        return kept
-    again = found.where("copies > 1").dropDuplicates(["chosen key", "chosen node"]).select(*df.columns)
-    return kept.unionByName(again)
-
-
-def _nodes(texts: pd.Series) -> pd.Series:
-    """The hash of each text's words, A-Z in lower case."""
-    return pd.Series([xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "replace").lower().split())) - (1 << 63) for t in texts], dtype="int64")
+    mark, number, chosen = fresh(df, "fingerprint", "number", "chosen")
+    stored = materialise(with_fingerprint(df, text, k, mark).withColumn(number, F.monotonically_increasing_id()), "fingerprinted")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col(number).alias("number"))
+    nodes = materialise(stored.groupBy(F.col(mark).alias("fp")).agg(F.min(order).alias("best")), "fingerprints")
+    best = _rooted(nodes, budget, leaf).groupBy("root").agg(F.min("best").alias("best"))
+    return stored.join(best.select(F.col("best.number").alias(chosen)), F.col(number) == F.col(chosen), "left_semi").select(*df.columns)

@@ -5,6 +5,7 @@ import random
 import corpus_pipeline
 from riskloom.llm import decontaminate, toxicity
 from riskloom.sources.store import scratch_path
+from test_simhash import plain_components, plain_fingerprint
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -20,7 +21,7 @@ def tables(spark):
     items = [[word() for _ in range(15)] for _ in range(5)]
     texts[201][10:10] = items[0]
     texts[202] = ["mail", "me@some.example.org", *texts[202]]
-    texts += [list(texts[203]), [*texts[204][:30], "changed", *texts[204][30:]]]
+    texts += [list(texts[203]), [*texts[204][:30], "changed", *texts[204][30:]]]  # an exact copy, and one too far in bits
     docs = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)] + [(900, None, None, None, None), (901, "", "en", "s", 0)]
     path = scratch_path(spark, "pipeline_tables")
     spark.createDataFrame(docs, DOCUMENT).repartition(3).write.parquet(f"{path}/documents.parquet")
@@ -29,6 +30,13 @@ def tables(spark):
     return path, docs, toxic
 
 
+def stay(kept, rows):
+    """The smallest id of each component of fingerprints at most two bits apart."""
+    prints = {d: plain_fingerprint(t) for d, t, *_ in rows if d in kept}
+    root = plain_components(set(prints.values()), 2)
+    return {min(d for d in prints if root[prints[d]] == r) for r in set(root.values())}
+
+
 def test_stages_take_effect_and_keep_clean_documents(spark):
     path, rows, toxic = tables(spark)
     docs = spark.read.parquet(f"{path}/documents.parquet")
@@ -41,7 +49,7 @@ def test_stages_take_effect_and_keep_clean_documents(spark):
         texts = {r.doc_id: r.text for r in kept}
     clean = {r[0] for r in rows} - toxic
     assert not sets[0] & toxic and len(clean - sets[0]) <= 2
-    assert {203, 260} & sets[1] == {203} and {204, 261} & sets[1] == {204} and sets[0] - sets[1] == {260, 261, 901} & sets[0]
+    assert {203, 260} & sets[1] == {203} and sets[1] == stay(sets[0], rows)
     assert sets[1] - sets[2] == {201}
     assert sets[3] == sets[2] and texts[202].startswith("mail [EMAIL] ") and texts[210] == rows[210][1]
     packed = corpus_pipeline.run(spark, path)
@@ -58,15 +66,11 @@ def test_rows_against_a_brute_force_pipeline(spark):
     model = toxicity.train(docs, spark.read.parquet(f"{path}/labels.parquet"))
     scores = dict(docs.select("doc_id", toxicity.score(docs, model)).collect())
     left = [(d, t or "") for d, t, *_ in rows if scores[d] < 0.5]
-    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} if t.split() else set()
-    kept = []
-    for d, t in left:
-        s = shingles(t)
-        if not any(len(s & o) >= 0.8 * len(s | o) for _, _, o in kept):
-            kept.append((d, t, s))
+    ids = stay({d for d, _ in left}, rows)
+    kept = [(d, t) for d, t in left if d in ids]
     items = [r.text for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()]
     windows = [set(decontaminate.item_windows([("i", x)], 10)) for x in items]
-    pure = [(d, t) for d, t, _ in kept if not any(w in f" {t} ".encode() for ws in windows for w in ws)]
+    pure = [(d, t) for d, t in kept if not any(w in f" {t} ".encode() for ws in windows for w in ws)]
     want = sorted((d, t.replace("me@some.example.org", "[EMAIL]").split()) for d, t in pure)
     got = {}
     for r in sorted(corpus_pipeline.run(spark, path).collect(), key=lambda r: r.piece):

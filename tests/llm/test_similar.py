@@ -1,118 +1,47 @@
-"""Classes of similar texts against all pairs."""
+"""One row of each SimHash component against brute force."""
 
 import random
 
-import numpy as np
-from pyspark.sql import functions as F
 from riskloom.llm import simhash
+from test_simhash import plain_components, plain_fingerprint, texts
 
 
-def similarity(a, b, k=5):
-    x, y = (set(simhash.shingle_hashes(t, k).tolist()) for t in (a, b))
-    return len(x & y) / len(x | y) if x | y else 1.0
+def brute(rows, budget=2):
+    """Keys and texts that stay: per component the smallest key, null keys last."""
+    prints = [plain_fingerprint(t) for _, t in rows]
+    root = plain_components(set(prints), budget)
+    best = {}
+    for at, (row, p) in enumerate(zip(rows, prints)):
+        mark = (row[0] is None, row[0] or 0)
+        if root[p] not in best or mark < best[root[p]][0]:
+            best[root[p]] = (mark, at)
+    return sorted((rows[at][0] is None, rows[at][0] or 0) for _, at in best.values())
 
 
-def families(seed):
-    rng = random.Random(seed)
-    texts = []
-    for _ in range(14):
-        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([12, 60, 110, 700]))]
-        for edits in (0, 0, 1, 2):
-            words = list(base)
-            for _ in range(edits if len(base) > 20 else 0):
-                words[rng.randrange(len(words))] = "new"
-            texts.append(" ".join(words))
-    return texts + [" ".join(f"w{rng.randrange(3000)}" for _ in range(50)) for _ in range(20)]
+def kept(df, **how):
+    return sorted((r.doc_id is None, r.doc_id or 0) for r in simhash.keep_one(df, **how).collect())
 
 
-def test_one_of_each_family_stays(docs):
-    texts = families(1) + ["", None, "  ", "One", "one"]
-    df = docs(list(enumerate(texts)))
-    classes = {r[0]: r[2] for r in simhash.similar_classes(df).collect()}
-    alike = [(i, j) for i in range(len(texts)) for j in range(i) if similarity(texts[i], texts[j]) >= 0.85]
-    apart = [(i, j) for i in range(len(texts)) for j in range(i) if similarity(texts[i], texts[j]) < 0.5]
-    assert len(alike) > 40 and all(classes[i] == classes[j] for i, j in alike)
-    assert all(classes[i] != classes[j] for i, j in apart)
-    kept = {r.doc_id for r in simhash.keep_one(df).collect()}
-    first = {}
-    for i, c in classes.items():
-        first[c] = min(i, first.get(c, i))
-    assert kept == set(first.values())
+def test_one_of_each_component_stays(docs):
+    rows = list(enumerate(texts(4, 200)))
+    random.Random(1).shuffle(rows)
+    assert kept(docs(rows)) == brute(rows)
+    assert kept(docs(rows), budget=6, leaf=5) == brute(rows, 6)
 
 
-def test_sketches():
-    rng = np.random.default_rng(0)
-    a, b = (rng.integers(0, 2**63, 60).astype(np.uint64) for _ in range(2))
-    half = np.concatenate([a[:30], b])
-    assert simhash.sketched_similarity(simhash.sketch(a), simhash.sketch(half)) == 30 / 120
-    big = rng.integers(0, 2**63, 5000).astype(np.uint64)
-    near = np.concatenate([big[:4500], rng.integers(0, 2**63, 500).astype(np.uint64)])
-    assert abs(simhash.sketched_similarity(simhash.sketch(big), simhash.sketch(near)) - 4500 / 5500) < 0.12
-    empty = simhash.sketch(np.zeros(0, np.uint64))
-    assert simhash.sketched_similarity(empty, empty) == 1.0 and simhash.sketched_similarity(empty, simhash.sketch(a)) == 0.0
-
-
-def test_permuted_bits_come_back():
-    values = np.random.default_rng(1).integers(0, 2**63, 100).astype(np.uint64)
-    for order in simhash.permutations(3):
-        assert np.array_equal(simhash.permute(simhash.permute(values, order), np.argsort(order)), values)
-
-
-def test_edges(docs):
-    rows = [(7, "a b c", 1), (7, "a b c", 2), (None, "a b c", 3), (None, "z", 4), (None, "z", 5), (3, None, 6), (2, "", 7)]
-    df = docs(rows, "doc_id long, text string, node int").withColumn("key", F.lit(0)).withColumn("class", F.lit("c"))
-    kept = simhash.keep_one(df)
-    assert kept.columns == df.columns
-    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "z"), (2, ""), (7, "a b c")]
+def test_nulls_ties_and_repeats(docs):
+    rows = [(7, "a b c"), (7, "a b c"), (None, "a b c"), (None, "z"), (None, "z"), (3, None), (2, ""), (9, "q " * 40000)]
+    assert kept(docs(rows)) == [(False, 2), (False, 7), (False, 9), (True, 0)]
     assert simhash.keep_one(docs([])).collect() == []
 
 
-def one_class_each(docs, texts, pairs):
-    """Whether every pair is in one class, and whether no two pairs are."""
-    classes = {r[0]: r[2] for r in simhash.similar_classes(docs(list(enumerate(texts)))).collect()}
-    return all(classes[i] == classes[j] for i, j in pairs) and len({classes[i] for i, _ in pairs}) == len(pairs)
-
-
-def test_chain_whose_middle_is_not_the_smallest(docs):
-    """Every text is similar to its neighbours in the chain only, so that no one text can stand for the others."""
-    rng = random.Random(5)
-    words = [f"c{rng.randrange(10**6)}" for _ in range(600)]
-    chain = [" ".join(words[at : at + 120]) for at in range(0, 480, 10)]  # neighbours share 106 of 126 shingles
-    assert all(similarity(a, b) >= 0.8 for a, b in zip(chain, chain[1:])) and similarity(chain[0], chain[2]) < 0.8
-    rows = list(enumerate(chain))
-    rng.shuffle(rows)
-    assert len({r[2] for r in simhash.similar_classes(docs(rows)).collect()}) == 1
-
-
-def test_similar_texts_behind_one_fingerprint(docs):
-    """A repeated line gives all texts one fingerprint; only the texts of a pair have similar shingle sets."""
-    rng = random.Random(6)
-    line = " ".join(f"l{rng.randrange(1000)}" for _ in range(11))
-    texts, pairs = [], []
-    for _ in range(8):
-        tail = [f"t{rng.randrange(10**6)}" for _ in range(60)]
-        pairs.append((len(texts), len(texts) + 1))
-        texts += [" ".join([line] * 300 + tail), " ".join([line] * 300 + tail[:-3])]
-    assert len({simhash.simhash(simhash.shingle_hashes(t, 3)) for t in texts}) == 1
-    assert one_class_each(docs, texts, pairs)
-
-
-def test_long_pairs_at_the_limit_are_judged_exactly(docs):
-    """600 words, of which so many are shared that the similarity lies just above or just below the limit."""
-    rng = random.Random(7)
-    texts, near, far = [], [], []
-    for at in range(60):
-        words = [f"p{rng.randrange(10**7)}" for _ in range(800)]
-        move = 64 if at % 2 else 70
-        (near if at % 2 else far).append((len(texts), len(texts) + 1))
-        texts += [" ".join(words[:600]), " ".join(words[move : 600 + move])]
-    assert all(0.8 < similarity(texts[i], texts[j]) < 0.82 for i, j in near) and all(0.78 < similarity(texts[i], texts[j]) < 0.8 for i, j in far)
-    classes = {r[0]: r[2] for r in simhash.similar_classes(docs(list(enumerate(texts)))).collect()}
-    assert all(classes[i] == classes[j] for i, j in near) and all(classes[i] != classes[j] for i, j in far)
+def test_clashing_columns_come_back(docs):
+    names = ["fingerprint", "number", "chosen", "fp", "root", "best", "low", "node", "copies", "row node"]
+    df = docs([(1, "a b c", *"0123456789"), (2, "a b c", *"abcdefghij")], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = simhash.keep_one(df)
+    assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [(1, "a b c", *"0123456789")]
 
 
-def test_buckets_dealt_as_chunks_lose_no_pair(docs):
-    low = bytes(simhash.BANDS * simhash.ROWS)
-    rows = docs([(1, n, n // 2, low) for n in range(20)], "bucket long, node long, class long, low binary")
-    apart = {(a, b) for a in range(20) for b in range(a + 1, 20) if a // 2 != b // 2}
-    assert {(r.u, r.v) for r in simhash._pairs_apart(rows, 0.8, 6).collect()} == apart
+def test_a_large_group_of_copies_leaves_one(docs):
+    rows = [(i, "same words in every one of these texts") for i in range(3000)] + [(5000, "something else altogether here")]
+    assert kept(docs(rows, partitions=8)) == [(False, 0), (False, 5000)]

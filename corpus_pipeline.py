@@ -22,9 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each SimHash component: three-word shingles, fingerprints at most two bits apart."""
     small_batches(spark)
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, k=3, budget=2)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, packing, pii, quality, sharding, simhash, slots, substrings, toxicity, wrapper
+from riskloom.llm import chat, clustering, decontaminate, packing, pii, quality, sharding, simhash, slots, substrings, toxicity, wrapper
 from riskloom.llm.common import small_batches
 from riskloom.sources.tables import read
 
@@ -137,3 +137,38 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
     return cut.select("doc_id", "substrings.n_words", "substrings.n_removed", "substrings.kept_sha256")
+
+
+CENTROIDS, ROUNDS, DIMENSION = 8, 10, 64
+
+
+def _clustering_sql() -> str:
+    """The rounds one after the other, as common table expressions over (row, component, integer)."""
+    rounds = []
+    for at in range(ROUNDS + 1):
+        rounds.append(
+            f"d{at} AS (SELECT r, cluster, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{at} c USING (i) GROUP BY r, cluster),\n"
+            f"a{at} AS MATERIALIZED (SELECT r, cluster, d FROM d{at} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1)"
+        )
+        if at < ROUNDS:
+            rounds.append(
+                f"m{at} AS (SELECT cluster, i, sum(x) AS s, count(*) AS n FROM a{at} JOIN v USING (r) GROUP BY cluster, i),\n"
+                f"c{at + 1} AS MATERIALIZED (SELECT cluster, i, CASE WHEN n IS NULL THEN x ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS x "
+                f"FROM c{at} LEFT JOIN m{at} USING (cluster, i))"
+            )
+    return (
+        f"WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = {DIMENSION} "
+        "AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = len(embedding)),\n"
+        f"v AS MATERIALIZED (SELECT r, i, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x FROM e, range(1, {DIMENSION + 1}) t(i)),\n"
+        f"f AS (SELECT r, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster FROM e QUALIFY cluster < {CENTROIDS}),\n"
+        "c0 AS MATERIALIZED (SELECT cluster, i, x FROM f JOIN v USING (r)),\n" + ",\n".join(rounds) + ",\n"
+        f"h AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{ROUNDS} GROUP BY cluster)\n"
+        "SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,\n"
+        f"CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a{ROUNDS} JOIN e USING (r) JOIN h USING (cluster)"
+    )
+
+
+@query("op13_centroid_clustering", _clustering_sql())
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return clustering.with_inertia(clustering.cluster(vectors, k=CENTROIDS, rounds=ROUNDS, dimension=DIMENSION))

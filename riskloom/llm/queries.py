@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, clustering, decontaminate, packing, pii, quality, sharding, simhash, slots, substrings, toxicity, wrapper
+from riskloom.llm import chat, clustering, decontaminate, mixing, packing, pii, quality, sharding, simhash, slots, substrings, toxicity, wrapper
 from riskloom.llm.common import small_batches
 from riskloom.sources.tables import read
 
@@ -172,3 +172,9 @@ def _clustering_sql() -> str:
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return clustering.with_inertia(clustering.cluster(vectors, k=CENTROIDS, rounds=ROUNDS, dimension=DIMENSION))
+
+
+@query("op11_mixing")
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, clustering, decontaminate, mixing, packing, pii, quality, sharding, simhash, slots, substrings, toxicity, wrapper
+from riskloom.llm import alignment, chat, clustering, decontaminate, mixing, packing, pii, quality, sharding, simhash, slots, substrings, toxicity, wrapper
 from riskloom.llm.common import small_batches
 from riskloom.sources.tables import read
 
@@ -178,3 +178,13 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query("op12_cross_tokenizer_alignment")
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    aligned, _ = alignment.align_corpus(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    return aligned

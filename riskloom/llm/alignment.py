@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,10 +28,10 @@ from pyspark.sql.types import StructField, StructType
 
 from riskloom.sources.store import materialise
 
-#: UTF-8 bytes of text in a block, and characters that are encoded in one call.
-BLOCK, CALL = 8 << 20, 1 << 16
-#: The place before a single space that stands between two other characters that are no white space.
-CUT = re.compile(r"(?<=\S)(?= \S)")
+#: Characters of text in a block, and chunks that are encoded and aligned at once.
+BLOCK, SLICE = 8 << 20, 1 << 13
+#: A single space between two characters that are no white space, and two such characters in a row.
+CUT, PAIR = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s\s")
 
 
 class Tokenizers:
@@ -50,6 +52,8 @@ class Tokenizers:
         # Chunks are right only where no token can cross a cut; with other tokenizers a text is one chunk.
         inner = any(re.search(r"[^ ] ", x.decode("utf-8", "replace")) for x in self.bytes_b)
         self.cuts = self.a.normalizer is None and isinstance(self.a.pre_tokenizer, ByteLevel) and not inner
+        ids = range(max(len(self.bytes_a), len(self.bytes_b)))
+        self.written = np.array([[f"{i}{mark}" for i in ids] for mark in ("", ";", "|", ",")], dtype=object)
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
 
     def _piece(self, i: int) -> bytes:
@@ -58,15 +62,19 @@ class Tokenizers:
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
     def chunks(self, text: str) -> list[str]:
-        """The chunks of the text with a space before it."""
-        return CUT.split(f" {text}") if self.cuts else [f" {text}"]
+        """The chunks of the text; each stands for a space and itself."""
+        if not self.cuts:
+            return [text]
+        # Without white space in a row or at an end, every space is a cut.
+        simple = not (text[0].isspace() or text[-1].isspace() or PAIR.search(text))
+        return text.split(" ") if simple else CUT.split(text)
 
     def encode(self, chunks: list[str]) -> tuple[list[int], list[int]] | None:
-        """Ids of both tokenizers for joined chunks, None if their bytes are not those of the chunks."""
-        text = "".join(chunks)
-        a = self.a.encode(text, add_special_tokens=False).ids
-        b = self.b.encode(text[1:])
-        raw = text.encode("utf-8", "replace")
+        """Ids of both tokenizers for chunks with a space before each, None if their bytes are not those of the chunks."""
+        text = " ".join(chunks)
+        a = self.a.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
+        raw = f" {text}".encode("utf-8", "replace")
         same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
         return (a, b) if same else None
 
@@ -127,54 +135,50 @@ def _encoded(t: Tokenizers, chunks: list[str]) -> tuple[np.ndarray, np.ndarray,
     """Ids of A and B of all chunks in order, and whether each chunk is whole in both; a chunk that is not has no ids."""
     ok = np.ones(len(chunks), bool)
     ids: tuple[list[int], list[int]] = ([], [])
-
-    def run(at: list[int]) -> None:
-        found = t.encode([chunks[i] for i in at])
+    # Chunks with white space at an end, which are first or last in a text, have other tokens when something is joined to them.
+    alone = [i for i, c in enumerate(chunks) if not t.cuts or c[0].isspace() or c[-1].isspace()]
+    edges = sorted({0, len(chunks), *alone, *(i + 1 for i in alone)})
+    waiting = list(zip(edges, edges[1:]))[::-1]
+    while waiting:
+        begin, end = waiting.pop()
+        found = t.encode(chunks[begin:end])
         if found is not None:
             ids[0].extend(found[0])
             ids[1].extend(found[1])
-        elif len(at) == 1:
-            ok[at[0]] = False
+        elif end - begin == 1:
+            ok[begin] = False
         else:  # one of them is not whole: find it by halves
-            run(at[: len(at) // 2])
-            run(at[len(at) // 2 :])
-
-    held, size = [], 0
-    for i, c in enumerate(chunks):
-        # Only chunks that begin with one space and end with another character can be joined without changing their tokens.
-        joins = t.cuts and c[:1] == " " and not c[1:2].isspace() and len(c) > 1 and not c[-1:].isspace()
-        if held and (not joins or size + len(c) > CALL):
-            run(held)
-            held, size = [], 0
-        if joins:
-            held.append(i)
-            size += len(c)
-        else:
-            run([i])
-    if held:
-        run(held)
+            middle = (begin + end) // 2
+            waiting += [(middle, end), (begin, middle)]
     return np.array(ids[0], np.int64), np.array(ids[1], np.int64), ok
 
 
 def align(t: Tokenizers, chunks: list[str]) -> Aligned:
-    """All chunks at once: their bytes are one line, on which no group crosses from one chunk to the next."""
+    """All chunks, slice by slice."""
+    parts = [_aligned(t, chunks[i : i + SLICE]) for i in range(0, len(chunks), SLICE)] or [_aligned(t, [])]
+    numbers = [np.concatenate([getattr(p, c) for p in parts]) for c in ("ok", "n_a", "n_b", "n_groups", "n_links", "codes")]
+    return Aligned(*numbers, [g for p in parts for g in p.groups])
+
+
+def _aligned(t: Tokenizers, chunks: list[str]) -> Aligned:
+    """The bytes of all chunks, each after a space, are one line, on which no group crosses from one chunk to the next."""
     a, b, ok = _encoded(t, chunks)
-    size = np.array([len(c.encode("utf-8", "replace")) for c in chunks], np.int64) * ok
+    size = (np.fromiter(map(len, map(str.encode, chunks, itertools.repeat("utf-8"), itertools.repeat("replace"))), np.int64) + 1) * ok
     stop = np.cumsum(size)
     end_a, end_b = np.cumsum(t.length_a[a]), np.cumsum(t.length_b[b])
     start_a, start_b = end_a - t.length_a[a], end_b - t.length_b[b]
     group_a, group_b = coalesce(start_a, end_a, start_b, end_b)
     x, y = overlaps(start_a, end_a, start_b, end_b)
     of_a, of_b = np.searchsorted(stop, start_a, "right"), np.searchsorted(stop, start_b, "right")
-    count = lambda of: np.bincount(of, minlength=len(chunks))
+    count = functools.partial(np.bincount, minlength=len(chunks))
     first = np.concatenate([[True], group_a[1:] != group_a[:-1]]) if len(a) else np.zeros(0, bool)
     return Aligned(
         ok, count(of_a), count(of_b), count(of_a[first]), count(of_a[x]), a[x] * len(t.bytes_b) + b[y],
-        _written(a, group_a, of_a, b, group_b, of_b, len(chunks)),
+        _written(t.written, a, group_a, of_a, b, group_b, of_b, len(chunks)),
     )
 
 
-def _written(a: np.ndarray, group_a: np.ndarray, of_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, of_b: np.ndarray, chunks: int) -> list[str]:
+def _written(table: np.ndarray, a: np.ndarray, group_a: np.ndarray, of_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, of_b: np.ndarray, chunks: int) -> list[str]:
     """Per chunk its groups as ``a1,a2|b1;a3|b2,b3``."""
     ids, group, of = np.concatenate([a, b]), np.concatenate([group_a, group_b]), np.concatenate([of_a, of_b])
     side = np.repeat([0, 1], [len(a), len(b)])
@@ -182,8 +186,8 @@ def _written(a: np.ndarray, group_a: np.ndarray, of_a: np.ndarray, b: np.ndarray
     group, side, of = group[order], side[order], of[order]
     new_group, new_side = np.diff(group, append=-1) != 0, np.diff(side, append=-1) != 0
     last = np.diff(of, append=-1) != 0
-    mark = np.where(last, "", np.where(new_group, ";", np.where(new_side, "|", ",")))
-    tokens = [f"{i}{m}" for i, m in zip(ids[order].tolist(), mark.tolist())]
+    mark = np.where(last, 0, np.where(new_group, 1, np.where(new_side, 2, 3)))
+    tokens = table[mark, ids[order]].tolist()
     ends = np.searchsorted(of, np.arange(chunks), "right").tolist()
     begins = [0, *ends[:-1]]
     return ["".join(tokens[s:e]) for s, e in zip(begins, ends)]
@@ -192,53 +196,54 @@ def _written(a: np.ndarray, group_a: np.ndarray, of_a: np.ndarray, b: np.ndarray
 # Blocks of documents
 
 
-def _block_rows(t: Tokenizers, name: int, keys: list, texts: list[list[int]], chunks: list[str]) -> pd.DataFrame:
+def _block_rows(t: Tokenizers, name: int, keys: list, texts: list[np.ndarray], chunks: list[str]) -> pd.DataFrame:
     """One row per document of a block, and first one of the block itself: its different pairs, their links, and the pairs of every chunk."""
     got = align(t, chunks)
-    own, whole = [], []
-    for words in texts:
-        w = np.asarray(words, np.int64)
-        own.append(w)
-        whole.append(bool(len(w)) and bool(got.ok[w].all()))
+    whole = [bool(len(w)) and bool(got.ok[w].all()) for w in texts]
     codes, position = np.unique(got.codes, return_inverse=True)
-    times = np.zeros(len(chunks), np.int64)
-    for w, ok in zip(own, whole):
-        if ok:
-            np.add.at(times, w, 1)
-    links = np.zeros(len(codes), np.int64)
-    np.add.at(links, position, np.repeat(times, got.n_links))
+    counted = [w for w, ok in zip(texts, whole) if ok]
+    times = np.bincount(np.concatenate(counted) if counted else texts[0][:0], minlength=len(chunks))
+    # Sums of whole numbers far below 2**53, exact in doubles.
+    links = np.bincount(position, weights=np.repeat(times, got.n_links), minlength=len(codes)).astype(np.int64)
     used = links > 0
     rows = {
         "codes": [codes[used]], "links": [links[used]], "pairs": [position.astype(np.int32).tobytes()], "sizes": [got.n_links.astype(np.int32).tobytes()],
         "used": [np.packbits(used).tobytes()], "words": [None], "key": [None], "groups_sha256": [None],
         **{c: [0] for c in ("n_a", "n_b", "n_groups", "n_links")},
     }
-    for key, w, ok in zip(keys, own, whole):
+    for key, w, ok in zip(keys, texts, whole):
         w = w if ok else w[:0]
         for c in ("codes", "links", "pairs", "sizes", "used"):
             rows[c].append(None)
         rows["key"].append(key)
-        rows["words"].append(w.astype(np.int32).tobytes())
+        rows["words"].append(w.tobytes())
         rows["groups_sha256"].append(hashlib.sha256(";".join([got.groups[i] for i in w]).encode()).hexdigest() if ok else "")
         for c in ("n_a", "n_b", "n_groups", "n_links"):
             rows[c].append(int(getattr(got, c)[w].sum()))
     return pd.DataFrame(rows).assign(block=name)
 
 
+def _numbering() -> defaultdict[str, int]:
+    """Numbers for what is looked up, 0, 1, 2 and so on in the order of first look-ups."""
+    index: defaultdict[str, int] = defaultdict()
+    index.default_factory = index.__len__
+    return index
+
+
 def _blocks(a: str, b: str, block: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = tokenizers(a, b)
         part, at = TaskContext.get().partitionId(), 0
-        keys, texts, size = [], [], 0
-        index: dict[str, int] = {}
+        keys, texts, size, index = [], [], 0, _numbering()
         for batch in batches:
             for key, text in zip(batch["key"], batch["text"]):
-                texts.append([index.setdefault(c, len(index)) for c in t.chunks(text)] if text else [])
+                texts.append(np.fromiter(map(index.__getitem__, t.chunks(text)), np.int32) if text else np.zeros(0, np.int32))
                 keys.append(key)
                 size += len(text or "")
                 if size >= block:
                     yield _block_rows(t, (part << 24) + at, keys, texts, list(index))
-                    keys, texts, size, index, at = [], [], 0, {}, at + 1
+                    index.clear()  # it holds itself by its factory
+                    keys, texts, size, index, at = [], [], 0, _numbering(), at + 1
         if keys:
             yield _block_rows(t, (part << 24) + at, keys, texts, list(index))
 

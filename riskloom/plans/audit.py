@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
+from riskloom.operators import asof
 from riskloom.operators import audit as C
 from riskloom.operators.changes import change_log
 from riskloom.plans.joins import ALL, CUR
 from riskloom.plans.load import OLD, _new, _old
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import RUN_TS, UNIT_BEHAVIOUR
-from riskloom.plans.sqltext import d, r, registry_cte, with_
+from riskloom.plans.sqltext import activations_cte, d, r, registry_cte, with_
 from riskloom.sources import proxies as P
 from riskloom.sources.store import materialise, scratch_path
 from riskloom.streaming.audit_stream import AuditStream, read_updates
@@ -111,6 +112,18 @@ def audit_change_log(spark, sf):
     return change_log(materialise(_updates(spark, sf)))
 
 
+@query(
+    "audit_log_as_of",
+    with_(activations_cte(), f"lg AS ({_LOG.format(value=_COARSE)})") + f"""SELECT customer_id, event_id, event_time, risk_score, previous_score, change, created_by,
+  dataset_version, coalesce(act.model_version, '{K.UNKNOWN_MODEL}') AS model_version FROM (SELECT * EXCLUDE (model_version) FROM lg) l
+ASOF LEFT JOIN act ON l.event_time >= act.activated_at""",
+)
+def audit_log_as_of(spark, sf):
+    """The change log, each row stamped with the model that was active when the change was made."""
+    log = change_log(materialise(_updates(spark, sf))).drop("model_version")
+    return asof.active_at(log, P.model_activations(spark, sf), "event_time")
+
+
 @query("audit_stream", _LOG.format(value=_COARSE))
 def audit_stream(spark, sf):
     """Updates arrive in three parts; after each the stream runs on from its checkpoint."""

@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
+from riskloom.operators import asof
 from riskloom.operators import joins as J
 from riskloom.operators.rules import rule_score
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import RUN_TS, RULE_SUM
-from riskloom.plans.sqltext import registry_cte, snapshot_cte, wide_cte, with_
+from riskloom.plans.sqltext import HISTORY, activations_cte, registry_cte, snapshot_cte, wide_cte, with_
 from riskloom.sources import proxies as P
 from riskloom.sources.tables import read
 
@@ -57,6 +58,40 @@ def active_model_fallback(spark, sf):
     return J.with_active_model(ids, P.model_registry(spark, sf, active=None))
 
 
+@query(
+    "active_model_as_of",
+    with_(activations_cte()) + f"""SELECT prediction_id, customer_id, prediction_time, coalesce(act.model_version, '{K.UNKNOWN_MODEL}') AS model_version
+FROM ph ASOF LEFT JOIN act ON ph.prediction_time >= act.activated_at""",
+)
+def active_model_as_of(spark, sf):
+    """Stored predictions with the model that was active when each was made."""
+    rows = P.prediction_history(spark, sf).select("prediction_id", "customer_id", "prediction_time")
+    return asof.active_at(rows, P.model_activations(spark, sf), "prediction_time")
+
+
+@query(
+    "activation_periods",
+    with_(activations_cte()) + "SELECT model_version, activated_at, lead(activated_at) OVER (ORDER BY activated_at, model_version) AS ended_at FROM act",
+)
+def activation_periods(spark, sf):
+    return asof.activation_periods(P.model_activations(spark, sf))
+
+
+@query(
+    "score_as_of",
+    with_(HISTORY, """
+newest AS (SELECT customer_id, prediction_time, arg_max(risk_score, prediction_id) AS risk_score FROM ph GROUP BY ALL),
+e AS (SELECT event_id, user_id AS customer_id, ts AS event_time FROM events)""")
+    + """SELECT e.event_id, e.customer_id, e.event_time, newest.risk_score
+FROM e ASOF LEFT JOIN newest ON e.customer_id = newest.customer_id AND e.event_time >= newest.prediction_time""",
+)
+def score_as_of(spark, sf):
+    """Behaviour events with the customer's risk score as it was known at the time, nothing from later."""
+    events = P.raw_events(spark, sf).select("event_id", "customer_id", "event_time")
+    scores = P.prediction_history(spark, sf).select("customer_id", "prediction_id", "prediction_time", "risk_score")
+    return asof.asof_join(events, scores, "event_time", "prediction_time", ["risk_score"], ["customer_id"], "prediction_id")
+
+
 @query(
     "risk_score_lookup",
     with_(CUR) + "SELECT c_custkey AS customer_id, coalesce(risk_score, 0) AS risk_score FROM customer LEFT JOIN cur ON cur.customer_id = c_custkey",

@@ -145,6 +145,14 @@ mr AS (
   FROM ph GROUP BY model_version)"""
 
 
+def activations_cte() -> str:
+    """Stored predictions and the activations derived from them."""
+    return f"""{HISTORY},
+act AS (
+  SELECT arg_min(model_version, {{'t': prediction_time, 'i': prediction_id}}) AS model_version, min(prediction_time) AS activated_at
+  FROM ph GROUP BY date_trunc('month', prediction_time))"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 

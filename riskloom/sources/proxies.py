@@ -233,6 +233,18 @@ def model_registry(spark: SparkSession, sf_dir: str, active: str | None = "v2.0"
     )
 
 
+def model_activations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When which model became the active one: in every month that of its first stored prediction, from that moment on."""
+    first = F.struct("prediction_time", "prediction_id")
+    return (
+        prediction_history(spark, sf_dir)
+        .select("model_version", "prediction_time", "prediction_id")
+        .groupBy(F.trunc("prediction_time", "month").alias("month"))
+        .agg(F.min_by("model_version", first).alias("model_version"), F.min("prediction_time").alias("activated_at"))
+        .select("model_version", "activated_at")
+    )
+
+
 Window = tuple[str | None, str | None]
 
 # Two observation windows, open at one end: together they cover everything, and customers leave and change between them.

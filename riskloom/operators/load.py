@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions.numeric import dbl, sigmoid
-from riskloom.sources.store import materialise, path_exists, write_replace
+from riskloom.sources.published import publish
+from riskloom.sources.store import path_exists
 
 RESILIENCE = K.FEATURES[2]
 MIN_RESILIENCE = 1.0
@@ -72,31 +75,41 @@ def touch_updated_at(df: DataFrame, run_ts: Column) -> DataFrame:
     return df.withColumn("updated_at", run_ts) if "updated_at" in df.columns else df
 
 
-def staging_counts(staged: DataFrame) -> DataFrame:
+def _staging_facts() -> dict[str, Column]:
     """Rows staged and rows whose resilience is missing or at most the accepted minimum."""
     bad = F.col(RESILIENCE).isNull() | (F.col(RESILIENCE) <= MIN_RESILIENCE)
-    return staged.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(bad).alias("bad_rows"))
+    return {"total_rows": F.count(F.lit(1)), "bad_rows": F.count_if(bad)}
+
+
+def _accept_staging(facts: dict[str, Any]) -> None:
+    if facts["total_rows"] == 0:
+        raise ValueError("staging table is empty, promotion stopped")
+    if facts["bad_rows"] > 0:
+        raise ValueError(f"invalid {RESILIENCE} in {facts['bad_rows']} rows, promotion stopped")
+
+
+def staging_counts(staged: DataFrame) -> DataFrame:
+    """Rows staged and rows whose resilience is missing or at most the accepted minimum."""
+    return staged.agg(*[c.alias(n) for n, c in _staging_facts().items()])
 
 
 def validate_staging(staged: DataFrame) -> int:
     """Number of staged rows, or an error for an empty stage or bad resilience."""
-    counts = staging_counts(staged).first()
-    if counts.total_rows == 0:
-        raise ValueError("staging table is empty, promotion stopped")
-    if counts.bad_rows > 0:
-        raise ValueError(f"invalid {RESILIENCE} in {counts.bad_rows} rows, promotion stopped")
-    return counts.total_rows
+    counts = staging_counts(staged).first().asDict()
+    _accept_staging(counts)
+    return counts["total_rows"]
 
 
 def promote(staged: DataFrame, path: str) -> DataFrame:
-    """Gate the stage, then swap the production table in one overwrite and read it back."""
-    stored = materialise(staged, "stage")  # what passes the gate is what is written
-    validate_staging(stored)
+    """Gate the stage and publish it as the production table, all or nothing, and read it back.
+
+    One job writes the rows and counts them and the bad ones among them. Only a version that passes the gate is committed; until then, and
+    after any failure, readers have the last one.
+    """
     resilience = F.col(RESILIENCE)
-    passed = stored.withColumn(RESILIENCE, F.when(resilience > MIN_RESILIENCE, resilience))
+    passed = staged.withColumn(RESILIENCE, F.when(resilience > MIN_RESILIENCE, resilience))
     production = passed.select("customer_id", *K.FEATURES, "risk_score", "risk_band")
-    write_replace(production, path)
-    return stored.sparkSession.read.schema(production.schema).parquet(path)
+    return publish(production, path, _staging_facts(), _accept_staging).read(staged.sparkSession)
 
 
 def stored_predictions(df: DataFrame, run_ts: Column) -> DataFrame:

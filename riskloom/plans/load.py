@@ -18,6 +18,7 @@ from riskloom.plans.scoring import RUN_TS
 from riskloom.plans.sqltext import HISTORY, SURVEY, WIDE, d, r, snapshot_cte, with_
 from riskloom.sources import proxies as P
 from riskloom.sources import store as S
+from riskloom.sources.published import publish, read_published
 
 PAY, INC, RES = K.FEATURES
 _FEATS = f"{PAY}, {INC}, {RES}"
@@ -91,10 +92,9 @@ def load_features_projection(spark, sf):
 @query("write_replace", with_(ALL) + f"SELECT customer_id, {_FEATS}, risk_score, risk_band FROM cur")
 def write_replace(spark, sf):
     path = S.scratch_path(spark, "replaced")
-    new = P.feature_snapshot(spark, sf)
-    S.write_replace(_old(spark, sf), path)
-    S.write_replace(new, path)
-    return spark.read.schema(new.schema).parquet(path)
+    publish(_old(spark, sf), path)
+    publish(P.feature_snapshot(spark, sf), path)
+    return read_published(spark, path)
 
 
 @query("write_csv", with_(HISTORY) + "SELECT prediction_id, customer_id, risk_score, model_version, created_by FROM ph")
@@ -151,6 +151,18 @@ def promote_to_production(spark, sf):
     return L.promote(P.staging_features(spark, sf, clean=True), S.scratch_path(spark, "production"))
 
 
+@query("promote_rejected", with_(ALL) + f"SELECT customer_id, {_FEATS}, risk_score, risk_band FROM cur")
+def promote_rejected(spark, sf):
+    """A stage that does not pass its gate leaves the published table as it was."""
+    path = S.scratch_path(spark, "production")
+    publish(P.feature_snapshot(spark, sf), path)
+    try:
+        L.promote(P.staging_features(spark, sf, clean=False), path)
+    except ValueError:
+        return read_published(spark, path)
+    raise AssertionError("a stage with bad rows was promoted")
+
+
 @query(
     "validate_staging",
     WIDE + f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE x IS NULL OR x <= 1) AS bad_rows

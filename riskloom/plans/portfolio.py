@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from riskloom import constants as K
 from riskloom.functions.numeric import round_up
 from riskloom.operators import portfolio as A
+from riskloom.operators.portfolio_view import PortfolioView, change_rows
 from riskloom.operators.scoring import behaviour_score
 from riskloom.plans.bands import BEHAVIOUR, CATEGORY, SEGMENT
 from riskloom.plans.registry import query
-from riskloom.plans.sqltext import WIDE, d, r
+from riskloom.plans.sqltext import WIDE, d, r, snapshot_cte, with_
 from riskloom.sources import proxies as P
-from riskloom.sources.store import materialise, scratch_path, write_replace
+from riskloom.sources.published import publish, read_published
+from riskloom.sources.store import materialise, scratch_path
 from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
@@ -92,8 +94,24 @@ def reconstruction_error(spark, sf):
 def portfolio_summary(spark, sf):
     summary = _r6(A.portfolio_summary(P.wide_customers(spark, sf, "risk_band", "risk_score")), "avg_risk_score")
     path = scratch_path(spark, "portfolio_summary")
-    write_replace(summary, path)  # refresh of the stored summary
-    return spark.read.schema(summary.schema).parquet(path)
+    publish(summary, path)  # refresh of the stored summary
+    return read_published(spark, path)
+
+
+@query(
+    "portfolio_kept_up_to_date",
+    with_(snapshot_cte("cur", P.NEW_WINDOW)) + f"SELECT risk_band, count(*) AS customer_count, {r('avg(CAST(risk_score AS DECIMAL(24,12)))', 6)} AS avg_risk_score FROM cur GROUP BY 1",
+)
+def portfolio_kept_up_to_date(spark, sf):
+    """The stored view of the first window after customers came, went and changed: changes are counted in, in three batches, one of them twice."""
+    old = P.feature_snapshot(spark, sf, P.OLD_WINDOW).select("customer_id", "risk_band", "risk_score")
+    new = P.feature_snapshot(spark, sf, P.NEW_WINDOW).select("customer_id", "risk_band", "risk_score")
+    view = PortfolioView(scratch_path(spark, "portfolio_view"))
+    view.build(old)
+    changes = materialise(change_rows(old, new), "portfolio_changes")
+    for batch in (1, 2, 2, 3):
+        view.apply(changes.where(F.pmod("customer_id", F.lit(3)) == batch - 1), batch)
+    return _r6(view.read(spark), "avg_risk_score")
 
 
 @query(

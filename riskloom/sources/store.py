@@ -105,14 +105,6 @@ def append_results(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_replace(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def write_replace_table(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").saveAsTable(table)
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "overwrite") -> None:
     """Replace or extend a database table; each partition writes over its own connection."""
     df.write.jdbc(url, table, mode=mode, properties=properties)
@@ -134,17 +126,17 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType) -> Dat
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the file system of the path."""
-    target, fs = _hadoop(spark, path)
+    target, fs = hadoop_path(spark, path)
     return fs.exists(target)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder the library wrote; an absent one is no error."""
-    target, fs = _hadoop(spark, path)
+    target, fs = hadoop_path(spark, path)
     fs.delete(target, True)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """A path and the file system it belongs to."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -34,8 +34,6 @@ def test_append_creates_then_extends(spark):
     for _ in range(2):
         S.append_results(spark.range(3), path)
     assert spark.read.parquet(path).count() == 6
-    S.write_replace(spark.range(1), path)
-    assert spark.read.parquet(path).count() == 1
     assert S.path_exists(spark, path) and not S.path_exists(spark, path + "-absent")
 
 
@@ -43,9 +41,9 @@ def test_a_scope_removes_what_was_written_inside(spark):
     with S.scratch_scope(spark):
         S.materialise(spark.range(5)).count()
         inside = S.scratch_path(spark, "left")
-        S.write_replace(spark.range(1), inside)
+        S.append_results(spark.range(1), inside)
     outside = S.scratch_path(spark, "kept")
-    S.write_replace(spark.range(1), outside)
+    S.append_results(spark.range(1), outside)
     assert not S.path_exists(spark, inside) and S.path_exists(spark, outside)
 
 

@@ -276,23 +276,22 @@ def local_surrogate(
     population deviation), the copies are scored and weighted by closeness, and the
     weighted normal equations of the three features are solved per row. All rows share
     one seeded set of draws, so their weights and the normal matrix are constants; per row
-    only four weighted sums of the score remain. The copies of a row are made in the
-    task that holds the row, so partial sums leave one row per customer for the shuffle.
+    only four weighted sums of the score remain. Rows with equal features have equal copies, so these are made
+    once per different triple, in the task that holds it: partial sums leave one row per triple for the shuffle.
     """
     deviations = [F.coalesce(F.nullif(F.stddev_pop(c), dbl(0.0)), dbl(1.0)).alias(f"{c}_s") for c in K.FEATURES]
     stats = constants(features.agg(*deviations, *[F.avg(c).alias(f"{c}_m") for c in K.FEATURES]))
     draws, sums = surrogate_draws(features.sparkSession, samples, seed)
     at = [f"at_{c}" for c in K.FEATURES]
-    copies = features.select(
-        "customer_id", *[null_to_zero(F.col(c)).alias(a) for c, a in zip(K.FEATURES, at)], F.inline(draws)
-    )
+    filled = features.select("customer_id", *[null_to_zero(F.col(c)).alias(a) for c, a in zip(K.FEATURES, at)])
+    copies = filled.select(*at).distinct().select(*at, F.inline(draws))
     moved = copies.select(
-        "customer_id", *at, "n0", "n1", "n2", "w",
+        *at, "n0", "n1", "n2", "w",
         *[(F.col(a) + F.col(f"n{i}") * stats[f"{c}_s"]).alias(c) for i, (c, a) in enumerate(zip(K.FEATURES, at))],
     )
-    scored = moved.select("customer_id", *at, "n0", "n1", "n2", (F.col("w") * score(moved)).alias("wy"))
+    scored = moved.select(*at, "n0", "n1", "n2", (F.col("w") * score(moved)).alias("wy"))
     terms = [F.sum(F.col(f"n{i}") * F.col("wy")).alias(f"t{i}") for i in range(3)]
-    s = scored.groupBy("customer_id", *at).agg(F.sum("wy").alias("sy"), *terms)
+    s = scored.groupBy(*at).agg(F.sum("wy").alias("sy"), *terms)
 
     def moment(i: int, j: int) -> Column:
         """Weighted covariance of two disturbances, ridge on the diagonal."""
@@ -304,7 +303,8 @@ def local_surrogate(
     for c, a, weight in zip(K.FEATURES, at, _solve([[moment(i, j) for j in range(3)] for i in range(3)], rhs)):
         position = (F.col(a) - stats[f"{c}_m"]) / stats[f"{c}_s"]
         out += [weight.alias(f"{c}_weight"), (weight * position).alias(f"{c}_impact")]
-    return s.select("customer_id", *out)
+    solved = s.select(*at, *out)
+    return filled.join(solved, at).drop(*at)
 
 
 def binned_surrogate(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
@@ -9,12 +10,13 @@ from riskloom.functions.numeric import dbl, round_up
 from riskloom.operators import evaluation as E
 from riskloom.operators import learning as ML
 from riskloom.operators import portfolio as A
-from riskloom.operators.scoring import linear_model, robust_scale, true_risk_score
+from riskloom.operators.scoring import linear_model, prediction_table, robust_scale, true_risk_score
 from riskloom.plans.registry import query
-from riskloom.plans.scoring import SCALED_CTE
+from riskloom.plans.scoring import RUN_TS, SCALED_CTE
 from riskloom.plans.sqltext import WIDE, bucket, d, r
 from riskloom.sources import proxies as P
-from riskloom.sources.store import materialise
+from riskloom.sources.models import ModelStore
+from riskloom.sources.store import materialise, materialise_counted, scratch_path
 from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
@@ -178,6 +180,78 @@ def model_predict(spark, sf):
     return out.select("customer_id", "target", "ml_score", "is_test")
 
 
+def _trained(spark, sf, learner=None):
+    """Whole table of features and target, the rows to learn from, their number, and the pipeline fitted to them."""
+    rows = E.with_split(_features(spark, sf, "risk_score").withColumn("target", F.col("risk_score") / dbl(100.0)))
+    train, n = materialise_counted(rows.where(~F.col("is_test") & F.col("target").isNotNull()), "training")
+    return rows, n, ML.fit_pipeline(train, "target", learner)
+
+
+def _differing(rows, model, score):
+    """Rows, and those where the expression is not what the pipeline itself says."""
+    both = model.transform(rows).select("ml_score", score(rows).alias("expression"))
+    apart = F.abs(F.col("ml_score") - F.col("expression"))
+    return both.agg(F.count(F.lit(1)).alias("scored"), F.count_if(~(F.coalesce(apart, F.lit(1.0)) <= 1e-9)).alias("differing"))
+
+
+@query(
+    "trees_as_expressions",
+    WIDE + "SELECT model_type, count(*) AS scored, 0 AS differing FROM ec, (VALUES ('GBTRegressionModel'), ('RandomForestRegressionModel')) AS t(model_type) GROUP BY 1",
+)
+def trees_as_expressions(spark, sf):
+    """Boosted trees and a forest scored as column expressions, against the models' own scores on every row."""
+    out = None
+    for learner in (None, RandomForestRegressor(numTrees=100, maxDepth=5, seed=42)):
+        rows, _, model = _trained(spark, sf, learner)
+        found = _differing(rows, model, ML.compiled(model)).select(F.lit(type(model.stages[-1]).__name__).alias("model_type"), "scored", "differing")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query(
+    "stored_model_scores",
+    WIDE + f"""SELECT 'v3.0' AS model_version, 'GBTRegressionModel' AS model_type, count(*) FILTER (WHERE {bucket('customer_id', 5)} <> 0 AND risk_score IS NOT NULL) AS training_rows,
+  count(*) AS scored, 0 AS differing FROM ec""",
+)
+def stored_model_scores(spark, sf):
+    """A model fitted, stored and registered, then loaded by another session, which scores the same to the last digit."""
+    rows, n, model = _trained(spark, sf)
+    path = scratch_path(spark, "model_store")
+    ModelStore(spark, path).save(model, "v3.0", K.FEATURES, RUN_TS, n)
+    loaded, row = ModelStore(spark.newSession(), path).load()
+    out = _differing(rows, model, ML.compiled(loaded))
+    return out.select(F.lit(row.model_version).alias("model_version"), F.lit(row.model_type).alias("model_type"), F.lit(row.training_rows).alias("training_rows"), "scored", "differing")
+
+
+@query("prediction_table_trained")
+def prediction_table_trained(spark, sf):
+    """The complete prediction table by the stored, trained model, stamped with its digest and version."""
+    rows, n, model = _trained(spark, sf)
+    store = ModelStore(spark, scratch_path(spark, "model_store"))
+    store.save(model, "v3.0", K.FEATURES, RUN_TS, n)
+    loaded, row = store.load()
+    return prediction_table(rows.select("customer_id", *K.FEATURES), row.model_hash, row.model_version, ML.compiled(loaded))
+
+
+@query(
+    "prediction_table_trained_check",
+    WIDE + """SELECT count(*) AS n, true AS in_range, true AS centred, true AS one_model, true AS close, true AS bands FROM ec""",
+)
+def prediction_table_trained_check(spark, sf):
+    """Every customer is there once, scores lie between 0 and 1, biases add up to nothing, and the scores follow the true ones."""
+    table = materialise(prediction_table_trained(spark, sf))
+    truth = _features(spark, sf, "risk_score").select("customer_id", "risk_score")
+    score = F.col("predicted_risk_score")
+    return table.join(truth, "customer_id").agg(
+        F.count_distinct("customer_id").alias("n"),
+        F.bool_and(score.between(0.0, 1.0) & F.col("risk_percentile").between(0.0, 1.0)).alias("in_range"),
+        (F.abs(F.sum("bias_delta")) < 1e-6).alias("centred"),
+        ((F.count_distinct("model_hash") == 1) & (F.min("model_version") == "v3.0")).alias("one_model"),
+        (F.corr(score, F.col("risk_score")) > 0.9).alias("close"),
+        F.bool_and(F.upper("predicted_band").isin("LOW", "MEDIUM", "HIGH")).alias("bands"),
+    )
+
+
 @query("forest_regression")
 def forest_regression(spark, sf):
     rows = E.with_split(true_risk_score(_features(spark, sf)))
@@ -187,7 +261,8 @@ def forest_regression(spark, sf):
 
 @query("platt_calibration")
 def platt_calibration(spark, sf):
-    out = ML.platt_calibration(materialise(evaluation_frame(spark, sf)), "predicted", "true_label")
+    rows, n = materialise_counted(evaluation_frame(spark, sf))
+    out = ML.platt_calibration(rows, "predicted", "true_label", n)
     return out.select("customer_id", "predicted", "calibrated_score")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -62,6 +62,13 @@ def materialise(df: DataFrame, name: str = "frame") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(df: DataFrame, name: str = "frame") -> tuple[DataFrame, int]:
+    """``materialise``, and the number of rows as the write itself counted them."""
+    counted = Observation()
+    stored = materialise(df.observe(counted, F.count(F.lit(1)).alias("rows")), name)
+    return stored, counted.get["rows"]
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header and a declared schema."""
     return spark.read.schema(schema).option("header", True).csv(path)

@@ -14,6 +14,8 @@ from riskloom.plans.registry import query
 from riskloom.plans.scoring import RUN_TS, RULE_SUM
 from riskloom.plans.sqltext import HISTORY, activations_cte, registry_cte, snapshot_cte, wide_cte, with_
 from riskloom.sources import proxies as P
+from riskloom.sources.bucketed import write_bucketed
+from riskloom.sources.sqlfunctions import register_functions
 from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
@@ -100,6 +102,53 @@ def risk_score_lookup(spark, sf):
     return J.score_lookup(customers(spark, sf).select("customer_id"), P.feature_snapshot(spark, sf, P.NEW_WINDOW))
 
 
+_LOOKUP = with_(CUR) + "SELECT c_custkey AS customer_id, coalesce(risk_score, 0) AS risk_score FROM customer LEFT JOIN cur ON cur.customer_id = c_custkey"
+
+
+def _with_functions(spark, sf):
+    """Views of the customers and of the features, and the SQL functions over them; the name of the first."""
+    mark = uuid.uuid4().hex
+    P.feature_snapshot(spark, sf, P.NEW_WINDOW).createOrReplaceTempView(f"features_{mark}")
+    customers(spark, sf).createOrReplaceTempView(f"customers_{mark}")
+    register_functions(spark, f"features_{mark}")
+    return f"customers_{mark}"
+
+
+@query("sql_risk_score_function", _LOOKUP)
+def sql_risk_score_function(spark, sf):
+    return spark.sql(f"SELECT customer_id, risk_score_of(customer_id) AS risk_score FROM {_with_functions(spark, sf)}")
+
+
+@query(
+    "sql_explain_function",
+    with_(CUR) + """SELECT c_custkey AS customer_id, CASE WHEN cur.customer_id IS NULL THEN 'customer_not_found' END AS error, cur.risk_score, risk_band
+FROM customer LEFT JOIN cur ON cur.customer_id = c_custkey""",
+)
+def sql_explain_function(spark, sf):
+    """The JSON text of every customer, its fields read back."""
+    known = spark.sql(f"SELECT customer_id, explain_customer(customer_id) AS said FROM {_with_functions(spark, sf)}")
+    said = F.from_json("said", "customer_id bigint, risk_score double, risk_band string, error string")
+    return known.select("customer_id", said.alias("said")).select("customer_id", "said.error", "said.risk_score", "said.risk_band")
+
+
+@query("sql_customers_in_band", with_(CUR) + "SELECT customer_id, risk_score FROM cur WHERE risk_band = 'Medium' AND risk_score > 0.4")
+def sql_customers_in_band(spark, sf):
+    _with_functions(spark, sf)
+    return spark.sql("SELECT customer_id, risk_score FROM customers_in_band('Medium') WHERE calculate_risk_score(customer_id) > 0.4")
+
+
+BUCKETS = 8
+
+
+@query("customer_feature_view_bucketed", _VIEW)
+def customer_feature_view_bucketed(spark, sf):
+    """The view over tables that are kept in buckets of the customer: the join shuffles nothing."""
+    mark = uuid.uuid4().hex
+    people = write_bucketed(customers(spark, sf), f"bucketed_customers_{mark}", "customer_id", BUCKETS)
+    features = write_bucketed(feature_store(spark, sf), f"bucketed_features_{mark}", "customer_id", BUCKETS)
+    return J.customer_feature_view(people, features)
+
+
 @query(
     "fk_orphans",
     with_(CUR) + """SELECT o_orderkey AS prediction_id, o_custkey AS customer_id FROM orders

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +20,7 @@ from riskloom.plans.sqltext import HISTORY, SURVEY, WIDE, d, r, snapshot_cte, wi
 from riskloom.sources import proxies as P
 from riskloom.sources import store as S
 from riskloom.sources.published import publish, read_published
+from riskloom.streaming.event_sessions import EventSessions, heartbeat
 
 PAY, INC, RES = K.FEATURES
 _FEATS = f"{PAY}, {INC}, {RES}"
@@ -285,6 +287,35 @@ def scan_raw_events(spark, sf):
     return P.raw_events(spark, sf)
 
 
+_GAP_HOURS = 36
+
+
+@query(
+    "event_sessions",
+    f"""WITH e AS (SELECT user_id AS customer_id, ts, value, CASE WHEN ts - lag(ts) OVER w <= INTERVAL {_GAP_HOURS} HOUR THEN 0 ELSE 1 END AS first
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(first) OVER (PARTITION BY customer_id ORDER BY ts) AS n FROM e)
+SELECT customer_id, min(ts) AS started_at, max(ts) AS last_at, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS total_value
+FROM s GROUP BY customer_id, n""",
+)
+def event_sessions(spark, sf):
+    """Events arrive in three files, every tenth of them twice; after each the stream runs on. A heartbeat closes what is open."""
+    events = P.raw_events(spark, sf)
+    span = events.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
+    step, time = (span.hi - span.lo) / 3, F.col("event_time")
+    source, stream = S.scratch_path(spark, "events"), EventSessions.fresh(spark, f"{_GAP_HOURS} hours", "2 hours")
+    arrived = spark.readStream.schema(events.schema)
+    for i in range(3):
+        low, high = span.lo + step * i, span.lo + step * (i + 1)
+        part = events.where((time >= F.lit(low)) if i else F.lit(True)).where((time < F.lit(high)) if i < 2 else F.lit(True))
+        part.unionByName(part.where("event_id % 10 = 0")).write.mode("append").parquet(source)
+        stream.run(arrived.parquet(source))
+    end = heartbeat(spark, str(span.hi + timedelta(days=30)))
+    end.select(*[F.col(f.name).cast(f.dataType) for f in events.schema]).write.mode("append").parquet(source)
+    stream.run(arrived.parquet(source))
+    return stream.read(spark)
+
+
 @query("distinct_ids", "SELECT DISTINCT o_custkey AS customer_id FROM orders")
 def distinct_ids(spark, sf):
     return L.distinct_ids(P.prediction_history(spark, sf))

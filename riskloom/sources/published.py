@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskloom.sources.store import hadoop_path, path_exists, remove_path
+from riskloom.sources.store import hadoop_path, path_exists, read_text, remove_path
 
 _MANIFESTS, _DATA = "_versions", "_data"
 ROWS = "rows"
@@ -58,7 +58,7 @@ def version(spark: SparkSession, path: str, number: int | None = None) -> Versio
     known = versions(spark, path)
     if not known or (number is not None and number not in known):
         return None
-    return Version(**json.loads(_read_text(spark, _manifest(path, number or known[-1]))))
+    return Version(**json.loads(read_text(spark, _manifest(path, number or known[-1]))))
 
 
 def read_published(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
@@ -160,12 +160,3 @@ def _drop(spark: SparkSession, path: str, number: int) -> None:
     remove_path(spark, _manifest(path, number))
     if old is not None:
         remove_path(spark, old.folder)
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    target, fs = hadoop_path(spark, path)
-    stream = fs.open(target)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()

@@ -143,6 +143,27 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    target, fs = hadoop_path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole, replacing what was there: readers never see a part of it."""
+    target, fs = hadoop_path(spark, path)
+    aside, _ = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(target, False)
+    fs.rename(aside, target)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """A path and the file system it belongs to."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,11 @@
 """Exact quantiles and ranks that never gather a whole column in one task.
 
-Columns are reduced to (column, value, count) before any shuffle, range partitioned by
+Quantiles are found by selection. Sketches, which merge, name a narrow bracket of values around every wanted place; a second pass
+counts what lies below and inside each; a third fetches the few values inside. A bracket that missed its place is
+widened, one that holds too many values gets a sketch of its own. So the answer is exact, and nothing but sketches and
+counts is shuffled.
+
+Ranks need the place of every value: columns are reduced to (column, value, count) before any shuffle, range partitioned by
 column and value and written once, all columns together. Counts per written part give
 each part its offset, a running sum inside each part gives every value its position.
 """
@@ -8,6 +13,7 @@ each part its offset, a running sum inside each part gives every value its posit
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -91,13 +97,122 @@ def quantile_values(positions: Positions, wanted: dict[str, tuple[str, float]])
     return {name: interpolated(found[c, lo], found[c, hi], at) for name, (c, lo, hi, at) in spots.items()}
 
 
+#: Ranks by which a sketch may be wrong, as a share of the values; and values of one bracket that are fetched.
+ACCURACY, FEW = 10_000, 10_000
+
+
+@dataclass
+class _Bracket:
+    """Where the value at a place (from 0) of a column is looked for: from ``low`` to ``high``, open ended where infinite."""
+
+    column: str
+    place: int
+    low: float
+    high: float
+    below: int = 0
+    inside: int = 0
+    counted: bool = False
+    found: float | None = None
+
+
+def _inside(column: str, b: _Bracket) -> Column:
+    return (F.col(column) > dbl(b.low)) & (F.col(column) < dbl(b.high))
+
+
+def _settle(b: _Bracket, below: int, at_low: int, inside: int, at_high: int) -> None:
+    """What counts say of a bracket: found at an end, missed and to be widened, or to be searched between its ends."""
+    if b.place < below:
+        b.low, b.high = -math.inf, b.low
+    elif b.place < below + at_low:
+        b.found = b.low
+    elif b.place < below + at_low + inside:
+        b.below, b.inside, b.counted = below + at_low, inside, True
+    elif b.place < below + at_low + inside + at_high:
+        b.found = b.high
+    else:
+        b.low, b.high = b.high, math.inf
+
+
+def _sketched(value: Column, shares: Sequence[float]) -> Column:
+    """Values near the given shares of a column, a little below and above each."""
+    off = 2.0 / ACCURACY
+    return F.percentile_approx(value, [min(1.0, max(0.0, p + d)) for p in shares for d in (-off, off)], ACCURACY)
+
+
+def select_places(df: DataFrame, brackets: list[_Bracket], few: int = FEW) -> None:
+    """Find the values of brackets over a frame of doubles without NaN; each pass is one aggregate."""
+    while True:
+        unknown = [b for b in brackets if b.found is None and not b.counted]
+        if unknown:
+            aggregates = []
+            for i, b in enumerate(unknown):
+                v = F.col(b.column)
+                parts = {"b": v < dbl(b.low), "l": v == dbl(b.low), "i": _inside(b.column, b), "h": (v == dbl(b.high)) & F.lit(b.high > b.low)}
+                aggregates += [F.count_if(condition).alias(f"{k}{i}") for k, condition in parts.items()]
+            row = df.agg(*aggregates).first()
+            for i, b in enumerate(unknown):
+                _settle(b, row[f"b{i}"], row[f"l{i}"], row[f"i{i}"], row[f"h{i}"])
+            continue
+        wide = [b for b in brackets if b.found is None and b.inside > few]
+        if not wide:
+            break
+        row = df.agg(*[_sketched(F.when(_inside(b.column, b), F.col(b.column)), [(b.place - b.below) / b.inside]).alias(f"s{i}") for i, b in enumerate(wide)]).first()
+        for i, b in enumerate(wide):
+            b.low, b.high, b.counted = *row[f"s{i}"], False
+    left = [b for b in brackets if b.found is None]
+    if left:
+        held = F.array(*[F.struct(F.lit(i).alias("bracket"), F.when(_inside(b.column, b), F.col(b.column)).alias("value")) for i, b in enumerate(left)])
+        some = df.where(F.exists(F.array(*[F.coalesce(_inside(b.column, b), F.lit(False)) for b in left]), lambda x: x))
+        counts = some.select(F.inline(held)).where("value is not null").groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n"))
+        by: dict[int, list[tuple[float, int]]] = {}
+        for r in counts.collect():  # at most ``few`` rows for each bracket
+            by.setdefault(r.bracket, []).append((r.value, r.n))
+        for i, b in enumerate(left):
+            at = b.below
+            for value, n in sorted(by[i]):
+                at += n
+                if b.place < at:
+                    b.found = value
+                    break
+
+
+def selected_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], few: int = FEW) -> dict[str, float | None]:
+    """Linear-interpolation quantiles by selection: name -> (column, probability) gives name -> number.
+
+    ``df`` is read a few times. Missing values and NaN are left out; a column without values has no quantiles.
+    """
+    columns = sorted({c for c, _ in wanted.values()})
+    shares = {c: sorted({p for x, p in wanted.values() if x == c}) for c in columns}
+    value = {c: F.col(c).cast("double") for c in columns}
+    known = df.select(*[F.when(~F.isnan(value[c]), value[c]).alias(c) for c in columns])
+    row = known.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)], *[_sketched(F.col(c), shares[c]).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    spots: dict[str, tuple[str, int, int, float]] = {}
+    brackets: dict[tuple[str, int], _Bracket] = {}
+    for name, (c, p) in wanted.items():
+        total, ends = row[f"n{columns.index(c)}"], row[f"s{columns.index(c)}"]
+        if total:
+            spots[name] = (c, *places(total, p))
+            at = 2 * shares[c].index(p)
+            for k in spots[name][1:3]:
+                brackets.setdefault((c, k), _Bracket(c, k, ends[at], ends[at + 1]))
+    select_places(known, list(brackets.values()), few)
+    return {
+        name: interpolated(brackets[spots[name][0], spots[name][1]].found, brackets[spots[name][0], spots[name][2]].found, spots[name][3]) if name in spots else None
+        for name in wanted
+    }
+
+
 def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], weight: str | None = None) -> dict[str, Column]:
     """Exact quantiles: name -> (column, probability) gives name -> constant column for use in any plan.
 
-    All columns share one pass. ``weight`` names a column of row counts where ``df`` is already grouped.
+    All columns share each pass, and ``df`` is read a few times: pass a stored frame when it is costly to make. ``weight`` names a column of row
+    counts where ``df`` is already grouped; such small frames are positioned instead.
     """
-    positions = column_positions(df, sorted({c for c, _ in wanted.values()}), weight)
-    return {name: F.lit(v).cast("double") for name, v in quantile_values(positions, wanted).items()}
+    if weight is None:
+        values = selected_quantiles(df, wanted)
+    else:
+        values = quantile_values(column_positions(df, sorted({c for c, _ in wanted.values()}), weight), wanted)
+    return {name: F.lit(v).cast("double") for name, v in values.items()}
 
 
 def with_percent_rank(df: DataFrame, column: str, out: str, known: Positions | None = None, ends: tuple[float, ...] = ()) -> DataFrame:

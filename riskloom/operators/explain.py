@@ -13,6 +13,7 @@ from riskloom import constants as K
 from riskloom.functions.numeric import dbl, normal, null_to_zero, round_up, safe_float, uniform, unit_if_above_one
 from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.scalars import constants
+from riskloom.sources.store import append_results
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
 _PAIRS = "array<struct<feature:string,impact:double>>"
@@ -373,6 +374,26 @@ def binned_surrogate(
     return joined.select("customer_id", F.inline(pairs))
 
 
+def log_explanations(records: DataFrame, run_ts: Column, path: str) -> None:
+    """Add explanation records to the log: the contributions and their order, and the rules that fired, as JSON texts."""
+    split = lambda c: F.when(F.col(c) != "", F.split(c, r"\|")).otherwise(F.array().cast("array<string>"))
+    importance = F.struct(*K.FEATURES, split("top_risk_factors").alias("order"))
+    append_results(
+        records.select(
+            "prediction_id", "customer_id", F.to_json(importance).alias("feature_importance"), F.to_json(split("rules_triggered")).alias("rules_triggered"),
+            run_ts.alias("created_at"),
+        ), path,
+    )
+
+
+def newest_explanations(spark: SparkSession, path: str) -> DataFrame:
+    """The last explanation that the log has of each prediction."""
+    names = "prediction_id bigint, customer_id bigint, feature_importance string, rules_triggered string, created_at timestamp_ntz"
+    rows = spark.read.schema(names).parquet(path)
+    newest = F.max_by(F.struct("customer_id", "feature_importance", "rules_triggered", "created_at"), F.struct("created_at", "feature_importance"))
+    return rows.groupBy("prediction_id").agg(newest.alias("e")).select("prediction_id", "e.*")
+
+
 def attribution_json(surrogate: DataFrame) -> DataFrame:
     """Surrogate impacts as one JSON text per customer, strongest first, four digits."""
     rows = F.array_sort(

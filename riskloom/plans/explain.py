@@ -12,13 +12,14 @@ from riskloom.operators import rules, scoring
 from riskloom.plans.bands import level_sql, unit_sql
 from riskloom.plans.registry import query
 from riskloom.plans.scoring import (
+    RUN_TS,
     MODEL_HASH,
     MODEL_VERSION,
     PREDICTION_CTE, RESPONSE_CTE, RULE_NAMES, RULE_SUM, rounded_predictions, scoring_input, summary_sql, target_sql,
 )
-from riskloom.plans.sqltext import WIDE, d, r, snapshot_cte, u, with_, z
+from riskloom.plans.sqltext import HISTORY, WIDE, d, r, snapshot_cte, u, with_, z
 from riskloom.sources import proxies as P
-from riskloom.sources.store import materialise
+from riskloom.sources.store import materialise, scratch_path
 from riskloom.sources.tables import read
 
 PAY, INC, RES = K.FEATURES
@@ -394,6 +395,24 @@ def explanation_record(spark, sf):
     )
 
 
+@query(
+    "explanation_log",
+    WIDE + CONTRIB_CTE + f""", {HISTORY.strip()}, lp AS (SELECT customer_id, max(prediction_id) AS prediction_id FROM ph GROUP BY 1)
+SELECT prediction_id, lp.customer_id, {RANKED_SQL} AS top_risk_factors, {RULE_NAMES} AS rules_triggered, TIMESTAMP '{RUN_TS}' AS created_at
+FROM lp JOIN cb ON cb.customer_id = lp.customer_id""",
+)
+def explanation_log(spark, sf):
+    """Explanations of every customer's last stored prediction, appended to the log in two runs and read back, the newest of each prediction."""
+    last = P.prediction_history(spark, sf).groupBy("customer_id").agg(F.max("prediction_id").alias("prediction_id"))
+    records = materialise(last.join(explanation_record(spark, sf), "customer_id"))
+    path = scratch_path(spark, "explanation_log")
+    for part, stamp in (("true", "2024-01-01 00:00:00"), ("customer_id % 2 = 0", RUN_TS), ("customer_id % 2 <> 0", RUN_TS)):
+        X.log_explanations(records.where(part), F.lit(stamp).cast("timestamp_ntz"), path)
+    found = X.newest_explanations(spark, path).select("prediction_id", "customer_id", F.col("feature_importance").alias("f"), F.col("rules_triggered").alias("r"), "created_at")
+    listed = lambda c: F.array_join(F.from_json(c, "array<string>"), "|")
+    return found.select("prediction_id", "customer_id", listed(F.get_json_object("f", "$.order")).alias("top_risk_factors"), listed(F.col("r")).alias("rules_triggered"), "created_at")
+
+
 @query(
     "attribution_format",
     WIDE + f"""SELECT customer_id, '{PAY}' AS feature, {r(f'coalesce({PAY}, {d(0)})', 4)} AS impact FROM ec

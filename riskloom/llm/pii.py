@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,9 +19,9 @@ LOCAL = re.compile(r"[A-Za-z0-9._%+-]++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-#: A white-space-delimited token with a digit, and the two words before it.
-TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+WORD, DIGIT = re.compile(r"[^\x20\x09-\x0D]+"), re.compile("[0-9]")
+#: A word of a context counts by its last characters, so many of them.
+LAST = 64
 EDGES = "\"'`()[]{}<>,;:!?*#$%&|."
 
 
@@ -69,28 +70,36 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return found
 
 
-def _context(text: str, start: int) -> list[str]:
-    """Lexical patterns of a place: the one and the two words before it, digits as 0, in lower case."""
-    words = WORD.findall(text[max(0, start - 64) : start])[-2:]
-    words = [re.sub("[0-9]", "0", w.lower()) for w in words]
-    return [f"1 {words[-1]}", f"2 {' '.join(words)}"] if len(words) == 2 else [f"1 {w}" for w in words]
+def _context(text: str, words: list[tuple[int, int]], starts: list[int], start: int) -> list[str]:
+    """Lexical patterns of a place: the one and the two words before it, digits as 0, in lower case.
+
+    What stands before the place in its own word is a word. Words are given by their places, so a context has both however long they are.
+    """
+    at = bisect_left(starts, start)
+    near = [text[max(a, min(b, start) - LAST) : min(b, start)] for a, b in words[max(0, at - 2) : at]]
+    near = [DIGIT.sub("0", w.lower()) for w in near]
+    return [f"1 {near[-1]}", f"2 {' '.join(near)}"] if len(near) == 2 else [f"1 {w}" for w in near]
 
 
 def occurrences(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple]:
-    """(kind or None, instance, start, end, patterns) of all base spans and of all other tokens with a digit."""
+    """(kind or None, instance, start, end, patterns) of all base spans and of all other words with a digit, in time linear in the text."""
     spans = sorted((a, b, k) for k, found in base.items() for a, b in found)
-    out = [(k, text[a:b].lower(), a, b, _context(text, a)) for a, b, k in spans]
+    words = [m.span() for m in WORD.finditer(text)]
+    starts = [a for a, _ in words]
+    out = [(k, text[a:b].lower(), a, b, _context(text, words, starts, a)) for a, b, k in spans]
     at = 0
-    for m in TOKEN.finditer(text):
-        while at < len(spans) and spans[at][1] <= m.start():
+    for begin, end in words:
+        if not DIGIT.search(text, begin, end):
+            continue
+        while at < len(spans) and spans[at][1] <= begin:
             at += 1
-        if at < len(spans) and spans[at][0] < m.end():
+        if at < len(spans) and spans[at][0] < end:
             continue
-        token = m.group()
-        start = m.start() + len(token) - len(token.lstrip(EDGES))
+        token = text[begin:end]
+        start = begin + len(token) - len(token.lstrip(EDGES))
         core = token.strip(EDGES)
         if core:
-            out.append((None, core.lower(), start, start + len(core), _context(text, m.start())))
+            out.append((None, core.lower(), start, start + len(core), _context(text, words, starts, begin)))
     return out
 
 
@@ -181,11 +190,11 @@ def find_pii(
     # Two contexts of one token may differ in kind: the first by name stays.
     one = F.filter(F.array_sort("new"), lambda s, i: (i == 0) | (s.start != F.get(F.array_sort("new"), i - 1).start))
     extra = F.transform(one, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end")))
-    added = materialise(added.select(F.col("id").alias("text id"), F.col("size").alias("text size"), extra.alias("extra spans")), "pii_added")
-    known = (F.xxhash64(text) == F.col("text id")) & (F.octet_length(text) == F.col("text size"))
-    (base,) = fresh(df, "base")
+    base, same, long, more = fresh(df, "base", "text id", "text size", "extra spans")
+    added = materialise(added.select(F.col("id").alias(same), F.col("size").alias(long), extra.alias(more)), "pii_added")
+    known = (F.xxhash64(text) == F.col(same)) & (F.octet_length(text) == F.col(long))
     out = df.withColumn(base, F.pandas_udf(_base, SPANS)(F.col(text))).join(added, known, "left")
-    spans = F.concat(F.col(base), F.coalesce("extra spans", F.array().cast(SPANS)))
+    spans = F.concat(F.col(base), F.coalesce(more, F.array().cast(SPANS)))
     return out.select(*df.columns, F.struct(F.col(base).alias("base"), in_order(spans).alias("spans")).alias(name))
 
 

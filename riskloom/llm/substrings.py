@@ -318,10 +318,10 @@ def remove_repeats(df: DataFrame, text: str = "text", width: int = 35, name: str
     """
     if name.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {name} exists")
-    identity, length, packed = fresh(df, "id", "size", "packed")
+    identity, length, packed, gaps = fresh(df, "id", "size", "packed", "ranges")
     hashed = df.withColumn(identity, F.xxhash64(text)).withColumn(length, F.octet_length(text)).withColumn(packed, compressed(F.col(text)))
     texts = df.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("id"), F.octet_length(text).alias("size"), F.col(text).alias("text"))
-    found = repeated_ranges_of(texts, width, hot).select(F.col("id").alias(identity), F.col("size").alias(length), F.col("ranges").alias("found ranges"))
+    found = repeated_ranges_of(texts, width, hot).select(F.col("id").alias(identity), F.col("size").alias(length), F.col("ranges").alias(gaps))
     kind = "n_words long, n_removed long, kept_sha256 string, removed array<int>, kept string"
     cut = F.pandas_udf(lambda data, ranges: _cut(data, ranges, with_text), kind)
-    return hashed.join(found, [identity, length], "left").select(*df.columns, cut(F.col(packed), F.col("found ranges")).alias(name))
+    return hashed.join(found, [identity, length], "left").select(*df.columns, cut(F.col(packed), F.col(gaps)).alias(name))

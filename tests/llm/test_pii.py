@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from riskloom.llm import pii
@@ -40,6 +41,103 @@ def test_very_long_runs_are_linear(text):
     pii.base_spans(text)
 
 
+@pytest.mark.parametrize("text", ["a" * 1_000_000, "1" * 1_000_000, "ab1," * 250_000, "a@b.cd," * 40_000, "x " * 200_000, "a" * 400_000 + " 1", "9 " * 100_000, "a1\u00a0" * 200_000])
+def test_occurrences_in_very_long_texts_are_linear(text):
+    start = time.process_time()
+    pii.occurrences(text, pii.base_spans(text))
+    assert time.process_time() - start < 8
+
+
+def plain_occurrences(text, base):
+    """All words with a digit that touch no span, and all spans, with the words before them taken from the whole text before."""
+    def context(start):
+        near = [re.sub("[0-9]", "0", w[-64:].lower()) for w in re.findall(r"[^\x20\x09-\x0D]+", text[:start])[-2:]]
+        return [f"1 {near[-1]}", f"2 {' '.join(near)}"] if len(near) == 2 else [f"1 {w}" for w in near]
+
+    known = sorted((a, b, k) for k, found in base.items() for a, b in found)
+    out = [(k, text[a:b].lower(), a, b, context(a)) for a, b, k in known]
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        if re.search("[0-9]", m.group()) and not any(a < m.end() and m.start() < b for a, b, _ in known):
+            core = m.group().strip(pii.EDGES)
+            if core:
+                start = m.start() + m.group().index(core)
+                out.append((None, core.lower(), start, start + len(core), context(m.start())))
+    return out
+
+
+def test_occurrences_against_a_plain_scan():
+    rng = random.Random(2)
+    parts = ["a@b.cd", "tel:", "x" * 70, "id 77-12", "1.2.3.4", " ", "\n", "(9)", "é7", ",,", "no", "+1 (017) 555-7713", "\u00a08", "A1b2", '"'] + [" "] * 6
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        base = pii.base_spans(text)
+        assert pii.occurrences(text, base) == plain_occurrences(text, base), text
+
+
+def test_contexts_behind_very_long_words(docs):
+    """A word of a thousand characters before the label: both words of the context are seen."""
+    rows = [(i, f"{'w' * 1000}{i} tel: +1 (20{i}) 555-010{i}") for i in range(5)] + [(9, f"{'w' * 1000} tel: 0171-5550199")]
+    assert [s[0] for s in spans(pii.find_pii(docs(rows)).collect())[9]] == ["phone"]
+
+
+def test_clashing_columns(docs):
+    names = ["text id", "text size", "extra spans", "base", "id", "size", "kind", "pattern", "start", "new"]
+    df = docs([(1, "me@x.org", *names)], "doc_id long, text string" + "".join(f", `{n}` string" for n in names))
+    (row,) = pii.find_pii(df).collect()
+    assert tuple(row)[2:-1] == tuple(names) and len(row.pii.spans) == 1
+    assert pii.redact(df).columns == df.columns
+
+
+def plain_patterns(edges, rounds=3, support=3, confidence=0.8):
+    """The scored graph in dictionaries."""
+    kinds = {}
+    for _, i, k in edges:
+        if k is not None:
+            kinds[i] = min(k, kinds.get(i, k))
+    below = {}
+    for p, i, _ in edges:
+        below.setdefault(p, set()).add(i)
+    unknown = {(p, i) for p, i, _ in edges} - {(p, i) for p, i, k in edges if k is not None}
+    scores = {i: (k, 1.0) for i, k in kinds.items()}
+    for turn in range(rounds):
+        trusted = {}
+        for p, instances in below.items():
+            sums = {}
+            for i in instances & scores.keys():
+                sums[scores[i][0]] = sums.get(scores[i][0], 0.0) + scores[i][1]
+            s, n = sum(sums.values()), len(instances)
+            if sums and s >= support and s >= confidence * n:
+                trusted[p] = max((w, k) for k, w in sums.items())[1], min(s / (n + 1), 0.999)
+        if turn + 1 < rounds:
+            new = {}
+            for p, i in unknown:
+                if p in trusted:
+                    new.setdefault(i, []).append(trusted[p])
+            scores = {i: (k, 1.0) for i, k in kinds.items()}
+            for i, found in new.items():
+                miss = 1.0
+                for _, t in found:
+                    miss *= 1 - t
+                scores.setdefault(i, (max((t, k) for k, t in found)[1], 1 - miss))
+    return {p: k for p, (k, _) in trusted.items()}
+
+
+def test_learnt_patterns_against_plain_dictionaries(spark):
+    rng = random.Random(5)
+    found = 0
+    for _ in range(4):
+        edges = []
+        for i in range(60):
+            kind = rng.choice([None, None, "email", "phone"])
+            for _ in range(rng.randrange(1, 4)):
+                edges.append((f"p{rng.choice('aaabbbcdefgh')}{kind or rng.choice(['email', 'phone', 'x'])}", f"i{i}", kind))
+        df = spark.createDataFrame(edges + edges[:9] + [(None, "i1", "email"), ("p", None, None)], "pattern string, instance string, kind string")
+        want = plain_patterns(edges)
+        assert {r.pattern: r.kind for r in pii.learn_patterns(df).collect()} == want
+        found += len(want)
+    assert found > 10
+
+
 def spans(rows):
     return {r.doc_id: [(s.kind, s.start, s.end) for s in r.pii.spans] for r in rows}
 

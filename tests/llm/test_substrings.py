@@ -86,3 +86,10 @@ def test_blocks_without_repeats(docs, monkeypatch):
     monkeypatch.setattr(S, "INDEX_WORDS", 20)
     same = " ".join(f"s{i}" for i in range(20))
     check(docs, [f"{' '.join(f'x{k}_{i}' for i in range(40))} {same} {' '.join(f'y{k}_{i}' for i in range(40))}" for k in range(12)], 35)
+
+
+def test_clashing_columns(docs):
+    names = ["found ranges", "ranges", "id", "size", "packed", "anchor", "piece"]
+    df = docs([(i, " ".join(f"w{k}" for k in range(60)), *names) for i in range(2)], "doc_id long, text string" + "".join(f", `{n}` string" for n in names))
+    rows = S.remove_repeats(df).collect()
+    assert {tuple(r)[2:-1] for r in rows} == {tuple(names)} and {r.substrings.n_removed for r in rows} == {60}

@@ -93,7 +93,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.train(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
-    scored = docs.select("doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), toxicity.score(docs, model).alias("score"))
+    # Nothing is learnt from documents without an id: they are held out.
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id")) == 0, F.lit(True))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -1,12 +1,12 @@
 """Toxicity by two Kneser-Ney models, of toxic and of ordinary texts, over shared backoff counts.
 
 A model counts contexts, not occurrences: N(.w) is the number of different words that stand before w in its texts, so a text
-that is copied counts once. An expression p is a beginning of words, or a whole word with its end mark; N(p) is the sum of N(.w)
-over the words it begins. P(p) = (N(p) - D)+ / N + D * types / N * S(p), where S(p), shared by both models, pools their counts: what
+that is copied counts once. An expression p is a beginning of words, of up to ``SPELLED`` characters, or a whole word of any length with its end
+mark; N(p) is the sum of N(.w) over the words it begins. In scripts without blanks every character is a word. P(p) = (N(p) - D)+ / N + D * types / N * S(p), where S(p), shared by both models, pools their counts: what
 is rare in both says nothing about the class.
 
 The log-ratio of a word is that of its longest kept expression. An expression is kept if its share among
-the continuations of the one a character shorter differs between the models by ``DEVIATIONS`` standard deviations; all others
+the continuations of the next shorter one differs between the models by ``DEVIATIONS`` standard deviations; all others
 say no more than their beginning does. All labelled texts are counted, exactly; only the kept expressions are broadcast, all of them.
 """
 
@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from riskloom.sources.store import materialise
 
-TOKEN = re.compile(r"[^\W\d_]+")
+#: Characters of scripts written without blanks: Thai, kana, Han.
+_ALONE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+TOKEN = re.compile(rf"[{_ALONE}]|[^\W\d_{_ALONE}]+")
 WINDOW = 8
-#: Characters of an expression at most, the end mark included.
+#: Characters of the beginnings of words that are expressions; whole words are, whatever their length.
 SPELLED = 12
 END = "$"
 DEVIATIONS = 3.0
@@ -39,7 +41,8 @@ def tokens(text: str | None) -> list[str]:
 
 
 def word_hash(word: str) -> int:
-    return xxhash.xxh32_intdigest(word.encode("utf-8", "replace"))
+    """A word's 64 bits, as a signed number."""
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) - (1 << 63)
 
 
 def _contexts(labelled: DataFrame) -> DataFrame:
@@ -51,22 +54,27 @@ def _contexts(labelled: DataFrame) -> DataFrame:
             if len(known) > 100_000:
                 known.clear()
             for toxic in (0, 1):
-                parts = []
+                before, word = [], []
                 for text in batch["text"][batch["label"] == toxic]:
                     h = []
-                    for word in tokens(text):
-                        x = known.get(word)
+                    for w in tokens(text):
+                        x = known.get(w)
                         if x is None:
-                            x = known[word] = word_hash(word)
+                            x = known[w] = word_hash(w)
                         h.append(x)
                     if len(h) > 1:
-                        h = np.array(h, np.uint64)
-                        parts.append((h[:-1] << np.uint64(32)) | h[1:])
-                if parts:
-                    yield pd.DataFrame({"toxic": np.int8(toxic), "pair": np.unique(np.concatenate(parts)).view(np.int64)})
+                        h = np.array(h, np.int64)
+                        before.append(h[:-1])
+                        word.append(h[1:])
+                if word:
+                    b, w = np.concatenate(before), np.concatenate(word)
+                    order = np.lexsort((b, w))
+                    b, w = b[order], w[order]
+                    new = np.concatenate([[True], (b[1:] != b[:-1]) | (w[1:] != w[:-1])])
+                    yield pd.DataFrame({"toxic": np.int8(toxic), "before": b[new], "word": w[new]})
 
-    pairs = labelled.select("text", "label").mapInPandas(pair, "toxic byte, pair long").distinct()
-    return pairs.groupBy("toxic", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")).agg(F.count("*").alias("kinds"))
+    pairs = labelled.select("text", "label").mapInPandas(pair, "toxic byte, before long, word long").distinct()
+    return pairs.groupBy("toxic", "word").agg(F.count("*").alias("kinds"))
 
 
 def _vocabulary(labelled: DataFrame) -> DataFrame:
@@ -108,12 +116,13 @@ def expressions(labelled: DataFrame) -> DataFrame:
     ]).first()
     spelled = before.join(_vocabulary(labelled), "word").select("toxic", "kinds", F.concat("spelling", F.lit(END)).alias("s"))
     starts = F.transform(F.sequence(F.lit(0), F.least(F.length("s"), F.lit(SPELLED))), lambda k: F.substring("s", F.lit(1), k))
+    starts = F.when(F.length("s") > SPELLED, F.array_append(starts, F.col("s"))).otherwise(starts)
     counts = spelled.select("toxic", "kinds", F.explode(starts).alias("start")).groupBy("start").agg(
         *[F.sum(F.when(F.col("toxic") == c, F.col("kinds")).otherwise(0)).cast("double").alias(f"n{c}") for c in (0, 1)]
     )
     counts = materialise(counts, "toxicity_expressions")
     above = counts.select(F.col("start").alias("above"), F.col("n0").alias("a0"), F.col("n1").alias("a1"))
-    met = counts.where("start <> ''").join(above, F.expr("left(start, length(start) - 1) = above"))
+    met = counts.where("start <> ''").join(above, F.expr(f"left(start, least(length(start) - 1, {SPELLED})) = above"))
     pooled = (F.col("n0") + F.col("n1")) / max(1.0, stats.total0 + stats.total1)
 
     def chance(c: int) -> Column:
@@ -138,8 +147,8 @@ def count_model(labelled: DataFrame) -> Model:
 
 def word_ratio(ratios: dict[str, float], word: str) -> float:
     """The log-ratio of a word: that of its longest kept expression, 0 if it has none."""
-    marked = (word + END)[:SPELLED]
-    for k in range(len(marked), 0, -1):
+    marked = word + END
+    for k in (len(marked), *range(min(len(marked) - 1, SPELLED), 0, -1)):
         if (found := ratios.get(marked[:k])) is not None:
             return found
     return 0.0
@@ -210,15 +219,14 @@ def _score_udf(model):
     return score
 
 
-def labelled_texts(df: DataFrame, labels: DataFrame, broadcast_rows: int = 4_000_000) -> DataFrame:
+def labelled_texts(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (text, label, part) of the texts with a label, from frames (key, text) and (key, label, part).
 
-    One label per key, the largest; null keys and labels are left out. The labels are broadcast up
-    to ``broadcast_rows`` keys, counted first; more of them are joined by a shuffle, with the same rows.
+    One label per key, the largest; null keys and labels are left out. The labels are written first, so that Spark
+    knows their size when it plans the join.
     """
     one = labels.where("key is not null and label is not null").groupBy("key").agg(F.max("label").alias("label"), F.first("part").alias("part"))
-    few = one.count() <= broadcast_rows
-    return df.join(F.broadcast(one) if few else one, "key").select("text", "label", "part")
+    return df.join(materialise(one, "toxicity_labels"), "key").select("text", "label", "part")
 
 
 def fit(labelled: DataFrame, calibration_rows: int = 50_000) -> Model:
@@ -236,6 +244,7 @@ def fit(labelled: DataFrame, calibration_rows: int = 50_000) -> Model:
 
 
 def fold(key: Column) -> Column:
+    """One of five folds, fixed by the key's text; null for a null key, from which nothing is learnt."""
     return F.pmod(F.crc32(key.cast("string")), F.lit(5))
 
 

@@ -21,8 +21,8 @@ def plain_expressions(texts):
     for c in (0, 1):
         before[c].update(w for _, w in pairs[c])
         for w, k in before[c].items():
-            for size in range(min(len(w) + 1, T.SPELLED) + 1):
-                n[c][(w + T.END)[:size]] += k
+            for p in {(w + T.END)[:size] for size in range(T.SPELLED + 1)} | {w + T.END}:
+                n[c][p] += k
     out = {}
     total = [sum(before[c].values()) for c in (0, 1)]
     for p in {*n[0], *n[1]} - {""}:
@@ -31,7 +31,7 @@ def plain_expressions(texts):
             once, twice = (sum(1 for k in before[c].values() if k == x) for x in (1, 2))
             d = once / (once + 2 * twice) if once else 0.5
             chances.append(max(n[c][p] - d, 0) / total[c] + d * len(before[c]) / total[c] * (n[0][p] + n[1][p]) / sum(total))
-        up = p[:-1]
+        up = p[: min(len(p) - 1, T.SPELLED)]
         expected = n[1][up] * (n[0][p] + n[1][p]) / (n[0][up] + n[1][up])
         out[p] = (math.log(chances[1] / chances[0]), (n[1][p] - expected) / math.sqrt(expected * n[0][up] / (n[0][up] + n[1][up]) + 0.25))
     return out
@@ -50,6 +50,26 @@ def test_a_word_says_what_its_longest_kept_expression_does():
     assert [T.word_ratio(ratios, w) for w in ("awful", "awfully", "axe", "b")] == [3.0, 2.0, 0.5, 0.0]
 
 
+def test_words_are_read_whole(spark):
+    """Words that share far more than the spelled beginning, words of any length, and scripts without blanks."""
+    long = "unmistakablylongword"
+    texts = [(f"the {long}bad of day", 1), (f"a {long}good day", 0), (f"a {long}good man", 0), ("x" * 5000 + " y " + "x" * 4999 + "z you", 1), ("你好世界 你坏", 0)]
+    got = {r.start: (r.ratio, r.deviation) for r in T.expressions(spark.createDataFrame(texts, "text string, label int").repartition(2)).collect()}
+    want = plain_expressions(texts)
+    assert set(got) == set(want) and f"{long}bad$" in got and f"{long}good$" in got
+    for p in want:
+        assert got[p] == pytest.approx(want[p], rel=1e-9, abs=1e-9)
+    assert T.tokens("ab你好c d_e1f ไทย Ünï") == ["ab", "你", "好", "c", "d", "e", "f", "ไ", "ท", "ย", "ünï"]
+    ratios = {long[: T.SPELLED]: 0.5, f"{long}bad$": 2.0}
+    assert [T.word_ratio(ratios, w) for w in (f"{long}bad", f"{long}good", long[:5])] == [2.0, 0.5, 0.0]
+
+
+def test_words_with_equal_32_bit_hashes_stay_apart():
+    import xxhash
+
+    assert T.word_hash("a") == xxhash.xxh64_intdigest("a") - 2**63 and -(2**63) <= T.word_hash("zzz") < 2**63
+
+
 def corpus(n=700):
     rng = random.Random(7)
     rows, labels = [], []
@@ -76,11 +96,11 @@ def test_held_out_accuracy(spark, docs):
     assert again.ratios == model.ratios and np.allclose(again.weights, model.weights)
 
 
-def test_both_ways_of_joining_labels_agree(spark, docs):
+def test_one_label_per_key(spark, docs):
     df = docs([(1, "a b"), (1, "a b"), (2, None), (None, "c")]).toDF("key", "text")
     labels = spark.createDataFrame([(1, 0, 0), (1, 1, 0), (2, 0, 1), (None, 1, 0), (9, 1, 1)], "key long, label int, part int")
-    few, many = (sorted(map(str, T.labelled_texts(df, labels, n).collect())) for n in (100, 0))
-    assert few == many and len(few) == 3
+    got = sorted(map(tuple, T.labelled_texts(df, labels).collect()), key=str)
+    assert got == [("a b", 1, 0), ("a b", 1, 0), (None, 0, 1)]
 
 
 def test_edges(spark, docs):

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.sources.store import materialise
+from riskloom.sources.store import materialise, materialise_counted
 
 #: Characters of scripts written without blanks: Thai, kana, Han.
 _ALONE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
@@ -219,14 +219,15 @@ def _score_udf(model):
     return score
 
 
-def labelled_texts(df: DataFrame, labels: DataFrame) -> DataFrame:
+def labelled_texts(df: DataFrame, labels: DataFrame, broadcast_rows: int = 4_000_000) -> DataFrame:
     """Rows (text, label, part) of the texts with a label, from frames (key, text) and (key, label, part).
 
-    One label per key, the largest; null keys and labels are left out. The labels are written first, so that Spark
-    knows their size when it plans the join.
+    One label per key, the largest; null keys and labels are left out. The labels are broadcast up to ``broadcast_rows`` keys, as
+    the write of them counts, so that texts are not shuffled for the sake of labels; more of them are joined by a shuffle, with the same rows.
     """
     one = labels.where("key is not null and label is not null").groupBy("key").agg(F.max("label").alias("label"), F.first("part").alias("part"))
-    return df.join(materialise(one, "toxicity_labels"), "key").select("text", "label", "part")
+    stored, keys = materialise_counted(one, "toxicity_labels")
+    return df.join(F.broadcast(stored) if keys <= broadcast_rows else stored, "key").select("text", "label", "part")
 
 
 def fit(labelled: DataFrame, calibration_rows: int = 50_000) -> Model:

@@ -99,8 +99,9 @@ def test_held_out_accuracy(spark, docs):
 def test_one_label_per_key(spark, docs):
     df = docs([(1, "a b"), (1, "a b"), (2, None), (None, "c")]).toDF("key", "text")
     labels = spark.createDataFrame([(1, 0, 0), (1, 1, 0), (2, 0, 1), (None, 1, 0), (9, 1, 1)], "key long, label int, part int")
-    got = sorted(map(tuple, T.labelled_texts(df, labels).collect()), key=str)
-    assert got == [("a b", 1, 0), ("a b", 1, 0), (None, 0, 1)]
+    for most in (100, 0):  # broadcast, shuffled
+        got = sorted(map(tuple, T.labelled_texts(df, labels, most).collect()), key=str)
+        assert got == [("a b", 1, 0), ("a b", 1, 0), (None, 0, 1)]
 
 
 def test_edges(spark, docs):

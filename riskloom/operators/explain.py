@@ -285,14 +285,17 @@ def local_surrogate(
     draws, sums = surrogate_draws(features.sparkSession, samples, seed)
     at = [f"at_{c}" for c in K.FEATURES]
     filled = features.select("customer_id", *[null_to_zero(F.col(c)).alias(a) for c, a in zip(K.FEATURES, at)])
-    copies = filled.select(*at).distinct().select(*at, F.inline(draws))
+    # A text as key keeps its partitioning from the first aggregate to the join, which numbers do not, as they are normalised at every step.
+    filled = filled.withColumn("triple", F.concat_ws(",", *at))
+    points = filled.groupBy("triple").agg(*[F.first(a).alias(a) for a in at])
+    copies = points.select("triple", *at, F.inline(draws))
     moved = copies.select(
-        *at, "n0", "n1", "n2", "w",
+        "triple", *at, "n0", "n1", "n2", "w",
         *[(F.col(a) + F.col(f"n{i}") * stats[f"{c}_s"]).alias(c) for i, (c, a) in enumerate(zip(K.FEATURES, at))],
     )
-    scored = moved.select(*at, "n0", "n1", "n2", (F.col("w") * score(moved)).alias("wy"))
+    scored = moved.select("triple", *at, "n0", "n1", "n2", (F.col("w") * score(moved)).alias("wy"))
     terms = [F.sum(F.col(f"n{i}") * F.col("wy")).alias(f"t{i}") for i in range(3)]
-    s = scored.groupBy(*at).agg(F.sum("wy").alias("sy"), *terms)
+    s = scored.groupBy("triple").agg(F.sum("wy").alias("sy"), *terms, *[F.first(a).alias(a) for a in at])
 
     def moment(i: int, j: int) -> Column:
         """Weighted covariance of two disturbances, ridge on the diagonal."""
@@ -304,8 +307,7 @@ def local_surrogate(
     for c, a, weight in zip(K.FEATURES, at, _solve([[moment(i, j) for j in range(3)] for i in range(3)], rhs)):
         position = (F.col(a) - stats[f"{c}_m"]) / stats[f"{c}_s"]
         out += [weight.alias(f"{c}_weight"), (weight * position).alias(f"{c}_impact")]
-    solved = s.select(*at, *out)
-    return filled.join(solved, at).drop(*at)
+    return filled.select("customer_id", "triple").join(s.select("triple", *out), "triple").drop("triple")
 
 
 def binned_surrogate(

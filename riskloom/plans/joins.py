@@ -131,10 +131,10 @@ def sql_explain_function(spark, sf):
     return known.select("customer_id", said.alias("said")).select("customer_id", "said.error", "said.risk_score", "said.risk_band")
 
 
-@query("sql_customers_in_band", with_(CUR) + "SELECT customer_id, risk_score FROM cur WHERE risk_band = 'Medium' AND risk_score > 0.4")
+@query("sql_customers_in_band", with_(CUR) + "SELECT customer_id, risk_score FROM cur WHERE risk_band = 'Low' AND risk_score > 0.1")
 def sql_customers_in_band(spark, sf):
     _with_functions(spark, sf)
-    return spark.sql("SELECT customer_id, risk_score FROM customers_in_band('Medium') WHERE calculate_risk_score(customer_id) > 0.4")
+    return spark.sql("SELECT customer_id, risk_score FROM customers_in_band('Low') WHERE calculate_risk_score(customer_id) > 0.1")
 
 
 BUCKETS = 8

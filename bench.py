@@ -27,6 +27,9 @@ HEADLINE = [
     "prediction_table_explained",
     "validation_report",
     "audit_stream",
+    "audit_log_as_of",
+    "portfolio_kept_up_to_date",
+    "prediction_table_trained",
 ]
 
 WARM = 2

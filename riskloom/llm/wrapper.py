@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 from html import unescape
 
 import numpy as np
@@ -208,58 +210,129 @@ def _shapes(labels: list[str], children: list[list[int]]) -> list[int]:
     return out
 
 
-#: Child lists with more pairs than this are aligned by labels and equal subtrees, in linear memory.
+#: Child lists with more pairs than this are aligned row by row in little memory. The pairs are those of the plain way.
 WIDE = 250_000
+#: Rows that are held at a time: of a table at each level of the way back through it, and of weights.
+HELD = 16
 
 
-def _wide(a: np.ndarray, b: np.ndarray, shapes_a: np.ndarray, shapes_b: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of positions of the heaviest alignment of two long lists: a pair of equal labels weighs 1, one of equal subtrees their size.
+def _wide(
+    a: np.ndarray, b: np.ndarray, shapes_a: np.ndarray, shapes_b: np.ndarray, sizes: np.ndarray, inner: Callable[[int], np.ndarray] | None = None
+) -> list[tuple[int, int]]:
+    """Pairs of positions of the heaviest alignment of two long lists: a pair of equal labels weighs 1 and what is matched below it, one of equal subtrees their size.
 
-    The lists are divided in halves (Hirschberg), so that two rows of the table are held at a time.
+    ``inner`` gives what is matched below a position of the first list and every position of the second; without it, that is nothing.
+    Of equally heavy alignments it is the one that the whole table leads back to. Few rows of the table are held, those
+    between them are made again on the way back.
     """
+    known: dict[int, np.ndarray] = {}
+
+    def weights(x: int) -> np.ndarray:
+        key = int(shapes_a[x])
+        if key not in known:
+            if len(known) == HELD:
+                del known[next(iter(known))]
+            below = (shapes_b == key) * (sizes[x] - 1)
+            known[key] = (b == a[x]) * (1 + (below if inner is None else np.maximum(below, inner(x))))
+        return known[key]
+
+    def after(x: int, row: np.ndarray) -> np.ndarray:
+        out = np.zeros_like(row)
+        best = row[:-1] + weights(x)[: len(row) - 1]
+        np.maximum(best, row[1:], out=best)
+        np.maximum.accumulate(best, out=out[1:])
+        return out
+
+    pairs, j, todo = [], len(b), [(0, len(a), np.zeros(len(b) + 1, dtype=np.int64))]
+    while todo and j:
+        i, end, row = todo.pop()
+        row = row[: j + 1]
+        if end - i > 1:
+            starts = range(i, end, -(-(end - i) // HELD))
+            for start, stop in zip(starts, [*starts[1:], end]):
+                todo.append((start, stop, row))
+                for x in range(start, stop if stop < end else start):
+                    row = after(x, row)
+        elif end > i:
+            below = after(i, row)
+            while j and below[j] != row[j]:
+                j -= 1
+                if below[j + 1] != below[j]:
+                    pairs.append((i, j))
+                    break
+    return pairs[::-1]
 
-    def last_row(i: range, j: range) -> np.ndarray:
-        row = np.zeros(len(j) + 1, dtype=np.int64)
-        ys = slice(j.start, j.stop, j.step) if j.step > 0 else slice(j.start, j.stop if j.stop >= 0 else None, -1)
-        labels, shapes = b[ys], shapes_b[ys]
-        for x in i:
-            best = row[:-1] + (labels == a[x])
-            if sizes[x] > 1:
-                best += (shapes == shapes_a[x]) * (sizes[x] - 1)
-            np.maximum(best, row[1:], out=best)
-            np.maximum.accumulate(best, out=row[1:])
-        return row
-
-    pairs, todo = [], [(0, len(a), 0, len(b))]
-    while todo:
-        i, ie, j, je = todo.pop()
-        if i == ie or j == je:
-            continue
-        if ie - i == 1:
-            weight = (b[j:je] == a[i]) * (1 + (shapes_b[j:je] == shapes_a[i]) * (sizes[i] - 1))
-            if weight.any():
-                pairs.append((i, j + int(weight.argmax())))
-            continue
-        half = (i + ie) // 2
-        front = last_row(range(i, half), range(j, je))
-        back = last_row(range(ie - 1, half - 1, -1), range(je - 1, j - 1, -1))
-        cut = j + int((front + back[::-1]).argmax())
-        todo += [(i, half, j, cut), (half, ie, cut, je)]
-    return sorted(pairs)
+
+def _forest(roots: list[int], labels: np.ndarray, children: list[list[int]], shapes: list[int]) -> list[tuple[np.ndarray, ...]]:
+    """The different subtrees of a list by depth: their labels; the child lists one behind the other as numbers of the next depth; and where these begin and end, with
+    the subtrees that have them."""
+    depths, nodes = [], list({shapes[v]: v for v in roots}.values())
+    while nodes:
+        lists = [children[v] for v in nodes]
+        numbers: dict[int, int] = {}
+        slots = [numbers.setdefault(shapes[c], len(numbers)) for some in lists for c in some]
+        lengths = np.array([len(some) for some in lists])
+        owners, ends = np.flatnonzero(lengths), np.cumsum(lengths)
+        depths.append((labels[nodes], np.array(slots, dtype=np.int64), (ends - lengths)[owners], ends[owners] - 1, owners))
+        nodes = list({shapes[c]: c for some in lists for c in some}.values())
+    return depths
+
+
+def _inner(forest: list[tuple[np.ndarray, ...]], labels: np.ndarray, children: list[list[int]], shapes: list[int], limit: int) -> Callable[[int], np.ndarray]:
+    """What simple tree matching matches below a node and below every root of a forest, as a function of the node.
+
+    The tables of all child lists of a depth are filled at once, a row per child. ``limit`` is above every size.
+    """
+    empty = [np.zeros(len(depth[0]), dtype=np.int64) for depth in forest]
+    # Numbers of a list stay above those of the lists before, so that a running maximum ends with its list.
+    bases = [np.repeat(np.arange(len(starts)), ends - starts + 1) * limit for _, _, starts, ends, _ in forest]
+    known: list[dict[int, np.ndarray]] = [{} for _ in forest]
+
+    def below(u: int, depth: int) -> np.ndarray:
+        _, slots, starts, ends, owners = forest[depth]
+        if not children[u] or not len(slots):
+            return empty[depth]
+        base = bases[depth]
+        row, before = base.copy(), np.empty_like(base)
+        for c in children[u]:
+            before[1:] = row[:-1]
+            before[starts] = base[starts]
+            before += whole(c, depth + 1)[slots]
+            np.maximum(row, before, out=row)
+            np.maximum.accumulate(row, out=row)
+        out = empty[depth].copy()
+        out[owners] = (row - base)[ends]
+        return out
+
+    def whole(u: int, depth: int) -> np.ndarray:
+        held = known[depth]
+        if shapes[u] not in held:
+            if len(held) == HELD:
+                del held[next(iter(held))]
+            same = forest[depth][0] == labels[u]
+            held[shapes[u]] = same * (1 + below(u, depth)) if same.any() else empty[depth]
+        return held[shapes[u]]
+
+    return lambda u: below(u, 0)
 
 
 def match(a_labels: list[str], a_parents: list[int], b_labels: list[str], b_parents: list[int]) -> list[tuple[int, int]]:
     """Simple tree matching of two trees in document order: the largest set of node pairs with equal labels that keeps ancestors and the order of siblings.
 
     Equal subtrees at both ends of two child lists are paired at once, which loses nothing; between
-    them the lists are aligned by dynamic programming over the sizes of their subtrees' matchings. Very long lists, whose
-    pairs of subtrees cannot all be matched, are aligned by labels and equal subtrees instead.
+    them the lists are aligned by dynamic programming over the sizes of their subtrees' matchings. Long lists are aligned
+    alike, with the sizes of a subtree and all others at once.
     """
     ca, cb = _children(a_parents), _children(b_parents)
     sa, sb = _shapes(a_labels, ca), _shapes(b_labels, cb)
     below = _totals([1] * len(a_labels), a_parents)
     done: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
+    @cache
+    def numbered() -> list[np.ndarray]:
+        numbers: dict[str, int] = {}
+        return [np.array([numbers.setdefault(x, len(numbers)) for x in labels]) for labels in (a_labels, b_labels)]
+
     def align(x: int, y: int) -> tuple[int, list[tuple[int, int]]]:
         """Size of the best matching of the child lists of two nodes, and the child pairs of it."""
         left, right = ca[x], cb[y]
@@ -273,10 +346,13 @@ def match(a_labels: list[str], a_parents: list[int], b_labels: list[str], b_pare
             pairs.append((left[high_a], right[high_b]))
         left, right = left[low:high_a], right[low:high_b]
         if len(left) * len(right) > WIDE:
-            numbers: dict[str, int] = {}
-            la, lb = (np.array([numbers.setdefault(labels[x], len(numbers)) for x in side]) for labels, side in ((a_labels, left), (b_labels, right)))
-            weights = np.array([below[u] for u in left])
-            found = _wide(la, lb, np.array([sa[u] for u in left]), np.array([sb[v] for v in right]), weights)
+            numbers_a, numbers_b = numbered()
+            forest = _forest(right, numbers_b, cb, sb)
+            inner = _inner(forest, numbers_a, ca, sa, len(a_labels) + 1)
+            rows: dict[int, int] = {}
+            at = np.array([rows.setdefault(sb[v], len(rows)) for v in right])
+            sides = numbers_a[left], numbers_b[right], np.array([sa[u] for u in left]), np.array([sb[v] for v in right]), np.array([below[u] for u in left])
+            found = _wide(*sides, lambda i: inner(left[i])[at])
             pairs += [(left[i], right[j]) for i, j in found]
             return sum(size(u, v) for u, v in pairs), pairs
         table = [[0] * (len(right) + 1)]

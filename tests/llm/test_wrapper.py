@@ -152,6 +152,20 @@ def test_long_lists_align_as_well_as_short_ones():
         assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
 
 
+def test_long_lists_are_matched_like_short_ones(monkeypatch):
+    rng = random.Random(7)
+    sides = [(random_tree(rng, rng.randrange(1, 60)), random_tree(rng, rng.randrange(1, 60))) for _ in range(300)]
+    item = lambda i: "".join(rng.choice(["<li>one", "<li><p>x<p>y", "<li><h2>h</h2>"]) for _ in range(i % 4))
+    pages = [W.parse("<body>" + "".join(f"<ul>{item(i)}</ul>" for i in range(510))) for _ in range(2)]
+    sides.append(tuple((t.labels, t.parents) for t in pages))  # by its length a long list
+    monkeypatch.setattr(W, "WIDE", 10**9)
+    short = [W.match(*a, *b) for a, b in sides]
+    monkeypatch.undo()
+    assert sorted(W.match(*sides[-1][0], *sides[-1][1])) == sorted(short[-1])
+    monkeypatch.setattr(W, "WIDE", 0)
+    assert [sorted(W.match(*a, *b)) for a, b in sides] == [sorted(p) for p in short]
+
+
 def mixed_siblings(n, seed):
     rng = random.Random(seed)
     tree = W.parse("<body>" + "".join(rng.choice(["<p>text</p>", "<ul><li>one<li>two</ul>", "<h2>head</h2>", "<table><tr><td>cell</table>"]) for _ in range(n)))

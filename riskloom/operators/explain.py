@@ -5,14 +5,15 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
+from riskloom.functions.linear import BoundedLine
 from riskloom.functions.numeric import dbl, normal, null_to_zero, round_up, safe_float, uniform, unit_if_above_one
 from riskloom.operators.quantiles import exact_quantiles
-from riskloom.operators.scalars import constants
 from riskloom.sources.store import append_results
 
 PAYMENT, INCOME, RESILIENCE = K.FEATURES
@@ -234,8 +235,13 @@ def factor_order(levels: dict[str, Column]) -> Column:
     return F.transform(F.array_sort(F.array(*rows)), lambda x: x.getField("name"))
 
 
-def surrogate_draws(spark: SparkSession, samples: int, seed: int) -> tuple[Column, Row]:
-    """The disturbances that all rows share: an array literal of (n0, n1, n2, w), and their weighted sums.
+def _array_literal(rows: list[dict[str, float | None]]) -> Column:
+    """Numbers as one constant: a JSON text is folded into an array, which generated code reads by reference."""
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{','.join(f'{name}:double' for name in rows[0])}>>")
+
+
+def surrogate_draws(spark: SparkSession, samples: int, seed: int) -> tuple[list[Row], Row]:
+    """The disturbances (n0, n1, n2, w) that all rows share, and their weighted sums.
 
     w is the closeness of a copy. The draws do not depend on the data, so they are made once, ``samples`` of them.
     """
@@ -244,14 +250,45 @@ def surrogate_draws(spark: SparkSession, samples: int, seed: int) -> tuple[Colum
     width = 0.75 * 3.0**0.5
     distance2 = F.col("n0") * F.col("n0") + F.col("n1") * F.col("n1") + F.col("n2") * F.col("n2")
     rows = draws.withColumn("w", F.sqrt(F.exp(-distance2 / dbl(width * width)))).orderBy("id").drop("id").collect()
-    text = json.dumps([r.asDict() for r in rows])
-    # A JSON text is folded into one array constant, which generated code reads by reference.
-    literal = F.from_json(F.lit(text), "array<struct<n0:double,n1:double,n2:double,w:double>>")
     sums = {"sw": math.fsum(r.w for r in rows)}
     for i in range(3):
         sums[f"s{i}"] = math.fsum(r.w * r[i] for r in rows)
         sums |= {f"s{i}{j}": math.fsum(r.w * r[i] * r[j] for r in rows) for j in range(i, 3)}
-    return literal, Row(**sums)
+    return rows, Row(**sums)
+
+
+_SUMS = ("sy", "t0", "t1", "t2")
+
+
+def _line_sums(filled: DataFrame, at: list[str], line: BoundedLine, deviations: list[float | None], draws: list[Row]) -> DataFrame:
+    """The weighted sums of the score over all disturbed copies of every row, without making the copies.
+
+    A copy scores what the row does plus what its draw adds, bounded to 0..1. With the draws in order of what they add, those
+    below 0 come first, those above 1 last: two searches per row part them, and sums up to each draw give the rest.
+    """
+    # Without a finite deviation no copy has a finite value, so the feature counts as 0 in all.
+    slopes = [line.slopes.get(c, 0.0) if s is not None and math.isfinite(s) else 0.0 for c, s in zip(K.FEATURES, deviations)]
+    added = sorted(((sum(k * s * r[i] for i, (k, s) in enumerate(zip(slopes, deviations)) if k), r) for r in draws), key=lambda x: x[0])
+    columns: dict[str, list] = {"added": [*[x for x, _ in added], None]}  # the last entry stands behind the last draw
+    for name, factor in zip(_SUMS, (lambda r: 1.0, *[lambda r, i=i: r[i] for i in range(3)])):
+        columns[name] = list(accumulate((r.w * factor(r) for _, r in added), initial=0.0))
+        columns[f"{name}_added"] = list(accumulate((r.w * factor(r) * x for x, r in added), initial=0.0))
+    table = _array_literal([dict(zip(columns, values)) for values in zip(*columns.values())])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(draws).bit_length()))])
+
+    def up_to(bound: Column) -> Column:
+        """The sums over the draws that add at most so much."""
+        further = lambda n, step: F.when(F.get(table, n + step - 1).getField("added") <= bound, n + step).otherwise(n)
+        return F.aggregate(steps, F.lit(0), further, lambda n: F.get(table, n))
+
+    own = sum((dbl(k) * F.col(a) for k, a in zip(slopes, at) if k), dbl(line.constant))
+    parted = filled.withColumn("own", own).withColumns({"low": up_to(-F.col("own")), "high": up_to(dbl(1.0) - F.col("own"))})
+
+    def total(name: str) -> Column:
+        between = F.col("own") * (F.col(f"high.{name}") - F.col(f"low.{name}")) + (F.col(f"high.{name}_added") - F.col(f"low.{name}_added"))
+        return between + (dbl(columns[name][-1]) - F.col(f"high.{name}"))
+
+    return parted.select(*filled.columns, *[total(name).alias(name) for name in _SUMS])
 
 
 def _determinant(a: list, b: list, c: list):
@@ -277,18 +314,24 @@ def local_surrogate(
     population deviation), the copies are scored and weighted by closeness, and the
     weighted normal equations of the three features are solved per row. All rows share
     one seeded set of draws, so their weights and the normal matrix are constants; per row
-    only four weighted sums of the score remain. Rows with equal features have equal copies, so these are made
-    once per different triple, in the task that holds it: partial sums leave one row per triple for the shuffle.
+    only four weighted sums of the score remain. A bounded line has these sums without its copies, see ``_line_sums``. For any other
+    score, rows with equal features have equal copies, so these are made once per different triple, in the task that holds it: partial sums leave one row per triple for the shuffle.
     """
+    spark = features.sparkSession
     deviations = [F.coalesce(F.nullif(F.stddev_pop(c), dbl(0.0)), dbl(1.0)).alias(f"{c}_s") for c in K.FEATURES]
-    stats = constants(features.agg(*deviations, *[F.avg(c).alias(f"{c}_m") for c in K.FEATURES]))
-    draws, sums = surrogate_draws(features.sparkSession, samples, seed)
+    found = features.agg(*deviations, *[F.avg(c).alias(f"{c}_m") for c in K.FEATURES]).first()
+    stats = {name: dbl(value) if value is not None else F.lit(None).cast("double") for name, value in found.asDict().items()}
+    draws, sums = surrogate_draws(spark, samples, seed)
     at = [f"at_{c}" for c in K.FEATURES]
     filled = features.select("customer_id", *[null_to_zero(F.col(c)).alias(a) for c, a in zip(K.FEATURES, at)])
+    if isinstance(score, BoundedLine):
+        return _solved(_line_sums(filled, at, score, [found[f"{c}_s"] for c in K.FEATURES], draws), "customer_id", at, stats, sums, ridge)
     # A text as key keeps its partitioning from the first aggregate to the join, which numbers do not, as they are normalised at every step.
     filled = filled.withColumn("triple", F.concat_ws(",", *at))
-    points = filled.groupBy("triple").agg(*[F.first(a).alias(a) for a in at])
-    copies = points.select("triple", *at, F.inline(draws))
+    # Triples are few bytes and much work: a fixed number of parts is not merged by size.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    points = filled.repartition(parts, "triple").groupBy("triple").agg(*[F.first(a).alias(a) for a in at])
+    copies = points.select("triple", *at, F.inline(_array_literal([r.asDict() for r in draws])))
     moved = copies.select(
         "triple", *at, "n0", "n1", "n2", "w",
         *[(F.col(a) + F.col(f"n{i}") * stats[f"{c}_s"]).alias(c) for i, (c, a) in enumerate(zip(K.FEATURES, at))],
@@ -296,6 +339,11 @@ def local_surrogate(
     scored = moved.select("triple", *at, "n0", "n1", "n2", (F.col("w") * score(moved)).alias("wy"))
     terms = [F.sum(F.col(f"n{i}") * F.col("wy")).alias(f"t{i}") for i in range(3)]
     s = scored.groupBy("triple").agg(F.sum("wy").alias("sy"), *terms, *[F.first(a).alias(a) for a in at])
+    return filled.select("customer_id", "triple").join(_solved(s, "triple", at, stats, sums, ridge), "triple").drop("triple")
+
+
+def _solved(s: DataFrame, key: str, at: list[str], stats: dict[str, Column], sums: Row, ridge: float) -> DataFrame:
+    """Weights and impacts of the features from the weighted sums of the score."""
 
     def moment(i: int, j: int) -> Column:
         """Weighted covariance of two disturbances, ridge on the diagonal."""
@@ -307,7 +355,7 @@ def local_surrogate(
     for c, a, weight in zip(K.FEATURES, at, _solve([[moment(i, j) for j in range(3)] for i in range(3)], rhs)):
         position = (F.col(a) - stats[f"{c}_m"]) / stats[f"{c}_s"]
         out += [weight.alias(f"{c}_weight"), (weight * position).alias(f"{c}_impact")]
-    return filled.select("customer_id", "triple").join(s.select("triple", *out), "triple").drop("triple")
+    return s.select(key, *out)
 
 
 def binned_surrogate(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions.bands import band_api, band_cut
+from riskloom.functions.linear import BoundedLine
 from riskloom.functions.numeric import (
     clamp01, dbl, inf_to_null, null_to_zero, percent_to_unit, present, round_even, round_up,
 )
@@ -46,12 +47,15 @@ def target_score(payment: Column, income: Column, resilience: Column) -> Column:
     )
 
 
-def linear_model(df: DataFrame) -> Column:
-    """Stand-in model: the linear target of the features, missing ones as 0."""
+def _linear_target(df: DataFrame) -> Column:
     unit = {c: null_to_zero(inf_to_null(F.col(c))) / dbl(100.0) for c in K.FEATURES}
     return target_score(unit[PAYMENT], unit[INCOME], unit[RESILIENCE])
 
 
+#: Stand-in model: the linear target of the features, missing ones as 0.
+linear_model = BoundedLine(_linear_target, sum(K.TARGET_WEIGHTS.values()), {c: -K.TARGET_WEIGHTS[c] / 100.0 for c in K.FEATURES})
+
+
 def true_risk_score(df: DataFrame) -> DataFrame:
     """Adds ``true_risk_score`` and ``true_risk_label`` (above the 70th percentile); zeros count as missing.
 

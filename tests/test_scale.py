@@ -130,6 +130,32 @@ def test_more_draws_change_the_surrogate_little(spark):
     assert "md5" not in plan and plan.split("== Physical")[-1].count("Exchange hashpartitioning") <= 2
 
 
+ODD = [(None, 50.0, 50.0), (0.0, 0.0, 0.0), (100.0, 100.0, 100.0), (-300.0, 20.0, 1.0), (400.0, 90.0, 99.0), (float("nan"), 10.0, 70.0)]
+
+
+@pytest.mark.parametrize("rest", [[], [(float("inf"), 3.0, 4.0)], [(5.0, float("nan"), 4.0)]])
+def test_a_bounded_line_needs_no_copies(spark, rest):
+    """The sums of a bounded line are those of its scored copies: clipped rows, missing values, a constant and an infinite feature."""
+    rng = np.random.default_rng(3)
+    rows = [*map(tuple, rng.uniform(-20, 120, (40, 3)).tolist()), *(r for r in ODD if r[0] == r[0]), *rest]
+    schema = "customer_id int, " + ", ".join(f"{c} double" for c in K.FEATURES)
+    for made in (rows, [(a, 7.0, c) for a, _, c in rows], rows[:1], [], ODD):
+        df = spark.createDataFrame([(i % 30, *r) for i, r in enumerate(made)], schema)
+        line = X.local_surrogate(df, scoring.linear_model, samples=300)
+        assert "Generate" not in plan_of(line) and "Exchange" not in plan_of(line)
+        copies = X.local_surrogate(df, lambda frame: scoring.linear_model(frame), samples=300)
+        got, want = (np.array(sorted(tuple(map(str, r[:1])) + tuple(-1e99 if x is None or x != x else round(x, 7) + 0.0 for x in r[1:]) for r in f.collect()), dtype=object) for f in (line, copies))
+        assert len(got) == len(want) == len(made)
+        if len(got):
+            assert got[:, 1:].astype(float) == pytest.approx(want[:, 1:].astype(float), abs=1e-6)
+
+
+def test_tasks_that_make_copies_are_not_merged_by_size(spark):
+    rows = spark.createDataFrame([(i, i / 10, 50.0, i / 20) for i in range(1000)], "customer_id int, " + ", ".join(f"{c} double" for c in K.FEATURES))
+    plan = plan_of(X.local_surrogate(rows, lambda frame: scoring.linear_model(frame), samples=50)).split("== Physical")[-1]
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") <= 2
+
+
 def test_percent_rank_with_constant_ends(skewed):
     values, df = skewed
     plain = {r.customer_id: r.p for r in R.with_percent_rank(df, "x", "p").collect()}
